@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, substring
+from . import bpe, decontaminate, quality, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,12 +20,22 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup_substrings(_table(spark, sf_dir, "documents"), digest_only=True)
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = decontaminate.find_contamination(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digest(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op8_bpe": op8_bpe}
+    return {"op1_substring_dedup": op1_substring_dedup, "op2_decontaminate": op2_decontaminate, "op3_quality_rules": op3_quality_rules, "op8_bpe": op8_bpe}
 
 
 OP1_SQL = r"""
@@ -48,5 +59,72 @@ FROM words d LEFT JOIN lost USING (doc_id)
 """
 
 
+OP2_SQL = r"""
+WITH low AS (
+  SELECT doc_id, regexp_extract_all(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item AS (
+  SELECT item_id, regexp_extract_all(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), item_at AS (
+  SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS p FROM item WHERE len(w) > 0
+), win AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS win FROM item_at
+), doc_at AS (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM low, (SELECT DISTINCT n FROM win) WHERE len(w) >= n
+), hit AS (
+  SELECT d.doc_id, d.p, d.n, x.item_id FROM (SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS win FROM doc_at) d JOIN win x ON d.win = x.win AND d.n = x.n
+), covered AS (
+  SELECT doc_id, count(DISTINCT p + o) AS n_hit FROM hit, range(0, 10) AS t(o) WHERE o < n GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM low LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+#: Rows of the quality rules by document, for op3 and for the pipeline's first stage; {docs} is the table.
+QUALITY_CTES = r"""
+words AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM {docs}
+), grams AS (
+  SELECT doc_id, p, array_to_string(w[p:p + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM words WHERE len(w) >= 5)
+), twins AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS n FROM grams) WHERE n > 1
+), repeated AS (
+  SELECT doc_id, count(DISTINCT p + o) AS n_repeat_words FROM twins, range(0, 5) AS t(o) GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM words) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), again AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY doc_id
+), measured AS (
+  SELECT doc_id, lang, source, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM words LEFT JOIN again USING (doc_id) LEFT JOIN repeated USING (doc_id)
+), based AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured
+), stacked AS (
+  SELECT lang, source, m, v, CASE WHEN v < 64 THEN v ELSE 32 * (length(bin(v)) - 6) + (v >> (length(bin(v)) - 6)) END AS b FROM (
+    SELECT lang, source, unnest(['symbols', 'repeats', 'lines', 'letters']) AS m,
+           unnest([n_symbols * 1000 // n_words, n_repeat_words * 1000 // n_words, n_dup_lines * 1000 // n_words, word_chars * 100 // n_words]) AS v
+    FROM based WHERE NOT base_failed)
+), bins AS (
+  SELECT lang, source, m, b, count(*) AS n FROM stacked GROUP BY ALL
+), upto AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang, source, m ORDER BY b) AS u, sum(n) OVER (PARTITION BY lang, source, m) AS a,
+         CASE WHEN b < 64 THEN b ELSE (b - 32 * (b // 32 - 1)) << (b // 32 - 1) END AS low FROM bins
+), cuts AS (
+  SELECT lang, source, m, min(low) FILTER (WHERE u * 4 >= a) AS q1, min(low) FILTER (WHERE u * 4 >= a * 3) AS q3 FROM upto GROUP BY ALL
+), fences AS (
+  SELECT lang, source, max(q3 + 3 * (q3 - q1) + 250) FILTER (WHERE m = 'symbols') AS s, max(q3 + 3 * (q3 - q1) + 100) FILTER (WHERE m = 'repeats') AS r,
+         max(q3 + 3 * (q3 - q1) + 25) FILTER (WHERE m = 'lines') AS l, max(q3 + 3 * (q3 - q1) + 400) FILTER (WHERE m = 'letters') AS c FROM cuts GROUP BY ALL
+), judged AS (
+  SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+         NOT base_failed AND NOT coalesce(n_symbols * 1000 // n_words > s OR n_repeat_words * 1000 // n_words > r OR n_dup_lines * 1000 // n_words > l OR word_chars * 100 // n_words > c, false) AS kept
+  FROM based b LEFT JOIN fences f ON b.lang IS NOT DISTINCT FROM f.lang AND b.source IS NOT DISTINCT FROM f.source
+)
+"""
+OP3_SQL = "WITH " + QUALITY_CTES.replace("{docs}", "documents") + "SELECT * FROM judged"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_quality_rules": OP3_SQL}
