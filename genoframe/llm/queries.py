@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality, substring
+from . import bpe, decontaminate, near, quality, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,12 +30,16 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digest(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op2_decontaminate": op2_decontaminate, "op3_quality_rules": op3_quality_rules, "op8_bpe": op8_bpe}
+    return {"op1_substring_dedup": op1_substring_dedup, "op2_decontaminate": op2_decontaminate, "op3_quality_rules": op3_quality_rules, "op5_near_dedup": op5_near_dedup, "op8_bpe": op8_bpe}
 
 
 OP1_SQL = r"""
@@ -82,6 +86,36 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM low LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP5_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda p: array_to_string(w[p:p + 4], ' ')))) END AS s FROM words
+), classes AS (
+  SELECT s, min(doc_id) AS rep, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s
+), items AS (
+  SELECT rep, n, unnest(s) AS g FROM classes
+), rare AS (
+  SELECT *, row_number() OVER (PARTITION BY rep ORDER BY f, g) AS k FROM (SELECT *, count(*) OVER (PARTITION BY g) AS f FROM items)
+), prefix AS (
+  SELECT rep, n, g FROM rare WHERE k <= n - ceil(0.75 * n) + 1
+), pairs AS (
+  SELECT DISTINCT a.rep AS a, b.rep AS b, a.n AS na, b.n AS nb FROM prefix a JOIN prefix b ON a.g = b.g AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)
+), links AS (
+  SELECT p.a, p.b FROM pairs p JOIN items x ON x.rep = p.a JOIN items y ON y.rep = p.b AND y.g = x.g
+  GROUP BY p.a, p.b, p.na, p.nb HAVING 100 * count(*) >= 75 * (p.na + p.nb - count(*))
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT a AS v, b AS c FROM edges UNION SELECT r.v, e.b FROM reach r JOIN edges e ON r.c = e.a
+), least_of AS (
+  SELECT v, min(c) AS c FROM reach GROUP BY v
+)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(least(c.rep, l.c), c.rep, s.doc_id) AS component_id, coalesce(least(c.rep, l.c), c.rep, s.doc_id) = s.doc_id AS kept
+FROM sets s LEFT JOIN classes c ON s.s = c.s AND len(s.s) > 0 LEFT JOIN least_of l ON c.rep = l.v
+"""
+
 #: Rows of the quality rules by document, for op3 and for the pipeline's first stage; {docs} is the table.
 QUALITY_CTES = r"""
 words AS (
@@ -127,4 +161,4 @@ OP3_SQL = "WITH " + QUALITY_CTES.replace("{docs}", "documents") + "SELECT * FROM
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_quality_rules": OP3_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_quality_rules": OP3_SQL, "op5_near_dedup": OP5_SQL}
