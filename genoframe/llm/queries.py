@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, near, quality, substring
+from . import bpe, decontaminate, near, quality, substring, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,12 +34,16 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.with_crc(tokens.token_files(_table(spark, sf_dir, "documents")))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digest(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op2_decontaminate": op2_decontaminate, "op3_quality_rules": op3_quality_rules, "op5_near_dedup": op5_near_dedup, "op8_bpe": op8_bpe}
+    return {"op1_substring_dedup": op1_substring_dedup, "op2_decontaminate": op2_decontaminate, "op3_quality_rules": op3_quality_rules, "op5_near_dedup": op5_near_dedup, "op6_token_files": op6_token_files, "op8_bpe": op8_bpe}
 
 
 OP1_SQL = r"""
