@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one array pass works on; a longer single text is taken whole.
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 2 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True

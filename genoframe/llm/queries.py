@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, near, quality, substring, tokens
+from . import bpe, decontaminate, lm, near, quality, substring, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -43,7 +47,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op2_decontaminate": op2_decontaminate, "op3_quality_rules": op3_quality_rules, "op5_near_dedup": op5_near_dedup, "op6_token_files": op6_token_files, "op8_bpe": op8_bpe}
+    return {"op1_substring_dedup": op1_substring_dedup, "op2_decontaminate": op2_decontaminate, "op3_quality_rules": op3_quality_rules, "op4_lm_score": op4_lm_score, "op5_near_dedup": op5_near_dedup, "op6_token_files": op6_token_files, "op8_bpe": op8_bpe}
 
 
 OP1_SQL = r"""

@@ -25,14 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, col, column, deflate, grams, inflate, slices, text_key, total_bytes
+from .common import SLICE_BYTES, Words, col, column, deflate, grams, inflate, slices, text_key, total_bytes
 
 WINDOW = 20
 GRAM = 4
 #: Cells of the gram sketch; its size does not depend on the data.
 CELLS = 1 << 20
 #: Bytes of text for each bucket; a bucket holds about three times as much packed text.
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 6 << 20
 
 def _sketch(docs: DataFrame, gram: int) -> np.ndarray:
     """Per cell the bit length of the number of grams that fall there, over all documents: CELLS bytes."""
@@ -180,31 +180,35 @@ def _settle(blobs: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np
             whole.append(i)
     del leader
     w = np.array(whole, np.int64)
-    some = np.array(single, np.int64)
     found = [(doc[w], same[w], start[w], windows[w])]
-    table = Words(_as_text([strings[i] for i in single]))
-    h = grams(table.hashes(), window)
-    at = np.flatnonzero(table.whole(window))
-    row = some[table.doc[at]]
-    d, p = doc[row], start[row] + at - table.first[table.doc[at]]
-    by = np.lexsort((p, d, h[at]))
-    hs = h[at][by]
+    rows: list[int] = []
+    raws, of, h, at, to, row, place_ = [], [], [], [], [], [], []
+    for part in _portions(single, strings):
+        table = Words(_as_text([strings[i] for i in part]))
+        k = np.flatnonzero(table.whole(window))
+        owner = np.array(part, np.int64)[table.doc[k]]
+        h.append(grams(table.hashes(), window)[k])
+        at.append(table.start[k].astype(np.int32))
+        to.append(table.end[k + window - 1].astype(np.int32))
+        of.append(np.full(len(k), len(raws), np.int32))
+        row.append(owner)
+        place_.append(k - table.first[table.doc[k]])
+        raws.append(table.raw.tobytes())
+    h, at, to, of, row, place_ = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (h, at, to, of, row, place_))
+    d, p = doc[row], start[row] + place_
+    by = np.lexsort((p, d, h))
     twin = np.zeros(len(by), bool)
     if len(by) > 1:
-        equal = hs[1:] == hs[:-1]
+        equal = h[by][1:] == h[by][:-1]
         twin[1:] |= equal
         twin[:-1] |= equal
-    text, begin, end = table.packed()
-    cand = by[twin]
-    rows: list[int] = []
     firsts: dict[bytes, tuple[int, int]] = {}
     last = None
-    for i, hv in zip(cand.tolist(), h[at[cand]].tolist()):
-        if hv != last:
-            firsts, last = {}, hv
-        k = at[i]
+    for i in by[twin].tolist():
+        if h[i] != last:
+            firsts, last = {}, h[i]
         here = (int(d[i]), int(p[i]))
-        if firsts.setdefault(text[begin[k] : end[k + window - 1]], here) != here:  # the words themselves decide
+        if firsts.setdefault(raws[of[i]][at[i] : to[i]], here) != here:  # the words themselves decide
             rows.append(i)
     if rows:
         r = np.array(rows, np.int64)
@@ -212,6 +216,19 @@ def _settle(blobs: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def _portions(which: list[int], strings: list[bytes]) -> Iterator[list[int]]:
+    """Parts of ``which`` with about SLICE_BYTES of strings each."""
+    part, size = [], 0
+    for i in which:
+        part.append(i)
+        size += len(strings[i])
+        if size >= SLICE_BYTES:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def _as_text(parts: list[bytes]) -> pa.Array:
     """Bytes that are UTF-8 already, as a string array without another look at them."""
     offsets = np.zeros(len(parts) + 1, np.int64)
