@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, classifier, decontaminate, lm, near, quality, substring, tokens
+from . import bpe, classifier, decontaminate, html, lm, near, quality, substring, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,13 +46,17 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digest(_table(spark, sf_dir, "documents"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return classifier.classify(docs, classifier.train(docs, _table(spark, sf_dir, "labels")))
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op2_decontaminate": op2_decontaminate, "op3_quality_rules": op3_quality_rules, "op4_lm_score": op4_lm_score, "op5_near_dedup": op5_near_dedup, "op6_token_files": op6_token_files, "op8_bpe": op8_bpe, "op10_quality_classifier": op10_quality_classifier}
+    return {"op1_substring_dedup": op1_substring_dedup, "op2_decontaminate": op2_decontaminate, "op3_quality_rules": op3_quality_rules, "op4_lm_score": op4_lm_score, "op5_near_dedup": op5_near_dedup, "op6_token_files": op6_token_files, "op8_bpe": op8_bpe, "op9_html_extraction": op9_html_extraction, "op10_quality_classifier": op10_quality_classifier}
 
 
 OP1_SQL = r"""
