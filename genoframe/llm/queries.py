@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, classifier, decontaminate, html, lm, near, quality, substring, tokens
+from . import bpe, classifier, decontaminate, html, lm, near, quality, substring, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.with_crc(tokens.token_files(_table(spark, sf_dir, "documents")))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digest(_table(spark, sf_dir, "documents"))
 
@@ -56,7 +60,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op2_decontaminate": op2_decontaminate, "op3_quality_rules": op3_quality_rules, "op4_lm_score": op4_lm_score, "op5_near_dedup": op5_near_dedup, "op6_token_files": op6_token_files, "op8_bpe": op8_bpe, "op9_html_extraction": op9_html_extraction, "op10_quality_classifier": op10_quality_classifier}
+    return {"op1_substring_dedup": op1_substring_dedup, "op2_decontaminate": op2_decontaminate, "op3_quality_rules": op3_quality_rules, "op4_lm_score": op4_lm_score, "op5_near_dedup": op5_near_dedup, "op6_token_files": op6_token_files, "op7_warc": op7_warc, "op8_bpe": op8_bpe, "op9_html_extraction": op9_html_extraction, "op10_quality_classifier": op10_quality_classifier}
 
 
 OP1_SQL = r"""
@@ -177,5 +181,22 @@ words AS (
 OP3_SQL = "WITH " + QUALITY_CTES.replace("{docs}", "documents") + "SELECT * FROM judged"
 
 
+#: DuckDB has SHA-1 in hexadecimal; base32 is made from its bits, five at a time.
+OP7_SQL = r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), b AS (
+  SELECT *, array_to_string(list_transform(range(1, 41), lambda i: lpad(bin(instr('123456789abcdef', substr(h, i, 1))), 4, '0')), '') AS bits FROM p
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (16 * (substr(bits, i * 5 + 1, 1) = '1')::INT + 8 * (substr(bits, i * 5 + 2, 1) = '1')::INT + 4 * (substr(bits, i * 5 + 3, 1) = '1')::INT
+          + 2 * (substr(bits, i * 5 + 4, 1) = '1')::INT + (substr(bits, i * 5 + 5, 1) = '1')::INT)::INT + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id > min(page_id) OVER (PARTITION BY h) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > min(page_id) OVER (PARTITION BY h) THEN min(page_id) OVER (PARTITION BY h) END AS refers_to
+FROM b
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_quality_rules": OP3_SQL, "op5_near_dedup": OP5_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_quality_rules": OP3_SQL, "op5_near_dedup": OP5_SQL, "op7_warc": OP7_SQL}
