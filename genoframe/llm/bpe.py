@@ -14,6 +14,7 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,6 @@ NONE = np.int32(2**31 - 1)
 #: Words whose encoding a worker keeps; beyond it the table starts anew.
 KEPT_WORDS = 600_000
 
-SCHEMA = "id {id}, n_tokens long, ids array<int>, decoded string"
-
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
@@ -188,14 +187,15 @@ def loaded(path: str) -> WordBpe:
     return _LOADED[path]
 
 
-def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Token ids and decoded text of every document: ``id_col``, ``n_tokens``, ``ids``, ``decoded``.
+def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), decoded: bool = True) -> DataFrame:
+    """Token ids of every document: ``id_col``, ``keep``, ``n_tokens``, ``ids`` and, if asked for, the ``decoded`` text.
 
     A null or empty text has no ids and decodes to the empty string.  Each row is on its
     own: repeated rows give repeated results, a null id is passed on, other columns are
     ignored.  No shuffle; a text is encoded whole, whatever its length.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    names = ["id", *[f"keep{i}" for i in range(len(keep))]]
     path = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,13 +205,18 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
                 texts = [words_of(t or "") for t in column(part, "text").to_pylist()]
                 known = bpe.ready({w for t in texts for w in t})
                 ids = [[i for w in t for i in known[w]] for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [column(part, "id"), pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array([bpe.decode(x) for x in ids], pa.string())],
-                    names=["id", "n_tokens", "ids", "decoded"],
-                )
+                n = np.fromiter(map(len, ids), np.int64, len(ids))
+                flat = pa.array(np.fromiter(chain.from_iterable(ids), np.int32, int(n.sum())))
+                out = [pa.array(n), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), flat)]
+                if decoded:
+                    out.append(pa.array([bpe.decode(x) for x in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays([*[column(part, x) for x in names], *out], names=[*names, "n_tokens", "ids", "decoded"][: len(names) + len(out)])
 
-    out = docs.select(col(id_col).alias("id"), col(text_col).alias("text")).mapInArrow(run, SCHEMA.format(id=kind))
-    return out.withColumnRenamed("id", id_col)
+    chosen = docs.select(col(id_col).alias("id"), *[col(k).alias(n) for k, n in zip(keep, names[1:])], col(text_col).alias("text"))
+    out = chosen.mapInArrow(run, ", ".join(f"{n} {kinds[k]}" for n, k in zip(names, [id_col, *keep])) + ", n_tokens long, ids array<int>" + ", decoded string" * decoded)
+    for n, k in zip(names, [id_col, *keep]):
+        out = out.withColumnRenamed(n, k)
+    return out
 
 
 def encode_digest(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -243,8 +248,3 @@ def encode_digest(docs: DataFrame, path: str | None = None, id_col: str = "doc_i
 
 def _sha(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8")).hexdigest()
-
-
-def decoded_text(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """For a pipeline's last stage: ``id_col``, ``n_tokens``, ``ids`` without the decoded text."""
-    return encode(docs, path, id_col, text_col).select(col(id_col), F.col("n_tokens"), F.col("ids"))

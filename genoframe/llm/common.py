@@ -70,7 +70,19 @@ def settled(df: DataFrame, what: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read again: later plans start from files that survive a lost executor."""
     path = scratch(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[id(out)] = (out, path)
+    return out
+
+
+_PATHS: dict[int, tuple[DataFrame, str]] = {}
+
+
+def release(*frames: DataFrame) -> None:
+    """Deletes the files of ``settled`` tables that no later plan reads."""
+    for df in frames:
+        _, path = _PATHS.pop(id(df))
+        _forget(df.sparkSession, path)
 
 
 def col(name: str) -> Column:
@@ -205,9 +217,9 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def deflate(raw: bytes) -> bytes:
+def deflate(raw: bytes, level: int = 3) -> bytes:
     """zstd with the length in front."""
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=level).compress(raw, asbytes=True)
 
 
 def inflate(data: bytes) -> bytes:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, col, column, grams, mix, settled, slices, text_key
+from .common import Words, col, column, grams, mix, release, settled, slices, text_key
 
 SHINGLE = 5
 #: Links have a similarity of at least so many hundredths.
@@ -156,12 +156,14 @@ def components(links: DataFrame) -> DataFrame:
     both = settled(links.select("a", "b").union(links.select("b", "a")).toDF("v", "w").distinct(), "links")
     labels = settled(both.groupBy("v").agg(F.least(F.col("v"), F.min("w")).alias("c")), "labels")
     while True:
-        near = both.join(labels.withColumnRenamed("v", "w"), "w").groupBy("v").agg(F.min("c").alias("m"))
-        lower = labels.join(near, "v").select("v", F.least("c", "m").alias("d"), (F.col("m") < F.col("c")).alias("moved"))
+        near = both.join(labels.select(F.col("v").alias("w"), "c"), "w").groupBy("v").agg(F.min("c").alias("m"))
+        lower = labels.select("v", "c").join(near, "v").select("v", F.least("c", "m").alias("d"), (F.col("m") < F.col("c")).alias("moved"))
         jump = labels.select(F.col("v").alias("d"), F.col("c").alias("e"))
         after = settled(lower.join(jump, "d", "left").select("v", F.least("d", F.coalesce("e", "d")).alias("c"), "moved"), "labels")
-        labels = after.select("v", "c")
+        release(labels)
+        labels = after
         if not after.filter("moved").take(1):
+            release(both)
             return labels
 
 
@@ -247,7 +249,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     is_link = F.col("both") * 100 >= F.col("either") * LINK
     star_checked = settled(_verified(near, texts, shingle), "verified")
     labels = components(star_checked.filter(is_link))
-    placed = member.join(labels, F.col("rep") == F.col("v"), "left").select("key", "leader", "n", "rep", F.coalesce("c", "rep").alias("c"))
+    placed = member.join(labels.select("v", "c"), F.col("rep") == F.col("v"), "left").select("key", "leader", "n", "rep", F.coalesce("c", "rep").alias("c"))
     split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
     open_ = placed.join(split, "key", "left_semi")
     exact = star_checked.select(F.col("a").alias("leader"), F.col("b").alias("rep"), (F.col("both") / F.col("either")).alias("near"))
@@ -260,8 +262,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = _across(dealt.join(classes.select("rep", "n_shingles", "sketch"), "rep")).join(star_checked.select("a", "b"), ["a", "b"], "left_anti")
     rest_checked = settled(_verified(rest, texts, shingle), "verified")
     links = star_checked.filter(is_link).select("a", "b").union(rest_checked.filter(is_link).select("a", "b"))
-    labels = components(links)
-    of_class = sets.join(labels, F.col("rep") == F.col("v"), "left").select(F.col("digest").alias("d"), F.coalesce("c", "rep").alias("component"))
+    first_labels, labels = labels, components(links)
+    release(member, near, texts, star_checked, rest_checked, first_labels)
+    of_class = sets.join(labels.select("v", "c"), F.col("rep") == F.col("v"), "left").select(F.col("digest").alias("d"), F.coalesce("c", "rep").alias("component"))
     keyed = sig.withColumn("digest", F.when(F.col("doc").isNotNull(), F.col("digest")))
     out = keyed.join(of_class, F.col("digest") == F.col("d"), "left")
     component = F.coalesce("component", "doc")

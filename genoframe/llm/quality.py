@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, col, column, mix, slices
+from .common import Words, col, column, mix, settled, slices
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -28,6 +28,8 @@ MEASURES = ("symbols", "repeats", "lines", "letters")
 #: words and repeated lines in thousandths of the words, mean letters of a word in hundredths.
 SLACK = {"symbols": 250, "repeats": 100, "lines": 25, "letters": 400}
 SPREAD = 3
+#: Thresholds of so many groups are small enough to be sent to every executor; more are joined by a shuffle.
+FEW_GROUPS = 50_000
 MEASURED = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
@@ -107,8 +109,8 @@ def thresholds(sketch: DataFrame, groups: tuple[str, ...]) -> DataFrame:
     return cuts.groupBy(*map(col, groups)).agg(*[F.max(F.when(F.col("measure") == m, most + SLACK[m])).alias(f"{m}_most") for m in MEASURES])
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", groups: tuple[str, ...] = ("lang", "source")) -> DataFrame:
-    """``id_col``, the counts of MEASURED, ``base_failed`` and ``kept`` for each row.
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", groups: tuple[str, ...] = ("lang", "source"), keep: tuple[str, ...] = ()) -> DataFrame:
+    """``id_col``, the columns ``keep``, the counts of MEASURED, ``base_failed`` and ``kept`` for each row.
 
     ``kept`` is false for rows that fail the base rules and for those that exceed a
     threshold of their language and source.  A null or empty text has no words and
@@ -116,14 +118,15 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group
     pass the base rules has no thresholds.  Repeated rows count each time and give
     repeated results; a null id is passed on; other columns are ignored.
     """
-    plain = docs.select(col(id_col).alias("id"), col(text_col).alias("text"), *[col(g).alias(f"g{i}") for i, g in enumerate(groups)])
     names = tuple(f"g{i}" for i in range(len(groups)))
-    rows = measure(plain, "id", "text", names)
-    cuts = thresholds(sketches(rows, names), names).toDF(*[f"t{i}" for i in range(len(names))], *[f"{m}_most" for m in MEASURES])
+    kept = tuple(f"k{i}" for i in range(len(keep)))
+    plain = docs.select(col(id_col).alias("id"), col(text_col).alias("text"), *[col(g).alias(n) for g, n in zip(groups, names)], *[col(k).alias(n) for k, n in zip(keep, kept)])
+    cuts = settled(thresholds(sketches(measure(plain, "id", "text", names), names), names).toDF(*[f"t{i}" for i in range(len(names))], *[f"{m}_most" for m in MEASURES]), "thresholds")
+    few = cuts.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+    rows = measure(plain, "id", "text", (*names, *kept))
     same = [F.col(g).eqNullSafe(F.col(f"t{i}")) for i, g in enumerate(names)]
     over = [F.coalesce(v > F.col(f"{m}_most"), F.lit(False)) for m, v in measures().items()]
     bad = over[0] | over[1] | over[2] | over[3]
-    out = rows.join(cuts, same, "left").select(
-        F.col("id").alias(id_col), *[x.split()[0] for x in MEASURED.split(", ")], base_failed().alias("base_failed"), (~base_failed() & ~bad).alias("kept")
+    return rows.join(F.broadcast(cuts) if few else cuts, same, "left").select(
+        F.col("id").alias(id_col), *[F.col(n).alias(k) for n, k in zip(kept, keep)], *[x.split()[0] for x in MEASURED.split(", ")], base_failed().alias("base_failed"), (~base_failed() & ~bad).alias("kept")
     )
-    return out

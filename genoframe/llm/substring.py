@@ -1,6 +1,6 @@
 """Substring dedup by super-k-mers.
 
-A window is 20 consecutive words.  Its minimiser is the best of the 4-word grams in
+A window is 20 consecutive words.  Its minimiser is the best of the 3-word grams in
 it, where grams that are rare in the corpus come first and a hash breaks ties.
 Consecutive windows with the same minimiser travel together as one packed string to
 the bucket of that minimiser, so equal windows always meet and the words are not
@@ -28,7 +28,9 @@ from pyspark.sql import types as T
 from .common import SLICE_BYTES, Words, col, column, deflate, grams, inflate, slices, text_key, total_bytes
 
 WINDOW = 20
-GRAM = 4
+GRAM = 3
+#: zstd level of the packed strings, which are most of what is moved.
+LEVEL = 10
 #: Cells of the gram sketch; its size does not depend on the data.
 CELLS = 1 << 20
 #: Bytes of text for each bucket; a bucket holds about three times as much packed text.
@@ -145,7 +147,7 @@ def _cut_slice(part: pa.RecordBatch, bits: np.ndarray, window: int, gram: int, b
         some = keep_at[by[a:b]]
         own = [strings[i] for i in some.tolist()]
         head = np.array([len(some)], np.int64).tobytes()
-        data.append(deflate(head + ids[some].tobytes() + keys[some].tobytes() + place[some].astype(np.int32).tobytes() + np.fromiter(map(len, own), np.int32, len(own)).tobytes() + b"".join(own)))
+        data.append(deflate(head + ids[some].tobytes() + keys[some].tobytes() + place[some].astype(np.int32).tobytes() + np.fromiter(map(len, own), np.int32, len(own)).tobytes() + b"".join(own), LEVEL))
         names.append(int(bucket[by[a]]))
     none = pa.nulls(len(names), pa.int64())
     yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), none, none, pa.array(data, pa.binary())], names=["bucket", "doc", "same", "data"])
