@@ -1 +1 @@
-
+"""Column functions: no Python runs for any of them."""
