@@ -1 +1 @@
-
+"""Operators over DataFrames; column names are parameters."""
