@@ -10,7 +10,9 @@ the larger register, and equal registers are as likely as the sets are similar,
    likelihood estimate from both sketches and then exactly on the full sets;
 4. only where a bucket still spans several components are its other pairs looked at:
    the exact similarities to the first class rule out most of them by the triangle
-   inequality, the likelihood estimate most others, and the rest are verified;
+   inequality, the likelihood estimate most others, and the rest are verified, first
+   the likeliest of each class and then, in the first bucket that a pair shares, all
+   whose ends are still in different components;
 5. components of the verified links spread by least labels with pointer jumping.
 
 Copies are never expanded into pairs, and no pair of a bucket whose ends are connected
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -167,28 +170,35 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _across(buckets: DataFrame) -> DataFrame:
+def _across(buckets: DataFrame, best: bool) -> DataFrame:
     """Pairs of a bucket's members in different components that neither the triangle inequality nor the estimate rules out.
 
-    ``buckets``: key, block, asks (this row's own block), rep, c, near (exact similarity
-    to the bucket's first class, or null), n_shingles, sketch; a block of a bucket has
-    all members of the bucket, and asks for some of them.
+    ``buckets``: key, block, band, asks (whether this block asks for the row), rep, c,
+    near (exact similarity to the bucket's first class, or null), n_shingles, sketch; a
+    block of a bucket has all members of the bucket, and asks for some of them.  With
+    ``best`` only the likeliest pair of each row that asks; else all pairs, each in the
+    first band that its ends share.
     """
 
     def pairs(rows: dict[str, np.ndarray]) -> pa.RecordBatch | None:
         found = []
-        n, ask = rows["rep"], np.flatnonzero(rows["asks"])
+        n, registers, ask = rows["rep"], rows["sketch"], np.flatnonzero(rows["asks"])
         for i in ask.tolist():
-            far = (rows["c"] != rows["c"][i]) & ((n > n[i]) | ~rows["asks"])
+            far = (rows["c"] != rows["c"][i]) & ((n > n[i]) | ~rows["asks"] | best)
             gap = np.abs(rows["near"] - rows["near"][i])
             other = np.flatnonzero(far & ~(gap > 1 - LINK / 100 + 1e-9))  # an unknown gap rules nothing out
+            equal = registers[other] == registers[i]
+            likely = equal.sum(axis=1) >= REGISTERS // 2  # far below what a link has
+            if not best:
+                likely &= equal.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == rows["band"][i]
+            other = other[likely]
             if len(other):
-                j = estimate(np.repeat(rows["sketch"][i : i + 1], len(other), 0), rows["sketch"][other], np.repeat(rows["n_shingles"][i], len(other)), rows["n_shingles"][other])
-                other = other[j >= DOUBT]
+                j = estimate(np.repeat(registers[i : i + 1], len(other), 0), registers[other], np.repeat(rows["n_shingles"][i], len(other)), rows["n_shingles"][other])
+                other = other[[j.argmax()]] if best and j.max() >= DOUBT else other[(j >= DOUBT) & (not best)]
                 found.append(np.stack([np.minimum(n[i], n[other]), np.maximum(n[i], n[other])], axis=1))
-        if not found:
+        out = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2))
+        if not len(out):
             return None
-        out = np.unique(np.concatenate(found), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +218,7 @@ def _across(buckets: DataFrame) -> DataFrame:
             yield from done(table, table["key"].to_numpy() * 31 + table["block"].to_numpy())
 
     def done(table: pa.Table, key: np.ndarray) -> Iterator[pa.RecordBatch]:
-        cols = {n: table[n].to_numpy() for n in ("rep", "c", "near", "asks", "n_shingles")}
+        cols = {n: table[n].to_numpy() for n in ("rep", "c", "near", "asks", "band", "n_shingles")}
         cols["sketch"] = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
         cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
         for a, b in zip(cuts, cuts[1:]):
@@ -216,7 +226,23 @@ def _across(buckets: DataFrame) -> DataFrame:
                 yield out
 
     parts = buckets.repartition("key", "block").sortWithinPartitions("key", "block")
-    return parts.select("key", "block", "asks", "rep", "c", "near", "n_shingles", "sketch").mapInArrow(run, "a long, b long").distinct()
+    return parts.select("key", "block", "band", "asks", "rep", "c", "near", "n_shingles", "sketch").mapInArrow(run, "a long, b long").distinct()
+
+
+def _open_buckets(member: DataFrame, labels: DataFrame, star: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of the buckets that span several components, in blocks; rows outside the first class's component ask."""
+    labels = labels.select("v", "c")
+    placed = member.join(labels, F.col("rep") == F.col("v"), "left").select("key", "band", "leader", "n", "rep", F.coalesce("c", "rep").alias("c"))
+    split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
+    exact = star.select(F.col("a").alias("leader"), F.col("b").alias("rep"), (F.col("both") / F.col("either")).alias("near"))
+    lead = labels.select(F.col("v").alias("leader"), F.col("c").alias("leader_c"))
+    rows = placed.join(split, "key", "left_semi").join(exact, ["leader", "rep"], "left").join(lead, "leader", "left")
+    rows = rows.withColumn("near", F.when(F.col("rep") == F.col("leader"), F.lit(1.0)).otherwise(F.col("near")))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    outside = F.col("c") != F.coalesce("leader_c", "leader")
+    dealt = rows.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("asks", outside & (own == F.col("block")))
+    return dealt.join(classes.select("rep", "n_shingles", "sketch"), "rep")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -238,7 +264,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # rows that share an id are one vertex; the text with the least key stands for it
     classes = sets.groupBy("rep").agg(F.min(F.struct("rep_same", "n_shingles", "sketch")).alias("x")).select("rep", "x.*")
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring(F.col("sketch"), i * 2 * ROWS + 1, F.lit(2 * ROWS))))
-    member = classes.select("rep", F.explode(bands).alias("key"))
+    member = classes.select("rep", F.posexplode(bands).alias("band", "key"))
     first = member.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).filter("n > 1")
     member = settled(member.join(first, "key"), "members")
     star = member.filter("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
@@ -248,22 +274,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = settled(texts.join(classes.join(ids, "rep", "left_semi").select("rep", "rep_same"), ["rep", "rep_same"], "left_semi").dropDuplicates(["rep"]), "texts")
     is_link = F.col("both") * 100 >= F.col("either") * LINK
     star_checked = settled(_verified(near, texts, shingle), "verified")
-    labels = components(star_checked.filter(is_link))
-    placed = member.join(labels.select("v", "c"), F.col("rep") == F.col("v"), "left").select("key", "leader", "n", "rep", F.coalesce("c", "rep").alias("c"))
-    split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-    open_ = placed.join(split, "key", "left_semi")
-    exact = star_checked.select(F.col("a").alias("leader"), F.col("b").alias("rep"), (F.col("both") / F.col("either")).alias("near"))
-    lead_c = labels.select(F.col("v").alias("leader"), F.col("c").alias("leader_c"))
-    open_ = open_.join(exact, ["leader", "rep"], "left").join(lead_c, "leader", "left").withColumn("near", F.when(F.col("rep") == F.col("leader"), F.lit(1.0)).otherwise(F.col("near")))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    outside = F.col("c") != F.coalesce("leader_c", "leader")
-    dealt = open_.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("asks", outside & (own == F.col("block")))
-    rest = _across(dealt.join(classes.select("rep", "n_shingles", "sketch"), "rep")).join(star_checked.select("a", "b"), ["a", "b"], "left_anti")
-    rest_checked = settled(_verified(rest, texts, shingle), "verified")
-    links = star_checked.filter(is_link).select("a", "b").union(rest_checked.filter(is_link).select("a", "b"))
-    first_labels, labels = labels, components(links)
-    release(member, near, texts, star_checked, rest_checked, first_labels)
+    checked = [star_checked]
+    for best in (True, False):
+        links = reduce(DataFrame.union, [x.filter(is_link).select("a", "b") for x in checked])
+        labels = components(links)
+        rest = _across(_open_buckets(member, labels, star_checked, classes), best)
+        known = reduce(DataFrame.union, [x.select("a", "b") for x in checked])
+        checked.append(settled(_verified(rest.join(known, ["a", "b"], "left_anti"), texts, shingle), "verified"))
+        release(labels)
+    labels = components(reduce(DataFrame.union, [x.filter(is_link).select("a", "b") for x in checked]))
+    release(member, near, texts, *checked)
     of_class = sets.join(labels.select("v", "c"), F.col("rep") == F.col("v"), "left").select(F.col("digest").alias("d"), F.coalesce("c", "rep").alias("component"))
     keyed = sig.withColumn("digest", F.when(F.col("doc").isNotNull(), F.col("digest")))
     out = keyed.join(of_class, F.col("digest") == F.col("d"), "left")

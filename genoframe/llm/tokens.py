@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import KEPT_WORDS, vocabulary_path, words_of
-from .common import col, column, deflate, inflate, scratch, slices, total_bytes
+from .bpe import vocabulary_path
+from .common import Words, col, column, deflate, inflate, scratch, slices, total_bytes
 
 END = 2
 #: Ids of a shard, about; a document is never cut.
@@ -40,6 +39,8 @@ SHARD_IDS = 1 << 20
 #: Text for each output partition.
 PART_BYTES = 24 << 20
 ROUNDS = 3
+#: Words whose ids a worker keeps; beyond it the table starts anew.
+KNOWN_WORDS = 1_000_000
 #: A pair is replaced if it occurs so often in its shard.
 FREQUENT = 24
 #: Rules of one round at most.
@@ -108,7 +109,14 @@ def expand_range(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, ba
 
 
 class _Library:
-    """The tokenizers library, asked once for each word between ASCII white space: the vocabulary's rules never look across it."""
+    """The tokenizers library, asked once for each word between ASCII white space: the vocabulary's rules never look across it.
+
+    The ids of all known words lie in one array; ``place`` has a word's number, and
+    ``starts`` where its ids begin.
+    """
+
+    #: A control character is one token that no other character can give; words that hold it are encoded alone.
+    MARK = "\x01"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -118,29 +126,50 @@ class _Library:
         self.library.no_padding()
         self.library.no_truncation()
         self.size = self.library.get_vocab_size(with_added_tokens=True)
-        self.mark_id, special = max(self.library.get_added_tokens_decoder().items())
-        self.mark = special.content
-        self.words: dict[str, tuple[int, ...]] = {}
-
-    def learn(self, words: list[str]) -> None:
-        """Encodes new words, many in one text with a special token between them."""
-        own = [w for w in words if self.mark in w]
-        self.words.update(zip(own, [tuple(e.ids) for e in self.library.encode_batch_fast(own, add_special_tokens=False)]))
-        plain = [w for w in words if self.mark not in w]
-        groups = [plain[i : i + 512] for i in range(0, len(plain), 512)]
-        for group, e in zip(groups, self.library.encode_batch_fast([self.mark.join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array([*e.ids, self.mark_id])
-            flat, ends = ids.tolist(), np.flatnonzero(ids == self.mark_id).tolist()
-            self.words.update(zip(group, [tuple(flat[a + 1 : b]) for a, b in zip([-1, *ends], ends)]))
-
-    def ids(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [words_of(t or "") for t in texts]
-        wanted = set().union(*split) if split else set()
-        if len(self.words) + len(wanted) > KEPT_WORDS:
-            self.words.clear()
-        self.learn(list(wanted.difference(self.words)))
-        known = self.words
-        return [np.fromiter(chain(chain.from_iterable([known[w] for w in t]), (END,)), np.uint32) for t in split]
+        (self.mark,) = self._encode([self.MARK])[0]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[bytes, int] = {}
+        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, words: list[bytes]) -> None:
+        """Encodes new words, many in one text with a mark between them."""
+        marked, plain = [], []
+        for w in words:
+            (marked if b"\x01" in w else plain).append(w)
+        groups = [b" \x01 ".join(plain[i : i + 1024]).decode("utf-8") for i in range(0, len(plain), 1024)]
+        ids = [np.array([*x, self.mark], np.uint32) for x in self._encode(groups)]
+        own = self._encode([w.decode("utf-8") for w in marked])
+        joined = np.concatenate([*ids, np.zeros(0, np.uint32)])
+        ends = np.flatnonzero(joined == self.mark)
+        n = np.concatenate([np.diff(ends, prepend=-1) - 1, np.fromiter(map(len, own), np.int64, len(own))])
+        more = np.concatenate([joined[joined != self.mark], np.array([i for x in own for i in x], np.uint32)])
+        self.place.update(zip([*plain, *marked], range(len(self.place), len(self.place) + len(words))))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(n)])
+        self.flat = np.concatenate([self.flat, more.astype(np.uint32)])
+
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text with END behind them; a null is an empty text.  Equal words of the slice are looked up once."""
+        words = Words(texts)
+        _, first, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        raw = words.raw.tobytes()
+        found = [raw[a:b] for a, b in zip(words.start[first].tolist(), words.end[first].tolist())]
+        new = [w for w in found if w not in self.place]
+        if len(self.place) + len(new) > KNOWN_WORDS:
+            self._forget()
+            new = found
+        self.learn(new)
+        at = np.fromiter(map(self.place.__getitem__, found), np.int64, len(found))[which]
+        n = np.diff(self.starts)[at]
+        ends = np.cumsum(n)
+        out = self.flat[np.repeat(self.starts[at] - ends + n, n) + np.arange(ends[-1] if len(n) else 0)]
+        cuts = np.concatenate([[0], ends])[words.first]
+        last = np.array([END], np.uint32)
+        return [np.concatenate([out[a:b], last]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
 
 _LIBRARIES: dict[str, _Library] = {}
@@ -164,7 +193,7 @@ def write_tokens(docs: DataFrame, out: str, path: str | None = None, id_col: str
         docs_, ids_, held = [], [], 0
         for batch in batches:
             for piece in slices(batch):
-                for d, x in zip(column(piece, "doc").to_pylist(), library.ids(column(piece, "text").to_pylist())):
+                for d, x in zip(column(piece, "doc").to_pylist(), library.ids(column(piece, "text"))):
                     docs_.append(d)
                     ids_.append(x)
                     held += len(x)
