@@ -129,9 +129,9 @@ def merge_callers(calls: DataFrame, on: Sequence[str], span: tuple[str, str], ke
     other = calls.select(*on, F.col(key).alias("_key"), F.col(caller).alias("_caller"), F.col(s).alias("_s"), F.col(e).alias("_e"))
     mine = calls.select(*on, key, caller, s, e)
     pairs = fuzzy_join(mine, other, on, span, ("_s", "_e"), ratio, distance, width).filter((F.col(caller) != F.col("_caller")) & (F.col(key) < F.col("_key")))
-    of = components(pairs.select(key, "_key"), key, "_key", settle)
+    of = components(pairs.select(key, "_key"), key, "_key", settle).toDF("_v", "_c")
     rank = F.array_position(F.array(*map(F.lit, priority)), F.col(caller))
-    joined = calls.join(of, calls[key] == of["v"], "left").withColumn("cluster", F.coalesce("c", key)).drop("v", "c")
+    joined = calls.join(of, F.col(key) == F.col("_v"), "left").withColumn("cluster", F.coalesce("_c", key)).drop("_v", "_c")
     w = Window.partitionBy("cluster")
     first = F.row_number().over(w.orderBy(F.when(rank > 0, rank).otherwise(len(priority) + 1), key)) == 1
     return joined.withColumn("callers", F.array_join(F.array_sort(F.collect_set(caller).over(w)), ",")).withColumn("chosen", first)

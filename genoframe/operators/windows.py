@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -118,17 +119,17 @@ def region_accumulator(df: DataFrame, by: Sequence[str], size: int, gap: int, ch
     """Consecutive rows gathered into regions of at least ``size`` bases with their mean.
 
     A region ends when it is large enough, when the next row begins more than ``gap``
-    behind it, or with its chromosome; an unfinished rest at the end is a region too,
+    bases behind it, or with its chromosome; an unfinished rest at the end is a region too,
     and a finished last one isn't written twice.  State runs along the rows of a key
     and chromosome, which are streamed in order to a grouped function.
     """
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     keys = [*by, chrom]
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         out, held, at, upto = [], [], None, None
         for s, e, v in zip(*(rows.sort_values([start, end])[c] for c in (start, end, value))):
-            if held and s - upto > gap:
+            if held and s - upto - 1 > gap:
                 out.append((*key, at, upto, sum(held) / len(held), len(held)))
                 held = []
             at = at if held else s

@@ -41,7 +41,7 @@ def parse_vcf(rows: DataFrame) -> DataFrame:
     return (
         rows.filter(~F.col("value").startswith("#") & (F.col("value") != ""))
         .select(
-            at(0).alias("chrom"), at(1).try_cast("long").alias("pos"), at(2).alias("id"), at(3).alias("ref"), at(4).alias("alt"), at(5).try_cast("double").alias("qual"),
+            at(0).alias("chrom"), at(1).try_cast("long").alias("pos"), at(2).alias("id"), at(3).alias("ref"), F.split(at(4), ",").alias("alt"), at(5).try_cast("double").alias("qual"),
             names(6, ".").alias("filter"), at(7).alias("info_text"), pairs.alias("pairs"), at(8).alias("format"), samples.alias("samples"),
         )
         .withColumn("info", F.map_from_entries(first))
