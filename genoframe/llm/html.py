@@ -76,10 +76,10 @@ def items(page: str) -> Iterator[tuple[str, str, str, bool]]:
         name, closing, attributes = m[2].lower(), bool(m[1]), m[3] or ""
         if closing:
             depth = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), None)
+            yield "tag", "/" + name, "", outside > 0
             if depth is not None and not (name not in BLOCKS and any(x in OUTSIDE for x, _ in open_[depth + 1 :])):
                 outside -= sum(o for _, o in open_[depth:])
                 del open_[depth:]
-            yield "tag", "/" + name, "", outside > 0
             continue
         for x in _CLOSES.get(name, ()):
             for i in range(len(open_) - 1, -1, -1):
@@ -97,10 +97,10 @@ def items(page: str) -> Iterator[tuple[str, str, str, bool]]:
                 outside -= sum(o for _, o in open_[i:])
                 del open_[i:]
         marked = name not in ("html", "body", "article", "main") and _marked(attributes)
-        yield "tag", name + "!" * marked, "", outside > 0
+        hides = name in OUTSIDE or marked or (name == "header" and not any(x in ("article", "main", "section") for x, _ in open_))
+        yield "tag", name + "!" * marked, "", outside > 0 or hides
         if name in VOID or attributes.rstrip().endswith("/") and name in ("svg", "path"):
             continue
-        hides = name in OUTSIDE or marked or (name == "header" and not any(x in ("article", "main", "section") for x, _ in open_))
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = close.end() if close else n
@@ -111,7 +111,7 @@ def items(page: str) -> Iterator[tuple[str, str, str, bool]]:
 
 
 def _features(kind: str, key: str, outside: bool) -> str:
-    return f"word {'outside' if outside else key or 'none'}" if kind == "text" else f"tag {key}"
+    return ("word " if kind == "text" else "tag ") + ("outside" if outside else key or "none")
 
 
 def learn(pages: Iterable[tuple[str, str]], smooth: float = 0.5) -> dict[str, float]:
@@ -130,9 +130,9 @@ def learn(pages: Iterable[tuple[str, str]], smooth: float = 0.5) -> dict[str, fl
         odds = math.log((inside[f] + smooth) / (n - inside[f] + smooth))
         # words outside are left out anyway and tags only separate, so neither may cut a content off behind a long form
         if f.startswith("word"):
-            weight[f] = max(-0.5, odds) if f == "word outside" else min(4.0, max(1.0, odds))
+            weight[f] = max(-0.3, odds) if f == "word outside" else min(4.0, max(1.0, odds))
         else:
-            weight[f] = max(-2.0, min(-0.05, odds - 1.0))
+            weight[f] = max(-0.3 if f == "tag outside" else -2.0, min(-0.05, odds - 1.0))
     return weight
 
 
@@ -148,14 +148,30 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return begin, end
 
 
+def _within_main(found: list[tuple[str, str, str, bool]]) -> list[tuple[str, str, str, bool]]:
+    """Where ``article`` and ``main`` elements hold most of the running words, words elsewhere count as outside."""
+    depth, inside, words = 0, [], [0, 0]
+    for kind, key, text, outside in found:
+        if kind == "tag" and key in ("article", "main"):
+            depth += 1
+        inside.append(depth > 0)
+        if kind == "tag" and key in ("/article", "/main"):
+            depth = max(0, depth - 1)
+        if kind == "text" and not outside:
+            words[depth > 0] += len(text.split())
+    if words[1] <= words[0]:
+        return found
+    return [(kind, key, text, outside or not i) for (kind, key, text, outside), i in zip(found, inside)]
+
+
 def extract(page: str, weight: dict[str, float]) -> str:
     """The main text of one page."""
-    found = list(items(page))
+    found = _within_main(list(items(page)))
     scores = []
     for kind, key, text, outside in found:
         n = len(text.split()) if kind == "text" else 1
         f = _features(kind, key, outside)
-        scores.append(n * weight.get(f, (-0.5 if outside else 2.0) if kind == "text" else -0.3))
+        scores.append(n * weight.get(f, (-0.3 if outside else 2.0) if kind == "text" else -0.3))
     a, b = best_run(scores)
     blocks: list[list[str]] = [[]]
     for kind, key, text, outside in found[a:b]:
