@@ -26,14 +26,18 @@ def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str], l: tuple[
     the left side before the comparison.  ``how`` may be inner or left_semi.
     """
     (ls, le), (rs, re) = l, r
+    semi = how == "left_semi"
+    if semi:  # equal rows once, with their number
+        left_columns = left.columns
+        left = left.groupBy(*left_columns).agg(F.count("*").alias("_n"))
     a = left.withColumn("_ls", F.col(ls) - slack).withColumn("_le", F.col(le) + slack)
     a = _binned(a, "_ls", F.col("_le"), width, "l")
     b = _binned(right, rs, F.col(re), width, "r")
     meets = (F.col("_le") >= F.col(rs)) & (F.col("_ls") <= F.col(re)) if inclusive else (F.col("_le") > F.col(rs)) & (F.col("_ls") < F.col(re))
     keys = [*on, "_bin"]
-    if how == "left_semi":
-        pairs = a.join(b.select(*keys, rs, re), keys).filter(meets)
-        return pairs.select(*left.columns).distinct()
+    if semi:
+        found = a.join(b.select(*keys, rs, re), keys).filter(meets).select(*left_columns, "_n").distinct()
+        return found.withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.col("_n").cast("int")))).drop("_n")
     pairs = a.join(b, keys).filter(meets & (F.col("_bin") == F.greatest("_l_first", "_r_first")))
     return pairs.drop("_bin", "_ls", "_le", "_l_first", "_r_first")
 

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import settled
+
 
 def lag_diff(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, out: str = "diff") -> DataFrame:
     """Difference to the row before."""
@@ -94,7 +96,7 @@ def every_nth(df: DataFrame, order: Sequence[str], levels: dict[str, int], by: S
 def global_index(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
     """0, 1, 2, ... over the whole table in order: range partitions are numbered inside, and their sizes added up."""
     parts = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ordered = df.repartitionByRange(int(parts), *[F.col(c) for c in order]).withColumn("_p", F.spark_partition_id())
+    ordered = settled(df.repartitionByRange(int(parts), *[F.col(c) for c in order]).withColumn("_p", F.spark_partition_id()), "ordered")  # both uses must see the same ranges
     inside = ordered.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1)
     sizes = ordered.groupBy("_p").count()
     before = sizes.withColumn("_before", F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)))  # one row for each partition

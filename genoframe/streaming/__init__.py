@@ -1 +1,5 @@
+"""Nothing here is stateful over streams: the analyses read files that are complete.
 
+The column functions and soft filters are plain projections and so work on a streaming
+DataFrame as they are.
+"""

@@ -35,6 +35,8 @@ def test_overlaps(spark):
     assert touching == strict | {(1, "b"), (2, "a")}
     best = {r.id: r.n for r in I.best_overlap(left, right, ["c"], ("s", "e"), ("a", "b"), ["id"], 7).collect()}
     assert best == {1: "a", 2: "b", 3: None}  # of equals the first
+    kept = I.overlap_join(left.union(left), right, ["c"], ("s", "e"), ("a", "b"), 7, how="left_semi")
+    assert sorted(r.id for r in kept.collect()) == [1, 1, 2, 2] and kept.columns == left.columns
     empty = right.filter("false")
     assert I.best_overlap(left, empty, ["c"], ("s", "e"), ("a", "b"), ["id"], 7).count() == 3
     assert I.overlap_counts(left, empty, ["c"], ("s", "e"), ("a", "b"), ["id"], "n", 1, 7).filter("n_targets = 0 and labels = ''").count() == 3
