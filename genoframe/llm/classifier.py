@@ -138,22 +138,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     SAMPLE_BYTES bytes, so the choice doesn't depend on the order of the input; their
     weights restore the shares of the labels.  Null labels, ids and texts are left out.
     """
-    marks = labels.select(col(id_col).alias("id"), col(label_col).alias("label")).filter(col("label").isin(0, 1) & col("id").isNotNull() & (_fold(F.col("id"), folds) != held))
-    texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text")).filter(F.octet_length("text") <= SAMPLE_BYTES)
+    marks = labels.select(col(id_col).alias("id"), col(label_col).alias("label")).filter(F.col("label").isin(0, 1) & F.col("id").isNotNull() & (_fold(F.col("id"), folds) != held)).distinct()
     counts = {r.label: r.n for r in marks.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
-    rows = []
-    for y in (0, 1):
-        share = marks.filter(F.col("label") == y)
-        if counts.get(y, 0) > 4 * sample:  # a sample is enough to find the least hashes among
-            share = share.orderBy(F.xxhash64("id"), "id").limit(2 * sample)
-        rows.append(share.join(texts, "id").orderBy(F.xxhash64("id"), "id", "text").limit(sample))
-    table = rows[0].unionByName(rows[1]).toArrow().combine_chunks()
-    label = table["label"].to_numpy().astype(np.float32)
+    least = lambda y: marks.filter(F.col("label") == y).orderBy(F.xxhash64("id"), "id").limit(2 * sample)
+    chosen = F.broadcast(least(0).union(least(1)))  # 4 * sample ids at most: the texts are found by one scan, without a shuffle
+    texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text")).filter(F.octet_length("text") <= SAMPLE_BYTES)
+    table = texts.join(chosen, "id").withColumn("order", F.xxhash64("id")).toArrow().sort_by([("order", "ascending"), ("id", "ascending"), ("text", "ascending")])
+    label = table["label"].to_numpy()
+    some = np.sort(np.concatenate([np.flatnonzero(label == y)[:sample] for y in (0, 1)]))
+    label = label[some].astype(np.float32)
     net = Network()
     if len(label):
         n = np.bincount(label.astype(int), minlength=2)
         weight = np.where(label == 1, counts.get(1, 0) / max(n[1], 1), counts.get(0, 0) / max(n[0], 1)).astype(np.float32)
-        net.fit(table["text"].combine_chunks() if isinstance(table["text"], pa.ChunkedArray) else table["text"], label, weight)
+        net.fit(table["text"].combine_chunks().take(pa.array(some)), label, weight)
     return net
 
 

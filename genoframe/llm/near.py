@@ -253,7 +253,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``n_shingles``, ``component_id`` (least id that can be reached, itself included)
     and ``kept`` (the id is its component's).  A-Z are lower-cased; shingles are
     ``shingle`` consecutive words, or the whole text if it has fewer.  Null and empty
-    texts have no shingles and stay aclasses; a null id is compared with nothing, has a
+    texts have no shingles and stay alone; a null id is compared with nothing, has a
     null component and is kept.  Rows that share an id are one vertex: repeated rows are
     kept or dropped together, and of different texts under one id that with the least
     ``same`` is compared beyond exact copies.  Other columns are ignored.
