@@ -39,7 +39,7 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.with_crc(tokens.token_files(_table(spark, sf_dir, "documents")))
+    return tokens.token_files(_table(spark, sf_dir, "documents"), crc=True)
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,8 @@ Binary columns are zstd frames behind their length.
 from __future__ import annotations
 
 import os
+import unicodedata
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,7 +61,7 @@ def re_pair(ids: np.ndarray, base: int, rounds: int = ROUNDS) -> tuple[np.ndarra
             break
         key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
         cell = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
-        often = np.flatnonzero(np.bincount(cell, minlength=_CELLS)[cell] >= FREQUENT)  # a cell counts at least its pairs
+        often = np.flatnonzero(np.bincount(cell, minlength=_CELLS)[cell] >= max(FREQUENT, len(seq) // 20_000))  # a cell counts at least its pairs
         pairs, which, n = np.unique(key[often], return_inverse=True, return_counts=True)
         chosen = np.flatnonzero(n >= FREQUENT)
         chosen = chosen[np.argsort(-n[chosen], kind="stable")[:RULES]]
@@ -86,17 +88,36 @@ def re_pair(ids: np.ndarray, base: int, rounds: int = ROUNDS) -> tuple[np.ndarra
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids of some symbols."""
-    seq = symbols.astype(np.int64)
-    while len(seq) and (deep := seq >= base).any():
-        size = np.where(deep, 2, 1)
-        ends = np.cumsum(size)
-        out = np.empty(int(ends[-1]), np.int64)
-        out[ends[~deep] - 1] = seq[~deep]
-        pair = rules[seq[deep] - base]
-        out[ends[deep] - 2], out[ends[deep] - 1] = pair[:, 0], pair[:, 1]
-        seq = out
-    return seq.astype(np.uint32)
+    """The ids of some symbols: rules are written out from the first on, as each uses only earlier ones."""
+    size = np.ones(len(rules), np.int64)
+    flat, starts = [], np.zeros(len(rules) + 1, np.int64)
+    done = 0
+    parts = rules.astype(np.int64) - base
+    while done < len(rules):  # one layer: rules whose parts are all done
+        deep = parts[done:].max(axis=1)
+        stop = done + (int(np.argmax(deep >= done)) if (deep >= done).any() else len(deep))
+        layer = parts[done:stop]
+        own = np.where(layer < 0, 1, size[np.maximum(layer, 0)])
+        size[done:stop] = own.sum(axis=1)
+        starts[done + 1 : stop + 1] = starts[done] + np.cumsum(size[done:stop])
+        flat.append(_written((layer + base).reshape(-1), np.concatenate(flat) if flat else np.zeros(0, np.uint32), starts, size, base))
+        done = stop
+    return _written(symbols.astype(np.int64), np.concatenate(flat) if flat else np.zeros(0, np.uint32), starts, size, base)
+
+
+def _written(symbols: np.ndarray, flat: np.ndarray, starts: np.ndarray, size: np.ndarray, base: int) -> np.ndarray:
+    """Ids of symbols from the written rules."""
+    rule = symbols >= base
+    which = symbols[rule] - base
+    n = np.ones(len(symbols), np.int64)
+    n[rule] = size[which]
+    ends = np.cumsum(n)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
+    out[ends[~rule] - 1] = symbols[~rule]
+    m = n[rule]
+    inner = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
+    out[np.repeat(ends[rule] - m, m) + inner] = flat[np.repeat(starts[which], m) + inner]
+    return out
 
 
 def expand_range(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int, start: int, stop: int) -> np.ndarray:
@@ -111,8 +132,8 @@ def expand_range(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, ba
 class _Library:
     """The tokenizers library, asked once for each word between ASCII white space: the vocabulary's rules never look across it.
 
-    The ids of all known words lie in one array; ``place`` has a word's number, and
-    ``starts`` where its ids begin.
+    The ids of all known words lie in one array; ``place`` has a word's number by its
+    64-bit hash, and ``starts`` where its ids begin.
     """
 
     #: A control character is one token that no other character can give; words that hold it are encoded alone.
@@ -127,43 +148,63 @@ class _Library:
         self.library.no_truncation()
         self.size = self.library.get_vocab_size(with_added_tokens=True)
         (self.mark,) = self._encode([self.MARK])[0]
+        self.is_last = np.zeros(self.size, bool)
+        self.is_last[[i for t, i in self.library.get_vocab().items() if t.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[bytes, int] = {}
+        self.place: dict[int, int] = {}
         self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: list[bytes]) -> None:
-        """Encodes new words, many in one text with a mark between them."""
-        marked, plain = [], []
-        for w in words:
-            (marked if b"\x01" in w else plain).append(w)
-        groups = [b" \x01 ".join(plain[i : i + 1024]).decode("utf-8") for i in range(0, len(plain), 1024)]
-        ids = [np.array([*x, self.mark], np.uint32) for x in self._encode(groups)]
-        own = self._encode([w.decode("utf-8") for w in marked])
-        joined = np.concatenate([*ids, np.zeros(0, np.uint32)])
-        ends = np.flatnonzero(joined == self.mark)
-        n = np.concatenate([np.diff(ends, prepend=-1) - 1, np.fromiter(map(len, own), np.int64, len(own))])
-        more = np.concatenate([joined[joined != self.mark], np.array([i for x in own for i in x], np.uint32)])
-        self.place.update(zip([*plain, *marked], range(len(self.place), len(self.place) + len(words))))
+    def _joined(self, words: list[str], between: str) -> np.ndarray:
+        """Ids of words encoded many in one text, one after the other."""
+        parts = self._encode([between.join(words[i : i + 256]) + between for i in range(0, len(words), 256)])
+        return np.array([i for x in parts for i in x], np.uint32)
+
+    def learn(self, keys: list[int], words: list[bytes]) -> None:
+        """Encodes new words, many in one text.
+
+        A word of letters alone is one piece, whose last token has the vocabulary's
+        suffix, so only a space stands between such words; others have a mark between
+        them, and words that hold the mark itself are encoded alone.
+        """
+        plain, other, odd = ([], []), ([], []), ([], [])
+        for k, w in zip(keys, words):
+            t = w.decode("utf-8")
+            if t.isalpha() and (t.isascii() or unicodedata.normalize("NFC", t).lower().isalpha()):
+                to = plain
+            else:
+                to = odd if self.MARK in t else other
+            to[0].append(k)
+            to[1].append(t)
+        a, b = self._joined(plain[1], " "), self._joined(other[1], f" {self.MARK} ")
+        c = [np.array(x, np.uint32) for x in self._encode(odd[1])]
+        gap = b == self.mark
+        n = np.concatenate([np.diff(np.flatnonzero(self.is_last[a]), prepend=-1), np.diff(np.flatnonzero(gap), prepend=-1) - 1, np.fromiter(map(len, c), np.int64, len(c))])
+        order = [*plain[0], *other[0], *odd[0]]
+        if len(n) != len(order):
+            raise ValueError("the vocabulary splits words in a way that isn't expected here")
+        self.place.update(zip(order, range(len(self.place), len(self.place) + len(order))))
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(n)])
-        self.flat = np.concatenate([self.flat, more.astype(np.uint32)])
+        self.flat = np.concatenate([self.flat, a, b[~gap], *c])
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text with END behind them; a null is an empty text.  Equal words of the slice are looked up once."""
         words = Words(texts)
-        _, first, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        raw = words.raw.tobytes()
-        found = [raw[a:b] for a, b in zip(words.start[first].tolist(), words.end[first].tolist())]
-        new = [w for w in found if w not in self.place]
-        if len(self.place) + len(new) > KNOWN_WORDS:
-            self._forget()
-            new = found
-        self.learn(new)
-        at = np.fromiter(map(self.place.__getitem__, found), np.int64, len(found))[which]
+        keys, first, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        known = list(map(self.place.get, keys.tolist()))
+        if None in known:
+            new = np.array([i for i, x in enumerate(known) if x is None])
+            if len(self.place) + len(new) > KNOWN_WORDS:
+                self._forget()
+                new = np.arange(len(keys))
+            raw, some = words.raw.tobytes(), first[new]
+            self.learn(keys[new].tolist(), [raw[a:b] for a, b in zip(words.start[some].tolist(), words.end[some].tolist())])
+            known = list(map(self.place.__getitem__, keys.tolist()))
+        at = np.array(known, np.int64)[which]
         n = np.diff(self.starts)[at]
         ends = np.cumsum(n)
         out = self.flat[np.repeat(self.starts[at] - ends + n, n) + np.arange(ends[-1] if len(n) else 0)]
@@ -222,8 +263,8 @@ def _shard(part: int, shard: int, base: int, docs: list[int | None], ids: list[n
     )
 
 
-def read_tokens(spark: SparkSession, out: str, start: int = 0, stop: int | None = None, id_col: str = "doc_id") -> DataFrame:
-    """Documents of the files below ``out``: ``id_col``, ``start`` (ids of all documents before it), ``n_tokens``, ``ids`` (little-endian 32-bit).
+def read_tokens(spark: SparkSession, out: str, start: int = 0, stop: int | None = None, id_col: str = "doc_id", crc: bool = False) -> DataFrame:
+    """Documents of the files below ``out``: ``id_col``, ``start`` (ids of all documents before it), ``n_tokens``, ``ids`` (little-endian 32-bit), or instead of these their CRC-32 as ``ids_crc32``.
 
     With ``start`` and ``stop`` only documents that hold an id in that range are
     decoded; shards outside it are skipped by their counts.
@@ -251,21 +292,17 @@ def read_tokens(spark: SparkSession, out: str, start: int = 0, stop: int | None
                 some = np.flatnonzero((begins + row["first"] < last) & (ends + row["first"] > start))
                 a, b = begins[some[0]], ends[some[-1]]
                 ids = expand_range(symbols, rules, lengths, row["base"], int(a), int(b)).astype("<u4")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs[some], pa.int64(), mask=nulls[some].astype(bool)), pa.array(begins[some] + row["first"]), pa.array(counts[some]), pa.array([ids[x - a : y - a].tobytes() for x, y in zip(begins[some], ends[some])], pa.binary())],
-                    names=["doc", "start", "n_tokens", "ids"],
-                )
+                raw = memoryview(ids.tobytes())
+                own = [raw[4 * x : 4 * y] for x, y in zip((begins[some] - a).tolist(), (ends[some] - a).tolist())]
+                last_ = pa.array([zlib.crc32(x) for x in own], pa.int64()) if crc else pa.array([bytes(x) for x in own], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(docs[some], pa.int64(), mask=nulls[some].astype(bool)), pa.array(begins[some] + row["first"]), pa.array(counts[some]), last_], names=["doc", "start", "n_tokens", "ids"])
 
-    return shards.join(places, ["part", "shard"]).mapInArrow(run, "doc long, start long, n_tokens long, ids binary").withColumnRenamed("doc", id_col)
+    found = shards.join(places, ["part", "shard"]).mapInArrow(run, f"doc long, start long, n_tokens long, ids {'long' if crc else 'binary'}")
+    return found.withColumnsRenamed({"doc": id_col} | ({"ids": "ids_crc32"} if crc else {}))
 
 
-def token_files(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def token_files(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, crc: bool = False) -> DataFrame:
     """Writes the files into the shared folder and reads them back."""
     out = scratch(docs.sparkSession, "tokens")
     write_tokens(docs, out, path, id_col, text_col, rounds)
-    return read_tokens(docs.sparkSession, out, id_col=id_col)
-
-
-def with_crc(rows: DataFrame) -> DataFrame:
-    """``ids`` replaced by its CRC-32."""
-    return rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return read_tokens(docs.sparkSession, out, id_col=id_col, crc=crc)
