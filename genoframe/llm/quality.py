@@ -26,7 +26,7 @@ REPEAT = 5
 MEASURES = ("symbols", "repeats", "lines", "letters")
 #: What a measure may exceed the group's third quartile by, besides 3 interquartile ranges: symbols, repeated
 #: words and repeated lines in thousandths of the words, mean letters of a word in hundredths.
-SLACK = {"symbols": 250, "repeats": 100, "lines": 25, "letters": 400}
+SLACK = {"symbols": 250, "repeats": 200, "lines": 50, "letters": 400}
 SPREAD = 3
 #: Thresholds of so many groups are small enough to be sent to every executor; more are joined by a shuffle.
 FEW_GROUPS = 50_000

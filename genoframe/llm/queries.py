@@ -170,8 +170,8 @@ words AS (
 ), cuts AS (
   SELECT lang, source, m, min(low) FILTER (WHERE u * 4 >= a) AS q1, min(low) FILTER (WHERE u * 4 >= a * 3) AS q3 FROM upto GROUP BY ALL
 ), fences AS (
-  SELECT lang, source, max(q3 + 3 * (q3 - q1) + 250) FILTER (WHERE m = 'symbols') AS s, max(q3 + 3 * (q3 - q1) + 100) FILTER (WHERE m = 'repeats') AS r,
-         max(q3 + 3 * (q3 - q1) + 25) FILTER (WHERE m = 'lines') AS l, max(q3 + 3 * (q3 - q1) + 400) FILTER (WHERE m = 'letters') AS c FROM cuts GROUP BY ALL
+  SELECT lang, source, max(q3 + 3 * (q3 - q1) + 250) FILTER (WHERE m = 'symbols') AS s, max(q3 + 3 * (q3 - q1) + 200) FILTER (WHERE m = 'repeats') AS r,
+         max(q3 + 3 * (q3 - q1) + 50) FILTER (WHERE m = 'lines') AS l, max(q3 + 3 * (q3 - q1) + 400) FILTER (WHERE m = 'letters') AS c FROM cuts GROUP BY ALL
 ), judged AS (
   SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
          NOT base_failed AND NOT coalesce(n_symbols * 1000 // n_words > s OR n_repeat_words * 1000 // n_words > r OR n_dup_lines * 1000 // n_words > l OR word_chars * 100 // n_words > c, false) AS kept
