@@ -10,9 +10,9 @@ the larger register, and equal registers are as likely as the sets are similar,
    likelihood estimate from both sketches and then exactly on the full sets;
 4. only where a bucket still spans several components are its other pairs looked at:
    the exact similarities to the first class rule out most of them by the triangle
-   inequality, the likelihood estimate most others, and the rest are verified, first
-   the likeliest of each class and then, in the first bucket that a pair shares, all
-   whose ends are still in different components;
+   inequality and the likelihood estimate most others.  The likeliest pair of each
+   class is verified first; then texts come to the buckets for the classes that still
+   have doubtful pairs, and the pairs are verified there, so only links leave a bucket;
 5. components of the verified links spread by least labels with pointer jumping.
 
 Copies are never expanded into pairs, and no pair of a bucket whose ends are connected
@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -171,36 +170,42 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _across(buckets: DataFrame, best: bool) -> DataFrame:
-    """Pairs of a bucket's members in different components that neither the triangle inequality nor the estimate rules out.
+def _doubtful(rows: dict[str, np.ndarray], i: int, best: bool) -> np.ndarray:
+    """Members of a bucket that may be linked with member ``i`` though they are in another component.
 
-    ``buckets``: key, block, band, asks (whether this block asks for the row), rep, c,
-    near (exact similarity to the bucket's first class, or null), n_shingles, sketch; a
-    block of a bucket has all members of the bucket, and asks for some of them.  With
-    ``best`` only the likeliest pair of each row that asks; else all pairs, each in the
-    first band that its ends share.
+    The exact similarities to the bucket's first class rule pairs out by the triangle
+    inequality, the estimate others.  With ``best`` only the likeliest; else all for
+    which this bucket is the first that the two share.
     """
-
-    def pairs(rows: dict[str, np.ndarray]) -> pa.RecordBatch | None:
-        found = []
-        n, registers, ask = rows["rep"], rows["sketch"], np.flatnonzero(rows["asks"])
-        for i in ask.tolist():
-            far = (rows["c"] != rows["c"][i]) & ((n > n[i]) | ~rows["asks"] | best)
-            gap = np.abs(rows["near"] - rows["near"][i])
-            other = np.flatnonzero(far & ~(gap > 1 - LINK / 100 + 1e-9))  # an unknown gap rules nothing out
-            equal = registers[other] == registers[i]
-            likely = equal.sum(axis=1) >= REGISTERS // 2  # far below what a link has
-            if not best:
-                likely &= equal[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == rows["band"][i]
-            other = other[likely]
-            if len(other):
-                j = estimate(np.repeat(registers[i : i + 1], len(other), 0), registers[other], np.repeat(rows["n_shingles"][i], len(other)), rows["n_shingles"][other])
-                other = other[[j.argmax()]] if best and j.max() >= DOUBT else other[(j >= DOUBT) & (not best)]
-                found.append(np.stack([np.minimum(n[i], n[other]), np.maximum(n[i], n[other])], axis=1))
-        out = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2))
-        if not len(out):
-            return None
-        return pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["a", "b"])
+    n, registers = rows["rep"], rows["sketch"]
+    far = (rows["c"] != rows["c"][i]) & ((n > n[i]) | ~rows["asks"] | best)
+    gap = np.abs(rows["near"] - rows["near"][i])
+    other = np.flatnonzero(far & ~(gap > 1 - LINK / 100 + 1e-9))  # an unknown gap rules nothing out
+    equal = registers[other] == registers[i]
+    likely = equal.sum(axis=1) >= REGISTERS // 2  # far below what a link has
+    if not best:
+        likely &= equal[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == rows["band"][i]
+    other = other[likely]
+    if not len(other):
+        return other
+    j = estimate(np.repeat(registers[i : i + 1], len(other), 0), registers[other], np.repeat(rows["n_shingles"][i], len(other)), rows["n_shingles"][other])
+    if best:
+        return other[[j.argmax()]] if j.max() >= DOUBT else other[:0]
+    return other[j >= DOUBT]
+
+
+def _bucket_rows(table: pa.Table) -> Iterator[tuple[pa.Table, dict[str, np.ndarray]]]:
+    """The blocks of buckets in a table that is sorted by them."""
+    block = np.stack([table["key"].to_numpy(), table["block"].to_numpy()], axis=1)
+    cuts = [0, *(np.flatnonzero((np.diff(block, axis=0) != 0).any(axis=1)) + 1).tolist(), len(block)]
+    cols = {n: table[n].to_numpy() for n in ("rep", "c", "near", "asks", "band", "n_shingles")}
+    cols["sketch"] = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    for a, b in zip(cuts, cuts[1:]):
+        yield table.slice(a, b - a), {n: x[a:b] for n, x in cols.items()}
+
+
+def _by_bucket(buckets: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` on each block of each bucket; blocks are dealt by their keys, sorted and read one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -209,25 +214,54 @@ def _across(buckets: DataFrame, best: bool) -> DataFrame:
                 continue
             held.append(batch)
             table = pa.Table.from_batches(held).combine_chunks()
-            key = table["key"].to_numpy() * 31 + table["block"].to_numpy()
-            last = np.flatnonzero(key != key[-1])
-            if len(last):  # all but the last bucket are whole
-                yield from done(table.slice(0, last[-1] + 1), key[: last[-1] + 1])
-                held = table.slice(last[-1] + 1).to_batches()
+            key, block = table["key"].to_numpy(), table["block"].to_numpy()
+            other = np.flatnonzero((key != key[-1]) | (block != block[-1]))
+            if len(other):  # all but the last block are whole
+                for part in _bucket_rows(table.slice(0, other[-1] + 1)):
+                    yield from work(*part)
+                held = table.slice(other[-1] + 1).to_batches()
         if held:
-            table = pa.Table.from_batches(held).combine_chunks()
-            yield from done(table, table["key"].to_numpy() * 31 + table["block"].to_numpy())
+            for part in _bucket_rows(pa.Table.from_batches(held).combine_chunks()):
+                yield from work(*part)
+
+    return buckets.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(run, schema)
+
+
+def _likeliest(table: pa.Table, rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    found = [(rows["rep"][i], rows["rep"][j]) for i in np.flatnonzero(rows["asks"]).tolist() for j in _doubtful(rows, i, True).tolist()]
+    if found:
+        ab = np.unique(np.sort(np.array(found), axis=1), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], names=["a", "b"])
 
-    def done(table: pa.Table, key: np.ndarray) -> Iterator[pa.RecordBatch]:
-        cols = {n: table[n].to_numpy() for n in ("rep", "c", "near", "asks", "band", "n_shingles")}
-        cols["sketch"] = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
-        cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
-        for a, b in zip(cuts, cuts[1:]):
-            if (out := pairs({n: x[a:b] for n, x in cols.items()})) is not None:
-                yield out
 
-    parts = buckets.repartition("key", "block").sortWithinPartitions("key", "block")
-    return parts.select("key", "block", "band", "asks", "rep", "c", "near", "n_shingles", "sketch").mapInArrow(run, "a long, b long").distinct()
+def _with_doubts(table: pa.Table, rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The members of a block that have doubtful pairs."""
+    some = np.zeros(len(rows["rep"]), bool)
+    for i in np.flatnonzero(rows["asks"]).tolist():
+        other = _doubtful(rows, i, False)
+        some[other] = True
+        some[i] |= len(other) > 0
+    if some.any():
+        yield from table.filter(pa.array(some)).combine_chunks().to_batches()
+
+
+def _links_inside(shingle: int):
+    """Verified links between the members of a block; rows have their texts."""
+
+    def work(table: pa.Table, rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        g, at = shingle_sets(table["text"].combine_chunks(), shingle)
+        own = lambda i: g[at[i] : at[i + 1]]
+        found = []
+        for i in np.flatnonzero(rows["asks"]).tolist():
+            for j in _doubtful(rows, i, False).tolist():
+                both = len(np.intersect1d(own(i), own(j), assume_unique=True))
+                if both * 100 >= (len(own(i)) + len(own(j)) - both) * LINK:
+                    found.append((rows["rep"][i], rows["rep"][j]))
+        if found:
+            ab = np.sort(np.array(found), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], names=["a", "b"])
+
+    return work
 
 
 def _open_buckets(member: DataFrame, labels: DataFrame, star: DataFrame, classes: DataFrame) -> DataFrame:
@@ -243,7 +277,7 @@ def _open_buckets(member: DataFrame, labels: DataFrame, star: DataFrame, classes
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
     outside = F.col("c") != F.coalesce("leader_c", "leader")
     dealt = rows.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("asks", outside & (own == F.col("block")))
-    return dealt.join(classes.select("rep", "n_shingles", "sketch"), "rep")
+    return dealt.join(classes.select("rep", "n_shingles", "sketch"), "rep").select("key", "block", "band", "asks", "rep", "c", "near", "n_shingles", "sketch")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -275,16 +309,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = settled(texts.join(classes.join(ids, "rep", "left_semi").select("rep", "rep_same"), ["rep", "rep_same"], "left_semi").dropDuplicates(["rep"]), "texts")
     is_link = F.col("both") * 100 >= F.col("either") * LINK
     star_checked = settled(_verified(near, texts, shingle), "verified")
-    checked = [star_checked]
-    for best in (True, False):
-        links = reduce(DataFrame.union, [x.filter(is_link).select("a", "b") for x in checked])
-        labels = components(links)
-        rest = _across(_open_buckets(member, labels, star_checked, classes), best)
-        known = reduce(DataFrame.union, [x.select("a", "b") for x in checked])
-        checked.append(settled(_verified(rest.join(known, ["a", "b"], "left_anti"), texts, shingle), "verified"))
-        release(labels)
-    labels = components(reduce(DataFrame.union, [x.filter(is_link).select("a", "b") for x in checked]))
-    release(member, near, texts, *checked)
+    links = star_checked.filter(is_link).select("a", "b")
+    labels = components(links)
+    likeliest = _by_bucket(_open_buckets(member, labels, star_checked, classes), _likeliest, "a long, b long").distinct()
+    more = settled(_verified(likeliest.join(star_checked.select("a", "b"), ["a", "b"], "left_anti"), texts, shingle), "verified")
+    release(labels)
+    links = links.union(more.filter(is_link).select("a", "b"))
+    labels = components(links)
+    open_ = _open_buckets(member, labels, star_checked, classes)
+    doubts = _by_bucket(open_, _with_doubts, open_.schema).join(texts.select("rep", "text"), "rep")
+    rest = settled(_by_bucket(doubts, _links_inside(shingle), "a long, b long"), "links")
+    release(labels)
+    labels = components(links.union(rest))
+    release(member, near, texts, star_checked, more, rest)
     of_class = sets.join(labels.select("v", "c"), F.col("rep") == F.col("v"), "left").select(F.col("digest").alias("d"), F.coalesce("c", "rep").alias("component"))
     keyed = sig.withColumn("digest", F.when(F.col("doc").isNotNull(), F.col("digest")))
     out = keyed.join(of_class, F.col("digest") == F.col("d"), "left")
