@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import atexit
 import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -18,6 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import shared_folder
+
 #: Bytes of text that one array pass works on; a longer single text is taken whole.
 SLICE_BYTES = 2 << 20
 
@@ -37,21 +38,9 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 # ---------------------------------------------------------------- shared folder
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder from ``spark.checkpoint.dir``; a local one of our own only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="genoframe-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        atexit.register(shutil.rmtree, root.removeprefix("file://"), True)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
 def scratch(spark: SparkSession, what: str) -> str:
     """A new path below the shared folder, deleted when the session's process ends."""
-    path = f"{shared_root(spark)}/{what}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
     atexit.register(_forget, spark, path)
     return path
 
