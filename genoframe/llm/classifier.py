@@ -99,17 +99,17 @@ class Network:
         dc = dh @ w["hidden"].T
         own = a >= a[follows]
         da = dc * own
-        np.add.at(da, follows, dc * ~own)
+        da[1:] += (dc * ~own)[:-1]  # the last block of a text follows itself and is its own
         da *= a > 0
         g["bias"] = da.sum(axis=0)
-        b, f = np.nonzero(da)
+        f, b = np.nonzero(da.T)
         value = da[b, f]
         seen = blocks[b[:, None], (place[b, f] * STEP)[:, None] + np.arange(WIDTH)]
         x = w["vector"][seen].reshape(len(b), -1) * value[:, None]
-        g["filter"] = np.zeros_like(w["filter"])
-        np.add.at(g["filter"].T, f, x)
-        g["vector"] = np.zeros_like(w["vector"])
-        np.add.at(g["vector"], seen.reshape(-1), (w["filter"].T[f] * value[:, None]).reshape(-1, VECTOR))
+        ends = np.searchsorted(f, np.arange(FILTERS + 1))
+        g["filter"] = np.stack([x[i:j].sum(axis=0) for i, j in zip(ends[:-1], ends[1:])], axis=1)
+        share = (w["filter"].T[f] * value[:, None]).reshape(-1, VECTOR)
+        g["vector"] = np.stack([np.bincount(seen.reshape(-1), share[:, i], _PAD + 1) for i in range(VECTOR)], axis=1).astype(np.float32)
         return g
 
     def fit(self, texts: pa.Array, label: np.ndarray, weight: np.ndarray, seed: int = 11) -> Network:
