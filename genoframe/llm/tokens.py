@@ -2,7 +2,7 @@
 
 Documents are dealt out in ascending id order, encoded with the tokenizers library and
 cut into shards.  In each shard the frequent pairs of adjacent symbols are replaced by
-new nonterminals, round after round; a shard stores its rules, the number of ids each
+new nonterminals, round after round, until no pair is frequent; a shard stores its rules, the number of ids each
 rule expands to, and the remaining sequence, so any range of ids is decoded by finding
 its first symbol from the expansion lengths and expanding only the symbols needed.
 
@@ -40,51 +40,78 @@ END = 2
 SHARD_IDS = 1 << 20
 #: Text for each output partition.
 PART_BYTES = 24 << 20
-ROUNDS = 3
 #: Words whose ids a worker keeps; beyond it the table starts anew.
 KNOWN_WORDS = 1_000_000
 #: A pair is replaced if it occurs so often in its shard.
 FREQUENT = 24
-#: Rules of one round at most.
-RULES = 8192
 _CELLS = 1 << 20
 
 SHARDS = "part int, shard int, base int, n_docs long, n_ids long, docs binary, nulls binary, counts binary, rules binary, lengths binary, symbols binary"
 
 
-def re_pair(ids: np.ndarray, base: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rules (pairs of symbols), ids that each expands to, and the compressed sequence."""
+def re_pair(ids: np.ndarray, base: int, rounds: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rules (pairs of symbols), ids that each expands to, and the compressed sequence.
+
+    Rounds go on until no pair of adjacent symbols occurs FREQUENT times, or for
+    ``rounds`` at most if given.
+    """
     seq = ids.astype(np.uint32)
-    rules, lengths, top = [np.zeros((0, 2), np.uint32)], [np.zeros(0, np.int64)], base
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
+    rules, lengths, top = [np.zeros((0, 2), np.uint32)], np.zeros(0, np.int64), base
+    live = np.arange(max(0, len(seq) - 1))  # places whose pairs may be frequent: all places of such a pair are among them
+    while len(live) and (rounds is None or len(rules) <= rounds):
+        key = (seq[live].astype(np.uint64) << np.uint64(32)) | seq[live + 1]
         cell = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
-        often = np.flatnonzero(np.bincount(cell, minlength=_CELLS)[cell] >= max(FREQUENT, len(seq) // 20_000))  # a cell counts at least its pairs
-        pairs, which, n = np.unique(key[often], return_inverse=True, return_counts=True)
-        chosen = np.flatnonzero(n >= FREQUENT)
-        chosen = chosen[np.argsort(-n[chosen], kind="stable")[:RULES]]
+        some = np.flatnonzero(np.bincount(cell, minlength=_CELLS)[cell] >= FREQUENT)  # a cell counts at least its pairs
+        pairs, which, n = np.unique(key[some], return_inverse=True, return_counts=True)
+        rank = np.empty(len(n), np.int64)
+        rank[np.argsort(-n, kind="stable")] = np.arange(len(n))
+        hit = n[which] >= FREQUENT
+        at, which = live[some[hit]], which[hit]
+        taken = _apart(at, rank[which])
+        uses = np.bincount(which[taken], minlength=len(n))
+        # a pair whose places mostly went to more frequent ones waits; the most frequent always has half of its places
+        chosen = np.flatnonzero(uses >= FREQUENT // 2)
         if not len(chosen):
             break
         symbol = np.full(len(pairs), -1, np.int64)
         symbol[chosen] = top + np.arange(len(chosen))
-        hit = symbol[which] >= 0
-        at, new = often[hit], symbol[which][hit]
-        run = np.flatnonzero(np.diff(at, prepend=-2) > 1)  # of overlapping places every second is replaced, from the left
-        even = (np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))) % 2 == 0
-        at, new = at[even], new[even]
-        seq[at] = new
+        taken = taken[symbol[which[taken]] >= 0]
+        gone = at[taken]
+        seq[gone] = symbol[which[taken]]
+        changed = np.zeros(len(seq), bool)
+        changed[at] = changed[gone] = True
+        changed[np.maximum(gone - 1, 0)] = True  # the pair that ends in the new symbol
         left = np.ones(len(seq), bool)
-        left[at + 1] = False
+        left[gone + 1] = False
         seq = seq[left]
+        live = np.flatnonzero(changed[left][:-1])
         made = np.stack([pairs[chosen] >> np.uint64(32), pairs[chosen] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
-        known = np.concatenate(lengths)
-        size = np.where(made < base, 1, known[np.maximum(made.astype(np.int64) - base, 0)] if len(known) else 1).sum(axis=1)
+        size = np.where(made < base, 1, lengths[np.maximum(made.astype(np.int64) - base, 0)] if len(lengths) else 1).sum(axis=1)
         rules.append(made)
-        lengths.append(size)
+        lengths = np.concatenate([lengths, size])
         top += len(chosen)
-    return np.concatenate(rules), np.concatenate(lengths), seq
+    return np.concatenate(rules), lengths, seq
+
+
+def _apart(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Indexes of places of which no two overlap, taken by rank; of overlapping places of one pair every second, from the left."""
+    out, rest = [], np.arange(len(at))
+    follows = (np.diff(at, prepend=-2) == 1) & (np.diff(rank, prepend=-1) == 0)
+    run = np.flatnonzero(~follows)
+    rest = rest[(rest - np.repeat(run, np.diff(np.append(run, len(at))))) % 2 == 0]
+    while len(rest):
+        a, r = at[rest], rank[rest]
+        joint = np.diff(a) == 1
+        lost = np.zeros(len(rest), bool)
+        lost[1:] |= joint & (r[:-1] < r[1:])
+        lost[:-1] |= joint & (r[1:] < r[:-1])
+        won = ~lost
+        out.append(rest[won])
+        beside = np.zeros(len(rest), bool)
+        beside[1:] |= joint & won[:-1]
+        beside[:-1] |= joint & won[1:]
+        rest = rest[lost & ~beside]
+    return np.sort(np.concatenate(out)) if out else np.zeros(0, np.int64)
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
@@ -216,7 +243,7 @@ class _Library:
 _LIBRARIES: dict[str, _Library] = {}
 
 
-def write_tokens(docs: DataFrame, out: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def write_tokens(docs: DataFrame, out: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", rounds: int | None = None) -> DataFrame:
     """Writes the token ids of all documents below ``out``, in ascending id order, and returns the files' rows.
 
     A null or empty text is the end id alone.  Null ids come first; rows that share an
@@ -249,7 +276,7 @@ def write_tokens(docs: DataFrame, out: str, path: str | None = None, id_col: str
     return docs.sparkSession.read.schema(SHARDS).parquet(out)
 
 
-def _shard(part: int, shard: int, base: int, docs: list[int | None], ids: list[np.ndarray], rounds: int) -> pa.RecordBatch:
+def _shard(part: int, shard: int, base: int, docs: list[int | None], ids: list[np.ndarray], rounds: int | None) -> pa.RecordBatch:
     seq = np.concatenate(ids)
     rules, lengths, symbols = re_pair(seq, base, rounds)
     binary = lambda x: pa.array([deflate(x.tobytes())], pa.binary())
@@ -301,7 +328,7 @@ def read_tokens(spark: SparkSession, out: str, start: int = 0, stop: int | None
     return found.withColumnsRenamed({"doc": id_col} | ({"ids": "ids_crc32"} if crc else {}))
 
 
-def token_files(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, crc: bool = False) -> DataFrame:
+def token_files(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", rounds: int | None = None, crc: bool = False) -> DataFrame:
     """Writes the files into the shared folder and reads them back."""
     out = scratch(docs.sparkSession, "tokens")
     write_tokens(docs, out, path, id_col, text_col, rounds)

@@ -337,6 +337,25 @@ def test_re_pair():
     assert len(symbols) < len(ids) / 2
 
 
+def test_re_pair_is_whole():
+    """In a full shard no pair stays frequent, many rules fit, and a long passage becomes one symbol."""
+    r = np.random.default_rng(6)
+    base = 1 << 21
+    noise = iter(r.permutation(base)[: 1 << 20].astype(np.uint32).reshape(-1, 8))
+    passage = r.integers(0, base, 300, dtype=np.uint32)
+    many = r.permutation(base)[:18000].astype(np.uint32).reshape(-1, 2)  # 9,000 pairs
+    parts = [x for _ in range(24) for x in (passage, next(noise))] + [x for i in r.permutation(np.repeat(np.arange(9000), 24)) for x in (many[i],)] + list(noise)
+    ids = np.concatenate(parts)
+    rules, lengths, symbols = tokens.re_pair(ids, base)
+    assert (tokens.expand(symbols, rules, base) == ids).all()
+    counts = np.unique((symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:], return_counts=True)[1]
+    assert len(ids) > tokens.SHARD_IDS and counts.max() < tokens.FREQUENT
+    assert len(rules) >= 9000 and lengths.max() == 300 and (symbols == base + lengths.argmax()).sum() == 24
+    same = np.zeros(1000, np.uint32)
+    rules, _, symbols = tokens.re_pair(same, 5)
+    assert len(symbols) <= tokens.FREQUENT and (tokens.expand(symbols, rules, 5) == same).all()
+
+
 def test_token_files(spark, library, tmp_path, monkeypatch):
     df = docs(spark, corpus(n=30) + ODD)
     rows = sorted(df.collect(), key=lambda r: (r.doc_id is not None, r.doc_id))
