@@ -5,7 +5,9 @@ The weight of a word depends on the element it stands in and the weight of a tag
 name and on what its class, id or role says; weights are the log odds that such items
 lie inside the main text of labelled pages.  One scan finds the contiguous run of items
 with the largest sum, which begins and ends at the main content.  Inside it, elements
-that hold no running text (menus, forms, adverts, comments, scripts) are left out.
+that hold no running text (menus, forms, scripts) are left out, and so are those whose
+class, id or role lowers their score below what their running words give them (adverts,
+comments, sidebars, but not an article's wrapper with such a name).
 """
 
 from __future__ import annotations
@@ -28,46 +30,100 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 #: Elements whose words are never main text.
 OUTSIDE = frozenset("head nav footer aside form script style noscript template iframe button select option textarea input label dialog menu svg math canvas object audio video map fieldset noembed noframes search title".split())
-#: Words in a class, id or role that mark an element as no main text.
+#: Words in a class, id or role that speak against main text.
 MARKS = frozenset("ad ads adv advert adverts advertisement advertising adbox adslot banner sponsor sponsored promo promotion promoted comment comments commentlist disqus respond reply replies discussion sidebar aside widget rail related recommended recommendations readmore trending popular menu navbar navigation nav breadcrumb breadcrumbs pagination pager footer colophon copyright masthead topbar toolbar header cookie cookies consent gdpr notice notices alert warning popup modal overlay newsletter subscribe subscription signup login share sharing social follow tags skip toc search complementary contentinfo dialog paywall".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _PART = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _WHITE = re.compile(r"\s+")
 #: Elements that an opening tag of the same kind, or of one of the others, ends.
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Scores of marks that no labelled page has: in a class or role, and in an id, which is often just an anchor.
+MARK, MARK_ID = -3.0, -1.0
+#: What running words add to an element's score at most, unless most of the page's are in it.
+RUNNING = 2.5
+
+
 @lru_cache(4096)
-def _marked(attributes: str) -> bool:
-    """Whether an element's attributes say that it is no main text, or not shown."""
+def _named(attributes: str) -> tuple[bool, tuple[tuple[bool, tuple[str, ...]], ...]]:
+    """Whether an element is not shown, and the parts of each word in its class, id and role (with whether it is an id)."""
+    hidden, words = False, []
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
-        if name == "style":
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
-        elif any(x.lower() in MARKS for x in _PART.findall(value)):
-            return True
-    return False
+            hidden = True
+        elif name == "style":
+            hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
+        elif name in ("class", "id", "role"):
+            words += [(name == "id", tuple(x.lower() for x in _PART.findall(w))) for w in value.split()]
+    return hidden, tuple(words)
+
+
+def _mark_score(name: str, words: tuple[tuple[bool, tuple[str, ...]], ...], parts: dict[str, float]) -> float | None:
+    """What the words in an element's class, id and role say for main text; None without any mark."""
+    if name in ("html", "body", "article", "main"):
+        return None
+    words = [(is_id, w) for is_id, w in words if not (is_id and name in HEADINGS)]
+    if not any(x in MARKS for _, w in words for x in w):
+        return None
+    score = 0.0
+    for is_id, w in words:
+        weak = MARK_ID / MARK if is_id else 1.0
+        marks = [parts.get("#" * is_id + x, weak * parts.get(x, MARK)) for x in w if x in MARKS]
+        others = [parts.get("#" * is_id + x, 0.0) for x in w if x not in MARKS]
+        score += min(marks, default=0.0) + max(others, default=0.0)
+    return score
+
+
+def _weighed(found: list[tuple[str, str, str, bool, int]], elements: list[tuple[int, float]]) -> list[tuple[str, str, str, bool]]:
+    """The items, with those outside whose marked elements score below zero, running words included."""
+    own, total, link = [0] * len(elements), 0, 0
+    for kind, key, text, outside, e in found:
+        if kind == "tag" and key.strip("/!") == "a":
+            link = max(0, link + (-1 if key[0] == "/" else 1))
+        elif kind == "text" and not outside and not link:
+            n = len(text.split())
+            total += n
+            if e >= 0:
+                own[e] += n
+    out = [False] * len(elements)
+    for e in range(len(elements) - 1, -1, -1):  # inner elements come later
+        up, score = elements[e]
+        rest = total - own[e]
+        score += min(RUNNING, math.log1p(own[e] / 20)) + max(0.0, math.log((own[e] + 1) / (rest + 1)))
+        out[e] = score < 0
+        if not out[e] and up >= 0:
+            own[up] += own[e]
+    for e, (up, _) in enumerate(elements):
+        out[e] = out[e] or (up >= 0 and out[up])
+    return [(kind, key, text, outside or (e >= 0 and out[e])) for kind, key, text, outside, e in found]
+
+
+def items(page: str, parts: dict[str, float] | None = None) -> list[tuple[str, str, str, bool]]:
+    """The page's items in order: (kind, key, text, outside); ``parts`` are learned weights of words in names."""
+    elements: list[tuple[int, float]] = []
+    return _weighed(list(_scan(page, parts or {}, elements)), elements)
 
 
-def items(page: str) -> Iterator[tuple[str, str, str, bool]]:
-    """The page's items in order: (kind, key, text, outside).
+def _scan(page: str, parts: dict[str, float], elements: list[tuple[int, float]]) -> Iterator[tuple[str, str, str, bool, int]]:
+    """The page's items in order: (kind, key, text, outside, number of the innermost marked element or -1).
 
     Kinds are ``tag`` (key: the tag's name, with a slash if it closes and a ``!`` if its
     attributes mark it) and ``text`` (key: the innermost block element).  ``outside`` is
-    true within elements that hold no running text.
+    true within elements that hold no running text or aren't shown.  ``elements``
+    receives each marked element's outer one and its marks' score.
     """
-    open_: list[tuple[str, bool]] = []
+    open_: list[tuple[str, bool, int]] = []
     outside, at, n = 0, 0, len(page)
     while at < n:
         m = _TOKEN.search(page, at)
         end = m.start() if m else n
         if end > at:
-            block = next((x for x, _ in reversed(open_) if x in BLOCKS), "")
-            yield "text", block, page[at:end], outside > 0
+            block = next((x for x, _, _ in reversed(open_) if x in BLOCKS), "")
+            yield "text", block, page[at:end], outside > 0, open_[-1][2] if open_ else -1
         if not m:
             return
         at = m.end()
@@ -76,9 +132,9 @@ def items(page: str) -> Iterator[tuple[str, str, str, bool]]:
         name, closing, attributes = m[2].lower(), bool(m[1]), m[3] or ""
         if closing:
             depth = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), None)
-            yield "tag", "/" + name, "", outside > 0
-            if depth is not None and not (name not in BLOCKS and any(x in OUTSIDE for x, _ in open_[depth + 1 :])):
-                outside -= sum(o for _, o in open_[depth:])
+            yield "tag", "/" + name, "", outside > 0, open_[-1][2] if open_ else -1
+            if depth is not None and not (name not in BLOCKS and any(x in OUTSIDE for x, _, _ in open_[depth + 1 :])):
+                outside -= sum(o for _, o, _ in open_[depth:])
                 del open_[depth:]
             continue
         for x in _CLOSES.get(name, ()):
@@ -86,7 +142,7 @@ def items(page: str) -> Iterator[tuple[str, str, str, bool]]:
                 if open_[i][0] in ("ul", "ol", "dl", "table", "select", "article", "section", "div", "td", "th", "blockquote") and open_[i][0] != x:
                     break
                 if open_[i][0] == x:
-                    outside -= sum(o for _, o in open_[i:])
+                    outside -= sum(o for _, o, _ in open_[i:])
                     del open_[i:]
                     break
         if name in BLOCKS and name != "p":  # a block ends an open paragraph
@@ -94,19 +150,24 @@ def items(page: str) -> Iterator[tuple[str, str, str, bool]]:
             while i >= 0 and open_[i][0] not in BLOCKS:
                 i -= 1
             if i >= 0 and open_[i][0] == "p":
-                outside -= sum(o for _, o in open_[i:])
+                outside -= sum(o for _, o, _ in open_[i:])
                 del open_[i:]
-        marked = name not in ("html", "body", "article", "main") and _marked(attributes)
-        hides = name in OUTSIDE or marked or (name == "header" and not any(x in ("article", "main", "section") for x, _ in open_))
-        yield "tag", name + "!" * marked, "", outside > 0 or hides
+        hidden, words = _named(attributes)
+        score = _mark_score(name, words, parts)
+        inner = open_[-1][2] if open_ else -1
+        if score is not None:
+            elements.append((inner, score))
+            inner = len(elements) - 1
+        hides = hidden or name in OUTSIDE or (name == "header" and not any(x in ("article", "main", "section") for x, _, _ in open_))
+        yield "tag", name + "!" * (hidden or score is not None), "", outside > 0 or hides, inner
         if name in VOID or attributes.rstrip().endswith("/") and name in ("svg", "path"):
             continue
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = close.end() if close else n
-            yield "tag", "/" + name, "", True
+            yield "tag", "/" + name, "", True, inner
             continue
-        open_.append((name, hides))
+        open_.append((name, hides, inner))
         outside += hides
 
 
@@ -114,13 +175,33 @@ def _features(kind: str, key: str, outside: bool) -> str:
     return ("word " if kind == "text" else "tag ") + ("outside" if outside else key or "none")
 
 
-def learn(pages: Iterable[tuple[str, str]], smooth: float = 0.5) -> dict[str, float]:
+def learn_parts(pages: Iterable[tuple[str, str]], smooth: float = 0.5) -> dict[str, float]:
+    """Weights of the words in classes, roles and (with a ``#``) ids: the log odds that an element so named begins in the main content.
+
+    Marks are learned where they stand alone: of ``entry-header`` only ``entry`` is.
+    """
+    inside, all_ = Counter(), Counter()
+    for page, _ in pages:
+        a, b = page.index("<!--[-->"), page.index("<!--]-->")
+        for m in _TOKEN.finditer(page):
+            if m[2] and not m[1]:
+                # an element right around the main content is one of it
+                is_in = a <= m.start() < b or not page[m.end() : a].strip() and m.end() <= a
+                for is_id, w in _named(m[3] or "")[1]:
+                    for x in set(w):
+                        if not (is_id and m[2].lower() in HEADINGS) and (x not in MARKS or len(w) == 1):
+                            all_["#" * is_id + x] += 1
+                            inside["#" * is_id + x] += is_in
+    return {x: max(-4.0, min(3.0, math.log((inside[x] + smooth) / (n - inside[x] + smooth)))) for x, n in all_.items()}
+
+
+def learn(pages: Iterable[tuple[str, str]], smooth: float = 0.5, parts: dict[str, float] | None = None) -> dict[str, float]:
     """Weights from labelled pages: (html, whose main content lies between the marks ``<!--[-->`` and ``<!--]-->``)."""
     inside, all_ = Counter(), Counter()
     for page, _ in pages:
         a, b = page.index("<!--[-->"), page.index("<!--]-->")
         for part, is_in in ((page[:a], 0), (page[a:b], 1), (page[b:], 0)):
-            for kind, key, text, outside in items(part):
+            for kind, key, text, outside in items(part, parts):
                 for _ in range(len(text.split()) if kind == "text" else 1):
                     f = _features(kind, key, outside)
                     all_[f] += 1
@@ -164,9 +245,9 @@ def _within_main(found: list[tuple[str, str, str, bool]]) -> list[tuple[str, str
     return [(kind, key, text, outside or not i) for (kind, key, text, outside), i in zip(found, inside)]
 
 
-def extract(page: str, weight: dict[str, float]) -> str:
+def extract(page: str, weight: dict[str, float], parts: dict[str, float] | None = None) -> str:
     """The main text of one page."""
-    found = _within_main(list(items(page)))
+    found = _within_main(items(page, parts))
     scores = []
     for kind, key, text, outside in found:
         n = len(text.split()) if kind == "text" else 1
@@ -202,6 +283,11 @@ def labelled_pages() -> list[tuple[str, str]]:
         foot = f'<footer><p>&copy; {run(i, 6)}</p></footer></body></html>'
         body = [f"<article><!--[-->{rich}<!--]--></article>", f"<main><!--[-->{prose}<!--]--></main>", f'<div class="content"><!--[-->{rich}<!--]--></div>', f'<div id="post"><!--[-->{rich}{prose}<!--]--></div>'][i % 4]
         out.append((top + nav + (side if i % 3 else "") + body + (talk if i % 2 else "") + (side if i % 3 == 0 else "") + foot, body))
+        inner = f'<div class="entry-header"><h1 class="entry-title">{run(i, 6)}</h1></div><div class="entry-content article-body">{prose}<section id="discussion"><h2>{run(i, 1)}</h2><p>{run(i, 25)}</p></section></div>'
+        body = f'<div class="post content"><!--[-->{inner}<!--]--></div>'
+        rail = f'<div class="sidebar" id="sidebar"><h3>{run(i, 2)}</h3><ul>{menu}</ul></div><div class="related-posts"><p>{run(i + 2, 9)}</p></div>'
+        posted = f'<div id="comments" class="comments"><div class="comment"><div class="comment-content"><p>{run(i + 5, 14)}</p></div></div></div>'
+        out.append((top + nav + body + rail + posted + foot, body))
     return out
 
 
@@ -213,14 +299,16 @@ def main_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
     words, gives the empty text; null ids and repeated rows are passed on.  Other
     columns are ignored.  A page is read whole; no shuffle.
     """
-    weight = learn(labelled or labelled_pages())
+    labelled = labelled or labelled_pages()
+    parts = learn_parts(labelled)
+    weight = learn(labelled, parts=parts)
     fields = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
     names = ["id", *[f"keep{i}" for i in range(len(keep))]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "html"):
-                text = [extract(x or "", weight) for x in column(part, "html").to_pylist()]
+                text = [extract(x or "", weight, parts) for x in column(part, "html").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*[column(part, n) for n in names], pa.array(text, pa.string()), pa.array(map(len, text), pa.int64())], names=[*names, "text", "n_chars"])
 
     chosen = pages.select(col(id_col).alias("id"), *[col(k).alias(f"keep{i}") for i, k in enumerate(keep)], col(html_col).alias("html"))

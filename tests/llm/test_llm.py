@@ -423,6 +423,28 @@ def test_html(spark):
     assert html.main_text(df.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<div class="content with-sidebar">{p}</div>', "{t}"),
+        ('<div class="no-sidebar"><p>{t}</p></div>', "{t}"),
+        ('<div class="post"><div class="entry-header"><h1>The title</h1></div>{p}</div>', "The title\n{t}"),
+        ('<div class="post">{p}<h2 id="related-work">Related work</h2>{p}</div>', "{t}\nRelated work\n{t}"),
+        ('<div class="post">{p}<section id="discussion"><h2>Discussion</h2>{p}</section></div>', "{t}\nDiscussion\n{t}"),
+        ('<div class="post"><p>Go to <a href="/hidden-gems">hidden gems</a> now</p><p title="Hidden lake">A lake</p>{p}</div>', "Go to hidden gems now\nA lake\n{t}"),
+        ('<div class="header">Our site</div><div class="article-content">{p}<section class="discussion"><p>I like it</p></section></div>', "{t}"),
+        ('<div class="post">{p}<div class="ad">Buy one now</div>{p}<p hidden>not shown</p></div><div class="sidebar"><p>More to see</p></div><div id="comments"><p>Nice post</p></div>', "{t}\n{t}"),
+    ],
+)
+def test_html_marks(page, want):
+    """Names with marks around the main text don't remove it; adverts, sidebars and comments still go."""
+    t = " ".join(LOREM * 2)
+    pages_ = html.labelled_pages()
+    parts = html.learn_parts(pages_)
+    got = html.extract("<html><body>" + page.format(p=f"<p>{t}</p>", t=t) + "</body></html>", html.learn(pages_, parts=parts), parts)
+    assert got == want.format(t=t)
+
+
 # ---------------------------------------------------------------- classifier
 
 
