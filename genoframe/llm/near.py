@@ -42,7 +42,7 @@ REGISTERS = 256
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
 #: Estimates below this can't be links: 3.7 standard errors below 0.75.
 DOUBT = 0.65
-#: Members of one bucket whose sketches are compared in one step.
+#: Members of one bucket, about, that ask in one step, and that they are compared with.
 BLOCK = 2048
 
 _LANES = np.random.default_rng(20).integers(0, 1 << 32, (2, REGISTERS), dtype=np.uint64).astype(np.uint32)
@@ -171,14 +171,14 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _doubtful(rows: dict[str, np.ndarray], i: int, best: bool) -> np.ndarray:
-    """Members of a bucket that may be linked with member ``i`` though they are in another component.
+    """Members of a block that may be linked with its asking row ``i`` though they are in another component.
 
     The exact similarities to the bucket's first class rule pairs out by the triangle
     inequality, the estimate others.  With ``best`` only the likeliest; else all for
     which this bucket is the first that the two share.
     """
     n, registers = rows["rep"], rows["sketch"]
-    far = (rows["c"] != rows["c"][i]) & ((n > n[i]) | ~rows["asks"] | best)
+    far = (rows["c"] != rows["c"][i]) & ~rows["asks"] & ((n > n[i]) | ~rows["outside"] | best)
     gap = np.abs(rows["near"] - rows["near"][i])
     other = np.flatnonzero(far & ~(gap > 1 - LINK / 100 + 1e-9))  # an unknown gap rules nothing out
     equal = registers[other] == registers[i]
@@ -198,7 +198,7 @@ def _bucket_rows(table: pa.Table) -> Iterator[tuple[pa.Table, dict[str, np.ndarr
     """The blocks of buckets in a table that is sorted by them."""
     block = np.stack([table["key"].to_numpy(), table["block"].to_numpy()], axis=1)
     cuts = [0, *(np.flatnonzero((np.diff(block, axis=0) != 0).any(axis=1)) + 1).tolist(), len(block)]
-    cols = {n: table[n].to_numpy() for n in ("rep", "c", "near", "asks", "band", "n_shingles")}
+    cols = {n: table[n].to_numpy() for n in ("key", "rep", "c", "near", "asks", "outside", "band", "n_shingles")}
     cols["sketch"] = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
     for a, b in zip(cuts, cuts[1:]):
         yield table.slice(a, b - a), {n: x[a:b] for n, x in cols.items()}
@@ -228,10 +228,13 @@ def _by_bucket(buckets: DataFrame, work, schema: str) -> DataFrame:
 
 
 def _likeliest(table: pa.Table, rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    found = [(rows["rep"][i], rows["rep"][j]) for i in np.flatnonzero(rows["asks"]).tolist() for j in _doubtful(rows, i, True).tolist()]
+    """The likeliest partner of each asking row in a block."""
+    found = [(i, j) for i in np.flatnonzero(rows["asks"]).tolist() for j in _doubtful(rows, i, True).tolist()]
     if found:
-        ab = np.unique(np.sort(np.array(found), axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], names=["a", "b"])
+        i, j = np.array(found).T
+        n, sketches = rows["n_shingles"], rows["sketch"]
+        likely = estimate(sketches[i], sketches[j], n[i], n[j])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (rows["key"][i], rows["rep"][i], rows["rep"][j], likely)], names=["key", "v", "w", "likely"])
 
 
 def _with_doubts(table: pa.Table, rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +268,7 @@ def _links_inside(shingle: int):
 
 
 def _open_buckets(member: DataFrame, labels: DataFrame, star: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of the buckets that span several components, in blocks; rows outside the first class's component ask."""
+    """Members of the buckets that span several components, in blocks of about 2 * BLOCK rows at most; rows outside the first class's component ask."""
     labels = labels.select("v", "c")
     placed = member.join(labels, F.col("rep") == F.col("v"), "left").select("key", "band", "leader", "n", "rep", F.coalesce("c", "rep").alias("c"))
     split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
@@ -273,11 +276,17 @@ def _open_buckets(member: DataFrame, labels: DataFrame, star: DataFrame, classes
     lead = labels.select(F.col("v").alias("leader"), F.col("c").alias("leader_c"))
     rows = placed.join(split, "key", "left_semi").join(exact, ["leader", "rep"], "left").join(lead, "leader", "left")
     rows = rows.withColumn("near", F.when(F.col("rep") == F.col("leader"), F.lit(1.0)).otherwise(F.col("near")))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    outside = F.col("c") != F.coalesce("leader_c", "leader")
-    dealt = rows.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("asks", outside & (own == F.col("block")))
-    return dealt.join(classes.select("rep", "n_shingles", "sketch"), "rep").select("key", "block", "band", "asks", "rep", "c", "near", "n_shingles", "sketch")
+    rows = rows.withColumn("outside", F.col("c") != F.coalesce("leader_c", "leader"))
+    asking = rows.filter("outside").groupBy("key").agg(F.count("*").alias("n_ask"))
+    rows = rows.join(asking, "key")
+    # asking rows of part i meet all rows of part j in block (i, j)
+    asks, others = [F.ceil(F.col(x) / BLOCK).cast("long") for x in ("n_ask", "n")]
+    part = lambda n: F.pmod(F.xxhash64("rep"), n)
+    zero = F.lit(0).cast("long")
+    ask = rows.filter("outside").withColumn("to", F.explode(F.sequence(zero, others - 1))).withColumn("block", part(asks) * others + F.col("to")).withColumn("asks", F.lit(True))
+    other = rows.withColumn("to", F.explode(F.sequence(zero, asks - 1))).withColumn("block", F.col("to") * others + part(others)).withColumn("asks", F.lit(False))
+    dealt = ask.union(other)
+    return dealt.join(classes.select("rep", "n_shingles", "sketch"), "rep").select("key", "block", "band", "asks", "outside", "rep", "c", "near", "n_shingles", "sketch")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -311,7 +320,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star_checked = settled(_verified(near, texts, shingle), "verified")
     links = star_checked.filter(is_link).select("a", "b")
     labels = components(links)
-    likeliest = _by_bucket(_open_buckets(member, labels, star_checked, classes), _likeliest, "a long, b long").distinct()
+    likeliest = _by_bucket(_open_buckets(member, labels, star_checked, classes), _likeliest, "key long, v long, w long, likely double")
+    likeliest = likeliest.groupBy("key", "v").agg(F.max(F.struct("likely", "w")).alias("x")).select(F.least("v", "x.w").alias("a"), F.greatest("v", "x.w").alias("b")).distinct()
     more = settled(_verified(likeliest.join(star_checked.select("a", "b"), ["a", "b"], "left_anti"), texts, shingle), "verified")
     release(labels)
     links = links.union(more.filter(is_link).select("a", "b"))

@@ -278,6 +278,21 @@ def test_near_in_blocks(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in near.near_duplicates(df).collect()} == {d: c for d, (_, c) in want.items()}
 
 
+def test_near_blocks_are_bounded(spark, monkeypatch):
+    """One bucket of 200 classes, half of them outside the first one's component: no block holds it whole, all pairs meet."""
+    monkeypatch.setattr(near, "BLOCK", 10)
+    member = spark.createDataFrame([(7, 0, 0, 200, i) for i in range(200)], "key long, band int, leader long, n long, rep long")
+    labels = spark.createDataFrame([(i, 0) for i in range(100)], "v long, c long")
+    star = spark.createDataFrame([], "a long, b long, both long, either long")
+    classes = spark.createDataFrame([(i, 9, bytearray(b"x")) for i in range(200)], "rep long, n_shingles long, sketch binary")
+    blocks = {}
+    for r in near._open_buckets(member, labels, star, classes).collect():
+        blocks.setdefault(r.block, []).append(r)
+    assert max(map(len, blocks.values())) <= 6 * near.BLOCK
+    met = {(a.rep, b.rep) for x in blocks.values() for a in x if a.asks for b in x if not b.asks}
+    assert met == {(a, b) for a in range(100, 200) for b in range(200)}
+
+
 def test_sketches():
     r = np.random.default_rng(0)
     x, y = r.integers(0, 1 << 63, 900, dtype=np.uint64), r.integers(0, 1 << 63, 300, dtype=np.uint64)
