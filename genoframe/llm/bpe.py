@@ -1,11 +1,13 @@
 """BPE encoding and decoding with a public word-level vocabulary.
 
 Each white-space-delimited word is normalised, split and merged on its own, as the
-vocabulary's rules never look across white space.  A short word holds its part
+vocabulary's rules never look across white space.  A short piece holds its part
 boundaries and the ranks of adjacent parts in two small contiguous arrays: the lowest
 rank is found by scanning, its boundary is deleted and the two neighbouring ranks are
-refreshed.  Many short words go through this side by side, as rows of two matrices.
-Finished words are kept in a bounded table per Python worker.
+refreshed.  Many short pieces go through this side by side, as rows of two matrices; a
+long one keeps the boundaries in linked arrays and the ranks in a heap.
+What has been encoded is kept in a bounded table per Python worker, a document's ids
+are gathered from it, and its text is decoded from its ids.
 """
 
 from __future__ import annotations
@@ -13,7 +15,8 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -21,15 +24,99 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import col, column, slices
+from .common import LOWER, SPACE, Words, col, column, raw_text, slices
 
 VOCABULARY = "word_bpe_49k.json"
 #: Bytes of a piece that is merged with many others at once; longer ones go one by one.
 SHORT = 32
 #: Rank of parts that don't merge.
 NONE = np.int32(2**31 - 1)
-#: Words whose encoding a worker keeps; beyond it the table starts anew.
-KEPT_WORDS = 600_000
+#: Units whose ids a worker keeps; beyond it the table starts anew.
+KEPT_UNITS = 800_000
+
+
+_SPACE, _LETTER, _DIGIT, _MARK, _ODD, _WHOLE = range(6)
+_KIND = np.full(256, _ODD, np.uint8)
+_KIND[33:127], _KIND[SPACE] = _MARK, _SPACE
+_KIND[ord("0") : ord("9") + 1] = _DIGIT
+_KIND[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KIND[ord("'")] = _ODD
+#: Units that are not pieces of plain words.
+NOT_PLAIN = regex.compile(r"[^!-&(-~\xDF-\xF6\xF8-\xFF]|<\|")
+
+
+class Units(Words):
+    """What texts are encoded by: the lower-cased pieces of plain words, and other words whole.
+
+    A plain word holds letters of ASCII and Latin-1, digits and ASCII marks other than
+    the apostrophe, and no special token.  The vocabulary cuts it into runs of letters,
+    single digits and runs of marks.
+    """
+
+    def __init__(self, texts: pa.Array):
+        raw, self.at = raw_text(texts)
+        kind = _KIND[raw]
+        pair = np.flatnonzero(raw == 0xC3)  # with the next byte a letter of U+00C0 to U+00FF, or one of the two signs there
+        second = raw[pair + 1]
+        letter = (second != 0x97) & (second != 0xB7)
+        kind[pair[letter]] = kind[pair[letter] + 1] = _LETTER
+        self.raw = LOWER[raw]
+        self.raw[pair[letter & (second < 0x9F)] + 1] += 32
+        bar = np.flatnonzero(raw[1:] == ord("|"))
+        bar = bar[raw[bar] == ord("<")]
+        kind[bar[~np.isin(bar + 1, self.at)]] = _ODD  # of one text
+        if (kind == _ODD).any():
+            odd = np.concatenate([[0], np.cumsum(kind == _ODD)])
+            words = Words(texts)
+            whole = odd[words.end] > odd[words.start]
+            self.start, self.end = words.start[whole], words.end[whole]
+            inside = self._inside()
+            self.raw[inside] = raw[inside]
+            kind[inside] = _WHOLE
+        other = np.ones(len(raw) + 1, bool)  # another kind begins here, or another text
+        np.not_equal(kind[1:], kind[:-1], out=other[1:-1])
+        other[np.flatnonzero(kind == _DIGIT)] = True
+        other[self.at] = True
+        full = kind != _SPACE
+        self.start, self.end = np.flatnonzero(other[:-1] & full), np.flatnonzero(other[1:] & full) + 1
+        self.first = np.searchsorted(self.start, self.at).astype(np.int64)
+        self.counts = np.diff(self.first)
+
+
+class UnitTable:
+    """Token ids of the distinct units that a worker has met, in one flat array; ``encode`` gives the ids of new ones."""
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = KEPT_UNITS):
+        self.encode, self.most = encode, most
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.flat, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def _learn(self, units: list[str]) -> None:
+        ids = self.encode(units)
+        self.place.update(zip(units, range(len(self.place), len(self.place) + len(units))))
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32)])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))])
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text's ids begin (with the end); nulls are empty."""
+        units = Units(texts)
+        number, names = units.numbered()
+        known = list(map(self.place.get, names))
+        if None in known:
+            new = [w for w, k in zip(names, known) if k is None]
+            if len(self.place) + len(new) > self.most:
+                self._forget()
+                new = names
+            self._learn(new)
+            known = list(map(self.place.__getitem__, names))
+        which = np.array(known, np.int64)[number]
+        begin = self.starts[which]
+        n = self.starts[which + 1] - begin
+        ends = np.concatenate([[0], np.cumsum(n)])
+        return self.flat[np.repeat(begin - ends[:-1], n) + np.arange(ends[-1])], ends[units.first]
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -62,27 +149,38 @@ class WordBpe:
         order = np.argsort(keys)
         self.keys, self.key_rank, self.key_made = keys[order], order.astype(np.int32), np.array([x for _, x in self.pairs.values()], np.int32)[order]
         letters = byte_letters()
-        self.first, self.last = [self.ids[x] for x in letters], [self.ids[x + self.suffix] for x in letters]
-        self.first_ids, self.last_ids = np.array(self.first, np.int32), np.array(self.last, np.int32)
-        self.pieces = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        self.first_ids, self.last_ids = np.array([self.ids[x] for x in letters], np.int32), np.array([self.ids[x + self.suffix] for x in letters], np.int32)
+        self.regex = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.table = UnitTable(self.encode_units)
+        size = max(self.tokens) + 1
+        #: Each token and each decimal id with a space behind it.
+        self.spoken = pa.array([self.tokens.get(i, "") + " " for i in range(size)], pa.large_string())
+        self.written = pa.array([f"{i} " for i in range(size)], pa.large_string())
 
     def merge(self, piece: bytes) -> list[int]:
-        """Token ids of one long piece."""
-        parts = [self.first[b] for b in piece]
-        parts[-1] = self.last[piece[-1]]
-        pairs, none = self.pairs, (len(self.pairs), 0)
-        near = [pairs.get((a, b), none) for a, b in zip(parts, parts[1:])]
-        while near and (low := min(near)) != none:
-            i = near.index(low)
-            parts[i] = low[1]
-            del parts[i + 1], near[i]
-            if i:
-                near[i - 1] = pairs.get((parts[i - 1], parts[i]), none)
-            if i < len(near):
-                near[i] = pairs.get((parts[i], parts[i + 1]), none)
-        return parts
+        """Token ids of one long piece: parts know their neighbours, ranks wait in a heap, the leftmost of equals first."""
+        raw = np.frombuffer(piece, np.uint8)
+        parts = [*self.first_ids[raw[:-1]].tolist(), int(self.last_ids[raw[-1]])]
+        n, pairs = len(parts), self.pairs
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(found[0], i, a, b) for i, (a, b) in enumerate(zip(parts, parts[1:])) if (found := pairs.get((a, b)))]
+        heapify(heap)
+        while heap:
+            _, i, a, b = heappop(heap)
+            j = after[i]
+            if j >= n or parts[i] != a or parts[j] != b:  # one of the two has been merged since
+                continue
+            parts[i], parts[j] = pairs[a, b][1], -1
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if found := pairs.get((parts[i], parts[k])):
+                    heappush(heap, (found[0], i, parts[i], parts[k]))
+            h = before[i]
+            if h >= 0 and (found := pairs.get((parts[h], parts[i]))):
+                heappush(heap, (found[0], h, parts[h], parts[i]))
+        return [x for x in parts if x >= 0]
 
     def look(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and product of adjacent parts; parts that don't merge, or are absent, have rank NONE."""
@@ -124,56 +222,46 @@ class WordBpe:
         used = (out >= 0).sum(axis=1)
         return [x[:k] for x, k in zip(out.tolist(), used.tolist())]
 
-    def split(self, text: str) -> list[bytes]:
-        """The pieces of a text without special tokens, lower-cased letter by letter (no final sigma)."""
-        text = text.lower() if text.isascii() else "".join([c.lower() for c in unicodedata.normalize("NFC", text)])
-        return [x.encode("utf-8") for x in self.pieces.findall(text)]
-
-    def learn(self, words: Iterable[str]) -> None:
-        """Puts the token ids of new words into the table."""
-        plan: list[tuple[str, list]] = []
-        short: dict[bytes, int] = {}
-        for w in words:
-            pieces: list = []
-            for part in self.marks.split(w) if self.marks and "<|" in w else (w,):
-                if part in self.special:
-                    pieces.append(self.special[part])
-                elif part:
-                    pieces += self.split(part)
-            plan.append((w, pieces))
-            for x in pieces:
-                if isinstance(x, bytes) and len(x) <= SHORT:
-                    short[x] = len(x)
-        ids: dict[bytes, list[int]] = {}
-        ordered = sorted(short, key=short.get)
-        for at in range(0, len(ordered), 8192):
-            ids.update(zip(part := ordered[at : at + 8192], self.merge_short(part)))
-        for w, pieces in plan:
-            self.words[w] = tuple([i for x in pieces for i in ((x,) if isinstance(x, int) else ids[x] if x in ids else self.merge(x))])
-
-    def ready(self, words: set[str]) -> dict[str, tuple[int, ...]]:
-        """The table, holding at least these words."""
-        if len(self.words) + len(words) > KEPT_WORDS:
-            self.words.clear()
-        self.learn(words.difference(self.words))
-        return self.words
+    def split(self, word: str) -> list[str]:
+        """The pieces of a word, lower-cased letter by letter (no final sigma); special tokens are pieces of their own."""
+        out = []
+        for part in self.marks.split(word) if self.marks and "<|" in word else (word,):
+            if part in self.special:
+                out.append(part)
+            elif part:
+                out += self.regex.findall(part.lower() if part.isascii() else "".join([c.lower() for c in unicodedata.normalize("NFC", part)]))
+        return out
+
+    def encode_units(self, units: list[str]) -> list[list[int]]:
+        """Token ids of units: of their distinct pieces, short ones side by side."""
+        cut = [self.split(x) if NOT_PLAIN.search(x) else (x,) for x in units]
+        pieces = {x: x.encode("utf-8") for own in cut for x in own if x not in self.special}
+        ids = {x: [i] for x, i in self.special.items()}
+        short = sorted([x for x, raw in pieces.items() if len(raw) <= SHORT], key=lambda x: len(pieces[x]))
+        for at in range(0, len(short), 8192):
+            part = short[at : at + 8192]
+            ids.update(zip(part, self.merge_short([pieces[x] for x in part])))
+        for x, raw in pieces.items():
+            if len(raw) > SHORT:
+                ids[x] = self.merge(raw)
+        return [ids[own[0]] if len(own) == 1 else [i for x in own for i in ids[x]] for own in cut]
 
     def encode(self, text: str | None) -> list[int]:
-        words = words_of(text or "")
-        known = self.ready(set(words))
-        return [i for w in words for i in known[w]]
+        return self.table.ids(pa.array([text], pa.string()))[0].tolist()
 
-    def decode(self, ids) -> str:
+    def decode(self, ids: Iterable[int]) -> str:
         """The tokens of the ids, one space between; special tokens are kept."""
-        tokens = self.tokens
-        return " ".join([tokens[i] for i in ids])
-
+        ids = np.fromiter(ids, np.int64)
+        return next(joined(self.spoken, ids, np.array([0, len(ids)]))).tobytes().decode("utf-8")
 
-_WHITE = regex.compile(r"[^\x20\x09-\x0D]+")
 
-
-def words_of(text: str) -> list[str]:
-    return text.split() if text.isascii() and "\x1c" not in text and "\x1d" not in text and "\x1e" not in text and "\x1f" not in text else _WHITE.findall(text)
+def joined(forms: pa.Array, ids: np.ndarray, cuts: np.ndarray) -> Iterator[memoryview]:
+    """The forms of each document's ids, without the space behind the last; ``cuts`` says where a document's ids begin."""
+    _, offsets, data = forms.take(pa.array(ids)).buffers()
+    at = np.frombuffer(offsets, np.int64)[cuts]
+    raw = memoryview(data) if data is not None else memoryview(b"")
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        yield raw[a : max(a, b - 1)]
 
 
 _LOADED: dict[str, WordBpe] = {}
@@ -191,7 +279,8 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
 
     A null or empty text has no ids and decodes to the empty string.  Each row is on its
     own: repeated rows give repeated results, a null id is passed on, other columns are
-    ignored.  No shuffle; a text is encoded whole, whatever its length.
+    ignored, whatever their names.  No shuffle; a text is encoded whole, whatever its
+    length, and a piece of any length takes time in proportion to n log n.
     """
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     names = ["id", *[f"keep{i}" for i in range(len(keep))]]
@@ -201,14 +290,10 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
         bpe = loaded(path)
         for batch in batches:
             for part in slices(batch):
-                texts = [words_of(t or "") for t in column(part, "text").to_pylist()]
-                known = bpe.ready({w for t in texts for w in t})
-                ids = [[i for w in t for i in known[w]] for t in texts]
-                n = np.fromiter(map(len, ids), np.int64, len(ids))
-                flat = pa.array(np.fromiter(chain.from_iterable(ids), np.int32, int(n.sum())))
-                out = [pa.array(n), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), flat)]
+                ids, cuts = bpe.table.ids(column(part, "text"))
+                out = [pa.array(np.diff(cuts)), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids))]
                 if decoded:
-                    out.append(pa.array([bpe.decode(x) for x in ids], pa.string()))
+                    out.append(pa.array([str(x, "utf-8") for x in joined(bpe.spoken, ids, cuts)], pa.string()))
                 yield pa.RecordBatch.from_arrays([*[column(part, x) for x in names], *out], names=[*names, "n_tokens", "ids", "decoded"][: len(names) + len(out)])
 
     chosen = docs.select(col(id_col).alias("id"), *[col(k).alias(n) for k, n in zip(keep, names[1:])], col(text_col).alias("text"))
@@ -221,8 +306,7 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
 def encode_digest(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``encode`` with the ids and the decoded text only as SHA-256: ``id_col``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``.
 
-    The same encoder and decoder; the written forms of a word's ids and tokens are made
-    once for each word, so nothing but digests leaves the worker.
+    The decoded text is made from the document's ids; nothing but digests leaves the worker.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     path = path or vocabulary_path()
@@ -231,19 +315,10 @@ def encode_digest(docs: DataFrame, path: str | None = None, id_col: str = "doc_i
         bpe = loaded(path)
         for batch in batches:
             for part in slices(batch):
-                texts = [words_of(t or "") for t in column(part, "text").to_pylist()]
-                known = bpe.ready(new := {w for t in texts for w in t})
-                written = {w: (len(ids), " ".join(map(str, ids)), bpe.decode(ids)) for w in new if (ids := known[w])}
-                out: list[tuple[int, str, str]] = []
-                for t in texts:
-                    forms = [written[w] for w in t if w in written]
-                    out.append((sum([x[0] for x in forms]), _sha(" ".join([x[1] for x in forms])), _sha(" ".join([x[2] for x in forms]))))
-                n, ids, text = zip(*out)
-                yield pa.RecordBatch.from_arrays([column(part, "id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(text, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                ids, cuts = bpe.table.ids(column(part, "text"))
+                digests = [pa.array([hashlib.sha256(x).hexdigest() for x in joined(forms, ids, cuts)], pa.string()) for forms in (bpe.written, bpe.spoken)]
+                yield pa.RecordBatch.from_arrays([column(part, "id"), pa.array(np.diff(cuts)), *digests], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     out = docs.select(col(id_col).alias("id"), col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
     return out.withColumnRenamed("id", id_col)
 
-
-def _sha(text: str) -> str:
-    return hashlib.sha256(text.encode("utf-8")).hexdigest()

@@ -1,12 +1,15 @@
 """Shared pieces of the text operators: shared-folder scratch space and numpy word tables.
 
 The word tables work on the raw UTF-8 bytes of an Arrow string column, so a batch is
-split, hashed and windowed by a few array operations instead of a loop over words.
+split, hashed and windowed by a few array operations instead of a loop over words.  A
+single long text is read in steps, so what it takes beside its own bytes is a few
+numbers for each word.
 """
 
 from __future__ import annotations
 
 import atexit
+import hashlib
 import shutil
 import uuid
 from collections.abc import Iterator
@@ -125,18 +128,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse modulo 2**64."""
-    if len(_POWERS[0]) < n:
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            x = np.full(n, base, np.uint64)
-            x[0] = 1
-            _POWERS[i] = np.cumprod(x, dtype=np.uint64)
-    return _POWERS[0][:n], _POWERS[1][:n]
+#: Bytes of a text that one step of the word tables looks at, words that one step hashes, and the longest word hashed side by side with others.
+_STEP, _STEP_WORDS, _LONG = 4 << 20, 1 << 18, 64
+_MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
 
 class Words:
@@ -147,14 +141,17 @@ class Words:
         if lower:
             self.raw = LOWER[self.raw]
         n = len(self.raw)
-        is_word = inside[self.raw]
         edge = np.zeros(n + 1, bool)  # a text begins here
         edge[self.at] = True
-        begins, ends = is_word.copy(), is_word.copy()
-        if n:
-            begins[1:] &= ~is_word[:-1] | edge[1:-1]
-            ends[:-1] &= ~is_word[1:] | edge[1:-1]
-        self.start, self.end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        start, end = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for a in range(0, n, _STEP):
+            b = min(n, a + _STEP)
+            is_word = np.zeros(b - a + 2, bool)  # with a byte on either side
+            is_word[1:-1] = inside[self.raw[a:b]]
+            is_word[0], is_word[-1] = a > 0 and inside[self.raw[a - 1]], b < n and inside[self.raw[b % n]]
+            start.append(np.flatnonzero(is_word[1:-1] & (~is_word[:-2] | edge[a:b])) + a)
+            end.append(np.flatnonzero(is_word[1:-1] & (~is_word[2:] | edge[a + 1 : b + 1])) + a + 1)
+        self.start, self.end = np.concatenate(start), np.concatenate(end)
         self.first = np.searchsorted(self.start, self.at).astype(np.int64)
         self.counts = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(self.counts)), self.counts)
@@ -163,11 +160,45 @@ class Words:
         return len(self.start)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word: differences of one running polynomial sum."""
-        up, down = _powers(len(self.raw) + 1)
-        run = np.zeros(len(self.raw) + 1, np.uint64)
-        np.cumsum((self.raw.astype(np.uint64) + np.uint64(1)) * up[: len(self.raw)], out=run[1:])
-        return mix((run[self.end] - run[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
+        """A 64-bit hash of each word: eight bytes after eight are mixed into a state that begins with the length.
+
+        Words of more than 64 bytes are hashed one by one by BLAKE2b.
+        """
+        out = np.empty(len(self), np.uint64)
+        padded = np.concatenate([self.raw, np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(self.raw) + 1, np.dtype("<u8"), padded, strides=(1,))
+        for a in range(0, len(out), _STEP_WORDS):
+            start = self.start[a : a + _STEP_WORDS]
+            size = self.end[a : a + _STEP_WORDS] - start
+            h = mix(size.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+            live = np.flatnonzero(size <= _LONG)
+            done = 0
+            while len(live):
+                rest = size[live] - done
+                h[live] = mix(h[live] ^ (eight[start[live] + done] & _MASKS[np.minimum(rest, 8)]))
+                live = live[rest > 8]
+                done += 8
+            for i in np.flatnonzero(size > _LONG).tolist():
+                word = self.raw[start[i] : start[i] + size[i]].tobytes()
+                h[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+            out[a : a + _STEP_WORDS] = h
+        return out
+
+    def numbered(self) -> tuple[np.ndarray, list[str]]:
+        """The number of each word, equal for equal words only, and the distinct words by their numbers; no word holds a space."""
+        offsets = np.zeros(len(self) + 1, np.int64)
+        np.cumsum(self.end - self.start, out=offsets[1:])
+        words = pa.Array.from_buffers(pa.large_string(), len(self), [None, pa.py_buffer(offsets), pa.py_buffer(self.raw[self._inside()])]).dictionary_encode()
+        empty, space = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
+        lines = raw_text(pc.binary_join_element_wise(words.dictionary, empty, space))[0]  # a space behind each
+        return words.indices.to_numpy(), lines.tobytes().decode("utf-8").split(" ")[:-1]
+
+    def _inside(self) -> np.ndarray:
+        """Which bytes belong to words."""
+        keep = np.zeros(len(self.raw) + 1, np.int8)
+        keep[self.start] += 1
+        keep[self.end] -= 1  # a word that begins where another text's word ends adds up to none
+        return np.cumsum(keep[:-1], dtype=np.int8).astype(bool)
 
     def grams(self, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of ``k`` consecutive words, one for each word, and whether those words lie in one text."""
@@ -185,13 +216,9 @@ class Words:
         begin = np.zeros(len(size), np.int64)
         np.cumsum(size[:-1] + 1, out=begin[1:])
         out = np.full(int(size.sum() + max(0, len(size) - 1)), 32, np.uint8)
-        keep = np.zeros(len(self.raw) + 1, np.int8)
-        keep[self.start] += 1
-        keep[self.end] -= 1  # a word that begins where another text's word ends adds up to none
-        inside = np.cumsum(keep[:-1], dtype=np.int8).astype(bool)
         gap = np.ones(len(out), bool)
         gap[(begin + size)[:-1]] = False
-        out[gap] = self.raw[inside]
+        out[gap] = self.raw[self._inside()]
         return out.tobytes(), begin, begin + size
 
 

@@ -22,7 +22,6 @@ Binary columns are zstd frames behind their length.
 from __future__ import annotations
 
 import os
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -32,19 +31,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import vocabulary_path
-from .common import Words, col, column, deflate, inflate, scratch, slices, total_bytes
+from .bpe import NOT_PLAIN, UnitTable, byte_letters, vocabulary_path
+from .common import col, column, deflate, inflate, scratch, slices, total_bytes
 
 END = 2
 #: Ids of a shard, about; a document is never cut.
 SHARD_IDS = 1 << 20
 #: Text for each output partition.
 PART_BYTES = 24 << 20
-#: Words whose ids a worker keeps; beyond it the table starts anew.
-KNOWN_WORDS = 1_000_000
 #: A pair is replaced if it occurs so often in its shard.
 FREQUENT = 24
-_CELLS = 1 << 20
+_CELLS = 1 << 16
 
 SHARDS = "part int, shard int, base int, n_docs long, n_ids long, docs binary, nulls binary, counts binary, rules binary, lengths binary, symbols binary"
 
@@ -60,7 +57,7 @@ def re_pair(ids: np.ndarray, base: int, rounds: int | None = None) -> tuple[np.n
     live = np.arange(max(0, len(seq) - 1))  # places whose pairs may be frequent: all places of such a pair are among them
     while len(live) and (rounds is None or len(rules) <= rounds):
         key = (seq[live].astype(np.uint64) << np.uint64(32)) | seq[live + 1]
-        cell = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+        cell = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.int64)
         some = np.flatnonzero(np.bincount(cell, minlength=_CELLS)[cell] >= FREQUENT)  # a cell counts at least its pairs
         pairs, which, n = np.unique(key[some], return_inverse=True, return_counts=True)
         rank = np.empty(len(n), np.int64)
@@ -157,15 +154,12 @@ def expand_range(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, ba
 
 
 class _Library:
-    """The tokenizers library, asked once for each word between ASCII white space: the vocabulary's rules never look across it.
+    """The tokenizers library, asked once for each unit that a worker meets: the vocabulary's rules never look across white space.
 
-    The ids of all known words lie in one array; ``place`` has a word's number by its
-    64-bit hash, and ``starts`` where its ids begin.
+    Pieces of plain words go to the library's model, which takes them as letters that
+    stand for bytes; other words go through all of its steps.
     """
 
-    #: A control character is one token that no other character can give; words that hold it are encoded alone.
-    MARK = "\x01"
-
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -174,70 +168,19 @@ class _Library:
         self.library.no_padding()
         self.library.no_truncation()
         self.size = self.library.get_vocab_size(with_added_tokens=True)
-        (self.mark,) = self._encode([self.MARK])[0]
-        self.is_last = np.zeros(self.size, bool)
-        self.is_last[[i for t, i in self.library.get_vocab().items() if t.endswith("</w>")]] = True
-        self._forget()
-
-    def _forget(self) -> None:
-        self.place: dict[int, int] = {}
-        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _joined(self, words: list[str], between: str) -> np.ndarray:
-        """Ids of words encoded many in one text, one after the other."""
-        parts = self._encode([between.join(words[i : i + 256]) + between for i in range(0, len(words), 256)])
-        return np.array([i for x in parts for i in x], np.uint32)
-
-    def learn(self, keys: list[int], words: list[bytes]) -> None:
-        """Encodes new words, many in one text.
-
-        A word of letters alone is one piece, whose last token has the vocabulary's
-        suffix, so only a space stands between such words; others have a mark between
-        them, and words that hold the mark itself are encoded alone.
-        """
-        plain, other, odd = ([], []), ([], []), ([], [])
-        for k, w in zip(keys, words):
-            t = w.decode("utf-8")
-            if t.isalpha() and (t.isascii() or unicodedata.normalize("NFC", t).lower().isalpha()):
-                to = plain
-            else:
-                to = odd if self.MARK in t else other
-            to[0].append(k)
-            to[1].append(t)
-        a, b = self._joined(plain[1], " "), self._joined(other[1], f" {self.MARK} ")
-        c = [np.array(x, np.uint32) for x in self._encode(odd[1])]
-        gap = b == self.mark
-        n = np.concatenate([np.diff(np.flatnonzero(self.is_last[a]), prepend=-1), np.diff(np.flatnonzero(gap), prepend=-1) - 1, np.fromiter(map(len, c), np.int64, len(c))])
-        order = [*plain[0], *other[0], *odd[0]]
-        if len(n) != len(order):
-            raise ValueError("the vocabulary splits words in a way that isn't expected here")
-        self.place.update(zip(order, range(len(self.place), len(self.place) + len(order))))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(n)])
-        self.flat = np.concatenate([self.flat, a, b[~gap], *c])
+        letters = byte_letters()
+        self.letters = {ord(c): "".join(letters[b] for b in c.encode("utf-8")) for c in map(chr, range(0xC0, 0x100))}
+        self.table = UnitTable(self.encode)
+
+    def encode(self, units: list[str]) -> list[list[int]]:
+        take, whole, letters = self.library.model.tokenize, self.library.encode, self.letters
+        return [whole(x, add_special_tokens=False).ids if NOT_PLAIN.search(x) else [t.id for t in take(x if x.isascii() else x.translate(letters))] for x in units]
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of each text with END behind them; a null is an empty text.  Equal words of the slice are looked up once."""
-        words = Words(texts)
-        keys, first, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        known = list(map(self.place.get, keys.tolist()))
-        if None in known:
-            new = np.array([i for i, x in enumerate(known) if x is None])
-            if len(self.place) + len(new) > KNOWN_WORDS:
-                self._forget()
-                new = np.arange(len(keys))
-            raw, some = words.raw.tobytes(), first[new]
-            self.learn(keys[new].tolist(), [raw[a:b] for a, b in zip(words.start[some].tolist(), words.end[some].tolist())])
-            known = list(map(self.place.__getitem__, keys.tolist()))
-        at = np.array(known, np.int64)[which]
-        n = np.diff(self.starts)[at]
-        ends = np.cumsum(n)
-        out = self.flat[np.repeat(self.starts[at] - ends + n, n) + np.arange(ends[-1] if len(n) else 0)]
-        cuts = np.concatenate([[0], ends])[words.first]
+        """Ids of each text with END behind them; a null is an empty text."""
+        flat, cuts = self.table.ids(texts)
         last = np.array([END], np.uint32)
-        return [np.concatenate([out[a:b], last]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        return [np.concatenate([flat[a:b].astype(np.uint32), last]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
 
 _LIBRARIES: dict[str, _Library] = {}

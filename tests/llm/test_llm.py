@@ -68,6 +68,28 @@ def test_words():
     assert joined.packed()[0] == b"ab cd"
 
 
+def thue_morse(n):
+    """Two words that differ in each letter and that sums with powers modulo 2**64 can't tell apart."""
+    x = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[i] for i in x), "".join("ba"[i] for i in x)
+
+
+def test_word_hashes():
+    texts = [w for n in (16, 64, 65, 1024, 4096) for w in thue_morse(n)] + ["a" * n for n in range(1, 140)] + [f"{i}" for i in range(5000)] + ["a\x00", "a\x00\x00", "\x00"]
+    w = Words(pa.array(texts))
+    assert len(set(w.hashes().tolist())) == len(set(texts))
+    number, names = w.numbered()
+    assert [names[i] for i in number.tolist()] == texts
+
+
+def test_long_text():
+    """A text of several steps of the word tables."""
+    text = "ab  cdé " * 1_100_000
+    w = Words(pa.array(["x", text, text[:8], "é"]))
+    assert w.counts.tolist() == [1, 2_200_000, 2, 1] and set((w.end - w.start).tolist()) == {1, 2, 4}
+    assert len(np.unique(w.hashes())) == 4
+
+
 def test_frames():
     for x in (b"", b"abc" * 1000):
         assert inflate(deflate(x)) == x
@@ -340,6 +362,28 @@ def test_long_piece(library):
         assert b.encode(word) == library.encode(word, add_special_tokens=False).ids
 
 
+def test_long_word(library):
+    """A word of a million letters, and others whose pieces are longer than those that are merged side by side."""
+    r = np.random.default_rng(5)
+    letters = "".join(r.choice(list("etaoinshrdlu"), 1 << 20))
+    b = bpe.loaded(bpe.vocabulary_path())
+    assert b.encode(letters) == library.encode(letters, add_special_tokens=False).ids
+    assert "".join(b.decode(b.encode(letters)).split()).replace("</w>", "") == letters
+
+
+def test_units(library):
+    """Words of all kinds of letters and marks, cut in the quick way or the full one, give the library's ids."""
+    r = np.random.default_rng(8)
+    marks = [*"abzABZ019", *"ÀÉÖ×÷ØßàöøþÿŸĀªº²¼", *"'.,-_<|>&$%!?", *" \n\t\x0b\x1c\x1f\x7f\x00\x85\xa0", "e\u0301", "\u0301", "Σ", "σ", "İ", "日", "ก", "ا", "👩", "'s", "'LL", "<|endoftext|>", "<|startoftext|>"]
+    texts = ["".join(r.choice(marks, r.integers(0, 30))) for _ in range(3000)]
+    for table in (bpe.loaded(bpe.vocabulary_path()).table, tokens._Library(bpe.vocabulary_path()).table):
+        ids, cuts = table.ids(pa.array(texts))
+        for t, a, b in zip(texts, cuts.tolist(), cuts[1:].tolist()):
+            assert ids[a:b].tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+    few = bpe.UnitTable(bpe.loaded(bpe.vocabulary_path()).encode_units, most=50)  # starts anew many times
+    assert [few.ids(pa.array([t]))[0].tolist() for t in texts[:200]] == [library.encode(t, add_special_tokens=False).ids for t in texts[:200]]
+
+
 def test_re_pair():
     r = np.random.default_rng(1)
     for ids in (np.zeros(0), np.array([5]), np.full(1001, 7), r.integers(0, 9, 5000), np.tile([1, 2, 1, 2, 2], 300)):
