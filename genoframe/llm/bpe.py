@@ -70,7 +70,7 @@ class Units(Words):
             words = Words(texts)
             whole = odd[words.end] > odd[words.start]
             self.start, self.end = words.start[whole], words.end[whole]
-            inside = self._inside()
+            inside = self.inside()
             self.raw[inside] = raw[inside]
             kind[inside] = _WHOLE
         other = np.ones(len(raw) + 1, bool)  # another kind begins here, or another text

@@ -188,12 +188,12 @@ class Words:
         """The number of each word, equal for equal words only, and the distinct words by their numbers; no word holds a space."""
         offsets = np.zeros(len(self) + 1, np.int64)
         np.cumsum(self.end - self.start, out=offsets[1:])
-        words = pa.Array.from_buffers(pa.large_string(), len(self), [None, pa.py_buffer(offsets), pa.py_buffer(self.raw[self._inside()])]).dictionary_encode()
+        words = pa.Array.from_buffers(pa.large_string(), len(self), [None, pa.py_buffer(offsets), pa.py_buffer(self.raw[self.inside()])]).dictionary_encode()
         empty, space = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
         lines = raw_text(pc.binary_join_element_wise(words.dictionary, empty, space))[0]  # a space behind each
         return words.indices.to_numpy(), lines.tobytes().decode("utf-8").split(" ")[:-1]
 
-    def _inside(self) -> np.ndarray:
+    def inside(self) -> np.ndarray:
         """Which bytes belong to words."""
         keep = np.zeros(len(self.raw) + 1, np.int8)
         keep[self.start] += 1
@@ -218,7 +218,7 @@ class Words:
         out = np.full(int(size.sum() + max(0, len(size) - 1)), 32, np.uint8)
         gap = np.ones(len(out), bool)
         gap[(begin + size)[:-1]] = False
-        out[gap] = self.raw[self._inside()]
+        out[gap] = self.raw[self.inside()]
         return out.tobytes(), begin, begin + size
 
 

@@ -3,8 +3,12 @@
 The sketch is a log-linear histogram of integer measures: 32 bins for each power of
 two, so a bin is at most 1/32 of its value wide.  Sketches merge by adding counts,
 which is an ordinary grouped sum with map-side combining; a language and source that
-hold a third of all rows still arrive as a few hundred rows for each task.  Quantiles
-of a group give its fences, and the documents are filtered by a join with them.
+hold a third of all rows still arrive as a few hundred rows for each task.
+
+A group's sketch is blended with that of its language, which counts as PRIOR documents,
+so a small source is judged by its language and a large one by itself.  An upper
+quantile of the blend, and its distance to the median, give each threshold; documents
+are filtered by a join with them.  No threshold has a constant part.
 """
 
 from __future__ import annotations
@@ -24,10 +28,15 @@ LETTER = np.ones(256, bool)  # bytes that begin a code point
 LETTER[128:192] = False
 REPEAT = 5
 MEASURES = ("symbols", "repeats", "lines", "letters")
-#: What a measure may exceed the group's third quartile by, besides 3 interquartile ranges: symbols, repeated
-#: words and repeated lines in thousandths of the words, mean letters of a word in hundredths.
-SLACK = {"symbols": 250, "repeats": 200, "lines": 50, "letters": 400}
-SPREAD = 3
+#: Each measure's count, and what of it is measured: thousandths of the words, hundredths of a letter.
+COUNTS = {"symbols": ("n_symbols", 1000), "repeats": ("n_repeat_words", 1000), "lines": ("n_dup_lines", 1000), "letters": ("word_chars", 100)}
+#: Threshold of a measure: its quantile of so many hundredths, plus so many times the distance from the median to there.
+FENCES = {"symbols": (75, 3), "repeats": (99, 1), "lines": (99, 1), "letters": (90, 4)}
+#: Standard errors by which a count must exceed what the threshold allows in a text of that length, so that
+#: short texts aren't judged by chance.  Repeats come in bunches, whose count has no such error.
+ERRORS = {"symbols": 3, "repeats": 0, "lines": 0, "letters": 3}
+#: Documents of its language that a group's sketch is blended with.
+PRIOR = 200
 #: Thresholds of so many groups are small enough to be sent to every executor; more are joined by a shuffle.
 FEW_GROUPS = 50_000
 MEASURED = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -56,10 +65,7 @@ def _counts(texts: pa.Array) -> list[np.ndarray]:
     words = Words(texts)
     raw, at = words.raw, words.at
     total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x, dtype=np.int64)])[at])
-    inside = np.zeros(len(raw) + 1, np.int8)
-    inside[words.start] += 1
-    inside[words.end] -= 1
-    word_chars = total((np.cumsum(inside[:-1], dtype=np.int8) > 0) & LETTER[raw])
+    word_chars = total(words.inside() & LETTER[raw])
     lines = []
     for t in texts.to_pylist():
         full = [x for x in (t or "").split("\n") if x.strip("\t\n\x0b\x0c\r ")]
@@ -81,9 +87,15 @@ def _counts(texts: pa.Array) -> list[np.ndarray]:
 
 def measures() -> dict[str, Column]:
     """The measures that thresholds apply to, as integers; null without words."""
-    n = F.col("n_words")
-    per = lambda c, k: F.when(n > 0, F.expr(f"{c} * {k} div n_words"))
-    return {"symbols": per("n_symbols", 1000), "repeats": per("n_repeat_words", 1000), "lines": per("n_dup_lines", 1000), "letters": per("word_chars", 100)}
+    return {m: F.when(F.col("n_words") > 0, F.expr(f"{count} * {scale} div n_words")) for m, (count, scale) in COUNTS.items()}
+
+
+def exceeds(measure: str, most: Column) -> Column:
+    """Whether a document's count is above what a threshold allows, by more than its standard errors; not without a threshold."""
+    count, scale = COUNTS[measure]
+    allowed = most.cast("double") * F.col("n_words")
+    over = F.col(count).cast("double") * scale - allowed
+    return F.coalesce((over > 0) & (over * over > float(ERRORS[measure] ** 2 * scale) * (allowed + scale)), F.lit(False))
 
 
 def base_failed() -> Column:
@@ -99,33 +111,51 @@ def sketches(measured: DataFrame, groups: tuple[str, ...]) -> DataFrame:
 
 
 def thresholds(sketch: DataFrame, groups: tuple[str, ...]) -> DataFrame:
-    """One row for each group with ``<measure>_most``: third quartile, SPREAD interquartile ranges and the slack."""
+    """One row for each group with ``<measure>_most``, from its sketch blended with that of all groups that share the first of ``groups``.
+
+    Bins are weighed as the group's count times the language's size plus PRIOR times the
+    language's count: whole numbers, so the order of summing doesn't matter.
+    """
+    wide = groups[:1]
+    names = {g: F.col(g).alias(f"w{i}") for i, g in enumerate(wide)}
+    language = sketch.groupBy(*map(col, wide), "measure", "bin").agg(F.sum("n").cast("double").alias("n_wide"))
+    language = language.withColumn("all_wide", F.sum("n_wide").over(Window.partitionBy(*map(col, wide), "measure")))
+    language = language.select(*names.values(), F.col("measure").alias("m"), F.col("bin").alias("b"), "n_wide", "all_wide")
+    same = [F.col(g).eqNullSafe(F.col(f"w{i}")) for i, g in enumerate(wide)] + [F.col("measure") == F.col("m")]
+    own = sketch.groupBy(*map(col, groups), "measure").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("bins"))  # a few hundred bins
+    weight = F.coalesce(F.try_element_at("bins", F.col("b")), F.lit(0)) * F.col("all_wide") + PRIOR * F.col("n_wide")
+    blend = own.join(language, same).select(*map(col, groups), "measure", "b", weight.alias("w"))
     group = Window.partitionBy(*map(col, groups), "measure")
-    bins = sketch.withColumn("upto", F.sum("n").over(group.orderBy("bin"))).withColumn("all", F.sum("n").over(group))
-    low = F.expr("CASE WHEN bin < 64 THEN bin ELSE shiftleft(bin - 32 * (bin div 32 - 1), cast(bin div 32 - 1 AS int)) END")
-    at = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("all") * q, low))
-    cuts = bins.groupBy(*map(col, groups), "measure").agg(at(1).alias("q1"), at(3).alias("q3"))
-    most = F.col("q3") + SPREAD * (F.col("q3") - F.col("q1"))
-    return cuts.groupBy(*map(col, groups)).agg(*[F.max(F.when(F.col("measure") == m, most + SLACK[m])).alias(f"{m}_most") for m in MEASURES])
+    bins = blend.withColumn("upto", F.sum("w").over(group.orderBy("b"))).withColumn("all", F.sum("w").over(group))
+    low = F.expr("CASE WHEN b < 64 THEN b ELSE shiftleft(b - 32 * (b div 32 - 1), cast(b div 32 - 1 AS int)) END")
+    at = lambda q: F.min(F.when(F.col("upto") * 100 >= F.col("all") * q, low))
+    level = F.create_map(*[F.lit(x) for m, (p, _) in FENCES.items() for x in (m, p)])
+    reach = F.create_map(*[F.lit(x) for m, (_, r) in FENCES.items() for x in (m, r)])
+    cuts = bins.groupBy(*map(col, groups), "measure").agg(at(50).alias("mid"), at(level[F.col("measure")]).alias("high"))
+    most = F.col("high") + reach[F.col("measure")] * (F.col("high") - F.col("mid"))
+    return cuts.groupBy(*map(col, groups)).agg(*[F.max(F.when(F.col("measure") == m, most)).alias(f"{m}_most") for m in MEASURES])
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", groups: tuple[str, ...] = ("lang", "source"), keep: tuple[str, ...] = ()) -> DataFrame:
     """``id_col``, the columns ``keep``, the counts of MEASURED, ``base_failed`` and ``kept`` for each row.
 
     ``kept`` is false for rows that fail the base rules and for those that exceed a
-    threshold of their language and source.  A null or empty text has no words and
-    fails; a null language or source is a group of its own; a group none of whose rows
-    pass the base rules has no thresholds.  Repeated rows count each time and give
-    repeated results; a null id is passed on; other columns are ignored.
+    threshold of their language and source (``groups``; the first one is the language).
+    A null or empty text has no words and fails; a null language or source is a group of
+    its own; a group none of whose rows pass the base rules has no thresholds.  Very long
+    texts are measured whole.  Repeated rows count each time and give repeated results;
+    a null id is passed on; other columns are ignored, whatever their names.  Texts are
+    measured once, unless columns are to be kept, which are read again instead of stored.
     """
     names = tuple(f"g{i}" for i in range(len(groups)))
     kept = tuple(f"k{i}" for i in range(len(keep)))
     plain = docs.select(col(id_col).alias("id"), col(text_col).alias("text"), *[col(g).alias(n) for g, n in zip(groups, names)], *[col(k).alias(n) for k, n in zip(keep, kept)])
-    cuts = settled(thresholds(sketches(measure(plain, "id", "text", names), names), names).toDF(*[f"t{i}" for i in range(len(names))], *[f"{m}_most" for m in MEASURES]), "thresholds")
+    once = measure(plain, "id", "text", names) if keep else settled(measure(plain, "id", "text", names), "measured")
+    cuts = settled(thresholds(sketches(once, names), names).toDF(*[f"t{i}" for i in range(len(names))], *[f"{m}_most" for m in MEASURES]), "thresholds")
     few = cuts.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
-    rows = measure(plain, "id", "text", (*names, *kept))
+    rows = measure(plain, "id", "text", (*names, *kept)) if keep else once
     same = [F.col(g).eqNullSafe(F.col(f"t{i}")) for i, g in enumerate(names)]
-    over = [F.coalesce(v > F.col(f"{m}_most"), F.lit(False)) for m, v in measures().items()]
+    over = [exceeds(m, F.col(f"{m}_most")) for m in MEASURES]
     bad = over[0] | over[1] | over[2] | over[3]
     return rows.join(F.broadcast(cuts) if few else cuts, same, "left").select(
         F.col("id").alias(id_col), *[F.col(n).alias(k) for n, k in zip(kept, keep)], *[x.split()[0] for x in MEASURED.split(", ")], base_failed().alias("base_failed"), (~base_failed() & ~bad).alias("kept")

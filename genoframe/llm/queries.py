@@ -164,18 +164,33 @@ words AS (
     FROM based WHERE NOT base_failed)
 ), bins AS (
   SELECT lang, source, m, b, count(*) AS n FROM stacked GROUP BY ALL
+), wide AS (
+  SELECT lang, m, b, sum(n)::DOUBLE AS nw FROM bins GROUP BY ALL
+), widest AS (
+  SELECT *, sum(nw) OVER (PARTITION BY lang, m) AS aw FROM wide
+), owners AS (
+  SELECT DISTINCT lang, source, m FROM bins
+), blend AS (
+  SELECT o.lang, o.source, o.m, x.b, coalesce(y.n, 0) * x.aw + 200 * x.nw AS n
+  FROM owners o JOIN widest x ON o.lang IS NOT DISTINCT FROM x.lang AND o.m = x.m
+  LEFT JOIN bins y ON y.lang IS NOT DISTINCT FROM o.lang AND y.source IS NOT DISTINCT FROM o.source AND y.m = o.m AND y.b = x.b
 ), upto AS (
   SELECT *, sum(n) OVER (PARTITION BY lang, source, m ORDER BY b) AS u, sum(n) OVER (PARTITION BY lang, source, m) AS a,
-         CASE WHEN b < 64 THEN b ELSE (b - 32 * (b // 32 - 1)) << (b // 32 - 1) END AS low FROM bins
+         CASE WHEN b < 64 THEN b ELSE (b - 32 * (b // 32 - 1)) << (b // 32 - 1) END AS low FROM blend
 ), cuts AS (
-  SELECT lang, source, m, min(low) FILTER (WHERE u * 4 >= a) AS q1, min(low) FILTER (WHERE u * 4 >= a * 3) AS q3 FROM upto GROUP BY ALL
+  SELECT lang, source, m, min(low) FILTER (WHERE u * 100 >= a * 50) AS mid,
+         min(low) FILTER (WHERE u * 100 >= a * CASE m WHEN 'symbols' THEN 75 WHEN 'letters' THEN 90 ELSE 99 END) AS high FROM upto GROUP BY ALL
 ), fences AS (
-  SELECT lang, source, max(q3 + 3 * (q3 - q1) + 250) FILTER (WHERE m = 'symbols') AS s, max(q3 + 3 * (q3 - q1) + 200) FILTER (WHERE m = 'repeats') AS r,
-         max(q3 + 3 * (q3 - q1) + 50) FILTER (WHERE m = 'lines') AS l, max(q3 + 3 * (q3 - q1) + 400) FILTER (WHERE m = 'letters') AS c FROM cuts GROUP BY ALL
-), judged AS (
-  SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-         NOT base_failed AND NOT coalesce(n_symbols * 1000 // n_words > s OR n_repeat_words * 1000 // n_words > r OR n_dup_lines * 1000 // n_words > l OR word_chars * 100 // n_words > c, false) AS kept
+  SELECT lang, source, max(high + 3 * (high - mid)) FILTER (WHERE m = 'symbols') AS s, max(high + (high - mid)) FILTER (WHERE m = 'repeats') AS r,
+         max(high + (high - mid)) FILTER (WHERE m = 'lines') AS l, max(high + 4 * (high - mid)) FILTER (WHERE m = 'letters') AS c FROM cuts GROUP BY ALL
+), over AS (
+  SELECT b.*, n_symbols * 1000.0::DOUBLE - s::DOUBLE * n_words AS os, s::DOUBLE * n_words AS es, n_repeat_words * 1000.0::DOUBLE - r::DOUBLE * n_words AS ors,
+         n_dup_lines * 1000.0::DOUBLE - l::DOUBLE * n_words AS ol, word_chars * 100.0::DOUBLE - c::DOUBLE * n_words AS oc, c::DOUBLE * n_words AS ec
   FROM based b LEFT JOIN fences f ON b.lang IS NOT DISTINCT FROM f.lang AND b.source IS NOT DISTINCT FROM f.source
+), judged AS (
+  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+         NOT base_failed AND NOT coalesce((os > 0 AND os * os > 9000 * (es + 1000)) OR ors > 0 OR ol > 0 OR (oc > 0 AND oc * oc > 900 * (ec + 100)), false) AS kept
+  FROM over
 )
 """
 OP3_SQL = "WITH " + QUALITY_CTES.replace("{docs}", "documents") + "SELECT * FROM judged"

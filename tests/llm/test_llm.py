@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from genoframe.llm import bpe, classifier, decontaminate, html, lm, near, quality, substring, tokens, warc
 from genoframe.llm.common import Words, deflate, inflate
@@ -194,6 +195,92 @@ def test_quality(spark):
     assert quality.judge(empty(spark)).count() == 0
 
 
+def brute_thresholds(rows):
+    """Thresholds per (lang, source) from lists of (lang, source, measures), by sorting weighted bins."""
+
+    def low(v):
+        shift = max(0, v.bit_length() - 6)
+        return v >> shift << shift
+
+    out = {}
+    for key in {(lang, source) for lang, source, _ in rows}:
+        language = [m for lang, _, m in rows if lang == key[0]]
+        own = [m for lang, source, m in rows if (lang, source) == key]
+        for k, (p, reach) in quality.FENCES.items():
+            weight = Counter()
+            for m in language:
+                weight[low(m[k])] += quality.PRIOR
+            for m in own:
+                weight[low(m[k])] += len(language)
+            total, upto, at = sum(weight.values()), 0, {}
+            for v in sorted(weight):
+                upto += weight[v]
+                for q in (50, p):
+                    if upto * 100 >= total * q:
+                        at.setdefault(q, v)
+            out[*key, k] = at[p] + reach * (at[p] - at[50])
+    return out
+
+
+def quality_texts():
+    """Plain documents whose measures vary by source, and for each measure one that only it can tell from them."""
+    r = np.random.default_rng(2)
+    rows = []
+    plain = lambda n: list(r.choice(LOREM, n))
+    for i in range(500):
+        words = plain(int(r.integers(150, 250)))
+        if i % 10 == 0:
+            words += words[:5]  # some repeat a little
+        text = " ".join(words)
+        if i % 12 == 0:
+            text += "\nsame\nsame"
+        if i % 2 and i % 6 == 1:
+            text += " #"
+        rows.append((text, "en", f"s{i % 2}"))
+    words = plain(600)
+    outliers = {
+        "repeats": " ".join(words + words[:65]),
+        "lines": "\n".join([*words[:200], *["the", "fox", "sea"] * 6]),
+        "symbols": " ".join(words[:200]) + " &&&&& %%%%%",
+        "letters": " ".join(w + "ingly" for w in words[:200]),
+    }
+    for i, m in enumerate(quality.MEASURES):
+        rows += [(outliers[m], "en", "s0")]
+    return rows, {len(rows) - len(quality.MEASURES) + i: m for i, m in enumerate(quality.MEASURES)}
+
+
+def test_quality_thresholds(spark):
+    """Each measure rejects a document by itself, plain ones stay, and thresholds are those of the definition."""
+    rows, planted = quality_texts()
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.judge(df, keep=("lang", "source")).collect()}
+    assert {i: r.kept for i, r in got.items()} == {r.doc_id: r.kept for r in quality.judge(df).collect()}
+    measured = {i: {m: getattr(r, c) * s // r.n_words for m, (c, s) in quality.COUNTS.items()} for i, r in got.items()}
+    most = brute_thresholds([(r.lang, r.source, measured[i]) for i, r in got.items() if not r.base_failed])
+    for i, r in got.items():
+        over = set()
+        for m, (count, scale) in quality.COUNTS.items():
+            allowed = most[r.lang, r.source, m] * r.n_words
+            more = getattr(r, count) * scale - allowed
+            if more > 0 and more**2 > quality.ERRORS[m] ** 2 * scale * (allowed + scale):
+                over.add(m)
+        assert r.kept == (not r.base_failed and not over), (i, over)
+        if i in planted:
+            assert not r.base_failed and over == {planted[i]}, (planted[i], over)
+    assert sum(not got[i].kept for i in got if i not in planted) <= 5
+    assert len({most["en", s, "symbols"] for s in ("s0", "s1")}) == 2
+
+
+def test_quality_odd_rows(spark):
+    """Nulls, an empty table, repeated rows and ties, and other columns of all names."""
+    df = docs(spark).withColumns({"id": F.lit(1), "g0": F.lit("x"), "measure": F.lit(2), "kept": F.lit(3)})
+    got = quality.judge(df).collect()
+    assert len(got) == df.count() and {r.doc_id: r.kept for r in got}[None] in (True, False)
+    twice = quality.judge(df.union(df)).collect()
+    assert Counter((r.doc_id, r.kept) for r in twice) == Counter({(r.doc_id, r.kept): 2 for r in got})
+    assert quality.judge(df.filter("false"), keep=("text",)).count() == 0
+
+
 def test_sketch_merges(spark):
     df = quality.measure(docs(spark), keep=("lang", "source"))
     whole = {tuple(r)[:-1]: r.n for r in quality.sketches(df, ("lang", "source")).collect()}
