@@ -1,13 +1,13 @@
 """Main text of web pages by the maximum-scoring subsequence.
 
-A page is a row of items: words, which score positive, and tags, which score negative.
-The weight of a word depends on the element it stands in and the weight of a tag on its
-name and on what its class, id or role says; weights are the log odds that such items
-lie inside the main text of labelled pages.  One scan finds the contiguous run of items
-with the largest sum, which begins and ends at the main content.  Inside it, elements
-that hold no running text (menus, forms, scripts) are left out, and so are those whose
-class, id or role lowers their score below what their running words give them (adverts,
-comments, sidebars, but not an article's wrapper with such a name).
+A page is a row of items: words, which score positive in running text, and tags, which
+score negative.  A word's score is its log odds of being main text, given the elements
+it stands in and what their class, id or role says; a logistic regression learns it
+from labelled pages, as it learns each tag's share outside of main text.  One linear
+scan finds the contiguous run of items with the largest sum, and this run alone decides
+where the main text begins and ends.  Between its words, elements of the kinds that are
+no part of an article (adverts, comments, asides, menus) are left out where their own
+items sum up below zero; forms, scripts and what isn't shown hold no words at all.
 """
 
 from __future__ import annotations
@@ -15,10 +15,12 @@ from __future__ import annotations
 import html as entities
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -28,10 +30,13 @@ from .common import col, column, slices
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
-#: Elements whose words are never main text.
-OUTSIDE = frozenset("head nav footer aside form script style noscript template iframe button select option textarea input label dialog menu svg math canvas object audio video map fieldset noembed noframes search title".split())
-#: Words in a class, id or role that speak against main text.
+#: Elements that hold no running text.
+WORDLESS = frozenset("head form script style noscript template iframe button select option textarea input label svg math canvas object audio video map fieldset noembed noframes title".split())
+#: Elements that may be left out of the run, as those with MARKS may.
+ASIDE = frozenset("nav aside header footer menu dialog search".split())
+#: Words in a class, id or role that tell of adverts, comments, menus and the like; what they weigh is learned.
 MARKS = frozenset("ad ads adv advert adverts advertisement advertising adbox adslot banner sponsor sponsored promo promotion promoted comment comments commentlist disqus respond reply replies discussion sidebar aside widget rail related recommended recommendations readmore trending popular menu navbar navigation nav breadcrumb breadcrumbs pagination pager footer colophon copyright masthead topbar toolbar header cookie cookies consent gdpr notice notices alert warning popup modal overlay newsletter subscribe subscription signup login share sharing social follow tags skip toc search complementary contentinfo dialog paywall".split())
+COMMENTS = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _PART = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
@@ -41,100 +46,97 @@ _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr
 
 
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
-#: Scores of marks that no labelled page has: in a class or role, and in an id, which is often just an anchor.
-MARK, MARK_ID = -3.0, -1.0
-#: What running words add to an element's score at most, unless most of the page's are in it.
-RUNNING = 2.5
+#: What a tag costs that is never inside main text.
+TAG = 0.3
+#: Labels: main text, and what in it is no main text.
+LABELS = {"<!--[-->": 1, "<!--]-->": -1, "<!--{-->": -1, "<!--}-->": 1}
+_EMPTY: frozenset[str] = frozenset()
+_MAIN = frozenset(["article", "main"])
 
 
 @lru_cache(4096)
-def _named(attributes: str) -> tuple[bool, tuple[tuple[bool, tuple[str, ...]], ...]]:
-    """Whether an element is not shown, and the parts of each word in its class, id and role (with whether it is an id)."""
-    hidden, words = False, []
-    for name, value in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
+def _own(name: str, attributes: str) -> tuple[bool, bool, frozenset[str]]:
+    """Of one element: whether it is not shown, whether it may be left out of the run, and its features."""
+    hidden, marked, features = False, name in ASIDE, {name}
+    for key, value in _ATTRIBUTE.findall(attributes):
+        key, value = key.lower(), value.strip("\"'")
+        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
             hidden = True
-        elif name == "style":
+        elif key == "style":
             hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
-        elif name in ("class", "id", "role"):
-            words += [(name == "id", tuple(x.lower() for x in _PART.findall(w))) for w in value.split()]
-    return hidden, tuple(words)
-
-
-def _mark_score(name: str, words: tuple[tuple[bool, tuple[str, ...]], ...], parts: dict[str, float]) -> float | None:
-    """What the words in an element's class, id and role say for main text; None without any mark."""
-    if name in ("html", "body", "article", "main"):
-        return None
-    words = [(is_id, w) for is_id, w in words if not (is_id and name in HEADINGS)]
-    if not any(x in MARKS for _, w in words for x in w):
-        return None
-    score = 0.0
-    for is_id, w in words:
-        weak = MARK_ID / MARK if is_id else 1.0
-        marks = [parts.get("#" * is_id + x, weak * parts.get(x, MARK)) for x in w if x in MARKS]
-        others = [parts.get("#" * is_id + x, 0.0) for x in w if x not in MARKS]
-        score += min(marks, default=0.0) + max(others, default=0.0)
-    return score
-
-
-def _weighed(found: list[tuple[str, str, str, bool, int]], elements: list[tuple[int, float]]) -> list[tuple[str, str, str, bool]]:
-    """The items, with those outside whose marked elements score below zero, running words included."""
-    own, total, link = [0] * len(elements), 0, 0
-    for kind, key, text, outside, e in found:
-        if kind == "tag" and key.strip("/!") == "a":
-            link = max(0, link + (-1 if key[0] == "/" else 1))
-        elif kind == "text" and not outside and not link:
-            n = len(text.split())
-            total += n
-            if e >= 0:
-                own[e] += n
-    out = [False] * len(elements)
-    for e in range(len(elements) - 1, -1, -1):  # inner elements come later
-        up, score = elements[e]
-        rest = total - own[e]
-        score += min(RUNNING, math.log1p(own[e] / 20)) + max(0.0, math.log((own[e] + 1) / (rest + 1)))
-        out[e] = score < 0
-        if not out[e] and up >= 0:
-            own[up] += own[e]
-    for e, (up, _) in enumerate(elements):
-        out[e] = out[e] or (up >= 0 and out[up])
-    return [(kind, key, text, outside or (e >= 0 and out[e])) for kind, key, text, outside, e in found]
-
-
-def items(page: str, parts: dict[str, float] | None = None) -> list[tuple[str, str, str, bool]]:
-    """The page's items in order: (kind, key, text, outside); ``parts`` are learned weights of words in names."""
-    elements: list[tuple[int, float]] = []
-    return _weighed(list(_scan(page, parts or {}, elements)), elements)
-
-
-def _scan(page: str, parts: dict[str, float], elements: list[tuple[int, float]]) -> Iterator[tuple[str, str, str, bool, int]]:
-    """The page's items in order: (kind, key, text, outside, number of the innermost marked element or -1).
-
-    Kinds are ``tag`` (key: the tag's name, with a slash if it closes and a ``!`` if its
-    attributes mark it) and ``text`` (key: the innermost block element).  ``outside`` is
-    true within elements that hold no running text or aren't shown.  ``elements``
-    receives each marked element's outer one and its marks' score.
+        elif key in ("class", "id", "role") and not (key == "id" and name in HEADINGS) and name not in ("html", "body"):
+            sign = "#" if key == "id" else "."
+            for word in value.split():
+                parts = [x.lower() for x in _PART.findall(word)]
+                features.update(sign + x for x in parts)
+                if any(x in MARKS for x in parts):
+                    features.add(sign + ("mark" if len(parts) == 1 else "part mark"))
+                    marked = True
+    return hidden, marked, frozenset(features)
+
+
+@lru_cache(65536)
+def _joined(outer: frozenset[str], own: frozenset[str]) -> frozenset[str]:
+    return outer | own
+
+
+def items(page: str) -> list[tuple[str, str, str, bool, int, frozenset[str]]]:
+    """The page's items as ``_scan`` gives them.
+
+    A wrapper may bear a name such as ``with-sidebar``: the names of an element that
+    holds most of the page's running words don't count, unless they tell of comments.
+    """
+    marked: list[tuple[int, frozenset[str]]] = [(0, _EMPTY)]
+    found = list(_scan(page, marked))
+    words = [0] * len(marked)
+    for kind, _, text, wordless, e, features in found:
+        if kind == "text" and not wordless and "a" not in features:
+            words[e] += len(text.split())
+    total = sum(words)
+    for e in range(len(marked) - 1, 0, -1):
+        words[marked[e][0]] += words[e]
+    freed = [_EMPTY] * len(marked)  # features that don't count within each element
+    for e in range(1, len(marked)):
+        outer, own = marked[e]
+        names = frozenset(f for f in own if f[0] in ".#")
+        wrapper = 2 * words[e] > total and not any(f[1:] in COMMENTS for f in names)
+        freed[e] = freed[outer] | names if wrapper else freed[outer]
+    if not any(freed):
+        return found
+    return [(kind, key, text, wordless, e, features - freed[e] if freed[e] else features) for kind, key, text, wordless, e, features in found]
+
+
+def _scan(page: str, elements: list[tuple[int, frozenset[str]]]) -> Iterator[tuple[str, str, str, bool, int, frozenset[str]]]:
+    """The page's items in order: (kind, key, text, wordless, element, features).
+
+    Kinds are ``text``, ``tag`` (key: the tag's name, with a slash if it closes) and
+    ``label``.  ``wordless`` is true within elements that hold no running text or
+    aren't shown.  ``element`` numbers the innermost element that may be left out of
+    the run, 0 for none; its outer one has a smaller number.  ``features`` are those
+    of all elements around the item.  ``elements`` receives for each such element its
+    outer one and its own features.
     """
-    open_: list[tuple[str, bool, int]] = []
-    outside, at, n = 0, 0, len(page)
+    open_: list[tuple[str, bool, int, frozenset[str]]] = []
+    wordless, at, n = 0, 0, len(page)
+    around = lambda: (open_[-1][2], open_[-1][3]) if open_ else (0, _EMPTY)
     while at < n:
         m = _TOKEN.search(page, at)
         end = m.start() if m else n
         if end > at:
-            block = next((x for x, _, _ in reversed(open_) if x in BLOCKS), "")
-            yield "text", block, page[at:end], outside > 0, open_[-1][2] if open_ else -1
+            yield "text", "", page[at:end], wordless > 0, *around()
         if not m:
             return
         at = m.end()
         if not m[2]:
+            if m[0] in LABELS:
+                yield "label", m[0], "", False, *around()
             continue
         name, closing, attributes = m[2].lower(), bool(m[1]), m[3] or ""
         if closing:
             depth = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), None)
-            yield "tag", "/" + name, "", outside > 0, open_[-1][2] if open_ else -1
-            if depth is not None and not (name not in BLOCKS and any(x in OUTSIDE for x, _, _ in open_[depth + 1 :])):
-                outside -= sum(o for _, o, _ in open_[depth:])
+            yield "tag", "/" + name, "", wordless > 0, *around()
+            if depth is not None and not (name not in BLOCKS and any(x[0] in WORDLESS for x in open_[depth + 1 :])):
+                wordless -= sum(x[1] for x in open_[depth:])
                 del open_[depth:]
             continue
         for x in _CLOSES.get(name, ()):
@@ -142,7 +144,7 @@ def _scan(page: str, parts: dict[str, float], elements: list[tuple[int, float]])
                 if open_[i][0] in ("ul", "ol", "dl", "table", "select", "article", "section", "div", "td", "th", "blockquote") and open_[i][0] != x:
                     break
                 if open_[i][0] == x:
-                    outside -= sum(o for _, o, _ in open_[i:])
+                    wordless -= sum(y[1] for y in open_[i:])
                     del open_[i:]
                     break
         if name in BLOCKS and name != "p":  # a block ends an open paragraph
@@ -150,71 +152,93 @@ def _scan(page: str, parts: dict[str, float], elements: list[tuple[int, float]])
             while i >= 0 and open_[i][0] not in BLOCKS:
                 i -= 1
             if i >= 0 and open_[i][0] == "p":
-                outside -= sum(o for _, o, _ in open_[i:])
+                wordless -= sum(x[1] for x in open_[i:])
                 del open_[i:]
-        hidden, words = _named(attributes)
-        score = _mark_score(name, words, parts)
-        inner = open_[-1][2] if open_ else -1
-        if score is not None:
-            elements.append((inner, score))
-            inner = len(elements) - 1
-        hides = hidden or name in OUTSIDE or (name == "header" and not any(x in ("article", "main", "section") for x, _, _ in open_))
-        yield "tag", name + "!" * (hidden or score is not None), "", outside > 0 or hides, inner
+        hidden, marked, own = _own(name, attributes)
+        element, features = around()
+        if marked:
+            elements.append((element, own))
+            element = len(elements) - 1
+        features = _joined(features, own)
+        yield "tag", name, "", wordless > 0, element, features
         if name in VOID or attributes.rstrip().endswith("/") and name in ("svg", "path"):
             continue
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = close.end() if close else n
-            yield "tag", "/" + name, "", True, inner
+            yield "tag", "/" + name, "", True, element, features
             continue
-        open_.append((name, hides, inner))
-        outside += hides
-
-
-def _features(kind: str, key: str, outside: bool) -> str:
-    return ("word " if kind == "text" else "tag ") + ("outside" if outside else key or "none")
+        open_.append((name, hidden or name in WORDLESS, element, features))
+        wordless += open_[-1][1]
 
 
-def learn_parts(pages: Iterable[tuple[str, str]], smooth: float = 0.5) -> dict[str, float]:
-    """Weights of the words in classes, roles and (with a ``#``) ids: the log odds that an element so named begins in the main content.
+def _beside_main(found: list) -> list[bool]:
+    """Which items stand outside of ``article`` and ``main`` elements, on a page where these hold most of the running words.
 
-    Marks are learned where they stand alone: of ``entry-header`` only ``entry`` is.
+    Words of elements that may be left out don't count against them.
     """
-    inside, all_ = Counter(), Counter()
-    for page, _ in pages:
-        a, b = page.index("<!--[-->"), page.index("<!--]-->")
-        for m in _TOKEN.finditer(page):
-            if m[2] and not m[1]:
-                # an element right around the main content is one of it
-                is_in = a <= m.start() < b or not page[m.end() : a].strip() and m.end() <= a
-                for is_id, w in _named(m[3] or "")[1]:
-                    for x in set(w):
-                        if not (is_id and m[2].lower() in HEADINGS) and (x not in MARKS or len(w) == 1):
-                            all_["#" * is_id + x] += 1
-                            inside["#" * is_id + x] += is_in
-    return {x: max(-4.0, min(3.0, math.log((inside[x] + smooth) / (n - inside[x] + smooth)))) for x, n in all_.items()}
-
-
-def learn(pages: Iterable[tuple[str, str]], smooth: float = 0.5, parts: dict[str, float] | None = None) -> dict[str, float]:
-    """Weights from labelled pages: (html, whose main content lies between the marks ``<!--[-->`` and ``<!--]-->``)."""
-    inside, all_ = Counter(), Counter()
-    for page, _ in pages:
-        a, b = page.index("<!--[-->"), page.index("<!--]-->")
-        for part, is_in in ((page[:a], 0), (page[a:b], 1), (page[b:], 0)):
-            for kind, key, text, outside in items(part, parts):
-                for _ in range(len(text.split()) if kind == "text" else 1):
-                    f = _features(kind, key, outside)
-                    all_[f] += 1
-                    inside[f] += is_in
-    weight = {}
-    for f, n in all_.items():
-        odds = math.log((inside[f] + smooth) / (n - inside[f] + smooth))
-        # words outside are left out anyway and tags only separate, so neither may cut a content off behind a long form
-        if f.startswith("word"):
-            weight[f] = max(-0.3, odds) if f == "word outside" else min(4.0, max(1.0, odds))
-        else:
-            weight[f] = max(-0.3 if f == "tag outside" else -2.0, min(-0.05, odds - 1.0))
-    return weight
+    inside = [bool(_MAIN & x[5]) for x in found]
+    words = [0, 0]
+    for (kind, _, text, wordless, e, features), is_in in zip(found, inside):
+        if kind == "text" and not wordless and "a" not in features and (is_in or not e):
+            words[is_in] += len(text.split())
+    return [not x for x in inside] if words[1] > words[0] else [False] * len(found)
+
+
+class Weights:
+    """What words and tags score, learned from labelled pages."""
+
+    def __init__(self, pages: Iterable[str], strength: float = 0.02, steps: int = 30):
+        counts: dict[tuple[frozenset[str], bool], list[float]] = defaultdict(lambda: [0.0, 0.0])
+        tags: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+        for page in pages:
+            found, label = items(page), 0
+            total = sum(len(x[2].split()) for x in found if x[0] == "text" and not x[3])
+            for (kind, key, text, wordless, _, features), beside in zip(found, _beside_main(found)):
+                if kind == "label":
+                    label += LABELS[key]
+                elif kind == "tag":
+                    tags[key.strip("/")][label] += 1
+                elif not wordless and text.strip():
+                    counts[features, beside][label] += math.sqrt(len(text.split())) * 100 / max(total, 1)  # pages weigh alike
+        names = sorted({f for features, _ in counts for f in features})
+        self.place = {f: i for i, f in enumerate(names)}
+        x = np.zeros((len(counts), len(names) + 2))
+        for row, (features, beside) in zip(x, counts):
+            row[[self.place[f] for f in features]] = 1
+            row[-2:] = beside, 1
+        y = np.array(list(counts.values())).reshape(-1, 2)
+        w = np.zeros(x.shape[1])
+        ridge = np.full(len(w), strength * 100)
+        ridge[-1] = 1e-6
+        for _ in range(steps):  # Newton's method
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            gradient = x.T @ (y[:, 1] - y.sum(axis=1) * p) - ridge * w
+            curve = (x.T * (y.sum(axis=1) * p * (1 - p))) @ x + np.diag(ridge)
+            w += np.linalg.solve(curve, gradient)
+        self.weight, self.beside, self.bias = dict(zip(names, w.tolist())), float(w[-2]), float(w[-1])
+        self.tag = {name: -TAG * (out + 0.5) / (out + own + 1) for name, (out, own) in tags.items()}
+        self.known: dict[frozenset[str], float] = {}
+
+    def word(self, features: frozenset[str], beside: bool) -> float:
+        """What each word with these features scores."""
+        if features not in self.known:
+            if len(self.known) > 65536:
+                self.known.clear()
+            self.known[features] = self.bias + sum(sorted(self.weight[f] for f in features if f in self.weight))
+        return self.known[features] + beside * self.beside
+
+    def scores(self, found: list) -> list[float]:
+        """What each item scores; nothing inside elements that hold no running text."""
+        out = []
+        for (kind, key, text, wordless, _, features), beside in zip(found, _beside_main(found)):
+            if wordless or kind == "label" or key.strip("/") in WORDLESS:
+                out.append(0.0)
+            elif kind == "tag":
+                out.append(self.tag.get(key.strip("/"), -TAG / 2))
+            else:
+                out.append(self.word(features, beside) * len(text.split()))
+        return out
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:
@@ -229,86 +253,72 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return begin, end
 
 
-def _within_main(found: list[tuple[str, str, str, bool]]) -> list[tuple[str, str, str, bool]]:
-    """Where ``article`` and ``main`` elements hold most of the running words, words elsewhere count as outside."""
-    depth, inside, words = 0, [], [0, 0]
-    for kind, key, text, outside in found:
-        if kind == "tag" and key in ("article", "main"):
-            depth += 1
-        inside.append(depth > 0)
-        if kind == "tag" and key in ("/article", "/main"):
-            depth = max(0, depth - 1)
-        if kind == "text" and not outside:
-            words[depth > 0] += len(text.split())
-    if words[1] <= words[0]:
-        return found
-    return [(kind, key, text, outside or not i) for (kind, key, text, outside), i in zip(found, inside)]
-
-
-def extract(page: str, weight: dict[str, float], parts: dict[str, float] | None = None) -> str:
+def _left_out(found: list, scores: list[float]) -> set[int]:
+    """Elements of the run that have main text before and after them and items that sum up below zero."""
+    outer: dict[int, int] = {0: 0}
+    total: dict[int, float] = defaultdict(float)
+    span: dict[int, list[int]] = {}
+    stack = [0]
+    for i, ((_, _, _, _, e, _), x) in enumerate(zip(found, scores)):
+        while stack[-1] > e:
+            stack.pop()
+        if stack[-1] != e:
+            outer[e] = stack[-1]
+            stack.append(e)
+        for open_ in stack[1:]:
+            total[open_] += x
+            span.setdefault(open_, [i, i])[1] = i
+    words = [i for i, (x, s) in enumerate(zip(found, scores)) if x[0] == "text" and s > 0]
+    gone: set[int] = set()
+    for e in sorted(span):
+        enclosed = bool(words) and words[0] < span[e][0] and words[-1] > span[e][1]
+        if outer[e] in gone or (total[e] < 0 and enclosed):
+            gone.add(e)
+    return gone
+
+
+def extract(page: str, weights: Weights) -> str:
     """The main text of one page."""
-    found = _within_main(items(page, parts))
-    scores = []
-    for kind, key, text, outside in found:
-        n = len(text.split()) if kind == "text" else 1
-        f = _features(kind, key, outside)
-        scores.append(n * weight.get(f, (-0.3 if outside else 2.0) if kind == "text" else -0.3))
+    found = items(page)
+    scores = weights.scores(found)
     a, b = best_run(scores)
+    found, scores = found[a:b], scores[a:b]
+    gone = _left_out(found, scores)
     blocks: list[list[str]] = [[]]
-    for kind, key, text, outside in found[a:b]:
+    for kind, key, text, wordless, e, _ in found:
         if kind == "text":
-            if not outside:
+            if not wordless and e not in gone:
                 blocks[-1].append(text)
-        elif key.strip("/!") in BLOCKS:
+        elif kind == "tag" and key.strip("/") in BLOCKS:
             blocks.append([])
-        elif key.rstrip("!") == "br":
+        elif key == "br":
             blocks[-1].append(" ")
     text = (_WHITE.sub(" ", entities.unescape("".join(x))).strip() for x in blocks)
     return "\n".join(x for x in text if x)
 
 
-def labelled_pages() -> list[tuple[str, str]]:
-    """Labelled pages of several layouts, with the main content between marks."""
-    words = "the of and to in a is that for it as was with be by on not he his but at are this have from or had an they which one you were all her she there would their we him been has when who will no more if out so".split()
-    run = lambda i, n: " ".join(words[(i * 7 + j * j + j) % len(words)] for j in range(n))
-    out = []
-    for i in range(24):
-        menu = "".join(f'<li><a href="/{j}">{run(i + j, 1 + j % 3)}</a></li>' for j in range(4 + i % 5))
-        prose = "".join(f"<p>{run(i + j, 12 + (i * j) % 40)}</p>" for j in range(2 + i % 6))
-        rich = f"<h1>{run(i, 6)}</h1><p><b>{run(i + 1, 5)}</b> {run(i + 2, 20)}<br>{run(i, 9)}</p>{prose}<h2>{run(i, 3)}</h2><p>{run(i, 25)} <a href='#'>{run(i, 2)}</a> <em>{run(i, 1)}</em></p><ul><li>{run(i, 8)}</li><li>{run(i + 3, 8)}</li></ul><blockquote><p>{run(i, 14)}</p></blockquote>"
-        top = f'<!DOCTYPE html><html><head><meta charset="utf-8"><title>{run(i, 5)}</title><style>p{{margin:0}}</style><script>var a=1;</script></head><body>'
-        nav = f'<header><a href="/">{run(i, 2)}</a></header><nav><ul>{menu}</ul></nav><div class="ad">{run(i + 4, 8)}</div>'
-        side = f'<aside class="sidebar"><h3>{run(i, 2)}</h3><ul>{menu}</ul></aside>'
-        talk = f'<section class="comments"><h3>{run(i, 1)}</h3><div class="comment"><p>{run(i + 5, 14)}</p></div><form><label>{run(i, 2)}</label><input><button>{run(i, 1)}</button></form></section>'
-        foot = f'<footer><p>&copy; {run(i, 6)}</p></footer></body></html>'
-        body = [f"<article><!--[-->{rich}<!--]--></article>", f"<main><!--[-->{prose}<!--]--></main>", f'<div class="content"><!--[-->{rich}<!--]--></div>', f'<div id="post"><!--[-->{rich}{prose}<!--]--></div>'][i % 4]
-        out.append((top + nav + (side if i % 3 else "") + body + (talk if i % 2 else "") + (side if i % 3 == 0 else "") + foot, body))
-        inner = f'<div class="entry-header"><h1 class="entry-title">{run(i, 6)}</h1></div><div class="entry-content article-body">{prose}<section id="discussion"><h2>{run(i, 1)}</h2><p>{run(i, 25)}</p></section></div>'
-        body = f'<div class="post content"><!--[-->{inner}<!--]--></div>'
-        rail = f'<div class="sidebar" id="sidebar"><h3>{run(i, 2)}</h3><ul>{menu}</ul></div><div class="related-posts"><p>{run(i + 2, 9)}</p></div>'
-        posted = f'<div id="comments" class="comments"><div class="comment"><div class="comment-content"><p>{run(i + 5, 14)}</p></div></div></div>'
-        out.append((top + nav + body + rail + posted + foot, body))
-    return out
+def labelled_pages() -> list[str]:
+    """Pages of several layouts, marked by hand with LABELS."""
+    return (Path(__file__).parent / "labelled_pages.html").read_text(encoding="utf-8").split("\n=====\n")
 
 
-def main_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: tuple[str, ...] = ("url",), labelled: list[tuple[str, str]] | None = None) -> DataFrame:
+def main_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: tuple[str, ...] = ("url",), labelled: list[str] | None = None) -> DataFrame:
     """``id_col``, ``keep``, ``text`` and ``n_chars`` (code points) for each page.
 
     Blocks of the main text are joined by a line feed, white space in a block is one
     space, character references are decoded.  A null or empty page, and one without
     words, gives the empty text; null ids and repeated rows are passed on.  Other
-    columns are ignored.  A page is read whole; no shuffle.
+    columns are ignored, whatever their names.  A page is read whole, whatever its
+    length; no shuffle.  ``labelled`` pages carry LABELS as comments.
     """
-    labelled = labelled or labelled_pages()
-    parts = learn_parts(labelled)
-    weight = learn(labelled, parts=parts)
+    weights = Weights(labelled or labelled_pages())
     fields = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
     names = ["id", *[f"keep{i}" for i in range(len(keep))]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "html"):
-                text = [extract(x or "", weight, parts) for x in column(part, "html").to_pylist()]
+                text = [extract(x or "", weights) for x in column(part, "html").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*[column(part, n) for n in names], pa.array(text, pa.string()), pa.array(map(len, text), pa.int64())], names=[*names, "text", "n_chars"])
 
     chosen = pages.select(col(id_col).alias("id"), *[col(k).alias(f"keep{i}") for i, k in enumerate(keep)], col(html_col).alias("html"))

@@ -585,13 +585,71 @@ def test_html(spark):
 def test_html_marks(page, want):
     """Names with marks around the main text don't remove it; adverts, sidebars and comments still go."""
     t = " ".join(LOREM * 2)
-    pages_ = html.labelled_pages()
-    parts = html.learn_parts(pages_)
-    got = html.extract("<html><body>" + page.format(p=f"<p>{t}</p>", t=t) + "</body></html>", html.learn(pages_, parts=parts), parts)
+    got = html.extract("<html><body>" + page.format(p=f"<p>{t}</p>", t=t) + "</body></html>", html.Weights(html.labelled_pages()))
     assert got == want.format(t=t)
 
 
-# ---------------------------------------------------------------- classifier
+def labelled_text(page):
+    """What the labels of a page say is its main text, block by block."""
+    blocks, label = [[]], 0
+    for kind, key, text, wordless, _, _ in html.items(page):
+        if kind == "label":
+            label += html.LABELS[key]
+        elif kind == "text" and label > 0 and not wordless:
+            blocks[-1].append(text)
+        elif kind == "tag" and key.strip("/") in html.BLOCKS:
+            blocks.append([])
+        elif key == "br":
+            blocks[-1].append(" ")
+    return "\n".join(x for x in (" ".join("".join(b).split()) for b in blocks) if x)
+
+
+def test_html_learns():
+    """Labelled pages by their own weights, and each by the weights of the others, whose layouts differ."""
+    all_ = html.labelled_pages()
+    weights = html.Weights(all_)
+    assert sum(html.extract(x, weights) == labelled_text(x) for x in all_) >= len(all_) - 1
+    alike = []
+    for i, page in enumerate(all_):
+        a, b = (Counter(x.split()) for x in (html.extract(page, html.Weights(all_[:i] + all_[i + 1 :])), labelled_text(page)))
+        alike.append(2 * sum((a & b).values()) / (sum(a.values()) + sum(b.values())))
+    assert sum(alike) / len(alike) > 0.85
+
+
+def test_best_run():
+    r = np.random.default_rng(4)
+    for _ in range(300):
+        x = r.integers(-5, 6, r.integers(0, 12)).tolist()
+        a, b = html.best_run(x)
+        assert sum(x[a:b]) == max([0] + [sum(x[i:j]) for i in range(len(x)) for j in range(i + 1, len(x) + 1)])
+
+
+def test_html_run_decides(sf_dir, monkeypatch):
+    """On the tables' pages the main text is what stands in the article, and without the run it would be more."""
+    import pyarrow.parquet as pq
+
+    all_ = pq.read_table(f"{sf_dir}/pages.parquet").column("html").to_pylist()
+    weights = html.Weights(html.labelled_pages())
+
+    def article(page):
+        inner = page[page.index("<article>") + 9 : page.index("</article>")]
+        blocks = re.split(r"</?(?:p|h1|h2|li|ul|ol|div|blockquote)[^>]*>", re.sub(r"<br\s*/?>", " ", inner))
+        return "\n".join(x for x in (" ".join(html.entities.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in blocks) if x)
+
+    found = [html.extract(x, weights) for x in all_]
+    assert found == [article(x) for x in all_]
+    monkeypatch.setattr(html, "best_run", lambda scores: (0, len(scores)))
+    assert all(html.extract(x, weights) != f for x, f in zip(all_, found))
+
+
+def test_html_odd_pages(spark):
+    """Ties, repeated rows, null ids, a very long page and other columns of all names."""
+    long = "<article>" + "<p>some words in a row</p>" * 60_000 + "</article><footer>end</footer>"
+    rows = [(1, "u", "<p>same</p>", "x", 1), (1, "u", "<p>same</p>", "x", 1), (None, None, "<p>same</p>", None, None), (2, "v", long, "y", 2), (3, "w", "<<<>>> &amp; <p", "z", 3), (4, "w", "\x00&#0;&bogus;", "z", 3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars long")
+    got = html.main_text(df).collect()
+    assert sorted((str(r.page_id), r.text[:20], r.n_chars) for r in got)[:3] == [("1", "same", 4), ("1", "same", 4), ("2", "some words in a row\n", 60_000 * 20 - 1)]
+    assert len(got) == len(rows) and all(r.n_chars == len(r.text) for r in got)
 
 
 def test_classifier(spark):
