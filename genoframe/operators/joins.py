@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 class DuplicateKeys(ValueError):
     """A side that must have unique keys has not."""
 
+#: Names that sources are searched for at most.
+FEW_NAMES = 1000
+
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Raises DuplicateKeys naming some of the keys that occur twice; returns the input."""
@@ -36,7 +39,7 @@ def merge_full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str], mer
 
 def prefer_left(missing: str = ".") -> Callable[[Column, Column], Column]:
     """The left value unless it is the mark for missing."""
-    return lambda a, b: F.coalesce(F.when(a != missing, a), b, a)
+    return lambda a, b: F.coalesce(F.when(a.cast("string") != missing, a), b, a)
 
 
 def flag_join(df: DataFrame, keys_of: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
@@ -91,12 +94,16 @@ def promote_mates(df: DataFrame, pair: str, mate: str, status: Callable[[], Colu
 def first_source(requests: DataFrame, sources: DataFrame, tool: str, key: str, order: str) -> DataFrame:
     """For each request the first source whose key contains it, ignoring case.
 
-    The sources of one report are few; requests are joined to them by a broadcast where
-    they are small.
+    A name may lie anywhere in a key, so each source is compared with the distinct names
+    that are asked for; these must be few (FEW_NAMES), else it is an error.
     """
-    hit = requests.join(sources, F.lower(sources[key]).contains(F.lower(requests[tool])), "left")
-    w = Window.partitionBy(*[requests[c] for c in requests.columns]).orderBy(F.col(order).asc_nulls_last())
-    return hit.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    names = requests.select(F.lower(requests[tool]).alias("_name")).filter("_name is not null").distinct()
+    if names.limit(FEW_NAMES + 1).count() > FEW_NAMES:
+        raise ValueError(f"more than {FEW_NAMES} names are looked for")
+    found = sources.join(F.broadcast(names), F.lower(F.col(key)).contains(F.col("_name")))
+    first = found.groupBy("_name").agg(F.min(F.struct(order, *[c for c in sources.columns if c != order])).alias("_x"))
+    best = first.select("_name", *[F.col(f"_x.{c}").alias(c) for c in sources.columns])
+    return requests.join(best, F.lower(requests[tool]) == F.col("_name"), "left").drop("_name")
 
 
 def choose_by_score(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -16,6 +16,11 @@ from ..operators import sets as T
 from ..operators import windows as W
 from .catalogs import CASE_METRICS, REGION_SIZES, ZOOM
 
+# States of finished jobs.
+FAILED_STATES = ("FAILED", "CANCELLED", "TIMEOUT", "OUT_OF_MEMORY")
+DONE_STATES = ("COMPLETED",)
+
+
 # ---------------------------------------------------------------- sex
 
 
@@ -61,14 +66,15 @@ def allele_track(variants: DataFrame, chroms: Sequence[str], sequencing: str = "
     return out.select(F.concat_ws("_", "level", "chrom").alias("name"), F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"), "value")
 
 
-def coverage_track(coverage: DataFrame, sizes: Mapping[str, int] = REGION_SIZES) -> DataFrame:
-    """Mean coverage of regions of each zoom level's size; input ``chrom start end value``."""
-    levels = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.lit(n).alias("size")) for k, n in sizes.items()]))
-    rows = coverage.withColumn("_l", levels).select("chrom", "start", "end", "value", "_l.level", "_l.size")
-    parts = [W.region_accumulator(rows.filter(F.col("level") == k), ["level"], n, 0) for k, n in sizes.items()]
-    out = T.union_all(parts)
+def coverage_track(coverage: DataFrame, sizes: Mapping[str, int] = REGION_SIZES, by: Sequence[str] = ()) -> DataFrame:
+    """Mean coverage of regions of each zoom level's size; input ``chrom start end value``, and ``by`` where there are several tracks.
+
+    Chromosomes are read in their order, as one track; see ``region_accumulator`` for
+    what happens at their ends and at gaps.
+    """
+    out = W.region_accumulator(coverage, by, sizes, min(sizes.values()), [S.vcf_order(F.col("chrom"))])
     mid = S.midpoint(F.col("start"), F.col("end"))
-    return out.select(F.concat_ws("_", "level", "chrom").alias("name"), mid["start"].alias("start"), mid["end"].alias("end"), "value")
+    return out.select(*by, F.concat_ws("_", "level", "chrom").alias("name"), mid["start"].alias("start"), mid["end"].alias("end"), "value")
 
 
 def panel_track(bins: DataFrame, levels: Sequence[str] = tuple(ZOOM["targeted"])) -> DataFrame:
@@ -116,10 +122,12 @@ def validated(rows: DataFrame, warn_only: Sequence[str] = ()) -> DataFrame:
 
 
 def job_outcomes(jobs: DataFrame) -> DataFrame:
-    """The last failed attempt of each rule that never completed; input ``rule job_id state path``."""
+    """The last failed attempt of each rule that never completed; input ``rule job_id state path``.
+
+    States other than the fixed ones below are set aside.
+    """
     rows = jobs.withColumn("state", S.job_state(F.col("state")))
-    failed = F.col("state").isin("FAILED", "TIMEOUT", "OUT_OF_MEMORY", "CANCELLED", "NODE_FAIL", "PREEMPTED", "BOOT_FAIL", "DEADLINE")
-    return W.latest_of_group(rows, ["rule"], [F.col("job_id").cast("long").desc()], keep=failed, unless=F.col("state") == "COMPLETED")
+    return W.latest_of_group(rows, ["rule"], [F.col("job_id").cast("long").desc()], keep=F.col("state").isin(*FAILED_STATES), unless=F.col("state").isin(*DONE_STATES))
 
 
 # ---------------------------------------------------------------- panels

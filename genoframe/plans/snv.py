@@ -106,9 +106,26 @@ def clinical_filtered(df: DataFrame, sources: dict[str, DataFrame], rescue: Data
     return saved, P.hard_filter(saved, hard_names(entries, callers=False))
 
 
+# Annotations whose presence takes a variant out of the burden.
+KNOWN = ("existing_variation", "cosmic")
+CONSEQUENCES = ("non_coding_transcript_exon_variant", "non_coding_transcript_variant", "feature_truncation")
+
+
 def mutational_burden(df: DataFrame, regions: DataFrame | None = None, least_af: float = 0.05) -> DataFrame:
-    """Passing small variants above the least allele fraction, for each megabase."""
-    kept = df.filter(P.is_pass(missing=True) & (F.col("af_t") >= least_af))
+    """Passing, unknown SNPs and indels above the least allele fraction, for each megabase.
+
+    A missing FILTER doesn't pass.  Columns ``existing_variation`` and ``cosmic`` (texts)
+    and ``consequence`` (array) are looked at where they are there: a variant known to
+    either, or with one of CONSEQUENCES, isn't counted.
+    """
+    small = (F.length("ref") != F.length("alt")) | (F.length("ref") == 1)
+    keep = P.is_pass() & (F.col("af_t") >= least_af) & small
+    for name in KNOWN:
+        if name in df.columns:
+            keep &= F.coalesce(F.col(name), F.lit("")) == ""
+    if "consequence" in df.columns:
+        keep &= ~F.coalesce(F.arrays_overlap("consequence", F.array(*map(F.lit, CONSEQUENCES))), F.lit(False))
+    kept = df.filter(keep)
     if regions is None:
         return kept.agg(F.count("*").alias("n")).withColumn("units", F.lit(GENOME_MB)).withColumn("rate", F.col("n") / F.col("units"))
     return A.rate_per_unit(kept, regions, F.col("end") - F.col("start"), 1e6, GENOME_MB)

@@ -58,7 +58,9 @@ def test_phased(spark):
 
 
 def test_burden(spark):
-    df = spark.createDataFrame([(["PASS"], 0.1), (["PASS"], 0.01), (["x"], 0.5)], "filter array<string>, af_t double")
+    good = (["PASS"], 0.1, "A", "C", None, "", ["missense_variant"])
+    bad = [(["x"], *good[1:]), (None, *good[1:]), (["PASS"], 0.01, *good[2:]), (*good[:2], "AC", "GT", *good[4:]), (*good[:4], "rs1", *good[5:]), (*good[:5], "COSM1", good[6]), (*good[:6], ["non_coding_transcript_variant"])]
+    df = spark.createDataFrame([good, *bad], "filter array<string>, af_t double, ref string, alt string, existing_variation string, cosmic string, consequence array<string>")
     assert snv.mutational_burden(df, spark.createDataFrame([(0, 500_000)], "start long, end long")).first().rate == 2.0
     assert snv.mutational_burden(df).first().units == catalogs.GENOME_MB
 
@@ -120,7 +122,7 @@ def test_metrics(spark):
 
 
 def test_jobs(spark):
-    df = spark.createDataFrame([("r1", "1", "FAILED x", "a"), ("r1", "12", "TIMEOUT", "b"), ("r2", "3", "FAILED", "c"), ("r2", "4", "COMPLETED", "d"), ("r3", "5", "RUNNING", "e")], "rule string, job_id string, state string, path string")
+    df = spark.createDataFrame([("r1", "1", "FAILED x", "a"), ("r1", "12", "TIMEOUT", "b"), ("r2", "3", "FAILED", "c"), ("r2", "4", "COMPLETED", "d"), ("r3", "5", "RUNNING", "e"), ("r4", "6", "NODE_FAIL", "f")], "rule string, job_id string, state string, path string")
     assert [(r.rule, r.job_id) for r in cohort.job_outcomes(df).collect()] == [("r1", "12")]
 
 
