@@ -1,22 +1,25 @@
 """Language-model scores by a weighted backoff automaton.
 
-The model is a smoothed bigram model.  Each training word is a state with an arc for
-every word seen after it; a state's failure arc leads to the root, which has an arc for
-every word and one for unknown words.  A text is read once from left to right: the
-state is the last word, a seen arc or the failure arc and a root arc are followed, and
-their log weights add up.
-
-    root            P(w)    = (c(w) + 1) / (N + V + 1)
-    arc h -> w      P(w|h)  = (c(h w) + mu P(w)) / (c(h) + mu)
-    failure of h    b(h)    = mu / (c(h) + mu), then the root's arc
+The model is a smoothed trigram model.  Its states are the root, every training word,
+the start of a text, and every pair of words that was seen; a state has an arc for each
+word seen behind it, and a failure arc to the state of its last word, or to the root,
+which has an arc for every word and one for unknown words.  A text is read once from
+left to right: at each word the arc of the current state is taken or, without one, the
+failure arcs are followed until a state has it; the log weights of all arcs add up, and
+the arc taken leads to the state for the next word.
+
+    root            P(w)      = (c(w) + 1) / (N + V + 1)
+    arc h -> w      P(w|h)    = (c(h w) + mu P(w)) / (c(h) + mu)
+    arc g h -> w    P(w|g h)  = (c(g h w) + mu' P(w|h)) / (c(g h) + mu')
+    failure         mu / (c(h) + mu) and mu' / (c(g h) + mu')
 
 so every state's weights sum to one over the vocabulary and the unknown word.
 
-No task holds the model.  Documents are dealt out in blocks; a block asks for the
-counts of its own n-grams, the requests of all blocks meet in buckets by hash, where
-they are added up, and every block gets back the counts for exactly the arcs its texts
-can follow.  A frequent word is counted once for each block before anything is moved,
-so it is no larger than a rare one.
+No task holds the model.  Documents are packed into blocks as they are read; a block asks
+for the counts of its own n-grams, the requests of all blocks meet in buckets, which are
+ranges of 64-bit hashes, are added up there, and every block gets back the counts for
+exactly the arcs its texts can follow.  A frequent word is counted once for each block
+before anything is moved, so it is no larger than a rare one.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,91 +36,124 @@ from .common import Words, col, column, deflate, inflate, mix, settled, slices,
 
 #: Bytes of text in a block and for each bucket.
 BLOCK_BYTES, BUCKET_BYTES = 6 << 20, 12 << 20
-#: Weight of the root's distribution against a state's own counts.
-MU = 300.0
+#: Weights of the shorter history's distribution against a state's own counts, for words and for pairs.
+MU, MU_PAIR = 1000.0, 5.0
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
-#: Bits of a bigram's key within its bucket; buckets add the bits of their number.
-BIGRAM_BITS = 40
+ORDERS = 3
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Whole numbers as byte planes of the least width, behind their number and width."""
+    most = int(x.max(initial=0))
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or most < 1 << 8 * w)
+    return np.array([len(x), width], np.int64).tobytes() + x.astype(f"<u{width}").view(np.uint8).reshape(len(x), width).T.tobytes()
+
+
+def _numbers(data: bytes, at: int) -> tuple[np.ndarray, int]:
+    n, width = np.frombuffer(data, np.int64, 2, at).tolist()
+    planes = np.frombuffer(data, np.uint8, n * width, at + 16).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(-1).astype(np.uint64), at + 16 + n * width
 
 
 def _pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Ascending keys as byte planes of their differences, and counts."""
-    gaps = np.diff(keys, prepend=np.uint64(0))
-    narrow = not len(gaps) or int(gaps.max()) < 1 << 32
-    planes = gaps.astype(np.uint32 if narrow else np.uint64).view(np.uint8).reshape(len(gaps), -1).T.tobytes() if len(gaps) else b""
-    wide = len(counts) and int(counts.max()) >= 1 << 16
-    return np.array([len(keys), narrow, wide], np.int64).tobytes() + planes + counts.astype(np.uint64 if wide else np.uint16).tobytes()
+    """Ascending keys by their differences, and counts."""
+    return _planes(np.diff(keys, prepend=np.uint64(0))) + _planes(counts)
 
 
 def _unpack(data: bytes, at: int) -> tuple[np.ndarray, np.ndarray, int]:
-    n, narrow, wide = np.frombuffer(data, np.int64, 3, at).tolist()
-    at += 24
-    width = 4 if narrow else 8
-    planes = np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T
-    gaps = np.ascontiguousarray(planes).view(np.uint32 if narrow else np.uint64).reshape(-1)
-    at += n * width
-    kind = np.uint64 if wide else np.uint16
-    counts = np.frombuffer(data, kind, n, at).astype(np.uint64)
-    return np.cumsum(gaps, dtype=np.uint64), counts, at + n * np.dtype(kind).itemsize
-
-
-def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Token hashes with each text's end, the hash before each, and the row of each."""
-    words = Words(texts, lower=True)
-    n = words.counts + 1
-    row = np.repeat(np.arange(len(n)), n)
-    last = np.cumsum(n) - 1
-    h = np.empty(int(n.sum()), np.uint64)
-    inner = np.ones(len(h), bool)
-    inner[last] = False
-    h[inner], h[last] = words.hashes(), END
-    before = np.empty_like(h)
-    before[1:] = h[:-1]
-    before[last + 1 - n] = START
-    return h, before, row
-
-
-def _pair(before: np.ndarray, h: np.ndarray) -> np.ndarray:
-    return mix(before * np.uint64(0x9FB21C651E98DF25) + h)
-
-
-def _block_tokens(batches: list[pa.RecordBatch]):
-    h, before, row, at = [], [], [], 0
+    gaps, at = _numbers(data, at)
+    counts, at = _numbers(data, at)
+    return np.cumsum(gaps, dtype=np.uint64), counts, at
+
+
+class Block:
+    """The tokens of some texts, each with its text's end, and their distinct n-grams by ascending hash.
+
+    ``grams[k]`` are the hashes of the n-grams of k + 1 tokens, ``at[k]`` the number of
+    the one that ends at each token; no trigram ends at a text's first token.
+    """
+
+    def __init__(self, batches: list[pa.RecordBatch]):
+        words, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for batch in batches:
+            for part in slices(batch):
+                w = Words(column(part, "text"), lower=True)
+                words.append(w.hashes())
+                counts.append(w.counts)
+        n = np.concatenate(counts) + 1
+        self.row = np.repeat(np.arange(len(n)), n)
+        last = np.cumsum(n) - 1
+        h = np.full(len(self.row), END)
+        inner = np.ones(len(h), bool)
+        inner[last] = False
+        h[inner] = np.concatenate(words)
+        self.first = np.zeros(len(h), bool)
+        self.first[last + 1 - n] = True
+        before = np.roll(h, 1)
+        before[self.first] = START
+        pair = mix(before * np.uint64(0x9FB21C651E98DF25) + h)
+        triple = mix(np.roll(pair, 1) * np.uint64(0xC2B2AE3D27D4EB4F) + h)
+        self.grams, self.at = [], []
+        for k, g in enumerate((h, pair, triple[~self.first])):
+            u, inverse = np.unique(g, return_inverse=True)
+            self.grams.append(u)
+            self.at.append(inverse)
+        whole = np.full(len(h), -1)
+        whole[~self.first] = self.at[2]
+        self.at[2] = whole
+
+    def counts(self, train: np.ndarray) -> list[np.ndarray]:
+        """How often each n-gram occurs in training rows."""
+        weight = train[self.row].astype(np.float64)
+        return [np.bincount(a[a >= 0], weights=weight[a >= 0], minlength=len(g)).astype(np.uint64) for g, a in zip(self.grams, self.at)]
+
+
+def _bounds(buckets: int) -> np.ndarray:
+    """The least hash of each bucket but the first."""
+    return np.array([-(-(b << 64) // buckets) for b in range(1, buckets)], np.uint64)
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows as they come, packed into blocks of about BLOCK_BYTES of text."""
+    held, size, number = [], 0, TaskContext.get().partitionId() << 32
+
+    def block() -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            for part in held:
+                out.write_batch(part)
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "data"])
+
     for batch in batches:
         for part in slices(batch):
-            x, b, r = _tokens(column(part, "text"))
-            h.append(x)
-            before.append(b)
-            row.append(r + at)
-            at += part.num_rows
-    join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-    return join(h, np.uint64), join(before, np.uint64), join(row, np.int64)
+            held.append(part)
+            size += column(part, "text").nbytes
+            if size >= BLOCK_BYTES:
+                yield block()
+                held, size, number = [], 0, number + 1
+    if held:
+        yield block()
 
 
-def _keys(h: np.ndarray, before: np.ndarray, trained: np.ndarray, buckets: int):
-    """Distinct unigrams and bigrams of a block in the order of buckets and keys: bucket, key, training count."""
-    for g, bits in ((h, 64), (_pair(before, h), BIGRAM_BITS)):
-        u, inverse = np.unique(g, return_inverse=True)
-        n = np.bincount(inverse, weights=trained, minlength=len(u)).astype(np.uint64)
-        bucket, key = (u % np.uint64(buckets)).astype(np.int64), (u // np.uint64(buckets)) & np.uint64((1 << bits) - 1)
-        order = np.lexsort((key, bucket))
-        yield bucket[order], key[order], n[order], u[order]
+def _opened(data: pa.Scalar) -> list[pa.RecordBatch]:
+    return list(pa.ipc.open_stream(pa.py_buffer(data.as_py())))
 
 
 def _requests(buckets: int):
-    def ask(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        h, before, row = _block_tokens(held)
-        train = np.concatenate([column(b, "train").to_numpy(zero_copy_only=False) for b in held])[row].astype(np.float64)
-        parts = list(_keys(h, before, train, buckets))
-        cuts = [np.searchsorted(p[0], np.arange(buckets + 1)) for p in parts]
-        names, data = [], []
-        for b in range(buckets):
-            if any(c[b + 1] > c[b] for c in cuts):
-                names.append(b)
-                data.append(deflate(b"".join(_pack(p[1][c[b] : c[b + 1]], p[2][c[b] : c[b + 1]]) for p, c in zip(parts, cuts))))
-        block = pa.array([key[0].as_py()] * len(names), pa.int32())
-        yield pa.RecordBatch.from_arrays([block, pa.array(names, pa.int32()), pa.array(data, pa.binary())], names=["block", "bucket", "data"])
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds = _bounds(buckets)
+        for batch in batches:
+            for number, data in zip(column(batch, "block").to_pylist(), column(batch, "data")):
+                held = _opened(data)
+                block = Block(held)
+                counts = block.counts(np.concatenate([column(b, "train").to_numpy(zero_copy_only=False) for b in held]))
+                cuts = [np.concatenate([[0], np.searchsorted(g, bounds), [len(g)]]) for g in block.grams]
+                names, packed = [], []
+                for b in range(buckets):
+                    if any(c[b + 1] > c[b] for c in cuts):
+                        names.append(b)
+                        packed.append(deflate(b"".join(_pack(g[c[b] : c[b + 1]], n[c[b] : c[b + 1]]) for g, n, c in zip(block.grams, counts, cuts))))
+                yield pa.RecordBatch.from_arrays([pa.array([number] * len(names), pa.int64()), pa.array(names, pa.int32()), pa.array(packed, pa.binary())], names=["block", "bucket", "data"])
 
     return ask
 
@@ -127,51 +164,92 @@ def _answer(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> It
     for batch in batches:
         blocks += column(batch, "block").to_pylist()
         for x in column(batch, "data"):
-            data, at, both = inflate(x.as_py()), 0, []
-            for _ in range(2):
+            data, at, each = inflate(x.as_py()), 0, []
+            for _ in range(ORDERS):
                 keys, n, at = _unpack(data, at)
-                both.append((keys, n))
-            asked.append(both)
-    totals, kinds = [], []
-    for i in range(2):
-        u, inverse = np.unique(np.concatenate([a[i][0] for a in asked]), return_inverse=True)
-        n = np.bincount(inverse, weights=np.concatenate([a[i][1] for a in asked]).astype(np.float64), minlength=len(u)).astype(np.uint64)
-        kinds.append((int((n > 0).sum()), int(n.sum())))
-        totals.append(np.split(n[inverse], np.cumsum([len(a[i][0]) for a in asked])[:-1]))
-    out = []
-    for uni, bi in zip(*totals):
-        out.append(deflate(np.array([len(uni)], np.int64).tobytes() + b"".join(x.astype(np.uint32).view(np.uint8).reshape(len(x), -1).T.tobytes() if len(x) else b"" for x in (uni, bi))))
-    v, n = kinds[0]
+                each.append((keys, n))
+            asked.append(each)
+    totals, distinct, tokens = [], 0, 0
+    for k in range(ORDERS):
+        u, inverse = np.unique(np.concatenate([a[k][0] for a in asked]), return_inverse=True)
+        n = np.zeros(len(u), np.uint64)
+        np.add.at(n, inverse, np.concatenate([a[k][1] for a in asked]))
+        if not k:
+            distinct, tokens = int((n > 0).sum()), int(n.sum())
+        totals.append(np.split(n[inverse], np.cumsum([len(a[k][0]) for a in asked])[:-1]))
+    out = [deflate(b"".join(map(_planes, each))) for each in zip(*totals)]
     m = len(blocks)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(blocks, pa.int32()), pa.array([key[0].as_py()] * m, pa.int32()), pa.array(out, pa.binary()), pa.array([v] + [0] * (m - 1), pa.int64()), pa.array([n] + [0] * (m - 1), pa.int64())],
+        [pa.array(blocks, pa.int64()), pa.array([key[0].as_py()] * m, pa.int32()), pa.array(out, pa.binary()), pa.array([distinct] + [0] * (m - 1), pa.int64()), pa.array([tokens] + [0] * (m - 1), pa.int64())],
         names=["block", "bucket", "data", "distinct", "tokens"],
     )
 
 
 class Automaton:
-    """The states and arcs that the texts of one block can reach."""
-
-    def __init__(self, words: np.ndarray, c: np.ndarray, pairs: np.ndarray, c_pair: np.ndarray, starts: int, n: int, v: int, mu: float):
-        self.words, self.pairs = words, pairs
-        root = (c.astype(np.float64) + 1) / (n + v + 1)
-        self.known, self.root = c > 0, root
-        self.weight = c.astype(np.float64)  # of a word as a state
-        self.starts, self.mu, self.arcs = float(starts), mu, c_pair.astype(np.float64)
-
-    def read(self, h: np.ndarray, before: np.ndarray, row: np.ndarray, rows: int):
-        """Known tokens, base scores and model scores of the texts, each read from left to right."""
-        w = np.searchsorted(self.words, h)
-        state = np.where(before == START, -1, np.minimum(np.searchsorted(self.words, before), max(0, len(self.words) - 1)))
-        mass = np.where(state < 0, self.starts, self.weight[np.maximum(state, 0)] if len(self.words) else 0.0)
-        seen = self.arcs[np.searchsorted(self.pairs, _pair(before, h))]
-        p = self.root[w]
-        arc = np.where(seen > 0, np.log10((seen + self.mu * p) / (mass + self.mu)), np.log10(self.mu / (mass + self.mu)) + np.log10(p))
-        add = lambda x: np.bincount(row, weights=x, minlength=rows)
-        return add(self.known[w]).astype(np.int64), add(np.log10(p)), add(arc)
-
-
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held: int = 2, mu: float = MU) -> DataFrame:
+    """The states and arcs that the texts of one block can reach.
+
+    State 0 is the root and 1 the start of a text; then come the block's words and its
+    pairs of words.  ``mass`` is how often training texts left a state, ``fail`` where
+    its failure arc leads and ``loss`` what that costs.  ``arcs`` has for each n-gram the
+    log weight of its last token's arc from the state of the others, -inf for none, and
+    ``after`` the state that the arcs of a pair's second word lead to.
+    """
+
+    def __init__(self, block: Block, counts: list[np.ndarray], starts: int, n: int, v: int, mu: tuple[float, float] = (MU, MU_PAIR)):
+        word, pair, triple = block.at
+        c1, c2, c3 = (c.astype(np.float64) for c in counts)
+        words, pairs = len(c1), len(c2)
+        at = lambda kind, values: _scatter(kind, values)
+        left = np.where(block.first, 1, 2 + np.roll(word, 1))  # the state of the word before
+        self.block, self.known, self.pair0 = block, c1 > 0, 2 + words
+        from_state, last = at((pair, pairs), left), at((pair, pairs), 2 + word)
+        self.mass = np.concatenate([[n, starts], c1, c2])
+        self.fail = np.concatenate([[0, 0], np.zeros(words, np.int64), np.where(c1[last - 2] > 0, last, 0)])
+        weight = np.concatenate([[1.0], np.full(1 + words, mu[0]), np.full(pairs, mu[1])])
+        with np.errstate(divide="ignore"):
+            self.loss = np.log10(weight / (self.mass + weight))
+            p1 = (c1 + 1) / (n + v + 1)
+            p2 = (c2 + mu[0] * p1[last - 2]) / (self.mass[from_state] + mu[0])
+            inside = triple >= 0
+            kind = triple[inside], len(c3)
+            history, short = at(kind, np.roll(pair, 1)[inside]), at(kind, pair[inside])
+            p3 = (c3 + mu[1] * p2[short]) / (c2[history] + mu[1])
+            self.arcs = [np.log10(p1), np.log10(np.where(c2 > 0, p2, 0)), np.log10(np.where(c3 > 0, p3, 0))]
+        self.after = np.where(c2 > 0, 2 + words + np.arange(pairs), np.where(c1[last - 2] > 0, last, 0))
+
+    def read(self, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Known tokens, base scores and model scores of the texts.
+
+        All tokens are read side by side: where an arc leads depends on the two words
+        before it alone, so the states of a left-to-right walk are known at once.
+        """
+        word, pair, triple = self.block.at
+        state = np.where(self.block.first, 1, self.after[np.roll(pair, 1)]) if len(pair) else pair
+        total, open_ = np.zeros(len(word)), np.arange(len(word))
+        while len(open_):
+            s = state[open_]
+            order = np.where(s >= self.pair0, 2, np.where(s > 0, 1, 0))
+            arc = np.full(len(s), -np.inf)
+            for k, gram in enumerate((word, pair, triple)):
+                some = order == k
+                arc[some] = self.arcs[k][gram[open_[some]]]
+            none = np.isneginf(arc)
+            total[open_] += np.where(none, self.loss[s], arc)
+            state[open_] = self.fail[s]
+            open_ = open_[none]
+        add = lambda x: np.bincount(self.block.row, weights=x, minlength=rows)
+        return add(self.known[word]).astype(np.int64), add(self.arcs[0][word]), add(total)
+
+
+def _scatter(kind: tuple[np.ndarray, int], values: np.ndarray) -> np.ndarray:
+    """One value for each n-gram from those at its places, which are all alike."""
+    number, n = kind
+    out = np.zeros(n, np.int64)
+    out[number] = values
+    return out
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held: int = 2, mu: tuple[float, float] = (MU, MU_PAIR)) -> DataFrame:
     """Log10 probabilities of all texts under a model of those outside the held-out fold.
 
     The fold is crc32 of the id as text, modulo ``folds``.  One row for each input row:
@@ -179,44 +257,39 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     ``train_tokens``, ``base_score`` (the root alone) and ``score``.  A null or empty
     text is its end token; a null id counts as the empty text for its fold; repeated
     rows are counted and scored each; with nothing to train on every token is unknown.
-    Other columns are ignored.
+    A very long text is a block of its own.  Other columns are ignored, whatever their
+    names.  Words and n-grams are told apart by 64-bit hashes.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     fold = F.crc32(F.coalesce(col(id_col).cast("string"), F.lit("")).cast("binary")) % folds
     rows = docs.select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"), (fold != held).alias("train"))
-    size = total_bytes(rows, "text")
-    blocks, buckets = max(1, -(-size // BLOCK_BYTES)), max(1, -(-size // BUCKET_BYTES))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int"))
-    asked = rows.select("block", "text", "train").groupBy("block").applyInArrow(_requests(buckets), "block int, bucket int, data binary")
-    told = settled(asked.groupBy("bucket").applyInArrow(_answer, "block int, bucket int, data binary, distinct long, tokens long"), "counts")
+    buckets = max(1, -(-total_bytes(rows, "text") // BUCKET_BYTES))
+    blocks = settled(rows.mapInArrow(_packed, "block long, data binary"), "blocks")
+    asked = blocks.mapInArrow(_requests(buckets), "block long, bucket int, data binary")
+    told = settled(asked.groupBy("bucket").applyInArrow(_answer, "block long, bucket int, data binary, distinct long, tokens long"), "counts")
     v, n = told.agg(F.coalesce(F.sum("distinct"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
     starts = rows.filter("train").count()
 
     def read(left: pa.Table, right: pa.Table) -> pa.Table:
-        held_ = left.to_batches()
-        h, before, row = _block_tokens(held_)
-        u, b = np.unique(h), np.unique(_pair(before, h))
-        counts = [np.zeros(len(u), np.uint64), np.zeros(len(b), np.uint64)]
-        answers = {k: d for k, d in zip(right["bucket"].to_pylist(), right["data"].to_pylist())}
-        for i, (keys, bits) in enumerate(((u, 64), (b, BIGRAM_BITS))):
-            bucket, key = (keys % np.uint64(buckets)).astype(np.int64), (keys // np.uint64(buckets)) & np.uint64((1 << bits) - 1)
-            order = np.lexsort((key, bucket))
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for k, data in answers.items():
-                raw = inflate(data)
-                n_uni = int.from_bytes(raw[:8], "little")
-                x = np.frombuffer(raw, np.uint8, 4 * n_uni, 8) if not i else np.frombuffer(raw, np.uint8, -1, 8 + 4 * n_uni)
-                counts[i][order[cuts[k] : cuts[k + 1]]] = np.ascontiguousarray(x.reshape(4, -1).T).view(np.uint32).reshape(-1)
-        known, base, model = Automaton(u, counts[0], b, counts[1], starts, n, v, mu).read(h, before, row, left.num_rows)
-        total = np.bincount(row, minlength=left.num_rows)
+        held_ = _opened(left["data"][0])
+        block = Block(held_)
+        parts: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)] for _ in range(ORDERS)]
+        for _, data in sorted(zip(right["bucket"].to_pylist(), right["data"].to_pylist())):  # buckets are ranges: their answers follow each other
+            raw, at = inflate(data), 0
+            for k in range(ORDERS):
+                x, at = _numbers(raw, at)
+                parts[k].append(x)
+        total = np.bincount(block.row)
+        known, base, model = Automaton(block, [np.concatenate(p) for p in parts], starts, n, v, mu).read(len(total))
+        table = pa.Table.from_batches(held_)
         return pa.table(
             {
-                "id": left["id"], "held_out": pa.array(~left["train"].to_numpy()), "n_tokens": pa.array(total, pa.int64()), "n_known": pa.array(known, pa.int64()),
+                "id": table["id"], "held_out": pa.array(~table["train"].to_numpy()), "n_tokens": pa.array(total, pa.int64()), "n_known": pa.array(known, pa.int64()),
                 "train_tokens": pa.array(np.full(len(total), n), pa.int64()), "base_score": pa.array(base), "score": pa.array(model),
             }
         )
 
-    out = rows.groupBy("block").cogroup(told.select("block", "bucket", "data").groupBy("block")).applyInArrow(
+    out = blocks.groupBy("block").cogroup(told.select("block", "bucket", "data").groupBy("block")).applyInArrow(
         read, f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
     return out.withColumnRenamed("id", id_col)

@@ -294,30 +294,63 @@ def test_sketch_merges(spark):
 # ---------------------------------------------------------------- language model
 
 
+class BruteTrigrams:
+    """The definition of the model, word by word; words are texts and None is the end."""
+
+    def __init__(self, rows, mu):
+        self.uni, self.bi, self.tri, self.starts, self.mu = Counter(), Counter(), Counter(), 0, mu
+        for w in rows:
+            self.starts += 1
+            self.uni.update(w)
+            self.bi.update(zip(["<s>", *w[:-1]], w))
+            self.tri.update(zip(["<s>", *w[:-2]], w, w[1:]))
+        self.n, self.v = sum(self.uni.values()), len(self.uni)
+
+    def p(self, w, h=None, g=None):
+        p = (self.uni[w] + 1) / (self.n + self.v + 1)
+        if h is not None:
+            p = (self.bi[h, w] + self.mu[0] * p) / ((self.starts if h == "<s>" else self.uni[h]) + self.mu[0])
+        if g is not None:
+            p = (self.tri[g, h, w] + self.mu[1] * p) / (self.bi[g, h] + self.mu[1])
+        return p
+
+    def score(self, w):
+        before = ["<s>", *w]
+        return sum(math.log10(self.p(x, before[i], before[i - 1] if i else None)) for i, x in enumerate(w))
+
+
+def lm_rows(df):
+    lower = lambda t: t.translate({c: c + 32 for c in range(65, 91)})
+    return [(r.doc_id, WORD.findall(lower(r.text or "")) + [None]) for r in df.collect()]
+
+
 def test_lm(spark):
-    df = docs(spark)
+    df = docs(spark, corpus() + list(thue_morse(64)) + ["only two", "two only two only two"])
     fold = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 7
-    lower = lambda t: t.translate({c: c + 32 for c in range(65, 91)})
-    rows = [(r.doc_id, WORD.findall(lower(r.text or "")) + [None]) for r in df.collect()]
-    uni, bi, starts = Counter(), Counter(), 0
-    for d, w in rows:
-        if fold(d) != 2:
-            uni.update(w)
-            bi.update(zip(["<s>", *w[:-1]], w))
-            starts += 1
-    n, v, mu = sum(uni.values()), len(uni), 50.0
+    rows = lm_rows(df)
+    mu = (50.0, 7.0)
+    brute = BruteTrigrams([w for d, w in rows if fold(d) != 2], mu)
     got = {r.doc_id: r for r in lm.score(df, mu=mu).collect()}
     for d, w in rows:
-        base = sum(math.log10((uni[x] + 1) / (n + v + 1)) for x in w)
-        model, state = 0.0, "<s>"
-        for x in w:
-            mass = starts if state == "<s>" else uni[state]
-            model += math.log10((bi[state, x] + mu * (uni[x] + 1) / (n + v + 1)) / (mass + mu))
-            state = x
         r = got[d]
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (fold(d) == 2, len(w), sum(uni[x] > 0 for x in w), n)
-        assert r.base_score == pytest.approx(base) and r.score == pytest.approx(model)
+        base = sum(math.log10(brute.p(x)) for x in w)
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (fold(d) == 2, len(w), sum(brute.uni[x] > 0 for x in w), brute.n)
+        assert r.base_score == pytest.approx(base) and r.score == pytest.approx(brute.score(w))
+    for g, h in ((None, None), (None, "the"), ("<s>", "the"), ("only", "two"), ("two", "only"), ("the", "quick"), (None, "unseen"), ("a", "unseen")):
+        assert sum(brute.p(x, h, g) for x in [*brute.uni, "unseen"]) == pytest.approx(1)
     assert lm.score(empty(spark)).count() == 0
+    twice = Counter((r.doc_id, r.n_tokens) for r in lm.score(df.union(df)).collect())
+    assert twice == Counter({(d, len(w)): 2 for d, w in rows})
+    nothing = lm.score(df.limit(3), held=9).collect() and lm.score(df.limit(3), folds=1, held=0).collect()
+    assert all(r.train_tokens == 0 and r.n_known == 0 and r.score == pytest.approx(r.base_score) for r in nothing)
+
+
+def test_lm_of_longer_history_is_better(spark, sf_dir):
+    """Held-out texts are likelier under the trigrams than under the bigrams, and these than under the root."""
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    mean = lambda mu: lm.score(df, mu=mu).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    (three, one), (two, _) = mean((lm.MU, lm.MU_PAIR)), mean((lm.MU, 1e12))
+    assert three > two > one
 
 
 def test_lm_in_blocks(spark, monkeypatch):
