@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from .common import col, column, raw_text, slices
 
-#: Labelled rows of each label that the network is fitted on, at most, and the most bytes of such a row.
-SAMPLE, SAMPLE_BYTES = 900, 16_000
+#: Labelled rows of each label that the network is fitted on, at most; of a longer text so many parts of so many
+#: code points, spread over all of it, stand for it in the fit.
+SAMPLE, PARTS, PART = 900, 8, 2_000
 WIDTH, STEP, BLOCK = 8, 2, 256
 VECTOR, FILTERS, HIDDEN = 6, 32, 16
 EPOCHS, BATCH, RATE = 9, 24, 0.01
@@ -134,21 +135,29 @@ class Network:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", folds: int = 5, held: int = 0, sample: int = SAMPLE) -> Network:
     """A network fitted on at most ``sample`` rows of each label outside the held-out fold.
 
-    The rows are those with the least hashes of their ids among texts of at most
-    SAMPLE_BYTES bytes, so the choice doesn't depend on the order of the input; their
-    weights restore the shares of the labels.  Null labels, ids and texts are left out.
+    The rows are those with the least hashes of their ids, so the choice doesn't depend
+    on the order of the input; their weights restore the shares of the labels.  Null
+    labels, ids and texts are left out.  Where one label has no row, nothing can be
+    learned, and every text scores the other label's certainty, or a half without rows.
     """
     marks = labels.select(col(id_col).alias("id"), col(label_col).alias("label")).filter(F.col("label").isin(0, 1) & F.col("id").isNotNull() & (_fold(F.col("id"), folds) != held)).distinct()
     counts = {r.label: r.n for r in marks.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
     least = lambda y: marks.filter(F.col("label") == y).orderBy(F.xxhash64("id"), "id").limit(2 * sample)
     chosen = F.broadcast(least(0).union(least(1)))  # 4 * sample ids at most: the texts are found by one scan, without a shuffle
-    texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text")).filter(F.octet_length("text") <= SAMPLE_BYTES)
-    table = texts.join(chosen, "id").withColumn("order", F.xxhash64("id")).toArrow().sort_by([("order", "ascending"), ("id", "ascending"), ("text", "ascending")])
+    n = F.length("text")
+    spread = F.concat_ws(" ", *[F.substring("text", (F.floor((n - PART) * i / (PARTS - 1)) + 1).cast("int"), F.lit(PART)) for i in range(PARTS)])
+    short = F.when(n > PARTS * PART, spread).otherwise(F.col("text"))
+    texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text")).filter("text is not null").select("id", short.alias("text"))
+    table = texts.join(chosen, "id").dropDuplicates(["id", "text"]).withColumn("order", F.xxhash64("id")).toArrow().sort_by([("order", "ascending"), ("id", "ascending"), ("text", "ascending")])
     label = table["label"].to_numpy()
     some = np.sort(np.concatenate([np.flatnonzero(label == y)[:sample] for y in (0, 1)]))
     label = label[some].astype(np.float32)
     net = Network()
-    if len(label):
+    if len(np.unique(label)) < 2:
+        share = float(label.mean()) if len(label) else 0.5
+        net.w["out"][:] = 0
+        net.w["out_bias"][:] = np.log((share + 1e-6) / (1 - share + 1e-6))
+    else:
         n = np.bincount(label.astype(int), minlength=2)
         weight = np.where(label == 1, counts.get(1, 0) / max(n[1], 1), counts.get(0, 0) / max(n[0], 1)).astype(np.float32)
         net.fit(table["text"].combine_chunks().take(pa.array(some)), label, weight)
@@ -163,7 +172,8 @@ def classify(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: st
     """``id_col``, ``held_out``, ``score`` and ``predicted`` for each row, from its text alone.
 
     A null text is read as an empty one, which has a score too; a null id counts as the
-    empty text for its fold; repeated rows get the same score.  Other columns are ignored.
+    empty text for its fold; repeated rows get the same score; a very long text is scored
+    by all of its chunks.  Other columns are ignored, whatever their names.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 

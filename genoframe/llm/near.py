@@ -40,8 +40,8 @@ BANDS, ROWS = 40, 4
 REGISTERS = 256
 #: The registers' base, rate and largest value: 16 bits hold sets of any size that occurs.
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
-#: Estimates below this can't be links: 3.7 standard errors below 0.75.
-DOUBT = 0.65
+#: Estimates below this can't be links: 5 standard errors below 0.75, as seldom wrong as the bands.
+DOUBT = 0.615
 #: Members of one bucket, about, that ask in one step, and that they are compared with.
 BLOCK = 2048
 
@@ -67,6 +67,30 @@ def shingle_sets(texts: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray, n
     return g, np.searchsorted(doc, np.arange(len(words.counts) + 1))
 
 
+def exact_sets(texts: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_sets`` by the words themselves: numbers that are equal for equal shingles of these texts only."""
+    words = Words(texts, lower=True)
+    number, names = words.numbered()
+    code, n = number.astype(np.int64), len(names)
+    ok = words.whole(shingle)
+    for k in range(1, shingle):  # numbers of k + 1 words from those of k
+        follows = np.zeros(len(code), np.int64)
+        follows[: len(code) - k] = number[k:]
+        code = np.unique(code * n + follows, return_inverse=True)[1]
+    doc, code = words.doc[ok], code[ok]
+    few = np.flatnonzero((words.counts > 0) & (words.counts < shingle))
+    if len(few):
+        whole: dict[tuple[int, ...], int] = {}
+        tuples = [tuple(number[a:b].tolist()) for a, b in zip(words.first[few].tolist(), words.first[few + 1].tolist())]
+        doc, code = np.concatenate([doc, few]), np.concatenate([code, [len(words) + whole.setdefault(t, len(whole)) for t in tuples]])
+    order = np.lexsort((code, doc))
+    doc, code = doc[order], code[order]
+    new = np.ones(len(code), bool)
+    new[1:] = (code[1:] != code[:-1]) | (doc[1:] != doc[:-1])
+    doc, code = doc[new], code[new]
+    return code, np.searchsorted(doc, np.arange(len(words.counts) + 1))
+
+
 def sketch(g: np.ndarray, at: np.ndarray) -> np.ndarray:
     """SetSketch registers of each set, one row each; empty sets have zeros."""
     out = np.zeros((len(at) - 1, REGISTERS), np.uint16)
@@ -146,9 +170,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "t_a", 1 << 20):
-                (g, at), (k, to) = shingle_sets(column(part, "t_a"), shingle), shingle_sets(column(part, "t_b"), shingle)
-                both = np.array([len(np.intersect1d(g[at[i] : at[i + 1]], k[to[i] : to[i + 1]], assume_unique=True)) for i in range(part.num_rows)], np.int64)
-                yield pa.RecordBatch.from_arrays([column(part, "a"), column(part, "b"), pa.array(both), pa.array(np.diff(at) + np.diff(to) - both)], names=["a", "b", "both", "either"])
+                n = part.num_rows
+                g, at = exact_sets(pa.concat_arrays([column(part, "t_a"), column(part, "t_b")]), shingle)
+                both = np.array([len(np.intersect1d(g[at[i] : at[i + 1]], g[at[n + i] : at[n + i + 1]], assume_unique=True)) for i in range(n)], np.int64)
+                size = np.diff(at)
+                yield pa.RecordBatch.from_arrays([column(part, "a"), column(part, "b"), pa.array(both), pa.array(size[:n] + size[n:] - both)], names=["a", "b", "both", "either"])
 
     side = lambda x: texts.select(F.col("rep").alias(x), F.col("text").alias(f"t_{x}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long, both long, either long")
@@ -252,7 +278,7 @@ def _links_inside(shingle: int):
     """Verified links between the members of a block; rows have their texts."""
 
     def work(table: pa.Table, rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        g, at = shingle_sets(table["text"].combine_chunks(), shingle)
+        g, at = exact_sets(table["text"].combine_chunks(), shingle)
         own = lambda i: g[at[i] : at[i + 1]]
         found = []
         for i in np.flatnonzero(rows["asks"]).tolist():
@@ -299,7 +325,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts have no shingles and stay alone; a null id is compared with nothing, has a
     null component and is kept.  Rows that share an id are one vertex: repeated rows are
     kept or dropped together, and of different texts under one id that with the least
-    ``same`` is compared beyond exact copies.  Other columns are ignored.
+    ``same`` is compared beyond exact copies.  Very long texts are compared whole.  Other
+    columns are ignored, whatever their names.  Links are confirmed by the words of the
+    shingles, not by their hashes.
     """
     sig = settled(signatures(docs, id_col, text_col, shingle), "signatures")
     full = sig.filter("digest is not null and doc is not null")

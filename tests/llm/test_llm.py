@@ -704,6 +704,41 @@ def test_classifier(spark):
     assert len(net.score(pa.array(["", "x" * 100_000], pa.string()))) == 2
 
 
+def test_classifier_held_out():
+    """Held-out accuracy on the tables, better than always guessing the commoner label; long labelled texts take part."""
+    import os
+
+    from pyspark.sql import SparkSession
+
+    path = "/root/testdata/sf0.01"
+    if not os.path.isdir(path):
+        pytest.skip("no test tables here")
+    spark = SparkSession.getActiveSession()
+    df, labels = (spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "labels"))
+    got = classifier.classify(df, classifier.train(df, labels)).join(labels, "doc_id").filter("held_out").select("predicted", "quality").collect()
+    right = sum(r.predicted == r.quality for r in got) / len(got)
+    common = sum(r.quality for r in got) / len(got)
+    assert right > max(common, 1 - common) + 0.03
+
+
+def test_classifier_without_labels(spark):
+    df = docs(spark, ["a text", "another", "", "x " * 40_000])
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {r.score for r in classifier.classify(df, classifier.train(df, none)).collect()} == {0.5}
+    one = spark.createDataFrame([(i, 1) for i in range(4)], "doc_id long, quality int")
+    assert min(r.score for r in classifier.classify(df, classifier.train(df, one)).collect()) > 0.99
+    both = spark.createDataFrame([(0, 1), (1, 0), (2, 1), (3, 0)], "doc_id long, quality int")
+    assert classifier.classify(df.union(df), classifier.train(df.union(df), both, folds=1, held=1)).count() == 2 * df.count()
+
+
+def test_exact_sets():
+    texts = ["a b c d e f g a b c d e", "A B c d e f", "", "one two", "One two", "two one", "a b c d e", *thue_morse(64)]
+    g, at = near.exact_sets(pa.array(texts))
+    own = [set(g[a:b].tolist()) for a, b in zip(at, at[1:])]
+    h, to = near.shingle_sets(pa.array(texts))
+    assert (at == to).all() and own[3] == own[4] != own[5] and own[1] <= own[0] and own[6] <= own[1] and not own[7] & own[8] and not own[2]
+
+
 def test_gradient():
     """The hand-written gradient agrees with differences of the loss."""
     net = classifier.Network()
