@@ -15,9 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; one of our own only where that is unset."""
+    """The folder of ``spark.checkpoint.dir``; in local mode one of our own where that is unset, on a cluster an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="genoframe-")
         spark.conf.set("spark.checkpoint.dir", root)
         atexit.register(shutil.rmtree, root.removeprefix("file://"), True)
