@@ -35,11 +35,14 @@ from pyspark.sql import functions as F
 from .common import Words, col, column, deflate, inflate, mix, settled, slices, total_bytes
 
 #: Bytes of text in a block and for each bucket.
-BLOCK_BYTES, BUCKET_BYTES = 6 << 20, 12 << 20
+BLOCK_BYTES, BUCKET_BYTES = 3 << 20, 6 << 20
 #: Weights of the shorter history's distribution against a state's own counts, for words and for pairs.
 MU, MU_PAIR = 1000.0, 5.0
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 ORDERS = 3
+#: Bits of a pair's or triple's key beside those of its bucket's number: in a bucket of two million such keys two are
+#: taken for one about three times in a hundred buckets.  Words keep all 64 bits.
+KEY_BITS = 46
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -73,7 +76,7 @@ class Block:
     the one that ends at each token; no trigram ends at a text's first token.
     """
 
-    def __init__(self, batches: list[pa.RecordBatch]):
+    def __init__(self, batches: list[pa.RecordBatch], buckets: int):
         words, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for batch in batches:
             for part in slices(batch):
@@ -81,7 +84,7 @@ class Block:
                 words.append(w.hashes())
                 counts.append(w.counts)
         n = np.concatenate(counts) + 1
-        self.row = np.repeat(np.arange(len(n)), n)
+        self.row = np.repeat(np.arange(len(n), dtype=np.int32), n)
         last = np.cumsum(n) - 1
         h = np.full(len(self.row), END)
         inner = np.ones(len(h), bool)
@@ -93,20 +96,31 @@ class Block:
         before[self.first] = START
         pair = mix(before * np.uint64(0x9FB21C651E98DF25) + h)
         triple = mix(np.roll(pair, 1) * np.uint64(0xC2B2AE3D27D4EB4F) + h)
+        low = np.uint64(max(0, 64 - KEY_BITS - (buckets - 1).bit_length()))  # bits that no key holds
+        pair, triple = pair >> low << low, triple[~self.first] >> low << low
         self.grams, self.at = [], []
-        for k, g in enumerate((h, pair, triple[~self.first])):
+        for g in (h, pair, triple):
             u, inverse = np.unique(g, return_inverse=True)
             self.grams.append(u)
-            self.at.append(inverse)
-        whole = np.full(len(h), -1)
+            self.at.append(inverse.astype(np.int32))
+        whole = np.full(len(h), -1, np.int32)
         whole[~self.first] = self.at[2]
         self.at[2] = whole
+        self.low = [np.uint64(0), low, low]
 
     def counts(self, train: np.ndarray) -> list[np.ndarray]:
         """How often each n-gram occurs in training rows."""
         weight = train[self.row].astype(np.float64)
         return [np.bincount(a[a >= 0], weights=weight[a >= 0], minlength=len(g)).astype(np.uint64) for g, a in zip(self.grams, self.at)]
 
+    def slices(self, train: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        """What is asked of each bucket: its n-grams here, and how often they occur in training rows."""
+        counts = self.counts(train)
+        cuts = [np.concatenate([[0], np.searchsorted(g, bounds), [len(g)]]) for g in self.grams]
+        for b in range(len(bounds) + 1):
+            if any(c[b + 1] > c[b] for c in cuts):
+                yield b, b"".join(_pack(g[c[b] : c[b + 1]] >> low, n[c[b] : c[b + 1]]) for g, n, c, low in zip(self.grams, counts, cuts, self.low))
+
 
 def _bounds(buckets: int) -> np.ndarray:
     """The least hash of each bucket but the first."""
@@ -145,14 +159,11 @@ def _requests(buckets: int):
         for batch in batches:
             for number, data in zip(column(batch, "block").to_pylist(), column(batch, "data")):
                 held = _opened(data)
-                block = Block(held)
-                counts = block.counts(np.concatenate([column(b, "train").to_numpy(zero_copy_only=False) for b in held]))
-                cuts = [np.concatenate([[0], np.searchsorted(g, bounds), [len(g)]]) for g in block.grams]
+                train = np.concatenate([column(b, "train").to_numpy(zero_copy_only=False) for b in held])
                 names, packed = [], []
-                for b in range(buckets):
-                    if any(c[b + 1] > c[b] for c in cuts):
-                        names.append(b)
-                        packed.append(deflate(b"".join(_pack(g[c[b] : c[b + 1]], n[c[b] : c[b + 1]]) for g, n, c in zip(block.grams, counts, cuts))))
+                for b, raw in Block(held, buckets).slices(train, bounds):
+                    names.append(b)
+                    packed.append(deflate(raw))
                 yield pa.RecordBatch.from_arrays([pa.array([number] * len(names), pa.int64()), pa.array(names, pa.int32()), pa.array(packed, pa.binary())], names=["block", "bucket", "data"])
 
     return ask
@@ -272,7 +283,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
 
     def read(left: pa.Table, right: pa.Table) -> pa.Table:
         held_ = _opened(left["data"][0])
-        block = Block(held_)
+        block = Block(held_, buckets)
         parts: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)] for _ in range(ORDERS)]
         for _, data in sorted(zip(right["bucket"].to_pylist(), right["data"].to_pylist())):  # buckets are ranges: their answers follow each other
             raw, at = inflate(data), 0
