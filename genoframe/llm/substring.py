@@ -7,8 +7,10 @@ the bucket of that minimiser, so equal windows always meet and the words are not
 repeated once per window.  In its bucket every window is put in order with its equals
 and all but the first occurrence are marked.
 
-Skew: equal packed strings of one slice are merged before the shuffle, their later
-occurrences being settled on the spot.  Gram frequencies come from a count sketch of
+Skew: equal packed strings of one task are merged before the shuffle, as far as a table
+of recent strings reaches, their later occurrences being settled on the spot; a bucket
+merges the equal strings of all tasks while it reads them, so it holds each different
+string once, however often it occurs.  Gram frequencies come from a count sketch of
 fixed size over all documents, so a gram that a third of the rows share is a
 minimiser only where the whole window is shared, and there the strings are equal.
 """
@@ -17,7 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,29 @@ LEVEL = 10
 CELLS = 1 << 20
 #: Bytes of text for each bucket; a bucket holds about three times as much packed text.
 BUCKET_BYTES = 6 << 20
+#: Bytes of recent strings that a task keeps to settle their later occurrences; at most twice as many are held.
+RECENT_BYTES = 12 << 20
+
+
+class Recent:
+    """Where strings of a task were last seen first, in two generations, of which the older one is forgotten."""
+
+    def __init__(self, limit: int = RECENT_BYTES):
+        self.limit, self.size = limit, 0
+        self.new: dict[bytes, tuple[int, int]] = {}
+        self.old: dict[bytes, tuple[int, int]] = {}
+
+    def later(self, string: bytes, at: tuple[int, int]) -> bool:
+        """Whether an equal string was sent from an earlier place; if not, this place is remembered."""
+        first = self.new.get(string)
+        if first is None:
+            first = self.old.get(string, at)
+            self.size += len(string)
+            if self.size > self.limit:
+                self.old, self.new, self.size = self.new, {}, len(string)
+        self.new[string] = min(first, at)
+        return first < at
+
 
 def _sketch(docs: DataFrame, gram: int) -> np.ndarray:
     """Per cell the bit length of the number of grams that fall there, over all documents: CELLS bytes."""
@@ -95,23 +120,25 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     bits = _sketch(texts, gram)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        recent = Recent()
         for batch in batches:
             for part in slices(batch):
-                yield from _cut_slice(part, bits, window, gram, buckets)
+                yield from _cut_slice(part, bits, window, gram, buckets, recent)
 
     def settle(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key[0].as_py() < 0:  # spans that a slice has settled itself
             for b in batches:
                 yield pa.RecordBatch.from_arrays([column(b, n) for n in ("doc", "same", "data")], names=["doc", "same", "spans"])
         else:
-            blobs = [inflate(x.as_py()) for b in batches for x in column(b, "data")]
-            yield from _span_rows(*_settle(blobs, window))
+            blobs = (inflate(x.as_py()) for b in batches for x in column(b, "data"))
+            for found in _settle(blobs, window):
+                yield from _span_rows(*found)
 
     packed = texts.mapInArrow(cut, "bucket int, doc long, same long, data binary")
     return packed.groupBy("bucket").applyInArrow(settle, "doc long, same long, spans binary")
 
 
-def _cut_slice(part: pa.RecordBatch, bits: np.ndarray, window: int, gram: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _cut_slice(part: pa.RecordBatch, bits: np.ndarray, window: int, gram: int, buckets: int, recent: Recent) -> Iterator[pa.RecordBatch]:
     """Packed strings of one slice by bucket; rows of buckets below 0 hold spans that are settled already."""
     words = Words(column(part, "text"))
     if not len(words):
@@ -130,15 +157,10 @@ def _cut_slice(part: pa.RecordBatch, bits: np.ndarray, window: int, gram: int, b
     row = words.doc[first]
     ids, keys, place = doc[row], same[row], first - words.first[row]
     order = np.lexsort((place, ids))
-    seen: dict[bytes, int] = {}
     keep, late = [], []
-    for i in order.tolist():
-        j = seen.setdefault(strings[i], i)
-        if j == i or (ids[i] == ids[j] and place[i] == place[j]):
-            keep.append(i)
-        else:
-            late.append(i)
-    keep_at = np.array(keep)
+    for i, at_ in zip(order.tolist(), zip(ids[order].tolist(), place[order].tolist())):
+        (late if recent.later(strings[i], at_) else keep).append(i)
+    keep_at = np.array(keep, np.int64)
     bucket = (best[first[keep_at]] % np.uint64(buckets)).astype(np.int64)
     by = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[by], prepend=-1))
@@ -158,35 +180,47 @@ def _cut_slice(part: pa.RecordBatch, bits: np.ndarray, window: int, gram: int, b
             yield pa.RecordBatch.from_arrays([pa.array(spread, pa.int32()), *b.columns], names=["bucket", "doc", "same", "data"])
 
 
-def _settle(blobs: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Repeated windows of one bucket: document, text key, first word and number of windows of each run."""
-    ids, keys, place, strings = [], [], [], []
+#: Places of repeated strings that a bucket gathers before it hands them on.
+LATE_ROWS = 1 << 16
+
+
+def _settle(blobs: Iterable[bytes], window: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Repeated windows of one bucket: document, text key, first word and number of windows of each run, in portions.
+
+    Of equal strings only those of the first place are held; the others are repeated
+    through and through and go out while the bucket is read.
+    """
+    first: dict[bytes, list[tuple[int, int, int]]] = {}
+    late: list[tuple[int, int, int, int]] = []
     for x in blobs:
         n = int.from_bytes(x[:8], "little")
-        ids.append(np.frombuffer(x, np.int64, n, 8))
-        keys.append(np.frombuffer(x, np.int64, n, 8 + 8 * n))
-        place.append(np.frombuffer(x, np.int32, n, 8 + 16 * n))
-        size = np.frombuffer(x, np.int32, n, 8 + 20 * n)
-        ends = np.cumsum(size, dtype=np.int64) + 8 + 24 * n
-        strings += [x[a:b] for a, b in zip((ends - size).tolist(), ends.tolist())]
-    doc, same, start = np.concatenate(ids), np.concatenate(keys), np.concatenate(place).astype(np.int64)
-    windows = np.fromiter((s.count(b" ") for s in strings), np.int64, len(strings)) + 2 - window
-    order = np.lexsort((start, doc))
-    leader: dict[bytes, int] = {}
-    whole, single = [], []
-    for i in order.tolist():  # equal strings: all but the first are repeated through and through
-        j = leader.setdefault(strings[i], i)
-        if j == i or (doc[i] == doc[j] and start[i] == start[j]):
-            single.append(i)
-        else:
-            whole.append(i)
-    del leader
-    w = np.array(whole, np.int64)
-    found = [(doc[w], same[w], start[w], windows[w])]
+        ids, keys, place = np.frombuffer(x, np.int64, n, 8).tolist(), np.frombuffer(x, np.int64, n, 8 + 8 * n).tolist(), np.frombuffer(x, np.int32, n, 8 + 16 * n).tolist()
+        ends = np.cumsum(np.frombuffer(x, np.int32, n, 8 + 20 * n), dtype=np.int64) + 8 + 24 * n
+        for doc_, key, at_, a, b in zip(ids, keys, place, [8 + 24 * n, *ends[:-1].tolist()], ends.tolist()):
+            string, here = x[a:b], (doc_, at_, key)
+            held = first.setdefault(string, [])
+            if not held or held[0][:2] == here[:2]:
+                if here not in held:
+                    held.append(here)
+                continue
+            if here[:2] < held[0][:2]:
+                first[string], gone = [here], held
+            else:
+                gone = [here]
+            count = string.count(b" ") + 2 - window
+            late += [(d, k, p, count) for d, p, k in gone]
+        if len(late) >= LATE_ROWS:
+            yield _columns(late)
+            late = []
+    if late:
+        yield _columns(late)
+    texts = [s for s, held in first.items() for _ in held]
+    doc, start, same = (np.array(v, np.int64) for v in zip(*(h for held in first.values() for h in held)))
+    del first
     rows: list[int] = []
     raws, of, h, at, to, row, place_ = [], [], [], [], [], [], []
-    for part in _portions(single, strings):
-        table = Words(_as_text([strings[i] for i in part]))
+    for part in _portions(range(len(texts)), texts):
+        table = Words(_as_text([texts[i] for i in part]))
         k = np.flatnonzero(table.whole(window))
         owner = np.array(part, np.int64)[table.doc[k]]
         h.append(grams(table.hashes(), window)[k])
@@ -214,11 +248,14 @@ def _settle(blobs: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np
             rows.append(i)
     if rows:
         r = np.array(rows, np.int64)
-        found.append((d[r], same[row[r]], p[r], np.ones(len(r), np.int64)))
-    return tuple(np.concatenate(x) for x in zip(*found))
+        yield d[r], same[row[r]], p[r], np.ones(len(r), np.int64)
+
+
+def _columns(rows: list[tuple[int, int, int, int]]) -> tuple[np.ndarray, ...]:
+    return tuple(np.array(v, np.int64) for v in zip(*rows))
 
 
-def _portions(which: list[int], strings: list[bytes]) -> Iterator[list[int]]:
+def _portions(which: Iterable[int], strings: list[bytes]) -> Iterator[list[int]]:
     """Parts of ``which`` with about SLICE_BYTES of strings each."""
     part, size = [], 0
     for i in which:

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -129,6 +130,50 @@ def test_substring(spark, window):
     assert sum(r.n_removed for r in got) > 100
 
 
+def test_substring_across_slices():
+    """A task's table of recent strings and a bucket that merges while it reads leave the same windows, whatever their order."""
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(40)]
+    texts = {}
+    for doc in range(60):
+        words = [f"w{rng.randrange(4000)}" for _ in range(rng.randrange(60))]
+        at = rng.randrange(len(words) + 1)
+        texts[doc] = " ".join(words[:at] + passage[: rng.choice([0, 25, 40])] + words[at:])
+    seen, want = set(), set()
+    for doc, text in texts.items():
+        words = text.split()
+        for i in range(len(words) - 19):
+            w = tuple(words[i : i + 20])
+            if w in seen:
+                want.add((doc, i))
+            seen.add(w)
+    least = None
+    for limit in (1, 1000, 1 << 20):
+        order = list(texts)
+        rng.shuffle(order)
+        blobs, got, sent = {}, [], 0
+        for task in (order[:30], order[30:]):
+            recent = substring.Recent(limit)
+            for k in range(0, 30, 5):
+                some = task[k : k + 5]
+                part = pa.RecordBatch.from_pydict({"doc": pa.array(some, pa.int64()), "same": pa.array([0] * 5, pa.int64()), "text": pa.array([texts[d] for d in some])})
+                for b in substring._cut_slice(part, np.zeros(substring.CELLS, np.uint8), 20, 3, 4, recent):
+                    for r in b.to_pylist():
+                        if r["bucket"] < 0:
+                            got.append((r["doc"], r["data"]))
+                        else:
+                            sent += len(r["data"])
+                            blobs.setdefault(r["bucket"], []).append(substring.inflate(r["data"]))
+        for some in blobs.values():
+            for found in substring._settle(some, 20):
+                for b in substring._span_rows(*found):
+                    got += [(r["doc"], r["spans"]) for r in b.to_pylist()]
+        marked = {(d, a + i) for d, x in got for a, n in np.frombuffer(x, np.int32).reshape(-1, 2).tolist() for i in range(n)}
+        assert marked == want
+        assert limit < 1 << 20 or sent < least
+        least = sent
+
+
 def test_substring_repeated_rows(spark):
     df = docs(spark, [" ".join(LOREM)], nulls=False)
     assert [r.n_removed for r in substring.dedup_substrings(df.union(df)).collect()] == [0, 0]
