@@ -9,10 +9,13 @@ interval falls into and the number of pairs in a bin small.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import settled
+
 
 def _binned(df: DataFrame, start: str, last: Column, width: float, name: str) -> DataFrame:
     first = F.floor(F.col(start) / width)
@@ -76,16 +79,30 @@ def band_range(segments: DataFrame, bands: DataFrame, on: Sequence[str], s: tupl
 def asof_backward(left: DataFrame, right: DataFrame, on: Sequence[str], at: str, r_at: str, value: str, out: str, clamp: bool = True) -> DataFrame:
     """The value at the greatest right position up to each left one; below the first position the first value if ``clamp``.
 
-    One sort of both sides together, no pairs.  Of equal right positions the greatest value is taken.
+    Both sides together are dealt by ranges of key and position, so that one key for all
+    rows is spread over all tasks, too.  What a range's first key had last in the ranges
+    before comes from a table of one row for each range.  Of equal right positions the
+    greatest value is taken; a null key equals a null, a null position finds nothing
+    below it.
     """
-    r = right.groupBy(*on, r_at).agg(F.max(value).alias("_v")).select(*on, F.col(r_at).alias("_at"), "_v", F.lit(0).alias("_side"))
-    l = left.select(*on, F.col(at).alias("_at"), F.struct(*left.columns).alias("_row"), F.lit(1).alias("_side"))
-    both = r.unionByName(l, allowMissingColumns=True)
-    upto = Window.partitionBy(*on).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*on)
-    first = F.min(F.when(F.col("_side") == 0, F.struct("_at", "_v"))).over(whole)["_v"]
-    found = F.last("_v", ignorenulls=True).over(upto)
-    return both.select("_side", "_row", F.coalesce(found, first).alias(out) if clamp else found.alias(out)).filter("_side = 1").select("_row.*", out)
+    keys = [f"_k{i}" for i in range(max(1, len(on)))]
+    named = [F.col(c).alias(k) for c, k in zip(on, keys)] or [F.lit(0).alias(keys[0])]
+    r = right.groupBy(*on, r_at).agg(F.max(value).alias("_v")).select(*named, F.col(r_at).alias("_at"), "_v", F.lit(0).alias("_side"))
+    l = left.select(*named, F.col(at).alias("_at"), F.struct(*left.columns).alias("_row"), F.lit(1).alias("_side"))
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = settled(r.unionByName(l, allowMissingColumns=True).repartitionByRange(parts, *keys, "_at", "_side").withColumn("_p", F.spark_partition_id()), "asof")
+    key = F.struct(*keys)
+    ends = both.groupBy("_p", *keys).agg(F.max(F.when(F.col("_v").isNotNull(), F.struct("_at", "_v")))["_v"].alias("_last"))
+    before = F.last("_last", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    carried = ends.withColumn("_before", before).groupBy("_p").agg(F.min(F.struct(key.alias("_key"), "_before")).alias("_x")).select("_p", F.col("_x._key").alias("_key"), F.col("_x._before").alias("_before"))  # one row for each range
+    upto = Window.partitionBy("_p", *keys).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    inside = both.withColumn("_found", F.last("_v", ignorenulls=True).over(upto)).filter("_side = 1")
+    found = inside.join(F.broadcast(carried), "_p").withColumn("_found", F.coalesce("_found", F.when(key.eqNullSafe(F.col("_key")), F.col("_before"))))
+    if not clamp:
+        return found.select("_row.*", F.col("_found").alias(out))
+    first = both.filter("_side = 0 and _v is not null").groupBy(*keys).agg(F.min(F.struct("_at", "_v"))["_v"].alias("_first")).withColumnsRenamed({k: f"_f{k}" for k in keys})
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_f{k}")) for k in keys])
+    return found.join(first, same, "left").select("_row.*", F.coalesce("_found", "_first").alias(out))
 
 
 def _near(a: tuple[str, str], b: tuple[str, str], ratio: float, distance: float | None) -> Column:

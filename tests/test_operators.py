@@ -47,6 +47,18 @@ def test_union_touching(spark):
     assert sorted(tuple(r) for r in I.interval_union(df, ["c"], "s", "e").collect()) == [("1", 0, 20), ("1", 21, 30), ("2", 1, 2)]
 
 
+def test_asof_of_one_key(spark):
+    """One key for all rows lies in many ranges; values are carried over those without any."""
+    l = spark.range(0, 4000).select(F.lit("a").alias("k"), (F.col("id") % 2000).alias("p"), "id").unionByName(spark.createDataFrame([(None, 5, -1), ("b", 1, -2), ("c", 9, -3)], "k string, p long, id long"))
+    r = spark.createDataFrame([("a", 3, 30), ("a", 3, 31), ("a", 1900, 19000), (None, 4, 7), ("b", 2, 2), ("b", 1, None)], "k string, q long, v long")
+    want = {i: 31 if i % 2000 < 1900 else 19000 for i in range(4000)} | {-1: 7, -2: 2, -3: None}
+    assert {x.id: x.o for x in I.asof_backward(l, r, ["k"], "p", "q", "v", "o").collect()} == want
+    want |= {-2: None} | {i + j: None for i in range(3) for j in (0, 2000)}
+    assert {x.id: x.o for x in I.asof_backward(l, r, ["k"], "p", "q", "v", "o", clamp=False).collect()} == want
+    got = I.asof_backward(l.filter("k = 'a'"), r.filter("k = 'a'"), [], "p", "q", "v", "o").filter("o = 31").count()
+    assert got == 3800
+
+
 def test_asof(spark):
     l = spark.createDataFrame([(1, "a", 5), (2, "a", 20), (3, "b", 1)], "id int, k string, p long")
     r = spark.createDataFrame([("a", 10, "x"), ("a", 20, "y")], "k string, q long, v string")
