@@ -25,14 +25,13 @@ def _whole(spark: SparkSession, path: str) -> str:
         sizes = spark.read.format("binaryFile").load(path).select("length").limit(2).collect()
     except AnalysisException as error:
         raise FileNotFoundError(f"No document at {path}") from error
-    if len(sizes) != 1 or sizes[0].length > MOST_BYTES:
-        raise ValueError(f"{path} must be one file of at most {MOST_BYTES} bytes")
-    rows = spark.read.text(path, wholetext=True).collect()
-    return rows[0].value if rows else ""
+    if len(sizes) != 1 or sizes[0].length > MOST_BYTES:  # empty files give no row
+        raise ValueError(f"{path} must hold one file with content of at most {MOST_BYTES} bytes")
+    return spark.read.text(path, wholetext=True).first().value
 
 
 def read_json(spark: SparkSession, path: str) -> Any:
-    """A configuration document; it is an error if it doesn't exist or is large."""
+    """A configuration document, a file or a folder with one; it is an error if it doesn't exist, is empty or is large."""
     return json.loads(_whole(spark, path))
 
 
@@ -45,14 +44,14 @@ def read_yaml(spark: SparkSession, path: str) -> Any:
 
 def write_json(spark: SparkSession, data: Any, path: str) -> None:
     """K4: a folder with one part, indented by four."""
-    write_lines(spark.createDataFrame([(json.dumps(data, indent=4),)], "value string"), path)
+    write_lines(spark.createDataFrame([(json.dumps(data, indent=4),)], "value string").coalesce(1), path)
 
 
 def write_yaml(spark: SparkSession, data: Any, path: str) -> None:
     """K4: keys in their own order."""
     import yaml
 
-    write_lines(spark.createDataFrame([(yaml.safe_dump(data, sort_keys=False).rstrip("\n"),)], "value string"), path)
+    write_lines(spark.createDataFrame([(yaml.safe_dump(data, sort_keys=False).rstrip("\n"),)], "value string").coalesce(1), path)
 
 
 def write_lines(rows: DataFrame, path: str, mode: str = "error") -> None:
