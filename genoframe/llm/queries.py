@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, classifier, decontaminate, html, lm, near, quality, substring, tokens, warc
+from . import bpe, classifier, decontaminate, html, lm, near, quality, secrets, spelling, substring, tokens, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,8 +59,23 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(docs, classifier.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(_table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"cast(size(filter(base, m -> m.kind = {i})) AS long)").alias(f"n_{kind}") for i, kind in enumerate(secrets.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"), "n_live", "n_copied")
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op2_decontaminate": op2_decontaminate, "op3_quality_rules": op3_quality_rules, "op4_lm_score": op4_lm_score, "op5_near_dedup": op5_near_dedup, "op6_token_files": op6_token_files, "op7_warc": op7_warc, "op8_bpe": op8_bpe, "op9_html_extraction": op9_html_extraction, "op10_quality_classifier": op10_quality_classifier}
+    return {"op1_substring_dedup": op1_substring_dedup, "op2_decontaminate": op2_decontaminate, "op3_quality_rules": op3_quality_rules, "op4_lm_score": op4_lm_score, "op5_near_dedup": op5_near_dedup, "op6_token_files": op6_token_files, "op7_warc": op7_warc, "op8_bpe": op8_bpe, "op9_html_extraction": op9_html_extraction, "op10_quality_classifier": op10_quality_classifier, "op11_secret_scan": op11_secret_scan, "op12_embedding_whitening": op12_embedding_whitening, "op13_spelling_variants": op13_spelling_variants}
 
 
 OP1_SQL = r"""
@@ -213,5 +228,38 @@ FROM b
 """
 
 
+#: Every kind as (number, pattern, group, least length); positions are sums of the pieces between matches.
+OP11_SQL = r"""
+WITH kinds AS (
+  SELECT * FROM (VALUES (0, 'assign', '([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 12),
+    (1, 'access', 'AKIA[A-Z0-9]+', 0, 18), (2, 'hex', '[0-9a-f]+', 0, 16), (3, 'opaque', '[A-Za-z0-9+/_-]+', 0, 20)) AS k(kind, name, pattern, grp, least)
+), cut AS (
+  SELECT doc_id, source, lang, kind, name, least, regexp_extract_all(t, pattern) AS whole, CASE grp WHEN 2 THEN regexp_extract_all(t, pattern, 2) ELSE regexp_extract_all(t, pattern) END AS vals, string_split_regex(t, pattern) AS gaps
+  FROM (SELECT doc_id, source, lang, coalesce(text, '') AS t FROM documents), kinds
+), numbered AS (
+  SELECT doc_id, source, lang, kind, name, least, unnest(range(1, len(whole) + 1)) AS i, unnest(whole) AS m, unnest(vals) AS v, unnest(gaps[1:len(whole)]) AS g FROM cut WHERE len(whole) > 0
+), placed AS (
+  SELECT *, (sum(length(g) + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY i))::BIGINT AS til FROM numbered
+), found AS (
+  SELECT doc_id, source, lang, kind, name, v, til - length(m) AS beg, til AS fin,
+         regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND len(list_distinct(string_split(substr(v, 1, 256), ''))) >= 10 AS random
+  FROM placed WHERE length(v) >= least
+), owned AS (
+  SELECT v, count(DISTINCT coalesce(source, '~null')) AS n_owners FROM found GROUP BY v
+), judged AS (
+  SELECT f.*, random AND n_owners <= 1 AS live, n_owners >= 3 AS copied, min(kind) OVER (PARTITION BY doc_id, f.v) AS lowest FROM found f JOIN owned o ON f.v = o.v
+), told AS (
+  SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
+         string_agg(name || ':' || beg || ':' || fin, ',' ORDER BY beg, kind) FILTER (WHERE kind < 3) AS base,
+         string_agg(name || ':' || beg || ':' || fin, ',' ORDER BY beg, kind) FILTER (WHERE kind < 3 OR (live AND lowest = 3)) AS spans,
+         count(DISTINCT v) FILTER (WHERE live) AS n_live, count(DISTINCT v) FILTER (WHERE copied) AS n_copied
+  FROM judged GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+FROM documents d LEFT JOIN told USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_quality_rules": OP3_SQL, "op5_near_dedup": OP5_SQL, "op7_warc": OP7_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_quality_rules": OP3_SQL, "op5_near_dedup": OP5_SQL, "op7_warc": OP7_SQL, "op11_secret_scan": OP11_SQL}
