@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import settled
+from . import ordered as O
 
 
 def _binned(df: DataFrame, start: str, last: Column, width: float, name: str) -> DataFrame:
@@ -160,11 +161,10 @@ def merge_callers(calls: DataFrame, on: Sequence[str], span: tuple[str, str], ke
 
 def interval_union(df: DataFrame, on: Sequence[str], start: str, end: str, pad: float = 0) -> DataFrame:
     """Merged intervals per key; intervals that touch are merged."""
-    rows = df.select(*on, (F.col(start) - pad).alias(start), (F.col(end) + pad).alias(end))
-    before = Window.partitionBy(*on).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
-    fresh = F.coalesce(F.col(start) > F.max(end).over(before), F.lit(True)).cast("long")
-    upto = Window.partitionBy(*on).orderBy(start, end).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("_new", fresh).withColumn("_island", F.sum("_new").over(upto)).groupBy(*on, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
+    rows = O.ranged(df.select(*on, (F.col(start) - pad).alias(start), (F.col(end) + pad).alias(end)), on, [start, end])
+    reach = O.running(rows, on, [start, end], F.col(end), "_reach", "max", inclusive=False)
+    fresh = F.coalesce(F.col(start) > F.col("_reach"), F.lit(True)).cast("long")
+    return O.running(reach, on, [start, end], fresh, "_island").groupBy(*on, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
 
 
 def coverage_by_region(reads: DataFrame, regions: DataFrame, on: Sequence[str], span: tuple[str, str], region: tuple[str, str], keys: Sequence[str], cuts: Sequence[int], width: float) -> DataFrame:

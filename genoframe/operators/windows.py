@@ -10,27 +10,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import settled
+from . import ordered as O
 
 
 def lag_diff(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, out: str = "diff") -> DataFrame:
     """Difference to the row before."""
-    return df.withColumn(out, F.col(value) - F.lag(value).over(Window.partitionBy(*by).orderBy(*order)))
+    near = O.neighbours(O.ranged(df, by, order), by, order, F.col(value), 1, 0, "_near")
+    return near.withColumn(out, F.col(value) - F.get("_near", F.lit(0))["v"]).drop("_near", "_p")
 
 
 def centered_median(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, size: int, full: bool = False, out: str = "median") -> DataFrame:
     """Median of the rows around each; ``full`` asks for a whole frame, else any row will do."""
     half = size // 2
-    frame = f"OVER (PARTITION BY {', '.join(f'`{c}`' for c in by) or '1'} ORDER BY {', '.join(f'`{c}`' for c in order)} ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING)"
-    median = F.expr(f"percentile(`{value}`, 0.5) {frame}")
-    return df.withColumn(out, F.when(F.expr(f"count(`{value}`) {frame}") == size, median) if full else median)
+    near = O.neighbours(O.ranged(df, by, order), by, order, F.col(value).cast("double"), half, half, "_near")
+    there = F.array_sort(F.filter(F.transform("_near", lambda x: x["v"]), lambda v: v.isNotNull()))
+    n = F.size("_there")
+    middle = (F.get("_there", F.floor((n - 1) / 2).cast("int")) + F.get("_there", F.floor(n / 2).cast("int"))) / 2
+    return near.withColumn("_there", there).withColumn(out, F.when(n >= (size if full else 1), middle)).drop("_near", "_there", "_p")
 
 
 def islands(df: DataFrame, by: Sequence[str], order: Sequence[str], label: Column, out: str = "run") -> DataFrame:
     """Numbers the runs of equal labels; a null label equals a null."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    marked = df.withColumn("_label", label)
-    change = (F.row_number().over(w) > 1) & ~F.col("_label").eqNullSafe(F.lag("_label").over(w))
-    return marked.withColumn("_change", change.cast("long")).withColumn(out, F.sum("_change").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_label", "_change")
+    return O.numbered(O.ranged(df, by, order), by, order, label, lambda a, b: ~a.eqNullSafe(b), out).drop("_p")
 
 
 def sign_label(z: Column, weak: float) -> Column:
@@ -50,44 +51,37 @@ def accepted_runs(df: DataFrame, by: Sequence[str], run: str, value: str, baseli
 def bridge_merge(runs: DataFrame, by: Sequence[str], order: str, sign: str, size: str, most: int) -> DataFrame:
     """From left to right, a short run between two of one sign joins them; a joined run isn't looked at again.
 
-    ``sign`` is 0 for a bridge.  The runs of one key are folded in order inside one
-    expression: keys, ``clean`` (number of the merged run) and the first and last
-    ``order`` it spans.
+    ``sign`` is 0 for a bridge.  The rule is an automaton of three states, the number of
+    runs that an earlier one has still to take: state 0 takes the next two where they can
+    be joined, the others count down.  Gives the keys, ``clean`` (number of the merged
+    run), its ``sign`` and the first and last ``order`` it spans.
     """
-    seq = F.array_sort(F.collect_list(F.struct(F.col(order).cast("long").alias("o"), F.col(sign).cast("int").alias("s"), F.col(size).cast("long").alias("n"))))
-    kind = "array<struct<lo:bigint,hi:bigint,s:int>>"
-    fold = F.aggregate(
-        F.sequence(F.lit(0), F.size("_seq") - 1), F.struct(F.array().cast(kind).alias("out"), F.lit(0).alias("skip")),
-        lambda acc, i: F.when(acc["skip"] > 0, F.struct(acc["out"].alias("out"), (acc["skip"] - 1).alias("skip"))).otherwise(_bridge_step(acc, i, most)),
-    )
-    folded = runs.groupBy(*by).agg(seq.alias("_seq")).withColumn("_out", fold["out"])
-    return folded.select(*by, F.posexplode("_out").alias("clean", "_r")).select(*by, "clean", F.col("_r.lo").alias("first"), F.col("_r.hi").alias("last"), F.col("_r.s").alias("sign"))
-
-
-def _bridge_step(acc: Column, i: Column, most: int) -> Column:
-    a, b, c = (F.get(F.col("_seq"), i + k) for k in range(3))
+    rows = O.ranged(runs.select(*by, order, sign, size), by, [order])
+    near = O.neighbours(rows, by, [order], F.struct(F.col(sign).alias("s"), F.col(size).alias("n")), 0, 2, "_near")
+    a, b, c = (F.get("_near", F.lit(i))["v"] for i in range(3))
     joins = (a["s"] != 0) & (c["s"] == a["s"]) & (b["s"] == 0) & (b["n"] <= most)
-    row = F.when(F.coalesce(joins, F.lit(False)), F.struct(a["o"].alias("lo"), c["o"].alias("hi"), a["s"].alias("s"))).otherwise(F.struct(a["o"].alias("lo"), a["o"].alias("hi"), a["s"].alias("s")))
-    skip = F.when(F.coalesce(joins, F.lit(False)), 2).otherwise(0)
-    return F.struct(F.concat(acc["out"], F.array(row)).alias("out"), skip.alias("skip"))
+    marked = near.withColumn("_joins", F.coalesce(joins, F.lit(False)).cast("int")).drop("_near")
+    met = settled(O.walk(marked, by, [order], "_joins", BRIDGE_MOVES, "_taken"), "bridges")
+    clean = O.running(met, by, [order], (F.col("_taken") == 0).cast("long"), "clean").withColumn("clean", F.col("clean") - 1)
+    return clean.groupBy(*by, "clean").agg(F.min(order).cast("long").alias("first"), F.max(order).cast("long").alias("last"), F.min_by(sign, order).cast("int").alias("sign"))
+
+
+#: States of ``bridge_merge`` by what follows a run: that it can't, or can, be joined with the next two.
+BRIDGE_MOVES = [[0, 2], [0, 0], [1, 1]]
 
 
 def cumulative_center(df: DataFrame, by: Sequence[str], order: Sequence[str], width: str, out: str = "center") -> DataFrame:
     """Position of each row's middle when rows are laid side by side."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.sum(width).over(w) - F.col(width) / 2)
+    total = O.running(O.ranged(df, by, order), by, order, F.col(width), out)
+    return total.withColumn(out, F.col(out) - F.col(width) / 2).drop("_p")
 
 
 def every_nth(df: DataFrame, order: Sequence[str], levels: dict[str, int], by: Sequence[str] = (), level: str = "level") -> DataFrame:
     """For each level every (n+1)th row from the first on, counted within ``by``.
 
-    Without ``by`` rows are numbered over the whole table in two steps: counts of range
-    partitions come first, so no task ever holds all rows.
+    Rows are numbered in two steps, counts of ranges first, so no task holds all rows of a key.
     """
-    if by:
-        numbered = df.withColumn("_i", F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1)
-    else:
-        numbered = global_index(df, order, "_i")
+    numbered = O.running(O.ranged(df, by, order), by, order, F.lit(1).cast("long"), "_i").withColumn("_i", F.col("_i") - 1).drop("_p")
     steps = F.array(*[F.struct(F.lit(k).alias("name"), F.lit(n + 1).alias("step")) for k, n in levels.items()])
     out = numbered.withColumn("_l", F.explode(steps)).filter(F.col("_i") % F.col("_l.step") == 0)
     return out.withColumn(level, F.col("_l.name")).drop("_i", "_l")
@@ -197,6 +191,6 @@ class _Region:
 
 def stacks(df: DataFrame, by: Sequence[str], pos: str, ref: str, distance: int, out: str = "stack") -> DataFrame:
     """Rows no further than ``distance`` behind the end of the one before form a stack."""
-    w = Window.partitionBy(*by).orderBy(pos, ref)
-    gap = F.col(pos) - (F.lag(pos).over(w) + F.length(F.lag(ref).over(w))) + 1
-    return df.withColumn("_far", F.coalesce((gap > distance).cast("long"), F.lit(0))).withColumn(out, F.sum("_far").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_far")
+    far = lambda a, b: b["pos"] - (a["pos"] + a["n"]) + 1 > distance
+    fields = F.struct(F.col(pos).alias("pos"), F.length(ref).alias("n"))
+    return O.numbered(O.ranged(df, by, [pos, ref]), by, [pos, ref], fields, far, out).drop("_p")
