@@ -12,8 +12,10 @@ from ..functions import scalars as S
 from ..operators import aggregates as A
 from ..operators import intervals as I
 from ..operators import joins as J
+from ..operators import sequences as Q
 from ..operators import sets as T
 from ..operators import windows as W
+from ..sources.tables import settled
 from .catalogs import GENOME_MB, NORMAL_FILTERS, SNV_FILTERS, Filter, choose, hard_names, unique
 
 KEY = ["chrom", "pos", "ref", "alt"]
@@ -131,36 +133,68 @@ def mutational_burden(df: DataFrame, regions: DataFrame | None = None, least_af:
     return A.rate_per_unit(kept, regions, F.col("end") - F.col("start"), 1e6, GENOME_MB)
 
 
-def phased_merge(df: DataFrame, distance: int = 5, preserved: Sequence[str] = NORMAL_FILTERS) -> DataFrame:
-    """H2: neighbouring variants of one phase set joined to one multi-base variant; its parts stay, marked MERGED.
+def normalised(df: DataFrame, reference: DataFrame, per_allele: Sequence[str] = (), with_ref: Sequence[str] = (), order: Sequence[str] = (), width: int = Q.WIDTH) -> DataFrame:
+    """One row for each alternate allele, REF checked against the reference, left-aligned, of equal variants one (the first by ``order``, then the least).
 
-    Input: KEY, ``phase`` (null: none), ``qual``, ``af``, ``ad`` array, ``filter`` array.
-    Parts must touch: gaps of reference bases are filled from ``gap`` (the bases behind
-    the variant, up to the distance), an empty text where it isn't known.
+    ``alt`` is an array; ``reference`` has blocks of ``width`` bases.
+    """
+    split = Q.checked_reference(T.split_alleles(df, "alt", per_allele, with_ref), reference, width=width)
+    aligned = Q.left_align(split, reference, width=width)
+    others = [c for c in aligned.columns if c not in KEY]
+    first = F.min_by(F.struct(*others), F.struct(*order, *[c for c in others if c not in order])) if others else F.lit(None)
+    return aligned.groupBy(*KEY).agg(first.alias("_x")).select(*[F.col(c) if c in KEY else F.col(f"_x.{c}").alias(c) for c in aligned.columns])
+
+
+def phased_merge(df: DataFrame, reference: DataFrame | None = None, distance: int = 5, preserved: Sequence[str] = NORMAL_FILTERS, width: int = Q.WIDTH) -> DataFrame:
+    """Neighbouring variants of one phase set joined to one multi-base variant; its parts stay, marked MERGED.
+
+    Input: KEY, ``phase`` (null: none), ``qual``, ``af``, ``ad`` array, ``filter`` array,
+    and where they are there ``info`` (map of numbers) and ``af_n``, ``ad_n`` of a normal
+    sample.  Bases between parts come from the blocks of ``reference``, or without it
+    from a column ``gap`` (the bases behind each variant).  Parts that overlap are not
+    joined.  Beginnings that both alleles share are taken off, one base stays.  ``qual``
+    and each field of the first part's ``info`` become the mean to four places, or null
+    unless all parts have it.  ``parts`` lists filters, fractions, depths and keys of the
+    parts, in order.  All filters stay if each part has one of ``preserved``; else parts
+    that don't share one single filter are in conflict.
     """
     phased, rest = P.split_by(df, F.col("phase").isNotNull() & (F.length("ref") > 0))
-    stacked = W.stacks(phased, ["chrom", "phase"], "pos", "ref", distance)
-    parts = F.array_sort(F.collect_list(F.struct("pos", "ref", "alt", "qual", "af", "ad", "filter", "gap")))
-    groups = stacked.groupBy("chrom", "phase", "stack").agg(parts.alias("v")).filter(F.size("v") > 1)
+    stacked = settled(W.stacks(phased, ["chrom", "phase"], "pos", "ref", distance), "stacks")
+    behind = Q.with_bases(stacked, reference, "gap", F.col("pos") + F.length("ref"), F.lit(distance), width=width) if reference is not None else stacked
+    optional = [c for c in ("info", "af_n", "ad_n") if c in df.columns]
+    fields = ["pos", "ref", "alt", "qual", "af", "ad", "filter", "gap", *optional]
+    entries = {"info": F.array_sort(F.map_entries(F.coalesce("info", F.create_map().cast("map<string,double>")))).alias("info")} if "info" in optional else {}  # maps have no order
+    ordered = F.array_sort(F.collect_list(F.struct(*[entries.get(c, c) for c in fields])))
+    groups = behind.groupBy("chrom", "phase", "stack").agg(ordered.alias("v")).filter(F.size("v") > 1)
+    apart = F.forall(F.sequence(F.lit(1), F.size("v") - 1), lambda i: F.get("v", i)["pos"] - F.get("v", i - 1)["pos"] >= F.length(F.get("v", i - 1)["ref"]))
+    groups = settled(groups.filter(apart), "phased")
     fill = lambda field: F.aggregate(
         F.sequence(F.lit(1), F.size("v") - 1), F.element_at("v", 1)[field],
         lambda text, i: F.concat(text, _between(F.get("v", i - 1), F.get("v", i)), F.get("v", i)[field]),
     )
     n = F.size("v")
-    mean = lambda f: F.aggregate("v", F.lit(0.0), lambda a, x: a + x[f]) / n
-    filters = F.transform("v", lambda x: x["filter"])
-    every = F.array_sort(F.array_distinct(F.flatten(filters)))
+    values = lambda f: F.transform("v", lambda x: x[f].cast("double"))
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
+    mean = lambda xs: F.when(F.forall(xs, lambda x: x.isNotNull()), total(xs) / n)
+    depths = lambda f: F.transform(F.sequence(F.lit(0), F.lit(1)), lambda i: F.floor(total(F.transform("v", lambda x: F.get(x[f], i).cast("double"))) / n).cast("int"))
+    names = F.array_sort(F.array_distinct(F.flatten(F.transform("v", lambda x: x["filter"]))))
     kept = F.array(*map(F.lit, preserved))
-    reduced = (
-        F.when(F.forall(filters, lambda f: F.arrays_overlap(f, kept)), every)
-        .when(F.size(F.array_distinct(filters)) == 1, F.element_at(filters, 1))
-        .otherwise(F.array(F.lit("MNV_CONFLICTING_FILTERS")))
-    )
-    merged = groups.select(
-        "chrom", F.element_at("v", 1)["pos"].alias("pos"), fill("ref").alias("ref"), fill("alt").alias("alt"), "phase",
-        F.when(~F.exists("v", lambda x: x["qual"].isNull()), F.bround(mean("qual"), 4)).alias("qual"), mean("af").alias("af"),
-        F.transform(F.sequence(F.lit(0), F.lit(1)), lambda i: F.floor(F.aggregate("v", F.lit(0.0), lambda a, x: a + F.get(x["ad"], i)) / n).cast("int")).alias("ad"), reduced.alias("filter"),
-    )
+    reduced = F.when(F.forall("v", lambda x: F.arrays_overlap(x["filter"], kept)) | (F.size(names) <= 1), names).otherwise(F.array(F.lit("MNV_CONFLICTING_FILTERS")))
+    joined = lambda f: F.array_join(F.transform("v", f), ",")
+    pair = lambda a: F.concat_ws("|", F.get(a, F.lit(0)).cast("string"), F.get(a, F.lit(1)).cast("string"))
+    parts = {"filters": joined(lambda x: F.array_join(x["filter"], "|")), "tumor_afs": joined(lambda x: x["af"].cast("string")), "tumor_ads": joined(lambda x: pair(x["ad"]))}
+    if "af_n" in optional:
+        parts |= {"normal_afs": joined(lambda x: x["af_n"].cast("string"))}
+    if "ad_n" in optional:
+        parts |= {"normal_ads": joined(lambda x: pair(x["ad_n"]))}
+    parts["vars"] = joined(lambda x: F.concat_ws("_", "chrom", x["pos"].cast("string"), x["ref"], x["alt"]))
+    more = {"info": F.transform_values(F.map_from_entries(F.element_at("v", 1)["info"]), lambda k, _: F.bround(mean(F.transform("v", lambda x: F.try_element_at(F.map_from_entries(x["info"]), k).cast("double"))), 4))} if "info" in optional else {}
+    more |= {c: f for c, f in {"af_n": mean(values("af_n")) if "af_n" in optional else None, "ad_n": depths("ad_n") if "ad_n" in optional else None}.items() if f is not None}
+    whole = groups.select(
+        "chrom", F.element_at("v", 1)["pos"].alias("pos"), fill("ref").alias("ref"), fill("alt").alias("alt"), "phase", F.bround(mean(values("qual")), 4).alias("qual"), mean(values("af")).alias("af"), depths("ad").alias("ad"),
+        reduced.alias("filter"), *[c.alias(name) for name, c in more.items()], F.struct(*[c.alias(name) for name, c in parts.items()]).alias("parts"),
+    ).withColumn("_same", Q.common_prefix(F.col("ref"), F.col("alt"), spare=1))
+    merged = whole.withColumns({"pos": F.col("pos") + F.col("_same"), "ref": F.expr("substring(ref, _same + 1)"), "alt": F.expr("substring(alt, _same + 1)")}).drop("_same")
     inside = groups.select("chrom", "phase", "stack", F.lit(True).alias("merged"))
     marked = stacked.join(inside, ["chrom", "phase", "stack"], "left")
     marked = marked.withColumn("filter", F.when(F.col("merged"), F.array_union(F.array_remove("filter", "PASS"), F.array(F.lit("MERGED")))).otherwise(F.col("filter"))).drop("merged", "stack")
