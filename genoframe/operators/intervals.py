@@ -1,9 +1,12 @@
 """Interval joins without nested loops.
 
-Both sides are put into bins of a fixed width and joined on key and bin; a pair that
-shares several bins is kept only in its first shared one, so no duplicate removal
-follows.  A bin width near the typical interval length keeps both the number of bins an
-interval falls into and the number of pairs in a bin small.
+An interval lies in bins of the level that fits it: level k has bins of ``width * FAN**k``,
+and an interval goes to the lowest level at which it touches two bins at most.  Pairs are
+looked for level by level: for each pair of levels, the shorter interval names its bins
+at the longer one's level, so an interval of any length gives a few rows and no more.
+The levels that occur are counted first; there are about as many as the logarithm of the
+longest interval.  A pair that shares several bins is kept in its first shared one only,
+so no duplicate removal follows.  Bins that hold many intervals are split by salting.
 """
 
 from __future__ import annotations
@@ -18,16 +21,32 @@ from ..sources.tables import settled
 from . import ordered as O
 
 
-def _binned(df: DataFrame, start: str, last: Column, width: float, name: str) -> DataFrame:
-    first = F.floor(F.col(start) / width)
-    return df.withColumn(f"_{name}_first", first).withColumn("_bin", F.explode(F.sequence(first, F.greatest(first, F.floor(last / width)))))
+#: Each level's bins are so many times as wide as those of the level before.
+FAN = 8
+#: Intervals of one bin on the right side that are joined in one task, about; fuller bins are split.
+FULL_BIN = 20_000
+
+
+def _levelled(df: DataFrame, start: Column, last: Column, width: float) -> DataFrame:
+    """``_level`` of each interval (0 for the shortest): the lowest one whose bins are as wide as the interval."""
+    wide = F.greatest((last - start).cast("double") / width, F.lit(1.0))
+    return df.withColumn("_level", F.ceil(F.round(F.log(float(FAN), wide), 9)).cast("int"))
+
+
+def _bins(level: Column, start: Column, last: Column, width: float) -> tuple[Column, Column]:
+    """First and last bin of an interval at a level."""
+    size = F.pow(F.lit(float(FAN)), level) * width
+    first = F.floor(start / size)
+    return first, F.greatest(first, F.floor(last / size))
 
 
 def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str], l: tuple[str, str], r: tuple[str, str], width: float, inclusive: bool = False, how: str = "inner", slack: float = 0) -> DataFrame:
     """Pairs of intervals that overlap, half open (strict) or inclusive.
 
     ``on`` are columns of both sides; other column names must differ.  ``slack`` widens
-    the left side before the comparison.  ``how`` may be inner or left_semi.
+    the left side before the comparison.  ``how`` may be inner or left_semi.  ``width`` is
+    the width of the finest bins; any value gives the same pairs.  An interval with a
+    null end meets nothing.
     """
     (ls, le), (rs, re) = l, r
     semi = how == "left_semi"
@@ -35,15 +54,32 @@ def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str], l: tuple[
         left_columns = left.columns
         left = left.groupBy(*left_columns).agg(F.count("*").alias("_n"))
     a = left.withColumn("_ls", F.col(ls) - slack).withColumn("_le", F.col(le) + slack)
-    a = _binned(a, "_ls", F.col("_le"), width, "l")
-    b = _binned(right, rs, F.col(re), width, "r")
+    a = _levelled(a, F.col("_ls"), F.col("_le"), width).withColumnRenamed("_level", "_la").filter("_la IS NOT NULL")
+    b = _levelled(right if not semi else right.select(*on, rs, re), F.col(rs), F.col(re), width).withColumnRenamed("_level", "_lb").filter("_lb IS NOT NULL")
+    levels = lambda df, c: F.array_sort(F.collect_set(c))
+    at_a, at_b = a.agg(levels(a, "_la")).first()[0], b.agg(levels(b, "_lb")).first()[0]  # a few numbers
+    met = F.array(*[F.lit(x) for x in sorted({*at_a, *at_b})]).cast("array<int>")
+
+    def spread(df: DataFrame, own: str, others: list[int], start: str, last: str, name: str) -> DataFrame:
+        """A row for each level to look at (the own one and those above it where the other side has intervals) and each of its bins there."""
+        above = F.array(*map(F.lit, others)).cast("array<int>")
+        df = df.withColumn("_level", F.explode(F.array_distinct(F.filter(met, lambda x: (x == F.col(own)) | ((x > F.col(own)) & F.array_contains(above, x))))))
+        first, end = _bins(F.col("_level"), F.col(start), F.col(last), width)
+        return df.withColumn(f"_{name}_first", first).withColumn("_bin", F.explode(F.sequence(first, end)))
+
+    keys = [*on, "_level", "_bin"]
+    x, y = spread(a, "_la", at_b, "_ls", "_le", "l"), spread(b, "_lb", at_a, rs, re, "r")
     meets = (F.col("_le") >= F.col(rs)) & (F.col("_ls") <= F.col(re)) if inclusive else (F.col("_le") > F.col(rs)) & (F.col("_ls") < F.col(re))
-    keys = [*on, "_bin"]
+    full = y.groupBy(*keys).count().filter(F.col("count") > FULL_BIN).select(*keys, F.ceil(F.col("count") / FULL_BIN).cast("int").alias("_parts"))
+    # a full bin's right rows are dealt over its parts, and its left rows go to each of them
+    y = y.join(full, keys, "left").withColumn("_salt", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(rs, re, *[c for c in right.columns if c in y.columns and c not in on][:4]), F.col("_parts")).cast("int"))).drop("_parts")
+    x = x.join(full, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    pairs = x.join(y, [*keys, "_salt"]).filter(meets & (F.col("_level") == F.greatest("_la", "_lb")) & (F.col("_bin") == F.greatest("_l_first", "_r_first")))
+    helpers = ["_salt", "_level", "_bin", "_ls", "_le", "_la", "_lb", "_l_first", "_r_first"]
     if semi:
-        found = a.join(b.select(*keys, rs, re), keys).filter(meets).select(*left_columns, "_n").distinct()
+        found = pairs.select(*left_columns, "_n").distinct()
         return found.withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.col("_n").cast("int")))).drop("_n")
-    pairs = a.join(b, keys).filter(meets & (F.col("_bin") == F.greatest("_l_first", "_r_first")))
-    return pairs.drop("_bin", "_ls", "_le", "_l_first", "_r_first")
+    return pairs.drop(*helpers)
 
 
 def best_overlap(left: DataFrame, right: DataFrame, on: Sequence[str], l: tuple[str, str], r: tuple[str, str], keys: Sequence[str], width: float, order: Sequence[str] = ()) -> DataFrame:
@@ -142,21 +178,59 @@ def components(edges: DataFrame, a: str, b: str, settle) -> DataFrame:
             return labels
 
 
-def merge_callers(calls: DataFrame, on: Sequence[str], span: tuple[str, str], key: str, caller: str, priority: Sequence[str], settle, ratio: float = 0.8, distance: float | None = None, width: float = 10_000) -> DataFrame:
-    """Clusters of like intervals of different callers, each with its representative by the callers' order.
+def matched(pairs: DataFrame, a: str, b: str, score: str, settle) -> DataFrame:
+    """One-to-one pairs, as if the best pair were taken again and again: by score, then by the names ``a`` and ``b``.
 
-    Adds ``cluster`` (its least key), ``callers`` (sorted) and ``chosen``.
+    Every round takes the pairs that are the best of both their ends; the best of all is
+    always among them, so the rounds end.
+    """
+    order = F.struct((-F.col(score)).alias("s"), F.col(a).alias("a"), F.col(b).alias("b"))
+    live, taken = settle(pairs.select(a, b, score)), None
+    while True:
+        best = lambda end: live.groupBy(end).agg(F.min(order).alias("_o"))
+        both = best(a).select("_o").join(best(b).select("_o"), "_o")
+        top = settle(both.select(F.col("_o.a").alias(a), F.col("_o.b").alias(b)))
+        taken = top if taken is None else taken.unionByName(top)
+        if not top.limit(1).count():
+            return taken
+        live = settle(live.join(top.select(a), a, "left_anti").join(top.select(b), b, "left_anti"))
+
+
+def merge_callers(calls: DataFrame, on: Sequence[str], span: tuple[str, str], key: str, caller: str, priority: Sequence[str], settle, ratio: float = 0.8, distance: float | None = None, width: float = 10_000, intra: bool = False) -> DataFrame:
+    """Clusters of like intervals, each with its representative by the callers' order.
+
+    Without ``intra`` two calls of one caller never share a cluster: callers come in
+    order of ``priority``, then by name, and each one's calls are matched one to one with
+    the representatives there are, the larger common part (then the lesser key) first;
+    calls that find none become representatives.  With ``intra`` a cluster is whatever
+    like calls connect.  Adds ``cluster`` (its least key), ``callers`` (sorted) and
+    ``chosen``.
     """
     s, e = span
-    other = calls.select(*on, F.col(key).alias("_key"), F.col(caller).alias("_caller"), F.col(s).alias("_s"), F.col(e).alias("_e"))
-    mine = calls.select(*on, key, caller, s, e)
-    pairs = fuzzy_join(mine, other, on, span, ("_s", "_e"), ratio, distance, width).filter((F.col(caller) != F.col("_caller")) & (F.col(key) < F.col("_key")))
-    of = components(pairs.select(key, "_key"), key, "_key", settle).toDF("_v", "_c")
+    side = lambda df, n: df.select(*on, F.col(key).alias(f"_k{n}"), F.col(s).alias(f"_s{n}"), F.col(e).alias(f"_e{n}"))
+    near = lambda x, y: fuzzy_join(side(x, 1), side(y, 2), on, ("_s1", "_e1"), ("_s2", "_e2"), ratio, distance, width)
     rank = F.array_position(F.array(*map(F.lit, priority)), F.col(caller))
-    joined = calls.join(of, F.col(key) == F.col("_v"), "left").withColumn("cluster", F.coalesce("_c", key)).drop("_v", "_c")
-    w = Window.partitionBy("cluster")
-    first = F.row_number().over(w.orderBy(F.when(rank > 0, rank).otherwise(len(priority) + 1), key)) == 1
-    return joined.withColumn("callers", F.array_join(F.array_sort(F.collect_set(caller).over(w)), ",")).withColumn("chosen", first)
+    calls = calls.withColumn("_rank", F.when(rank > 0, rank).otherwise(len(priority) + 1))
+    if intra:
+        pairs = near(calls, calls).filter(F.col("_k1") < F.col("_k2"))
+        of = components(pairs, "_k1", "_k2", settle).toDF("_m", "_r")
+    else:
+        order = [r[0] for r in calls.select(caller, "_rank").distinct().orderBy("_rank", caller).collect()]  # callers are few
+        heads, of = None, None
+        for name in order:
+            mine = settle(calls.filter(F.col(caller).eqNullSafe(F.lit(name))).select(*on, key, s, e))
+            if heads is None:
+                heads = mine
+                continue
+            shared = F.least("_e1", "_e2") - F.greatest("_s1", "_s2")
+            longest = F.greatest(F.col("_e1") - F.col("_s1"), F.col("_e2") - F.col("_s2"))
+            pairs = matched(near(heads, mine).withColumn("_score", F.coalesce(F.try_divide(shared, longest), F.lit(0.0))), "_k1", "_k2", "_score", settle)
+            of = pairs if of is None else of.unionByName(pairs)
+            heads = settle(heads.unionByName(mine.join(pairs.select(F.col("_k2").alias(key)), key, "left_anti").select(*heads.columns)))
+        of = calls.select(F.col(key).alias("_m"), F.col(key).alias("_r")).limit(0) if of is None else of.select(F.col("_k2").alias("_m"), F.col("_k1").alias("_r"))
+    joined = calls.join(of, F.col(key) == F.col("_m"), "left").withColumn("_r", F.coalesce("_r", key)).drop("_m")
+    about = joined.groupBy("_r").agg(F.min(key).alias("cluster"), F.array_join(F.array_sort(F.collect_set(caller)), ",").alias("callers"), F.min_by(key, F.struct("_rank", key)).alias("_first"))
+    return joined.join(about, "_r").withColumn("chosen", F.col(key) == F.col("_first")).drop("_r", "_rank", "_first")
 
 
 def interval_union(df: DataFrame, on: Sequence[str], start: str, end: str, pad: float = 0) -> DataFrame:

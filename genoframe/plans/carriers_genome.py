@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import sequences as Q
 from ..operators import windows as W
 from ..sources.tables import settled, table
-from . import snv
+from . import snv, sv
 from .carriers import query
 
 #: The letters of a document as bases: few kinds of them, so that there are repeats to move over.
@@ -90,3 +90,46 @@ def bridged_runs(spark, sf):
     e = table(spark, sf, "events").select("event_type", "event_id", F.when(F.abs(F.col("value") - 50) < 15, 0).otherwise(F.signum(F.col("value") - 50)).cast("int").alias("sign"))
     runs = W.islands(e, ["event_type"], ["event_id"], F.col("sign")).groupBy("event_type", "run").agg(F.first("sign").alias("sign"), F.count("*").alias("n"))
     return W.bridge_merge(runs, ["event_type"], "run", "sign", "n", 2)
+
+
+_CALLS = """SELECT event_type AS chrom, event_type || ':' || user_id AS key, CASE WHEN user_id % 2 = 0 THEN 'manta' ELSE 'delly' END AS caller, min(floor(epoch(ts))::BIGINT) AS s, max(floor(epoch(ts))::BIGINT) + 1 AS e FROM events GROUP BY 1, 2, 3"""
+
+
+def _calls(spark: SparkSession, sf: str) -> DataFrame:
+    """The span of each user's events of one kind as a call."""
+    at = F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")
+    caller = F.when(F.col("user_id") % 2 == 0, "manta").otherwise("delly")
+    rows = table(spark, sf, "events").select(F.col("event_type").alias("chrom"), F.concat_ws(":", "event_type", "user_id").alias("key"), caller.alias("caller"), at.alias("at"))
+    spans = rows.groupBy("chrom", "key", "caller").agg(F.min("at").alias("start"), (F.max("at") + 1).alias("end"))
+    return spans.withColumns({"svtype": F.lit("DEL"), "filter": F.array(F.lit("PASS"))})
+
+
+@query(f"""
+WITH RECURSIVE c AS ({_CALLS}),
+l AS (SELECT a.chrom, a.key AS ka, b.key AS kb, (least(a.e, b.e) - greatest(a.s, b.s))::DOUBLE / greatest(a.e - a.s, b.e - b.s) AS score FROM c a JOIN c b ON a.chrom = b.chrom AND a.caller = 'manta' AND b.caller = 'delly'
+      AND ((least(a.e, b.e) > greatest(a.s, b.s) AND least(a.e, b.e) - greatest(a.s, b.s) >= 0.98 * greatest(a.e - a.s, b.e - b.s)) OR (abs(a.s - b.s) <= 5000 AND abs(a.e - b.e) <= 5000))),
+p AS (SELECT *, row_number() OVER (PARTITION BY chrom ORDER BY score DESC, ka, kb) AS i FROM l),
+g AS (SELECT DISTINCT chrom, 0::BIGINT AS i, []::VARCHAR[] AS used, NULL::VARCHAR AS ka, NULL::VARCHAR AS kb FROM c
+      UNION ALL SELECT g.chrom, p.i, CASE WHEN list_contains(used, p.ka) OR list_contains(used, p.kb) THEN used ELSE used || [p.ka, p.kb] END,
+        CASE WHEN list_contains(used, p.ka) OR list_contains(used, p.kb) THEN NULL ELSE p.ka END, p.kb FROM g JOIN p ON p.chrom = g.chrom AND p.i = g.i + 1),
+m AS (SELECT ka, kb FROM g WHERE ka IS NOT NULL)
+SELECT key, coalesce(least(x.ka, x.kb), least(y.ka, y.kb), key) AS cluster, CASE WHEN x.ka IS NULL AND y.ka IS NULL THEN caller ELSE 'delly,manta' END AS callers, y.ka IS NULL AS chosen
+FROM c LEFT JOIN m x ON x.ka = key LEFT JOIN m y ON y.kb = key
+""")
+def caller_clusters(spark, sf):
+    """No two calls of one caller in a cluster, the representative by the callers' order."""
+    return sv.merged(_calls(spark, sf), ratio=0.98).select("key", "cluster", "callers", "chosen")
+
+
+@query(f"""
+WITH RECURSIVE c AS ({_CALLS}), l AS (SELECT a.key AS a, b.key AS b FROM c a JOIN c b ON a.chrom = b.chrom AND a.key <> b.key
+      AND ((least(a.e, b.e) > greatest(a.s, b.s) AND least(a.e, b.e) - greatest(a.s, b.s) >= 0.995 * greatest(a.e - a.s, b.e - b.s)) OR (abs(a.s - b.s) <= 500 AND abs(a.e - b.e) <= 500))),
+r AS (SELECT key AS v, key AS w FROM c UNION SELECT r.v, l.b FROM r JOIN l ON r.w = l.a), n AS (SELECT v, min(w) AS cluster FROM r GROUP BY v),
+t AS (SELECT key, cluster, CASE caller WHEN 'manta' THEN 'tumor' ELSE 'normal' END AS caller FROM c JOIN n ON v = key)
+SELECT key, cluster, CASE WHEN min(caller) OVER w = max(caller) OVER w THEN caller ELSE 'normal,tumor' END AS callers, row_number() OVER (PARTITION BY cluster ORDER BY caller DESC, key) = 1 AS chosen
+FROM t WINDOW w AS (PARTITION BY cluster)
+""")
+def paired_clusters(spark, sf):
+    """Calls of tumour and normal that are connected by likeness."""
+    calls = _calls(spark, sf).withColumn("caller", F.when(F.col("caller") == "manta", "tumor").otherwise("normal"))
+    return sv.paired(calls, ratio=0.995).select("key", "cluster", "callers", "chosen")

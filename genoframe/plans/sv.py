@@ -24,6 +24,12 @@ def merged(calls: DataFrame, priority: Sequence[str] = PRIORITY, ratio: float =
     return I.merge_callers(rows, ["chrom", "svtype"], ("start", "end"), "key", "caller", priority, lambda df: settled(df, "clusters"), ratio, distance)
 
 
+def paired(calls: DataFrame, ratio: float = 0.6, distance: float = 500) -> DataFrame:
+    """Passing calls of tumour and normal (``caller``) in clusters of whatever like calls connect."""
+    rows = calls.filter(P.is_pass(missing=False))
+    return I.merge_callers(rows, ["chrom", "svtype"], ("start", "end"), "key", "caller", ("tumor", "normal"), lambda df: settled(df, "clusters"), ratio, distance, intra=True)
+
+
 def frequency_filtered(calls: DataFrame, databases: dict[str, tuple[DataFrame, str, float]], stage: str) -> tuple[DataFrame, DataFrame]:
     """H6: the frequency of like variants in each database (table, column, distance), soft filters on them, and what passes."""
     out = calls

@@ -1,5 +1,7 @@
 """Small cases of the operators: ties, nulls, empty tables, touching intervals."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +76,36 @@ def test_merge_callers(spark):
     assert out["k1"].callers == "delly,manta" and out["k3"].chosen and out["k4"].chosen
 
 
+def test_callers_stay_apart(spark):
+    """Two calls of one caller that both resemble one of another: the better one joins it, the other stays alone; a third caller joins in."""
+    rows = [("m1", "manta", 100, 1100), ("d1", "delly", 100, 1090), ("d2", "delly", 110, 1080), ("t1", "tiddit", 105, 1085), ("t2", "tiddit", 112, 1080), ("x1", "other", 5000, 9000), ("x2", "other", 5001, 9000)]
+    df = spark.createDataFrame([(k, c, "1", "DEL", s, e) for k, c, s, e in rows], "key string, caller string, c string, t string, s long, e long")
+    out = {r.key: (r.cluster, r.callers, r.chosen) for r in I.merge_callers(df, ["c", "t"], ("s", "e"), "key", "caller", ["manta", "delly"], lambda x: settled(x), 0.8, 500, 50).collect()}
+    assert out["d1"][0] == out["m1"][0] == "d1" and out["d2"][0] == out["t2"][0] == "d2" and out["t1"][0] == "d1" and out["x1"] == ("x1", "other", True) and out["x2"] == ("x2", "other", True)
+    by = {k: c for k, c, *_ in rows}
+    assert len({(cluster, by[k]) for k, (cluster, *_) in out.items()}) == len(rows)
+    linked = {r.key: r.cluster for r in I.merge_callers(df, ["c", "t"], ("s", "e"), "key", "caller", ["manta"], lambda x: settled(x), 0.8, 500, 50, intra=True).collect()}
+    assert set(linked.values()) == {"d1", "x1"}
+    assert I.merge_callers(df.filter("false"), ["c", "t"], ("s", "e"), "key", "caller", ["manta"], lambda x: settled(x)).count() == 0
+
+
+@pytest.mark.parametrize("width", [1, 10, 5000])
+def test_overlaps_of_all_lengths(spark, width, monkeypatch):
+    """Lengths from 0 to the whole range, one interval over everything, and bins that are split."""
+    monkeypatch.setattr(I, "FULL_BIN", 7)
+    r = random.Random(width)
+    one = lambda n: [(i, r.choice("ab"), s, s + int(r.paretovariate(0.4)) % 3000) for i, s in enumerate(r.choices(range(-500, 2000), k=n))]
+    left, right = one(120) + [(900, "a", -10_000, 10_000), (901, "a", None, 5)], one(120) + [(900, "b", -10_000, 10_000)]
+    a = spark.createDataFrame(left, "i int, k string, s long, e long")
+    b = spark.createDataFrame(right, "j int, k string, x long, y long")
+    for inclusive in (False, True):
+        meets = lambda s, e, x, y: e >= x and s <= y if inclusive else e > x and s < y  # noqa: B023, E731
+        want = sorted((i, j) for i, k, s, e in left for j, m, x, y in right if s is not None and k == m and meets(s, e, x, y))
+        assert sorted((p.i, p.j) for p in I.overlap_join(a, b, ["k"], ("s", "e"), ("x", "y"), width, inclusive).collect()) == want
+        assert sorted(p.i for p in I.overlap_join(a, b, ["k"], ("s", "e"), ("x", "y"), width, inclusive, how="left_semi").collect()) == sorted({i for i, _ in want})
+    assert I.overlap_join(a.filter("i = 900"), b, ["k"], ("s", "e"), ("x", "y"), width).count() == sum(m == "a" for _, m, _, _ in right)
+
+
 def test_coverage(spark):
     reads = spark.createDataFrame([("1", 0, 10), ("1", 5, 15)], "c string, s long, e long")
     regions = spark.createDataFrame([(1, "1", 0, 20), (2, "2", 0, 5)], "id int, c string, a long, b long")
