@@ -7,8 +7,11 @@ hold a third of all rows still arrive as a few hundred rows for each task.
 
 A group's sketch is blended with that of its language, which counts as PRIOR documents,
 so a small source is judged by its language and a large one by itself.  An upper
-quantile of the blend, and its distance to the median, give each threshold; documents
-are filtered by a join with them.  No threshold has a constant part.
+quantile of the blend, and its distance to the median, give each threshold.  Where most
+texts of a group have none of what is measured, that quantile says nothing: then the
+threshold is the median of the part above zero, times the share of that part, so what is
+rare in a group is allowed little of and what is common much.  Thresholds are rates: what
+a text may have grows with its length.  Documents are filtered by a join with them.
 """
 
 from __future__ import annotations
@@ -30,7 +33,8 @@ REPEAT = 5
 MEASURES = ("symbols", "repeats", "lines", "letters")
 #: Each measure's count, and what of it is measured: thousandths of the words, hundredths of a letter.
 COUNTS = {"symbols": ("n_symbols", 1000), "repeats": ("n_repeat_words", 1000), "lines": ("n_dup_lines", 1000), "letters": ("word_chars", 100)}
-#: Threshold of a measure: its quantile of so many hundredths, plus so many times the distance from the median to there.
+#: Threshold of a measure: its quantile of so many hundredths, plus so many times the distance from the median to there;
+#: at least the median of the values above zero times their share.
 FENCES = {"symbols": (75, 3), "repeats": (99, 1), "lines": (99, 1), "letters": (90, 4)}
 #: Standard errors by which a count must exceed what the threshold allows in a text of that length, so that
 #: short texts aren't judged by chance.  Repeats come in bunches, whose count has no such error.
@@ -91,7 +95,7 @@ def measures() -> dict[str, Column]:
 
 
 def exceeds(measure: str, most: Column) -> Column:
-    """Whether a document's count is above what a threshold allows, by more than its standard errors; not without a threshold."""
+    """Whether a document's count is above what a threshold allows at its length, by more than ERRORS standard errors (of one count more); not without a threshold."""
     count, scale = COUNTS[measure]
     allowed = most.cast("double") * F.col("n_words")
     over = F.col(count).cast("double") * scale - allowed
@@ -114,7 +118,8 @@ def thresholds(sketch: DataFrame, groups: tuple[str, ...]) -> DataFrame:
     """One row for each group with ``<measure>_most``, from its sketch blended with that of all groups that share the first of ``groups``.
 
     Bins are weighed as the group's count times the language's size plus PRIOR times the
-    language's count: whole numbers, so the order of summing doesn't matter.
+    language's count: whole numbers, so the order of summing doesn't matter.  Bin 0 holds
+    the zeros alone.
     """
     wide = groups[:1]
     names = {g: F.col(g).alias(f"w{i}") for i, g in enumerate(wide)}
@@ -126,13 +131,15 @@ def thresholds(sketch: DataFrame, groups: tuple[str, ...]) -> DataFrame:
     weight = F.coalesce(F.try_element_at("bins", F.col("b")), F.lit(0)) * F.col("all_wide") + PRIOR * F.col("n_wide")
     blend = own.join(language, same).select(*map(col, groups), "measure", "b", weight.alias("w"))
     group = Window.partitionBy(*map(col, groups), "measure")
-    bins = blend.withColumn("upto", F.sum("w").over(group.orderBy("b"))).withColumn("all", F.sum("w").over(group))
+    bins = blend.withColumn("upto", F.sum("w").over(group.orderBy("b"))).withColumn("all", F.sum("w").over(group)).withColumn("none", F.sum(F.when(F.col("b") == 0, F.col("w")).otherwise(0)).over(group))
     low = F.expr("CASE WHEN b < 64 THEN b ELSE shiftleft(b - 32 * (b div 32 - 1), cast(b div 32 - 1 AS int)) END")
     at = lambda q: F.min(F.when(F.col("upto") * 100 >= F.col("all") * q, low))
     level = F.create_map(*[F.lit(x) for m, (p, _) in FENCES.items() for x in (m, p)])
     reach = F.create_map(*[F.lit(x) for m, (_, r) in FENCES.items() for x in (m, r)])
-    cuts = bins.groupBy(*map(col, groups), "measure").agg(at(50).alias("mid"), at(level[F.col("measure")]).alias("high"))
-    most = F.col("high") + reach[F.col("measure")] * (F.col("high") - F.col("mid"))
+    some = F.min(F.when((F.col("b") > 0) & ((F.col("upto") - F.col("none")) * 100 >= (F.col("all") - F.col("none")) * 50), low))
+    share = F.max((F.col("all") - F.col("none")) / F.col("all"))
+    cuts = bins.groupBy(*map(col, groups), "measure").agg(at(50).alias("mid"), at(level[F.col("measure")]).alias("high"), (share * F.coalesce(some, F.lit(0))).alias("rare"))
+    most = F.greatest(F.col("high") + reach[F.col("measure")] * (F.col("high") - F.col("mid")), F.col("rare"))
     return cuts.groupBy(*map(col, groups)).agg(*[F.max(F.when(F.col("measure") == m, most)).alias(f"{m}_most") for m in MEASURES])
 
 

@@ -152,7 +152,16 @@ SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(least(c.rep, l.c), c.r
 FROM sets s LEFT JOIN classes c ON s.s = c.s AND len(s.s) > 0 LEFT JOIN least_of l ON c.rep = l.v
 """
 
-#: Rows of the quality rules by document, for op3 and for the pipeline's first stage; {docs} is the table.
+def _fence(measure: str) -> str:
+    return f"max(greatest(high + {quality.FENCES[measure][1]} * (high - mid), rare)) FILTER (WHERE m = '{measure}')"
+
+
+def _over(measure: str) -> str:
+    errors, scale = quality.ERRORS[measure], quality.COUNTS[measure][1]
+    return f"(o_{measure} > 0 AND o_{measure} * o_{measure} > {errors**2 * scale} * (a_{measure} + {scale}))"
+
+
+#: Rows of the quality rules by document, for op3 and for the pipeline's first stage; {docs} is the table.  Thresholds and errors are those of the operator.
 QUALITY_CTES = r"""
 words AS (
   SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM {docs}
@@ -174,8 +183,7 @@ words AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured
 ), stacked AS (
   SELECT lang, source, m, v, CASE WHEN v < 64 THEN v ELSE 32 * (length(bin(v)) - 6) + (v >> (length(bin(v)) - 6)) END AS b FROM (
-    SELECT lang, source, unnest(['symbols', 'repeats', 'lines', 'letters']) AS m,
-           unnest([n_symbols * 1000 // n_words, n_repeat_words * 1000 // n_words, n_dup_lines * 1000 // n_words, word_chars * 100 // n_words]) AS v
+    SELECT lang, source, unnest([{measures}]) AS m, unnest([{rates}]) AS v
     FROM based WHERE NOT base_failed)
 ), bins AS (
   SELECT lang, source, m, b, count(*) AS n FROM stacked GROUP BY ALL
@@ -186,28 +194,33 @@ words AS (
 ), owners AS (
   SELECT DISTINCT lang, source, m FROM bins
 ), blend AS (
-  SELECT o.lang, o.source, o.m, x.b, coalesce(y.n, 0) * x.aw + 200 * x.nw AS n
+  SELECT o.lang, o.source, o.m, x.b, coalesce(y.n, 0) * x.aw + {prior} * x.nw AS n
   FROM owners o JOIN widest x ON o.lang IS NOT DISTINCT FROM x.lang AND o.m = x.m
   LEFT JOIN bins y ON y.lang IS NOT DISTINCT FROM o.lang AND y.source IS NOT DISTINCT FROM o.source AND y.m = o.m AND y.b = x.b
 ), upto AS (
-  SELECT *, sum(n) OVER (PARTITION BY lang, source, m ORDER BY b) AS u, sum(n) OVER (PARTITION BY lang, source, m) AS a,
+  SELECT *, sum(n) OVER (PARTITION BY lang, source, m ORDER BY b) AS u, sum(n) OVER (PARTITION BY lang, source, m) AS a, sum(CASE WHEN b = 0 THEN n ELSE 0 END) OVER (PARTITION BY lang, source, m) AS z,
          CASE WHEN b < 64 THEN b ELSE (b - 32 * (b // 32 - 1)) << (b // 32 - 1) END AS low FROM blend
 ), cuts AS (
-  SELECT lang, source, m, min(low) FILTER (WHERE u * 100 >= a * 50) AS mid,
-         min(low) FILTER (WHERE u * 100 >= a * CASE m WHEN 'symbols' THEN 75 WHEN 'letters' THEN 90 ELSE 99 END) AS high FROM upto GROUP BY ALL
+  SELECT lang, source, m, min(low) FILTER (WHERE u * 100 >= a * 50) AS mid, min(low) FILTER (WHERE u * 100 >= a * CASE m {levels} END) AS high,
+         max((a - z) / a) * coalesce(min(low) FILTER (WHERE b > 0 AND (u - z) * 100 >= (a - z) * 50), 0) AS rare FROM upto GROUP BY ALL
 ), fences AS (
-  SELECT lang, source, max(high + 3 * (high - mid)) FILTER (WHERE m = 'symbols') AS s, max(high + (high - mid)) FILTER (WHERE m = 'repeats') AS r,
-         max(high + (high - mid)) FILTER (WHERE m = 'lines') AS l, max(high + 4 * (high - mid)) FILTER (WHERE m = 'letters') AS c FROM cuts GROUP BY ALL
+  SELECT lang, source, {fences} FROM cuts GROUP BY ALL
 ), over AS (
-  SELECT b.*, n_symbols * 1000.0::DOUBLE - s::DOUBLE * n_words AS os, s::DOUBLE * n_words AS es, n_repeat_words * 1000.0::DOUBLE - r::DOUBLE * n_words AS ors,
-         n_dup_lines * 1000.0::DOUBLE - l::DOUBLE * n_words AS ol, word_chars * 100.0::DOUBLE - c::DOUBLE * n_words AS oc, c::DOUBLE * n_words AS ec
-  FROM based b LEFT JOIN fences f ON b.lang IS NOT DISTINCT FROM f.lang AND b.source IS NOT DISTINCT FROM f.source
+  SELECT b.*, {excess} FROM based b LEFT JOIN fences f ON b.lang IS NOT DISTINCT FROM f.lang AND b.source IS NOT DISTINCT FROM f.source
 ), judged AS (
-  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-         NOT base_failed AND NOT coalesce((os > 0 AND os * os > 9000 * (es + 1000)) OR ors > 0 OR ol > 0 OR (oc > 0 AND oc * oc > 900 * (ec + 100)), false) AS kept
-  FROM over
+  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce({tests}, false) AS kept FROM over
 )
 """
+for _token, _text in {
+    "{measures}": ", ".join(f"'{m}'" for m in quality.MEASURES),
+    "{rates}": ", ".join(f"{c} * {k} // n_words" for c, k in quality.COUNTS.values()),
+    "{prior}": str(quality.PRIOR),
+    "{levels}": " ".join(f"WHEN '{m}' THEN {p}" for m, (p, _) in quality.FENCES.items()),
+    "{fences}": ", ".join(f"{_fence(m)} AS f_{m}" for m in quality.MEASURES),
+    "{excess}": ", ".join(f"{c} * {k}.0::DOUBLE - f_{m}::DOUBLE * n_words AS o_{m}, f_{m}::DOUBLE * n_words AS a_{m}" for m, (c, k) in quality.COUNTS.items()),
+    "{tests}": " OR ".join(map(_over, quality.MEASURES)),
+}.items():
+    QUALITY_CTES = QUALITY_CTES.replace(_token, _text)
 OP3_SQL = "WITH " + QUALITY_CTES.replace("{docs}", "documents") + "SELECT * FROM judged"
 
 
