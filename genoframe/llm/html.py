@@ -15,6 +15,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -37,7 +38,8 @@ ASIDE = frozenset("nav aside header footer menu dialog search".split())
 #: Words in a class, id or role that tell of adverts, comments, menus and the like; what they weigh is learned.
 MARKS = frozenset("ad ads adv advert adverts advertisement advertising adbox adslot banner sponsor sponsored promo promotion promoted comment comments commentlist disqus respond reply replies discussion sidebar aside widget rail related recommended recommendations readmore trending popular menu navbar navigation nav breadcrumb breadcrumbs pagination pager footer colophon copyright masthead topbar toolbar header cookie cookies consent gdpr notice notices alert warning popup modal overlay newsletter subscribe subscription signup login share sharing social follow tags skip toc search complementary contentinfo dialog paywall".split())
 COMMENTS = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_OPEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?]|<(/?)([A-Za-z][^\s/><\"']*)", re.S)
+_ENDS = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _PART = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _WHITE = re.compile(r"\s+")
@@ -50,6 +52,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 TAG = 0.3
 #: Labels: main text, and what in it is no main text.
 LABELS = {"<!--[-->": 1, "<!--]-->": -1, "<!--{-->": -1, "<!--}-->": 1}
+#: Open elements beyond which an end tag or a new item doesn't look for the one it ends.
+BOUNDS = frozenset("ul ol dl table select article section div td th blockquote".split())
 _EMPTY: frozenset[str] = frozenset()
 _MAIN = frozenset(["article", "main"])
 
@@ -106,6 +110,61 @@ def items(page: str) -> list[tuple[str, str, str, bool, int, frozenset[str]]]:
     return [(kind, key, text, wordless, e, features - freed[e] if freed[e] else features) for kind, key, text, wordless, e, features in found]
 
 
+class _Ends:
+    """Where tags end: for each ``>`` and quote of the page, the ``>`` that ends a tag which reaches it outside of quotes; made once, from the back."""
+
+    def __init__(self, page: str):
+        self.at = [m.start() for m in _ENDS.finditer(page)]
+        self.end = [-1] * (len(self.at) + 1)
+        behind: dict[str, int] = {}
+        for i in range(len(self.at) - 1, -1, -1):
+            c = page[self.at[i]]
+            if c == ">":
+                self.end[i] = self.at[i]
+            else:
+                if c in behind:
+                    self.end[i] = self.end[behind[c] + 1]
+                behind[c] = i
+
+    def after(self, at: int) -> int:
+        """The end of a tag that goes on at ``at``; -1 if it has none."""
+        return self.end[bisect_left(self.at, at)]
+
+
+@lru_cache(4096)
+def _kinds(name: str) -> tuple[str, ...]:
+    return name, *(kind for kind, names in (("+block", BLOCKS), ("+wordless", WORDLESS), ("+bound", BOUNDS)) if name in names)
+
+
+class _Open:
+    """The open elements, with the places of each name and kind, so that nothing is looked for by walking down."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, bool, int, frozenset[str]]] = []
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.wordless = 0
+
+    def last(self, kind: str) -> int:
+        return self.places[kind][-1] if self.places[kind] else -1
+
+    def push(self, element: tuple[str, bool, int, frozenset[str]]) -> None:
+        for kind in _kinds(element[0]):
+            self.places[kind].append(len(self.stack))
+        self.stack.append(element)
+        self.wordless += element[1]
+
+    def cut(self, depth: int) -> None:
+        """Closes everything from a depth on."""
+        while len(self.stack) > depth:
+            name, wordless, *_ = self.stack.pop()
+            self.wordless -= wordless
+            for kind in _kinds(name):
+                self.places[kind].pop()
+
+    def around(self) -> tuple[int, frozenset[str]]:
+        return (self.stack[-1][2], self.stack[-1][3]) if self.stack else (0, _EMPTY)
+
+
 def _scan(page: str, elements: list[tuple[int, frozenset[str]]]) -> Iterator[tuple[str, str, str, bool, int, frozenset[str]]]:
     """The page's items in order: (kind, key, text, wordless, element, features).
 
@@ -114,62 +173,60 @@ def _scan(page: str, elements: list[tuple[int, frozenset[str]]]) -> Iterator[tup
     aren't shown.  ``element`` numbers the innermost element that may be left out of
     the run, 0 for none; its outer one has a smaller number.  ``features`` are those
     of all elements around the item.  ``elements`` receives for each such element its
-    outer one and its own features.
+    outer one and its own features.  What looks like a tag but never ends is text.  The
+    scan only moves forward, so its time grows with the page whatever its markup.
     """
-    open_: list[tuple[str, bool, int, frozenset[str]]] = []
-    wordless, at, n = 0, 0, len(page)
-    around = lambda: (open_[-1][2], open_[-1][3]) if open_ else (0, _EMPTY)
+    open_, ends = _Open(), _Ends(page)
+    at, look, n, around = 0, 0, len(page), open_.around
+    last = page.rfind(">")
     while at < n:
-        m = _TOKEN.search(page, at)
+        m = _OPEN.search(page, look)
+        close = 0
+        if m and (m[2] or m.end() == m.start() + 2):
+            close = (ends.after(m.end()) if m[2] else page.find(">", m.end())) if m.end() <= last else -1
+            if close < 0:
+                look = m.end()
+                continue
         end = m.start() if m else n
         if end > at:
-            yield "text", "", page[at:end], wordless > 0, *around()
+            yield "text", "", page[at:end], open_.wordless > 0, *around()
         if not m:
             return
-        at = m.end()
+        at = look = close + 1 if close else m.end()
         if not m[2]:
             if m[0] in LABELS:
                 yield "label", m[0], "", False, *around()
             continue
-        name, closing, attributes = m[2].lower(), bool(m[1]), m[3] or ""
+        name, closing, attributes = m[2].lower(), bool(m[1]), page[m.end() : close]
         if closing:
-            depth = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), None)
-            yield "tag", "/" + name, "", wordless > 0, *around()
-            if depth is not None and not (name not in BLOCKS and any(x[0] in WORDLESS for x in open_[depth + 1 :])):
-                wordless -= sum(x[1] for x in open_[depth:])
-                del open_[depth:]
+            depth = open_.last(name)
+            yield "tag", "/" + name, "", open_.wordless > 0, *around()
+            if depth >= 0 and not (name not in BLOCKS and open_.last("+wordless") > depth):
+                open_.cut(depth)
             continue
         for x in _CLOSES.get(name, ()):
-            for i in range(len(open_) - 1, -1, -1):
-                if open_[i][0] in ("ul", "ol", "dl", "table", "select", "article", "section", "div", "td", "th", "blockquote") and open_[i][0] != x:
-                    break
-                if open_[i][0] == x:
-                    wordless -= sum(y[1] for y in open_[i:])
-                    del open_[i:]
-                    break
+            depth = open_.last(x)
+            if depth >= 0 and open_.last("+bound") <= depth:
+                open_.cut(depth)
         if name in BLOCKS and name != "p":  # a block ends an open paragraph
-            i = len(open_) - 1
-            while i >= 0 and open_[i][0] not in BLOCKS:
-                i -= 1
-            if i >= 0 and open_[i][0] == "p":
-                wordless -= sum(x[1] for x in open_[i:])
-                del open_[i:]
+            depth = open_.last("+block")
+            if depth >= 0 and open_.stack[depth][0] == "p":
+                open_.cut(depth)
         hidden, marked, own = _own(name, attributes)
         element, features = around()
         if marked:
             elements.append((element, own))
             element = len(elements) - 1
         features = _joined(features, own)
-        yield "tag", name, "", wordless > 0, element, features
+        yield "tag", name, "", open_.wordless > 0, element, features
         if name in VOID or attributes.rstrip().endswith("/") and name in ("svg", "path"):
             continue
         if name in RAW:
-            close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            at = close.end() if close else n
+            found = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            at = look = found.end() if found else n
             yield "tag", "/" + name, "", True, element, features
             continue
-        open_.append((name, hidden or name in WORDLESS, element, features))
-        wordless += open_[-1][1]
+        open_.push((name, hidden or name in WORDLESS, element, features))
 
 
 def _beside_main(found: list) -> list[bool]:
@@ -265,9 +322,14 @@ def _left_out(found: list, scores: list[float]) -> set[int]:
         if stack[-1] != e:
             outer[e] = stack[-1]
             stack.append(e)
-        for open_ in stack[1:]:
-            total[open_] += x
-            span.setdefault(open_, [i, i])[1] = i
+        if e:
+            total[e] += x
+            span.setdefault(e, [i, i])[1] = i
+    for e in sorted(span, reverse=True):  # inner elements have larger numbers
+        if outer[e]:
+            total[outer[e]] += total[e]
+            wide = span.setdefault(outer[e], list(span[e]))
+            wide[:] = min(wide[0], span[e][0]), max(wide[1], span[e][1])
     words = [i for i, (x, s) in enumerate(zip(found, scores)) if x[0] == "text" and s > 0]
     gone: set[int] = set()
     for e in sorted(span):

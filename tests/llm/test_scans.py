@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from genoframe.llm import queries, secrets, spelling, whitening
+from genoframe.llm import html, queries, secrets, spelling, whitening
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, hash string, id string, word string, n int, `a.b` int"
 
@@ -277,3 +278,33 @@ def test_whitening_of_the_tables(spark, sf_dir):
         for c in range(8):
             x = got[(i, c + 1)]
             assert x.deviation == d and abs(x.whitened - sign[c] * w[c]) < 1e-6 and abs(x.explained / explained[c] - 1) < 1e-8 and x.identity_error < 1e-8
+
+
+# ---------------------------------------------------------------- hostile pages
+
+N = 300_000
+HOSTILE = {
+    "open quotes": "<a b='" * (N // 6),
+    "nested marks": '<div class="menu">' * (N // 18),
+    "ends of nothing": "<span>x" * (N // 14) + "</x>" * (N // 8),
+    "declarations": "<!" * (N // 2),
+    "names": "<a" * (N // 2) + " ' >",
+    "blocks in spans": "<span>" * (N // 12) + "<div></div>" * (N // 22),
+    "items in spans": "<span>" * (N // 12) + "<dt>" * (N // 8),
+    "blocked ends": "<b><button>" + "<i>" * (N // 6) + "</b>" * (N // 8),
+    "white space": "<a " + " " * N + "x=1>",
+}
+
+
+@pytest.mark.parametrize("kind", HOSTILE)
+def test_hostile_markup(kind):
+    """Markup that never ends or closes takes time in proportion to its length, and hides no article behind it."""
+    weights = html.Weights(html.labelled_pages())
+    began = time.process_time()
+    html.extract(HOSTILE[kind], weights)
+    assert time.process_time() - began < 5
+
+
+def test_tags_without_end_are_text():
+    items = [(x[0], x[1] or x[2]) for x in html.items("a <b c='d>e' f>g</b> <i 'j> k < l <! m")]
+    assert items == [("text", "a "), ("tag", "b"), ("text", "g"), ("tag", "/b"), ("text", " <i 'j> k < l <! m")]
