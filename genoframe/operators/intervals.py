@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.tables import settled
+from ..sources.tables import release, settled
 from . import ordered as O
 
 
@@ -166,15 +166,19 @@ def frequency_annotation(df: DataFrame, database: DataFrame, on: Sequence[str],
 
 def components(edges: DataFrame, a: str, b: str, settle) -> DataFrame:
     """Least vertex that each end of an edge can reach, as ``v`` and ``c``; ``settle`` writes a step's labels reliably."""
-    both = settle(edges.select(F.col(a).alias("v"), F.col(b).alias("w")).union(edges.select(b, a)).distinct())
-    labels = settle(both.groupBy("v").agg(F.least(F.col("v"), F.min("w")).alias("c")))
+    once = settle(edges.select(F.col(a).alias("v"), F.col(b).alias("w")))  # what gives the edges is computed once
+    both = settle(once.union(once.select("w", "v")).distinct())
+    labels, last = settle(both.groupBy("v").agg(F.least(F.col("v"), F.min("w")).alias("c"))), None
     while True:
         near = both.join(labels.select(F.col("v").alias("w"), "c"), "w").groupBy("v").agg(F.min("c").alias("m"))
         lower = labels.join(near, "v").select("v", F.least("c", "m").alias("d"), (F.col("m") < F.col("c")).alias("moved"))
         jump = labels.select(F.col("v").alias("d"), F.col("c").alias("e"))
         after = settle(lower.join(jump, "d", "left").select("v", F.least("d", F.coalesce("e", "d")).alias("c"), "moved"))
-        labels = after.select("v", "c")
+        if last is not None:
+            release(last)
+        labels, last = after.select("v", "c"), after
         if not after.filter("moved").take(1):
+            release(once, both)
             return labels
 
 

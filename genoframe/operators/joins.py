@@ -11,13 +11,19 @@ from pyspark.sql import functions as F
 class DuplicateKeys(ValueError):
     """A side that must have unique keys has not."""
 
+
 #: Names that sources are searched for at most.
 FEW_NAMES = 1000
 
 
+def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that occur more than once, with their ``count``."""
+    return df.groupBy(*keys).count().filter("count > 1")
+
+
 def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Raises DuplicateKeys naming some of the keys that occur twice; returns the input."""
-    twice = df.groupBy(*keys).count().filter("count > 1").limit(5).collect()
+    twice = duplicate_keys(df, keys).limit(5).collect()
     if twice:
         raise DuplicateKeys(", ".join(str(tuple(r[k] for k in keys)) for r in twice))
     return df

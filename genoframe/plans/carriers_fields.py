@@ -312,16 +312,18 @@ def metric_rows(spark, sf):
 
 
 @query("""
-WITH r AS (SELECT event_type AS rule, event_id AS job_id, CASE user_id % 4 WHEN 0 THEN 'FAILED' WHEN 1 THEN 'TIMEOUT' WHEN 2 THEN 'NODE_FAIL' ELSE 'RUNNING' END AS state, user_id FROM events),
-q AS (SELECT user_id AS rule, max(event_id) FILTER (WHERE event_type IN ('click', 'error')) AS job_id FROM events GROUP BY 1 HAVING count(*) FILTER (WHERE event_type = 'purchase') = 0)
-SELECT rule, job_id, CASE WHEN event_type = 'click' THEN 'FAILED' ELSE 'CANCELLED' END AS state FROM q JOIN events ON event_id = job_id WHERE job_id IS NOT NULL
+WITH j AS (SELECT l_suppkey || '/' || l_linenumber AS rule, l_partkey AS job_id, l_orderkey, CASE WHEN l_quantity < 5 THEN 'FAILED' WHEN l_quantity < 9 THEN 'CANCELLED' WHEN l_quantity < 12 THEN 'TIMEOUT' WHEN l_discount > 0.093 AND l_returnflag = 'A' THEN 'COMPLETED' ELSE 'RUNNING' END AS state FROM lineitem),
+f AS (SELECT rule, max(job_id) FILTER (WHERE state IN ('FAILED', 'CANCELLED', 'TIMEOUT')) AS job_id FROM j GROUP BY 1 HAVING count(*) FILTER (WHERE state = 'COMPLETED') = 0)
+SELECT f.rule, f.job_id, count(DISTINCT state) AS n_states FROM f JOIN j ON j.rule = f.rule AND j.job_id = f.job_id AND state IN ('FAILED', 'CANCELLED', 'TIMEOUT') GROUP BY 1, 2
 """)
 def job_outcomes(spark, sf):
-    """H15, C28, E11."""
-    t = F.col("event_type")
-    state = F.when(t == "click", "FAILED").when(t == "error", "CANCELLED by 0").when(t == "purchase", "COMPLETED").otherwise("NODE_FAIL")
-    jobs = table(spark, sf, "events").select(F.col("user_id").alias("rule"), F.col("event_id").alias("job_id"), state.alias("state"), F.lit("p").alias("path"))
-    return cohort.job_outcomes(jobs).select("rule", "job_id", "state")
+    """States have details behind them, and most rules that end have failed at least once."""
+    q = F.col("l_quantity")
+    state = F.when(q < 5, " FAILED node_fail").when(q < 9, "CANCELLED+ by 0").when(q < 12, "TIMEOUT++").when((F.col("l_discount") > 0.093) & (F.col("l_returnflag") == "A"), "COMPLETED").otherwise("RUNNING")
+    jobs = table(spark, sf, "lineitem").select(F.concat_ws("/", "l_suppkey", "l_linenumber").alias("rule"), F.col("l_partkey").cast("string").alias("job_id"), state.alias("state"), F.lit("p").alias("path"))
+    last = cohort.job_outcomes(jobs).select("rule", F.col("job_id").cast("long").alias("job_id"))
+    told = jobs.select("rule", F.col("job_id").cast("long").alias("job_id"), S.job_state(F.col("state")).alias("state")).filter(F.col("state").isin(*cohort.FAILED_STATES)).distinct()
+    return last.join(told, ["rule", "job_id"]).groupBy("rule", "job_id").agg(F.count("*").alias("n_states"))
 
 
 @query("""
@@ -457,7 +459,7 @@ def research_chain(spark, sf):
 @query("""
 WITH v AS (SELECT l_partkey, p_size, l_partkey % 6 = 0 AS listed, l_returnflag = 'A' AS onc, CASE WHEN p_size > 35 THEN 'Frq' ELSE '' END AS f FROM lineitem JOIN part ON p_partkey = l_partkey)
 SELECT CASE WHEN f <> '' AND (listed OR onc) THEN 'PASS' ELSE f END AS filter, CASE WHEN f <> '' AND (listed OR onc) THEN f END AS rescue_filters,
-       CASE WHEN f <> '' AND (listed OR onc) THEN array_to_string(list_filter([CASE WHEN listed THEN 'RescueList' END, CASE WHEN onc THEN 'ClinvarOnc' END], lambda x: x IS NOT NULL), '|') END AS rescue_status, count(*) AS n FROM v GROUP BY ALL
+       CASE WHEN f <> '' AND (listed OR onc) THEN array_to_string(list_filter([CASE WHEN listed THEN 'RescueList' END, CASE WHEN onc THEN 'ClinvarOnc' END], lambda x: x IS NOT NULL), '|') END AS rescue_status, count(*) AS n, count(*) FILTER (WHERE f = '' OR listed OR onc) AS kept FROM v GROUP BY ALL
 """)
 def clinical_chain(spark, sf):
     """H5, B11, B12, D2."""
@@ -465,8 +467,12 @@ def clinical_chain(spark, sf):
     part = table(spark, sf, "part")
     rows = table(spark, sf, "lineitem").select(*key("l_partkey"), F.array(F.when(F.col("l_returnflag") == "A", "Oncogenic").otherwise("benign")).alias("onc"))
     sources = {"Frq": part.select(*key("p_partkey"), (F.col("p_size") / F.lit(5000.0)).alias("freq"))}
-    saved, _ = snv.clinical_filtered(rows, sources, part.filter("p_partkey % 6 = 0").select(*key("p_partkey")), "wgs")
-    return saved.groupBy(F.array_join("filter", ";").alias("filter"), "rescue_filters", "rescue_status").agg(F.count("*").alias("n"))
+    saved, kept = snv.clinical_filtered(rows, sources, part.filter("p_partkey % 6 = 0").select(*key("p_partkey")), "wgs")
+    names = ["filter", "rescue_filters", "rescue_status"]
+    counted = lambda df, n: df.groupBy(F.array_join("filter", ";").alias("filter"), "rescue_filters", "rescue_status").agg(F.count("*").alias(n))
+    left = counted(kept, "kept").toDF(*[f"_{c}" for c in names], "kept")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names]
+    return counted(saved, "n").join(left, same, "left").select(*names, "n", F.coalesce("kept", F.lit(0)).alias("kept"))
 
 
 @query("""
