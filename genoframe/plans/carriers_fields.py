@@ -344,14 +344,12 @@ def mutation_burden(spark, sf):
 
 
 @query("""
-SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'o' ELSE 'd' END || '_' || l_returnflag AS name, count(*) AS n, round(sum(l_discount), 4) AS total FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1
+SELECT level || '_' || l_returnflag AS name, count(*) AS n, round(sum(l_discount), 4) AS total, sum(l_linenumber + 3)::BIGINT AS starts FROM lineitem, (VALUES ('o'), ('d')) AS t(level) WHERE l_returnflag <> 'N' GROUP BY 1
 """)
 def panel_points(spark, sf):
-    """The levels are told apart by the line's number afterwards."""
-    bins = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("chr"), F.col("l_linenumber").cast("long").alias("start"), (F.col("l_linenumber") + 1).cast("long").alias("end"), F.when(F.col("l_returnflag") == "N", "Antitarget").otherwise("g").alias("gene"), F.col("l_discount").alias("log2"))
-    points = cohort.panel_track(bins, ["o", "d"])
-    even = F.col("start") % 2 == 0
-    return points.filter(F.col("name").startswith("o_") == even).groupBy("name").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    """The middle of every bin at every level."""
+    bins = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("chr"), F.col("l_linenumber").cast("long").alias("start"), (F.col("l_linenumber") + 7).cast("long").alias("end"), F.when(F.col("l_returnflag") == "N", "Antitarget").otherwise("g").alias("gene"), F.col("l_discount").alias("log2"))
+    return cohort.panel_track(bins, ["o", "d"]).groupBy("name").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"), F.sum("start").alias("starts"))
 
 
 @query("""
@@ -477,19 +475,26 @@ def clinical_chain(spark, sf):
 
 @query("""
 WITH s AS (SELECT 'a' AS caller, s_nationkey::VARCHAR AS chr, s_suppkey * 1000 AS s, s_suppkey * 1000 + 5000 + s_nationkey * 100 AS e, s_suppkey % 4 AS cn FROM supplier UNION ALL
-           SELECT 'b', s_nationkey::VARCHAR, s_suppkey * 1000 + 500, s_suppkey * 1000 + 2500, s_suppkey % 3 FROM supplier)
-SELECT caller, chr, s AS "start", e AS "end", round_even((e - s) / 1000.0, 0)::BIGINT AS size_kb, CASE WHEN cn > 2 THEN 'AMPLIFICATION' WHEN cn < 2 THEN 'DELETION' ELSE 'NEUTRAL' END AS call,
-       (SELECT count(*) FROM part WHERE p_size::VARCHAR = chr AND p_partkey * 50 < e AND p_partkey * 50 + 40 > s) AS n_targets FROM s
+           SELECT 'b', s_nationkey::VARCHAR, s_suppkey * 1000 + 500, s_suppkey * 1000 + 2500, s_suppkey % 3 FROM supplier),
+k AS (SELECT n_nationkey::VARCHAR AS chr, n_nationkey * 100 + r * 4000 AS s, n_nationkey * 100 + r * 4000 + 3999 AS e, 'q' || r AS band FROM nation, (SELECT unnest(range(0, (SELECT max(s_suppkey) // 4 + 3 FROM supplier))) AS r)),
+h AS (SELECT s.caller, s.chr, s.s, min_by(band, k.s) AS first, max_by(band, k.s) AS last FROM s JOIN k ON s.chr = k.chr AND s.e >= k.s AND s.s <= k.e GROUP BY 1, 2, 3),
+p AS (SELECT s.caller, s.chr, s.s, p_partkey, p_brand FROM s JOIN part ON p_size::VARCHAR = s.chr AND p_partkey * 50 < e AND p_partkey * 50 + 40 > s),
+g AS (SELECT caller, chr, s, string_agg(p_brand, ',' ORDER BY p_brand) AS genes FROM (SELECT caller, chr, s, p_brand FROM p GROUP BY ALL HAVING count(*) >= 2) GROUP BY 1, 2, 3)
+SELECT s.caller, s.chr, s.s AS "start", e AS "end", round_even((e - s.s) / 1000.0, 0)::BIGINT AS size_kb, CASE WHEN cn > 2 THEN 'AMPLIFICATION' WHEN cn < 2 THEN 'DELETION' ELSE 'NEUTRAL' END AS call,
+       (SELECT count(*) FROM p WHERE p.caller = s.caller AND p.chr = s.chr AND p.s = s.s) AS n_targets, coalesce('chr' || s.chr || CASE WHEN first = last THEN first ELSE first || '-' || last END, '') AS cytoband, coalesce(genes, '') AS genes
+FROM s LEFT JOIN h ON h.caller = s.caller AND h.chr = s.chr AND h.s = s.s LEFT JOIN g ON g.caller = s.caller AND g.chr = s.chr AND g.s = s.s
 """)
 def segment_table(spark, sf):
-    """H10, D9, C20, S5, B17."""
+    """Segments of two callers with bands of every nation, genes and calls."""
     x = table(spark, sf, "supplier")
     common = lambda a, b, cn: x.select(F.col("s_nationkey").cast("string").alias("chr"), (F.col("s_suppkey") * 1000 + a).alias("start"), (F.col("s_suppkey") * 1000 + b).alias("end"), cn.alias("cn"))
     segments = [common(F.lit(0), F.col("s_nationkey") * 100 + 5000, F.col("s_suppkey") % 4), common(F.lit(500), F.lit(2500), F.col("s_suppkey") % 3)]
     bins = table(spark, sf, "part").select(F.col("p_size").cast("string").alias("chr"), (F.col("p_partkey") * 50).alias("start"), (F.col("p_partkey") * 50 + 40).alias("end"), F.col("p_brand").alias("gene"))
-    bands = x.select(F.lit("none").alias("chr"), F.lit(0).alias("band_start"), F.lit(1).alias("band_end"), F.lit("p").alias("band")).limit(1)
+    most = x.agg(F.floor(F.max("s_suppkey") / 4).alias("most"))  # one row
+    at = F.col("n_nationkey") * 100 + F.col("r") * 4000
+    bands = table(spark, sf, "nation").join(F.broadcast(most)).select("n_nationkey", F.explode(F.sequence(F.lit(0), F.col("most") + 2)).alias("r")).select(F.col("n_nationkey").cast("string").alias("chr"), at.alias("band_start"), (at + 3999).alias("band_end"), F.concat(F.lit("q"), F.col("r").cast("string")).alias("band"))
     out = cnv.segment_table(segments, ["a", "b"], bins, bands, "female")
-    return out.select("caller", "chr", "start", "end", "size_kb", "call", F.coalesce("n_targets", F.lit(0)).cast("long").alias("n_targets"))
+    return out.select("caller", "chr", "start", "end", "size_kb", "call", F.coalesce("n_targets", F.lit(0)).cast("long").alias("n_targets"), "cytoband", "genes")
 
 
 @query("""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import sequences as Q
 from ..operators import windows as W
 from ..sources.tables import settled, table
-from . import snv, sv
+from . import cohort, snv, sv
 from .carriers import query
 
 #: The letters of a document as bases: few kinds of them, so that there are repeats to move over.
@@ -133,3 +133,17 @@ def paired_clusters(spark, sf):
     """Calls of tumour and normal that are connected by likeness."""
     calls = _calls(spark, sf).withColumn("caller", F.when(F.col("caller") == "manta", "tumor").otherwise("normal"))
     return sv.paired(calls, ratio=0.995).select("key", "cluster", "callers", "chosen")
+
+
+@query("""
+WITH m AS (SELECT c_nationkey AS sample, CASE WHEN c_mktsegment < 'G' THEN 'target' ELSE 'antitarget' END AS kind, CASE WHEN c_custkey % 3 = 0 THEN 'Y' WHEN c_custkey % 3 = 1 THEN 'X' ELSE '7' END AS chrom,
+             CASE WHEN c_custkey % 3 = 0 THEN abs(c_acctbal) / (1 + c_nationkey * 3) ELSE abs(c_acctbal) + 1 END AS d FROM customer),
+w AS (SELECT sample, kind, median(d) FILTER (WHERE chrom = 'Y') AS y, median(d) FILTER (WHERE chrom = 'X') AS x, count(*) FILTER (WHERE chrom = 'X') AS nx, count(*) FILTER (WHERE chrom = 'Y') AS ny FROM m WHERE chrom IN ('X', 'Y') GROUP BY 1, 2)
+SELECT sample, kind, CASE WHEN x IS NULL OR y IS NULL THEN 'unknown' WHEN y / x > 0.2 THEN 'male' WHEN y / x <= 0.15 THEN 'female' ELSE 'unknown' END AS sex, nx::BIGINT AS n_x, ny::BIGINT AS n_y FROM w
+""")
+def panel_sexes(spark, sf):
+    """Sex by the ratio of two medians, for both kinds of coverage of a sample."""
+    n = F.col("c_custkey") % 3
+    depth = F.when(n == 0, F.abs("c_acctbal") / (1 + F.col("c_nationkey") * 3)).otherwise(F.abs("c_acctbal") + 1)
+    rows = table(spark, sf, "customer").select(F.col("c_nationkey").alias("sample"), F.when(F.col("c_mktsegment") < "G", "target").otherwise("antitarget").alias("kind"), F.when(n == 0, "Y").when(n == 1, "X").otherwise("7").alias("chrom"), depth.alias("depth"))
+    return cohort.rated_sex(rows).select("sample", "kind", "sex", F.col("X_count").cast("long").alias("n_x"), F.col("Y_count").cast("long").alias("n_y"))

@@ -24,20 +24,23 @@ DONE_STATES = ("COMPLETED",)
 # ---------------------------------------------------------------- sex
 
 
+def rated_sex(coverage: DataFrame, value: str = "depth") -> DataFrame:
+    """A prediction for each sample and kind of coverage, with its score; what can't be told is unknown."""
+    rows = coverage.filter(F.col("chrom").isin("X", "Y"))
+    wide = A.flat_stats(rows, "chrom", value, ["X", "Y"], ["sample", "kind"])
+    told = P.sex_by_ratio(F.try_divide("Y_median", "X_median"))
+    known = F.col("X_median").isNotNull() & F.col("Y_median").isNotNull() & (F.col("X_median") != 0)
+    rated = wide.withColumns({"sex": F.when(known, told["sex"]).otherwise("unknown"), "fraction": F.when(known, told["confidence"]).otherwise("NA"), "amount": F.when(known, P.data_amount(F.col("X_count"), F.col("Y_count"))).otherwise("NA")})
+    return rated.withColumn("score", S.confidence(F.col("fraction"), F.col("amount"), F.col("kind") == "target"))
+
+
 def panel_sex(coverage: DataFrame, value: str = "depth") -> DataFrame:
     """Per sample, the prediction with the highest score of its target and antitarget coverage.
 
     Input: ``sample``, ``kind`` (target or antitarget), ``chrom`` and the value.  A
     prediction that can't be made still takes part, with the score of its kind.
     """
-    rows = coverage.filter(F.col("chrom").isin("X", "Y"))
-    wide = A.flat_stats(rows, "chrom", value, ["X", "Y"], ["sample", "kind"])
-    told = P.sex_by_ratio(F.try_divide("Y_median", "X_median"))
-    known = F.col("X_median").isNotNull() & F.col("Y_median").isNotNull() & (F.col("X_median") != 0)
-    rated = wide.withColumns({"sex": F.when(known, told["sex"]).otherwise("unknown"), "fraction": F.when(known, told["confidence"]).otherwise("NA"), "amount": F.when(known, P.data_amount(F.col("X_count"), F.col("Y_count"))).otherwise("NA")})
-    target = F.col("kind") == "target"
-    scored = rated.withColumn("score", S.confidence(F.col("fraction"), F.col("amount"), target))
-    return J.choose_by_score(scored, ["sample"], [F.col("score").desc(), target.desc()])
+    return J.choose_by_score(rated_sex(coverage, value), ["sample"], [F.col("score").desc(), (F.col("kind") == "target").desc()])
 
 
 def genome_sex(x: DataFrame, y: DataFrame) -> DataFrame:
