@@ -8,19 +8,16 @@ numbers for each word.
 
 from __future__ import annotations
 
-import atexit
 import hashlib
-import shutil
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import shared_folder
+from ..sources.tables import release, scratch, settled, shared_folder  # noqa: F401  (the operators take them from here)
 
 #: Bytes of text that one array pass works on; a longer single text is taken whole.
 SLICE_BYTES = 2 << 20
@@ -38,45 +35,6 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-# ---------------------------------------------------------------- shared folder
-
-
-def scratch(spark: SparkSession, what: str) -> str:
-    """A new path below the shared folder, deleted when the session's process ends."""
-    path = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
-    atexit.register(_forget, spark, path)
-    return path
-
-
-def _forget(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-    except Exception:  # the JVM may be gone already
-        if path.startswith("file:"):
-            shutil.rmtree("/" + path.removeprefix("file:").lstrip("/"), ignore_errors=True)
-
-
-def settled(df: DataFrame, what: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read again: later plans start from files that survive a lost executor."""
-    path = scratch(df.sparkSession, what)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    _PATHS[id(out)] = (out, path)
-    return out
-
-
-_PATHS: dict[int, tuple[DataFrame, str]] = {}
-
-
-def release(*frames: DataFrame) -> None:
-    """Deletes the files of ``settled`` tables that no later plan reads."""
-    for df in frames:
-        _, path = _PATHS.pop(id(df))
-        _forget(df.sparkSession, path)
-
-
 def col(name: str) -> Column:
     """A column by its literal name, dots included."""
     return F.col("`" + name.replace("`", "``") + "`")
