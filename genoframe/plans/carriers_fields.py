@@ -422,7 +422,7 @@ def region_fractions(spark, sf):
 WITH q AS (SELECT l_orderkey, l_linenumber, l_returnflag, list_filter([
   CASE WHEN coalesce(CASE WHEN l_discount = 0 THEN NULL ELSE l_tax / l_discount END > 0.3, false) THEN 'in_normal' END,
   CASE WHEN NOT (l_quantity >= 50 OR l_suppkey % 60 >= 50) THEN 'low_tumor_dp' END, CASE WHEN NOT l_linenumber >= 5 THEN 'low_tumor_ad' END, CASE WHEN NOT l_discount >= 0.005 THEN 'low_af' END,
-  CASE WHEN NOT l_partkey % 5 < 3 THEN 'high_strand_oddsratio' END, CASE WHEN l_partkey % 14 > 12 THEN 'high_rpa' END], lambda x: x IS NOT NULL) AS f FROM lineitem)
+  CASE WHEN NOT l_partkey % 5 < 3 THEN 'high_strand_oddsratio' END, CASE WHEN l_partkey % 14 > 12 THEN 'high_tnscope_rpa' END], lambda x: x IS NOT NULL) AS f FROM lineitem)
 SELECT array_to_string(f, ';') AS names, count(*) AS n, count(*) FILTER (WHERE len(f) = 0 OR f = ['in_normal']) AS kept FROM q GROUP BY 1
 """)
 def quality_chain(spark, sf):

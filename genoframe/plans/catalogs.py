@@ -25,6 +25,8 @@ CALLER_FILTERS = tuple(
 )
 NORMAL_FILTERS = ("germline_risk", "in_normal")
 NEVER_HARD = ("HighOccurrenceFrq",)
+#: Filters whose names begin with a prefix of the project that writes them.
+PREFIXED = frozenset("low_tumor_ad low_tumor_dp low_af low_mq low_quality_scores low_strand_read_counts high_strand_oddsratio high_tnscope_rpa high_pop_freq".split())
 SNV_FILTERS: dict[str, dict[str, tuple[Filter, ...]]] = {
     "wgs": {
         "research": (Filter("SWEGENAF", 0.01), Filter("high_pop_freq", 0.001)),
@@ -40,7 +42,7 @@ SNV_FILTERS: dict[str, dict[str, tuple[Filter, ...]]] = {
         "quality": (
             Filter("in_normal", 0.3, "paired"), Filter("low_af", 0.005), Filter("low_tumor_ad", 5), Filter("low_tumor_dp", 50, exome=False), Filter("low_tumor_dp", 20, exome=True),
             Filter("low_mq", 30, caller="vardict"), Filter("low_quality_scores", 20, "single", "tnscope"), Filter("high_strand_oddsratio", 2.7, "single", "tnscope"),
-            Filter("high_strand_oddsratio", 3, "paired", "tnscope"), Filter("high_rpa", 12, caller="tnscope"),
+            Filter("high_strand_oddsratio", 3, "paired", "tnscope"), Filter("high_tnscope_rpa", 12, caller="tnscope"),
         ),
     },
     "umi": {
@@ -111,3 +113,8 @@ def requested_metrics(kit: str | None) -> dict[str, tuple[str, float] | None]:
 def kit_of(bait_set: str) -> str | None:
     """The first catalog name that stands before ``_<digit>`` in a bait set's name."""
     return next((k for k in PANEL_METRICS if re.search(rf"{re.escape(k)}(?=_\d)", bait_set)), None)
+
+
+def full_name(name: str, prefix: str) -> str:
+    """The name as it stands in FILTER texts."""
+    return prefix + name if name in PREFIXED else name

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from ..operators import sequences as Q
 from ..operators import sets as T
 from ..operators import windows as W
 from ..sources.tables import settled
-from .catalogs import GENOME_MB, NORMAL_FILTERS, SNV_FILTERS, Filter, choose, hard_names, unique
+from .catalogs import GENOME_MB, NORMAL_FILTERS, SNV_FILTERS, Filter, choose, full_name, hard_names, unique
 
 KEY = ["chrom", "pos", "ref", "alt"]
 
@@ -70,18 +71,23 @@ def quality_filters(kind: str, analysis: str, caller: str, exome: bool = False)
     if "low_strand_read_counts" in names:
         out.append(P.SoftFilter("low_strand_read_counts", (c("alt_f1r2") > at("low_strand_read_counts")) & (c("alt_f2r1") > at("low_strand_read_counts"))))
     out.append(P.SoftFilter("high_strand_oddsratio", c("sor") < at("high_strand_oddsratio")))
-    if "high_rpa" in names:
-        out.append(P.SoftFilter("high_rpa", F.exists("rpa", lambda x: x > at("high_rpa")), "exclude"))
+    if "high_tnscope_rpa" in names:
+        out.append(P.SoftFilter("high_tnscope_rpa", F.exists("rpa", lambda x: x > at("high_tnscope_rpa")), "exclude"))
     return out
 
 
-def quality_filtered(df: DataFrame, kind: str, analysis: str, caller: str, exome: bool = False, soft_normals: bool = False) -> tuple[DataFrame, DataFrame]:
-    """H3: rows with their soft filters, and those that no hard filter drops."""
+def quality_filtered(df: DataFrame, kind: str, analysis: str, caller: str, exome: bool = False, soft_normals: bool = False, prefix: str = "") -> tuple[DataFrame, DataFrame]:
+    """H3: rows with their soft filters, and those that no hard filter drops; some names begin with ``prefix``."""
     start = df.filter(P.is_pass()) if (kind, analysis, caller) == ("tga", "single", "vardict") else df
     dropped = {"wgs": "alt_allele_in_normal", "tga": "MAF0.05" if caller == "vardict" else "alt_allele_in_normal", "umi": "alt_allele_in_normal"}[kind] if analysis == "paired" else None
     start = P.without_filter(start, dropped) if dropped else start
-    soft = P.soft_filters(start, quality_filters(kind, analysis, caller, exome))
-    return soft, P.hard_filter(soft, hard_names(choose(SNV_FILTERS[kind]["quality"], analysis, caller, exome), soft_normals))
+    soft = P.soft_filters(start, _prefixed(quality_filters(kind, analysis, caller, exome), prefix))
+    names = hard_names(choose(SNV_FILTERS[kind]["quality"], analysis, caller, exome), soft_normals)
+    return soft, P.hard_filter(soft, [full_name(n, prefix) for n in names])
+
+
+def _prefixed(filters: Sequence[P.SoftFilter], prefix: str) -> list[P.SoftFilter]:
+    return [replace(f, name=full_name(f.name, prefix)) for f in filters]
 
 
 def _frequency_filters(entries: Sequence[Filter]) -> list[P.SoftFilter]:
@@ -89,12 +95,12 @@ def _frequency_filters(entries: Sequence[Filter]) -> list[P.SoftFilter]:
     return [P.SoftFilter(f.name, P.or_missing(F.col(f"freq_{f.name}") <= f.value, F.col(f"freq_{f.name}"))) for f in entries if f.value is not None]
 
 
-def research_filtered(df: DataFrame, sources: dict[str, DataFrame], kind: str) -> tuple[DataFrame, DataFrame]:
-    """H4: population frequencies joined on exact keys, soft filters on them, and what passes."""
+def research_filtered(df: DataFrame, sources: dict[str, DataFrame], kind: str, prefix: str = "") -> tuple[DataFrame, DataFrame]:
+    """H4: population frequencies joined on exact keys, soft filters on them (some names begin with ``prefix``), and what passes."""
     entries = SNV_FILTERS[kind]["research"]
     joined = J.annotate(df, [(table, KEY, {f"freq_{name}": ("freq", "self")}) for name, table in sources.items()])
-    soft = P.soft_filters(joined, _frequency_filters([f for f in entries if f.name in sources]))
-    return soft, P.hard_filter(soft, hard_names(entries, callers=False))
+    soft = P.soft_filters(joined, _prefixed(_frequency_filters([f for f in entries if f.name in sources]), prefix))
+    return soft, P.hard_filter(soft, [full_name(n, prefix) for n in hard_names(entries, callers=False)])
 
 
 def clinical_filtered(df: DataFrame, sources: dict[str, DataFrame], rescue: DataFrame, kind: str, classification: str = "onc") -> tuple[DataFrame, DataFrame]:

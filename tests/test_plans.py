@@ -37,6 +37,8 @@ def test_quality(spark):
     soft, kept = snv.quality_filtered(df, "tga", "paired", "vardict")
     assert {r.i: r["filter"] for r in soft.collect()} == {1: ["PASS"], 2: ["in_normal", "low_tumor_dp", "low_tumor_ad", "low_af", "low_mq"]}
     assert [r.i for r in kept.collect()] == [1]
+    soft, kept = snv.quality_filtered(df, "tga", "paired", "vardict", prefix="our_")
+    assert {r.i: r["filter"] for r in soft.collect()}[2] == ["in_normal", "our_low_tumor_dp", "our_low_tumor_ad", "our_low_af", "our_low_mq"] and [r.i for r in kept.collect()] == [1]
 
 
 def test_clinical(spark):
