@@ -12,8 +12,8 @@ class DuplicateKeys(ValueError):
     """A side that must have unique keys has not."""
 
 
-#: Names that sources are searched for at most.
-FEW_NAMES = 1000
+#: Letters by which names are looked up in keys.
+GRAM = 3
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -100,13 +100,17 @@ def promote_mates(df: DataFrame, pair: str, mate: str, status: Callable[[], Colu
 def first_source(requests: DataFrame, sources: DataFrame, tool: str, key: str, order: str) -> DataFrame:
     """For each request the first source whose key contains it, ignoring case.
 
-    A name may lie anywhere in a key, so each source is compared with the distinct names
-    that are asked for; these must be few (FEW_NAMES), else it is an error.
+    A name may lie anywhere in a key, so names are joined by their first GRAM letters
+    (all letters of a shorter one) with the runs of that many letters in the keys, and
+    the pairs that meet are compared whole.  An empty name lies in every key, a null one
+    in none.
     """
-    names = requests.select(F.lower(requests[tool]).alias("_name")).filter("_name is not null").distinct()
-    if names.limit(FEW_NAMES + 1).count() > FEW_NAMES:
-        raise ValueError(f"more than {FEW_NAMES} names are looked for")
-    found = sources.join(F.broadcast(names), F.lower(F.col(key)).contains(F.col("_name")))
+    name = requests.select(F.lower(requests[tool]).alias("_name")).filter("_name is not null").distinct()
+    names = name.withColumn("_gram", F.left("_name", F.lit(GRAM)))
+    low = F.lower(F.col(key))
+    runs = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length(low) - n + 1, F.lit(1))), lambda i: F.substring(low, i, F.lit(n)))
+    grams = F.array_distinct(F.concat(F.array(F.lit("")), *[runs(n) for n in range(1, GRAM + 1)]))
+    found = sources.filter(low.isNotNull()).withColumn("_gram", F.explode(grams)).join(names, "_gram").drop("_gram").filter(low.contains(F.col("_name")))
     first = found.groupBy("_name").agg(F.min(F.struct(order, *[c for c in sources.columns if c != order])).alias("_x"))
     best = first.select("_name", *[F.col(f"_x.{c}").alias(c) for c in sources.columns])
     return requests.join(best, F.lower(requests[tool]) == F.col("_name"), "left").drop("_name")

@@ -23,14 +23,14 @@ KEY = ["chrom", "pos", "ref", "alt"]
 
 
 def merge_callers(a: DataFrame, b: DataFrame) -> DataFrame:
-    """H1: one row for each variant of either caller, in genomic order.
+    """H1: one row for each variant of either caller; ``genomic_sort`` orders them where they are written.
 
     Inputs have KEY (``alt`` as text), ``id``, ``qual``, ``filter`` and ``info`` as text
     and any other columns, which come from the first caller where it has the variant.
     """
     info = lambda x, y: S.merged_info(F.flatten(F.array(_items(x), _items(y))))
     rules = {"id": J.prefer_left(), "qual": J.prefer_left(), "filter": S.merged_filter, "info": info}
-    return T.genomic_sort(J.merge_full_outer(a, b, KEY, {k: r for k, r in rules.items() if k in a.columns}))
+    return J.merge_full_outer(a, b, KEY, {k: r for k, r in rules.items() if k in a.columns})
 
 
 def _items(text: Column) -> Column:

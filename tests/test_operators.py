@@ -145,6 +145,15 @@ def test_regions(spark):
     assert W.region_accumulator(df.filter("false"), ["track"], {"o": 200}, 100, [F.col("chrom")]).count() == 0
 
 
+def test_first_source(spark):
+    """Names of every length, in any case and place; ties by order; no limit to their number."""
+    sources = [(i, k) for i, k in enumerate(["Picard_HsMetrics", "fastqc", "FASTQC/raw", "ab", None, "x"])]
+    asked = ["picard", "hsmetrics", "FastQC", "b", "AB", "", "none", None, "x", "raw"] + [f"name{i}" for i in range(1500)]
+    out = J.first_source(spark.createDataFrame([(a,) for a in asked], "tool string"), spark.createDataFrame(sources, "i int, key string"), "tool", "key", "i")
+    want = {a: next((i for i, k in sources if a is not None and k is not None and a.lower() in k.lower()), None) for a in asked}
+    assert {r.tool: r.i for r in out.collect()} == want
+
+
 def test_mates(spark):
     df = spark.createDataFrame([("p", "1", "x", 1), ("p", "2", "PASS", 2), ("q", "1", "PASS", 3), ("r", "1", "x", 4), ("r", "2", "y", 5)], "p string, m string, f string, o int")
     out = {(r.p, r.m): r.promoted for r in J.promote_mates(df, "p", "m", lambda: F.col("f") == "PASS", order=["o"]).collect()}
