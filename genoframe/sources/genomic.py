@@ -88,7 +88,7 @@ def tsv(spark: SparkSession, path: str, schema: str | None = None, header: bool
 def coerced(df: DataFrame, ints: Sequence[str] = (), floats: Sequence[str] = (), strings: Sequence[str] = (), booleans: Sequence[str] = (), words: Mapping[str, bool | None] | None = None, required: Sequence[str] = ()) -> DataFrame:
     """Columns cast where they exist; what doesn't parse, NaN and words outside the map are null."""
     if lacking := [c for c in required if c not in df.columns]:
-        raise MissingColumns(f"Missing required columns: {', '.join(lacking)}")
+        raise MissingColumns(f"no column named {', '.join(lacking)}")
     words = {"TRUE": True, "FALSE": False, "NA": None} if words is None else words
     out: dict[str, Column] = {}
     for c in df.columns:
