@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .medians import medians
+
 
 def rollup(df: DataFrame, by: Sequence[str], start: str, end: str, value: str, means: Sequence[str] = ()) -> DataFrame:
     """Span, count and mean, least and greatest value of each group, and means of further columns."""
@@ -18,14 +20,26 @@ def rollup(df: DataFrame, by: Sequence[str], start: str, end: str, value: str, m
 
 def stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Mean, median, least, greatest, sample standard deviation and count."""
-    return df.groupBy(*by).agg(F.avg(value).alias("mean"), F.median(value).alias("median"), F.min(value).alias("min"), F.max(value).alias("max"), F.stddev_samp(value).alias("std"), F.count(value).alias("count"))
+    rest = df.groupBy(*by).agg(F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"), F.stddev_samp(value).alias("std"), F.count(value).alias("count"))
+    return _beside(rest, medians(df, by, value), by).select(*by, "mean", "median", "min", "max", "std", "count")
+
+
+def _beside(rest: DataFrame, told: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row for each key on both sides, which may be null."""
+    a, b = rest.alias("a"), told.alias("b")
+    same = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in by]
+    return a.join(b, same or F.lit(True), "left").select("a.*", *[F.col(f"b.`{c}`") for c in told.columns if c not in by])
 
 
 def flat_stats(df: DataFrame, key: str, value: str, names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """One row with ``<name>_<statistic>`` for each listed value of the key."""
     of = lambda f, n: f(F.when(F.col(key) == n, F.col(value)))
-    all_ = {"mean": F.avg, "median": F.median, "min": F.min, "max": F.max, "std": F.stddev_samp, "count": F.count}
-    return df.groupBy(*by).agg(*[of(f, n).alias(f"{n}_{k}") for n in names for k, f in all_.items()])
+    kinds = {"mean": F.avg, "min": F.min, "max": F.max, "std": F.stddev_samp, "count": F.count}
+    rest = df.groupBy(*by).agg(*[of(f, n).alias(f"{n}_{k}") for n in names for k, f in kinds.items()])
+    told = medians(df.filter(F.col(key).isin(*names)), [*by, key], value, "_m")
+    wide = told.groupBy(*by).agg(*[F.max(F.when(F.col(key) == n, F.col("_m"))).alias(f"{n}_median") for n in names])
+    order = [f"{n}_{k}" for n in names for k in ("mean", "median", "min", "max", "std", "count")]
+    return _beside(rest, wide, by).select(*by, *order)
 
 
 def noise(df: DataFrame, by: Sequence[str], diff: str) -> DataFrame:

@@ -14,6 +14,7 @@ from ..operators import intervals as I
 from ..operators import joins as J
 from ..operators import sets as T
 from ..operators import windows as W
+from ..operators.medians import medians
 from .catalogs import CASE_METRICS, REGION_SIZES, ZOOM
 
 # States of finished jobs.
@@ -45,7 +46,7 @@ def panel_sex(coverage: DataFrame, value: str = "depth") -> DataFrame:
 
 def genome_sex(x: DataFrame, y: DataFrame) -> DataFrame:
     """From the medians of two lists of per-position coverage."""
-    both = x.agg(F.median("value").alias("x")).join(y.agg(F.median("value").alias("y")))  # one row each
+    both = medians(x, [], "value", "x").join(medians(y, [], "value", "y"))  # one row each
     return both.withColumn("sex", P.sex_by_median(F.try_divide("y", "x")))
 
 
