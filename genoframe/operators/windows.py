@@ -1,11 +1,9 @@
-"""Ordered operators: differences, framed medians, islands, sampling, stateful runs."""
+"""Ordered operators: differences, framed medians, islands, sampling, bridges, stacks."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
-from typing import Any
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,84 +109,6 @@ def argmax_index(values: Column) -> Column:
     return F.struct(top.alias("value"), F.greatest(F.array_position(values, top) - 1, F.lit(0)).cast("int").alias("index"))
 
 
-def region_accumulator(df: DataFrame, by: Sequence[str], sizes: Mapping[str, int], least: int, order: Sequence[Column], chrom: str = "chrom", start: str = "start", end: str = "end", value: str = "value", level: str = "level") -> DataFrame:
-    """Consecutive rows gathered into regions of each level's size, with the mean of their values.
-
-    One track (``by``) is read in ``order``, and regions go on over it as follows.  A row
-    whose end gives the region exactly its size ends it.  A row that would make it larger,
-    or that lies on another chromosome, ends the region before itself, once for each
-    of the two reasons, and is not part of the next one, which begins at the row behind
-    it.  A level of the ``least`` size has a region for each row.  What is open at the
-    end of a track is written too; a last region that was written already is written
-    again, up to the end it had before the row that filled it.  Nulls in the value count as no value.  Rows come sorted to the tasks and only
-    one region for each level is held, whatever the size of a track; extra columns are
-    dropped and an empty table gives no region.
-    """
-    fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    keys = [f"_k{i}" for i in range(len(by))]
-    ranks = [f"_o{i}" for i in range(len(order))]
-    rows = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], *[o.alias(r) for o, r in zip(order, ranks)], F.col(chrom).alias("_c"), F.col(start).cast("long").alias("_s"), F.col(end).cast("long").alias("_e"), F.col(value).cast("double").alias("_v"))
-    dealt = (rows.repartition(*keys) if keys else rows.coalesce(1)).sortWithinPartitions(*keys, *ranks, "_s", "_e")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        track, state = None, {}
-        for batch in batches:
-            out: list[tuple[Any, ...]] = []
-            here = list(zip(*(batch[k] for k in keys))) if keys else [()] * len(batch)
-            for key, c, s, e, v in zip(here, batch["_c"], batch["_s"], batch["_e"], batch["_v"]):
-                if track is None or key != track:
-                    if track is not None:
-                        out += [(*track, *r.row()) for r in state.values()]
-                    track, state = key, {name: _Region(name, size, size == least) for name, size in sizes.items()}
-                for r in state.values():
-                    out += [(*key, *x) for x in r.take(c, s, e, v)]
-            yield pd.DataFrame(out, columns=[*keys, level, "_c", "_s", "_e", "_v"])
-        if track is not None:
-            yield pd.DataFrame([(*track, *r.row()) for r in state.values()], columns=[*keys, level, "_c", "_s", "_e", "_v"])
-
-    found = dealt.mapInPandas(run, ", ".join([*[f"{k} {fields[c]}" for c, k in zip(by, keys)], f"`{level}` string, _c {fields[chrom]}, _s long, _e long, _v double"]))
-    return found.withColumnsRenamed(dict(zip([*keys, "_c", "_s", "_e", "_v"], [*by, chrom, start, end, value])))
-
-
-class _Region:
-    """The open region of one level."""
-
-    def __init__(self, name: str, size: int, single: bool):
-        self.name, self.size, self.single, self.fresh = name, size, single, True
-
-    def row(self) -> tuple[Any, ...]:
-        return self.name, self.chrom, self.start, self.end, self.total / self.n if self.n else None
-
-    def _begin(self, chrom: Any, start: int, end: int, value: float) -> None:
-        self.chrom, self.start, self.end, self.total, self.n = chrom, start, end, 0.0, 0
-        self._add(value)
-
-    def _add(self, value: float) -> None:
-        if value == value and value is not None:
-            self.total, self.n = self.total + value, self.n + 1
-
-    def take(self, chrom: Any, start: int, end: int, value: float) -> list[tuple[Any, ...]]:
-        """The regions that end with or before this row."""
-        if self.fresh:
-            self._begin(chrom, start, end, value)
-            self.fresh = self.single
-            return [self.row()] if self.single else []
-        size = end - self.start + 1
-        if size == self.size:
-            self._add(value)
-            self.fresh = True
-            done = (self.name, self.chrom, self.start, end, self.row()[-1])
-            return [done]
-        done = [self.row()] * ((size > self.size) + (chrom != self.chrom))
-        if done:
-            self._begin(chrom, start, end, value)
-            self.fresh = True
-        else:
-            self.end = end
-            self._add(value)
-        return done
-
-
 def stacks(df: DataFrame, by: Sequence[str], pos: str, ref: str, distance: int, out: str = "stack") -> DataFrame:
     """Rows no further than ``distance`` behind the end of the one before form a stack."""
     far = lambda a, b: b["pos"] - (a["pos"] + a["n"]) + 1 > distance

@@ -147,3 +147,29 @@ def panel_sexes(spark, sf):
     depth = F.when(n == 0, F.abs("c_acctbal") / (1 + F.col("c_nationkey") * 3)).otherwise(F.abs("c_acctbal") + 1)
     rows = table(spark, sf, "customer").select(F.col("c_nationkey").alias("sample"), F.when(F.col("c_mktsegment") < "G", "target").otherwise("antitarget").alias("kind"), F.when(n == 0, "Y").when(n == 1, "X").otherwise("7").alias("chrom"), depth.alias("depth"))
     return cohort.rated_sex(rows).select("sample", "kind", "sex", F.col("X_count").cast("long").alias("n_x"), F.col("Y_count").cast("long").alias("n_y"))
+
+
+_LEVELS = "(VALUES ('o', 100000), ('a', 25000), ('b', 5000), ('c', 1000)) AS l(k, z)"
+
+
+@query(f"""
+WITH RECURSIVE r AS (SELECT o_orderstatus AS t, left(o_orderpriority, 1) AS c, o_orderkey * 100 + 1 AS s, o_orderkey * 100 + 100 AS e, o_custkey AS v FROM orders),
+o AS (SELECT *, row_number() OVER w AS i, sum(v) OVER w AS upto, lag(e) OVER w AS e0, count(*) OVER (PARTITION BY t) AS n FROM r WINDOW w AS (PARTITION BY t ORDER BY c, s)),
+x AS (SELECT o.*, k, z, max(i) OVER (PARTITION BY t, c) AS edge FROM o, {_LEVELS}),
+y AS (SELECT x.*, CASE WHEN coalesce(f.i, x.edge + 1) <= x.n THEN coalesce(f.i, x.edge + 1) END AS j FROM x ASOF LEFT JOIN o f ON x.t = f.t AND x.c = f.c AND x.s + x.z - 1 <= f.e),
+w AS (SELECT DISTINCT t, k, 1::BIGINT AS i FROM y UNION ALL SELECT w.t, w.k, y.j + 1 FROM w JOIN y ON w.t = y.t AND w.k = y.k AND w.i = y.i WHERE y.j < y.n),
+g AS (SELECT y.*, b.e AS ej, b.e0 AS ej0, b.c AS cj, b.s AS sj, b.v AS vj, b.upto AS upj FROM w JOIN y ON w.t = y.t AND w.k = y.k AND w.i = y.i LEFT JOIN o b ON b.t = y.t AND b.i = coalesce(y.j, y.n)),
+h AS (
+  SELECT t, k, c, s, ej AS e, (upj - upto + v) / (n - i + 1) AS m FROM g WHERE j IS NULL
+  UNION ALL SELECT t, k, c, s, unnest(CASE WHEN j = n THEN [ej, ej0] ELSE [ej] END), (upj - upto + v) / (j - i + 1) FROM g WHERE j IS NOT NULL AND ej - s + 1 = z
+  UNION ALL SELECT t, k, c, s, unnest(CASE WHEN ej - s + 1 > z AND cj <> c THEN [ej0, ej0] ELSE [ej0] END), (upj - vj - upto + v) / (j - i) FROM g WHERE j IS NOT NULL AND ej - s + 1 <> z AND (ej - s + 1 > z OR cj <> c)
+  UNION ALL SELECT t, k, cj, sj, ej, vj FROM g WHERE j = n AND ej - s + 1 <> z
+  UNION ALL SELECT t, 'd', c, s, unnest(CASE WHEN i = n THEN [e, e] ELSE [e] END), v FROM o)
+SELECT t AS track, k || '_' || c AS name, s + (e - s) // 2 - 1 AS start, s + (e - s) // 2 AS "end", round(m, 6) AS value FROM h
+""")
+def coverage_regions(spark, sf):
+    """Mean coverage in regions of five sizes; two of the three tracks hold nearly all rows."""
+    key = F.col("o_orderkey").cast("long") * 100
+    rows = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("track"), F.substring("o_orderpriority", 1, 1).alias("chrom"), (key + 1).alias("start"), (key + 100).alias("end"), F.col("o_custkey").cast("double").alias("value"))
+    out = cohort.coverage_track(rows, by=["track"])
+    return out.select("track", "name", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.round("value", 6).alias("value"))

@@ -15,6 +15,7 @@ from ..operators import joins as J
 from ..operators import sets as T
 from ..operators import windows as W
 from ..operators.medians import medians
+from ..operators.regions import region_accumulator
 from .catalogs import CASE_METRICS, REGION_SIZES, ZOOM
 
 # States of finished jobs.
@@ -76,7 +77,7 @@ def coverage_track(coverage: DataFrame, sizes: Mapping[str, int] = REGION_SIZES,
     Chromosomes are read in their order, as one track; see ``region_accumulator`` for
     what happens at their ends and at gaps.
     """
-    out = W.region_accumulator(coverage, by, sizes, min(sizes.values()), [S.vcf_order(F.col("chrom"))])
+    out = region_accumulator(coverage, by, sizes, min(sizes.values()), [S.vcf_order(F.col("chrom"))])
     mid = S.midpoint(F.col("start"), F.col("end"))
     return out.select(*by, F.concat_ws("_", "level", "chrom").alias("name"), mid["start"].alias("start"), mid["end"].alias("end"), "value")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from genoframe.operators import aggregates as A
 from genoframe.operators import intervals as I
 from genoframe.operators import joins as J
+from genoframe.operators import regions as R
 from genoframe.operators import sets as T
 from genoframe.operators import windows as W
 from genoframe.sources import genomic as G
@@ -136,13 +137,13 @@ def test_regions(spark):
     """Rows that fill a region, overshoot it, change the chromosome, and the rest at the end, for two tracks and two levels."""
     rows = [("1", 1, 100, 1.0), ("1", 101, 200, 3.0), ("1", 201, 300, 5.0), ("1", 901, 1000, 9.0), ("1", 1001, 1100, 2.0), ("1", 1101, 1150, 4.0), ("2", 1, 100, 7.0), ("2", 101, 200, 8.0), ("2", 201, 300, None)]
     df = spark.createDataFrame([(t, *r) for t in ("a", "b") for r in rows], "track string, chrom string, start long, end long, value double").withColumn("extra", F.lit(1))
-    out = W.region_accumulator(df, ["track"], {"o": 200, "d": 100}, 100, [F.col("chrom")]).collect()
+    out = R.region_accumulator(df, ["track"], {"o": 200, "d": 100}, 100, [F.col("chrom")]).collect()
     coarse = [("1", 1, 200, 2.0), ("1", 201, 300, 5.0), ("1", 1001, 1150, 3.0), ("2", 101, 300, 8.0)]
     fine = [*rows, rows[-1]]
     for t in ("a", "b"):
         got = {k: [(r.chrom, r.start, r.end, r.value) for r in out if (r.track, r.level) == (t, k)] for k in ("o", "d")}
         assert got["o"] == [*coarse, ("2", 101, 200, 8.0)] and got["d"] == fine
-    assert W.region_accumulator(df.filter("false"), ["track"], {"o": 200}, 100, [F.col("chrom")]).count() == 0
+    assert R.region_accumulator(df.filter("false"), ["track"], {"o": 200}, 100, [F.col("chrom")]).count() == 0
 
 
 def test_first_source(spark):
