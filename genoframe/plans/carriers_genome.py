@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators import sequences as Q
 from ..operators import windows as W
+from ..sources import genomic as G
+from ..sources import typed as Y
 from ..sources.tables import settled, table
 from . import cohort, snv, sv
 from .carriers import query
@@ -173,3 +175,25 @@ def coverage_regions(spark, sf):
     rows = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("track"), F.substring("o_orderpriority", 1, 1).alias("chrom"), (key + 1).alias("start"), (key + 100).alias("end"), F.col("o_custkey").cast("double").alias("value"))
     out = cohort.coverage_track(rows, by=["track"])
     return out.select("track", "name", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.round("value", 6).alias("value"))
+
+
+_DECLARED = ("AF,Number=A,Type=Float", "AD,Number=R,Type=Integer", "PL,Number=G,Type=Integer", "DP,Number=1,Type=Integer", "DB,Number=0,Type=Flag")
+
+
+@query("""
+WITH p AS (SELECT p_partkey::BIGINT AS k, unnest(CASE WHEN p_partkey % 2 = 0 THEN [0, 1] ELSE [0] END) AS i FROM part)
+SELECT (k % 22 + 1)::VARCHAR AS chrom, k * 10 AS pos, CASE WHEN k % 2 = 1 THEN 'T' WHEN i = 0 THEN 'C' ELSE 'G' END AS alt, CASE WHEN i = 0 THEN (k % 10) / 10.0 ELSE (k % 9) / 8.0 END AS af, k % 30 AS ad_ref,
+       CASE WHEN i = 0 THEN k % 7 WHEN k % 6 <> 0 THEN k % 5 END AS ad_alt, k AS pl_ref, CASE WHEN i = 0 THEN k + 1 ELSE k + 3 END AS pl_het, CASE WHEN i = 0 THEN k + 2 ELSE k + 5 END AS pl_hom, CASE WHEN k % 4 <> 0 THEN k % 40 END AS dp, k % 3 = 0 AS db FROM p
+""")
+def typed_alleles(spark, sf):
+    """Records whose fields are typed and split by what the header declares."""
+    header = G.parse_header(spark.createDataFrame([(f"##INFO=<ID={d},Description=\"of {d[:2]}\">",) for d in _DECLARED], "value string"))
+    k, two = F.col("p_partkey").cast("long"), F.col("p_partkey") % 2 == 0
+    listed = lambda one, more: F.concat_ws(",", *one, *[F.when(two, m) for m in more])
+    info = F.concat_ws(";", F.concat(F.lit("AF="), listed([k % 10 / 10], [k % 9 / 8])), F.concat(F.lit("AD="), listed([k % 30, k % 7], [F.when(k % 6 != 0, (k % 5).cast("string")).otherwise(".")])),
+                       F.concat(F.lit("PL="), listed([k, k + 1, k + 2], [k + 3, k + 4, k + 5])), F.concat(F.lit("DP="), F.when(k % 4 != 0, (k % 40).cast("string")).otherwise(".")), F.when(k % 3 == 0, "DB"))
+    text = F.concat_ws("\t", k % 22 + 1, k * 10, F.lit("."), F.lit("A"), F.when(two, "C,G").otherwise("T"), F.lit("."), F.lit("PASS"), info)
+    fields = Y.declared(header)
+    split = Y.split_by_header(Y.typed_info(G.parse_vcf(table(spark, sf, "part").select(text.alias("value"))), fields), fields)
+    f = lambda name, i: F.col(f"fields.{name}")[i]
+    return split.select("chrom", "pos", "alt", f("AF", 0).alias("af"), f("AD", 0).alias("ad_ref"), f("AD", 1).alias("ad_alt"), f("PL", 0).alias("pl_ref"), f("PL", 1).alias("pl_het"), f("PL", 2).alias("pl_hom"), F.col("fields.DP").alias("dp"), F.col("fields.DB").alias("db"))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import vcf_order
+from .typed import wider_type
 
 
 class MissingColumns(ValueError):
@@ -53,9 +54,13 @@ def vcf(spark: SparkSession, path: str) -> DataFrame:
 
 
 def vcf_header(spark: SparkSession, path: str) -> DataFrame:
-    """Header lines with category, id, number, type and description; ``#CHROM`` is a category of its own."""
+    return parse_header(lines(spark, path))
+
+
+def parse_header(text: DataFrame) -> DataFrame:
+    """Header lines (of the column ``value``) with category, id, number, type and description; ``#CHROM`` is a category of its own."""
     of = lambda k: F.regexp_extract("value", rf'[<,]{k}=("[^"]*"|[^,>]*)', 1)
-    rows = lines(spark, path).filter(F.col("value").startswith("#"))
+    rows = text.filter(F.col("value").startswith("#"))
     return rows.select(
         F.when(F.col("value").startswith("##"), F.regexp_extract("value", "^##([^=]+)=", 1)).otherwise("#CHROM").alias("category"), of("ID").alias("id"), of("Number").alias("number"),
         of("Type").alias("type"), F.trim(F.translate(of("Description"), '"', "")).alias("description"), F.col("value").alias("line"),
@@ -63,11 +68,11 @@ def vcf_header(spark: SparkSession, path: str) -> DataFrame:
 
 
 def merged_headers(a: DataFrame, b: DataFrame, names: tuple[str, str] = ("vcf1", "vcf2")) -> DataFrame:
-    """One line for each category and id; differing descriptions are both told, differing numbers become a dot."""
+    """One line for each category and id; differing descriptions are both told, differing numbers become a dot, differing types the wider one."""
     both = a.withColumn("_s", F.lit(0)).unionByName(b.withColumn("_s", F.lit(1)))
     one = lambda c, s: F.min(F.when(F.col("_s") == s, F.col(c)))
     g = both.groupBy("category", F.when(F.col("id") == "", F.col("line")).otherwise(F.col("id")).alias("id")).agg(
-        one("number", 0).alias("n0"), one("number", 1).alias("n1"), one("description", 0).alias("d0"), one("description", 1).alias("d1"), F.min("type").alias("type")
+        one("number", 0).alias("n0"), one("number", 1).alias("n1"), one("description", 0).alias("d0"), one("description", 1).alias("d1"), wider_type(one("type", 0), one("type", 1)).alias("type")
     )
     differ = lambda x, y: F.col(x).isNotNull() & F.col(y).isNotNull() & (F.col(x) != F.col(y))
     text = F.concat(F.lit(f"{names[0]}: "), "d0", F.lit(f" | {names[1]}: "), "d1")
