@@ -183,7 +183,7 @@ _DECLARED = ("AF,Number=A,Type=Float", "AD,Number=R,Type=Integer", "PL,Number=G,
 @query("""
 WITH p AS (SELECT p_partkey::BIGINT AS k, unnest(CASE WHEN p_partkey % 2 = 0 THEN [0, 1] ELSE [0] END) AS i FROM part)
 SELECT (k % 22 + 1)::VARCHAR AS chrom, k * 10 AS pos, CASE WHEN k % 2 = 1 THEN 'T' WHEN i = 0 THEN 'C' ELSE 'G' END AS alt, CASE WHEN i = 0 THEN (k % 10) / 10.0 ELSE (k % 9) / 8.0 END AS af, k % 30 AS ad_ref,
-       CASE WHEN i = 0 THEN k % 7 WHEN k % 6 <> 0 THEN k % 5 END AS ad_alt, k AS pl_ref, CASE WHEN i = 0 THEN k + 1 ELSE k + 3 END AS pl_het, CASE WHEN i = 0 THEN k + 2 ELSE k + 5 END AS pl_hom, CASE WHEN k % 4 <> 0 THEN k % 40 END AS dp, k % 3 = 0 AS db FROM p
+       CASE WHEN i = 0 THEN k % 7 WHEN k % 6 <> 0 THEN k % 5 END::DOUBLE AS ad_alt, k AS pl_ref, CASE WHEN i = 0 THEN k + 1 ELSE k + 3 END AS pl_het, CASE WHEN i = 0 THEN k + 2 ELSE k + 5 END AS pl_hom, CASE WHEN k % 4 <> 0 THEN k % 40 END::DOUBLE AS dp, k % 3 = 0 AS db FROM p
 """)
 def typed_alleles(spark, sf):
     """Records whose fields are typed and split by what the header declares."""
@@ -196,4 +196,4 @@ def typed_alleles(spark, sf):
     fields = Y.declared(header)
     split = Y.split_by_header(Y.typed_info(G.parse_vcf(table(spark, sf, "part").select(text.alias("value"))), fields), fields)
     f = lambda name, i: F.col(f"fields.{name}")[i]
-    return split.select("chrom", "pos", "alt", f("AF", 0).alias("af"), f("AD", 0).alias("ad_ref"), f("AD", 1).alias("ad_alt"), f("PL", 0).alias("pl_ref"), f("PL", 1).alias("pl_het"), f("PL", 2).alias("pl_hom"), F.col("fields.DP").alias("dp"), F.col("fields.DB").alias("db"))
+    return split.select("chrom", "pos", "alt", f("AF", 0).alias("af"), f("AD", 0).alias("ad_ref"), f("AD", 1).cast("double").alias("ad_alt"), f("PL", 0).alias("pl_ref"), f("PL", 1).alias("pl_het"), f("PL", 2).alias("pl_hom"), F.col("fields.DP").cast("double").alias("dp"), F.col("fields.DB").alias("db"))
