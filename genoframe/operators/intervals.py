@@ -151,10 +151,46 @@ def _near(a: tuple[str, str], b: tuple[str, str], ratio: float, distance: float
     return like | ((F.abs(F.col(a[0]) - F.col(b[0])) <= distance) & (F.abs(F.col(a[1]) - F.col(b[1])) <= distance))
 
 
+def _alike(left: DataFrame, right: DataFrame, on: Sequence[str], l: tuple[str, str], r: tuple[str, str], ratio: float, distance: float | None) -> DataFrame:
+    """Pairs of ``_near`` intervals by squares of start and end that are as wide as like intervals may lie apart.
+
+    Of intervals whose common part is ``ratio`` of the longer one, starts and ends differ
+    by the rest of that one at most.  The left interval lies in one square of the size
+    that belongs to its length (a power of two), the right one looks into the nine squares
+    around it, for each length it may be like.  What only ``distance`` finds comes from
+    squares of that width.  Both parts have no pair in common.
+    """
+    if not 0 < ratio <= 1:
+        raise ValueError("ratio must be above 0, and 1 at most")
+    length = lambda x: (F.col(x[1]) - F.col(x[0])).cast("double")
+    square = lambda c, w, by=0: F.floor(F.col(c) / w) + by
+    around = F.explode(F.array(*[F.struct(F.lit(i).alias("x"), F.lit(j).alias("y")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+
+    def squares(x: DataFrame, y: DataFrame, width: Column, keys: Sequence[str]) -> DataFrame:
+        x = x.withColumns({"_x": square(l[0], width), "_y": square(l[1], width)})
+        y = y.withColumn("_by", around).withColumns({"_x": square(r[0], width, F.col("_by.x")), "_y": square(r[1], width, F.col("_by.y"))}).drop("_by")
+        return x.join(y, [*on, *keys, "_x", "_y"]).drop(*keys, "_x", "_y")
+
+    size = lambda n: F.floor(F.log2(n))
+    x = left.filter(length(l) > 0).withColumn("_size", size(length(l)))
+    y = right.filter(length(r) > 0).withColumn("_size", F.explode(F.sequence(size(length(r) * (ratio * (1 - 1e-9))), size(length(r) / (ratio * (1 - 1e-9))))))
+    like = _near(l, r, ratio, None)
+    found = squares(x, y, F.pow(F.lit(2.0), F.col("_size") + 1) * ((1 - ratio) / ratio * 1.001 + 1e-9), ["_size"]).filter(like)
+    if distance is None:
+        return found
+    whole = lambda df, n: df.filter(F.col(n[0]).isNotNull() & F.col(n[1]).isNotNull())
+    close = squares(whole(left, l), whole(right, r), F.lit(distance * 1.001 if distance > 0 else 1.0), []).filter(_near(l, r, ratio, distance) & ~like)
+    return found.unionByName(close)
+
+
 def fuzzy_join(left: DataFrame, right: DataFrame, on: Sequence[str], l: tuple[str, str], r: tuple[str, str], ratio: float = 0.8, distance: float | None = None, width: float = 10_000) -> DataFrame:
-    """Pairs with a reciprocal overlap of at least ``ratio``, or both ends within ``distance``."""
-    pairs = overlap_join(left, right, on, l, r, width, inclusive=True, slack=distance or 0)
-    return pairs.filter(_near(l, r, ratio, distance))
+    """Pairs with a reciprocal overlap of at least ``ratio`` (above 0), or both ends within ``distance``.
+
+    An interval that many rows share is compared once; its rows are joined to the pairs
+    behind that.  ``width`` has no effect: the intervals' lengths choose the bins.
+    """
+    pairs = _alike(left.select(*on, *l).distinct(), right.select(*on, *r).distinct(), on, l, r, ratio, distance)
+    return left.join(pairs, [*on, *l]).join(right, [*on, *r])
 
 
 def frequency_annotation(df: DataFrame, database: DataFrame, on: Sequence[str], l: tuple[str, str], r: tuple[str, str], keys: Sequence[str], fields: dict[str, str], **how) -> DataFrame:
@@ -182,6 +218,38 @@ def components(edges: DataFrame, a: str, b: str, settle) -> DataFrame:
             return labels
 
 
+def like_components(df: DataFrame, on: Sequence[str], span: tuple[str, str], key: str, settle, ratio: float = 0.8, distance: float | None = None) -> DataFrame:
+    """Each ``key`` with ``c``, the least key that a chain of like intervals (``fuzzy_join``) connects it with, itself if none.
+
+    Intervals lie in squares of start and end so small that all of a square are alike;
+    such a square is one vertex, named by its least key, and of all links between two
+    squares one is kept.  So copies and crowded places add no edges.  A repeated key is
+    one vertex, too; null keys are left out.
+    """
+    s, e = span
+    length = (F.col(e) - F.col(s)).cast("double")
+    size = F.floor(F.log2(F.when(length > 0, length)))
+    by_ratio, by_distance = F.coalesce(F.pow(F.lit(2.0), size) * (0.49 * (1 - ratio)), F.lit(0.0)), F.lit(0.999 * (distance or 0))
+    width = F.greatest(by_ratio, by_distance)
+    square = lambda c: F.when(width > 0, F.floor(F.col(c) / width).cast("double")).otherwise(F.col(c).cast("double"))
+    meets = F.col(s).isNotNull() & F.col(e).isNotNull() & reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in on], F.lit(True))
+    if distance is None:
+        meets &= length > 0
+    rows = df.filter(F.col(key).isNotNull()).select(*on, s, e, F.col(key).alias("_key"), F.coalesce(meets, F.lit(False)).alias("_meets"))
+    place = ["_size", "_x", "_y"]
+    rows = settle(rows.withColumns({"_size": F.when(by_ratio >= by_distance, F.coalesce(size, F.lit(-5001))).otherwise(-5000), "_x": square(s), "_y": square(e)}))
+    inside = rows.filter("_meets")
+    heads = inside.groupBy(*on, *place).agg(F.min("_key").alias("_head"))
+    named = settle(inside.join(heads, [*on, *place]).unionByName(rows.filter("not _meets").withColumn("_head", F.col("_key"))).drop(*place))
+    points = settle(named.filter("_meets").select(*on, s, e, "_head").distinct())
+    side = lambda n: points.select(*on, F.col(s).alias(f"_s{n}"), F.col(e).alias(f"_e{n}"), F.col("_head").alias(f"_h{n}"))
+    links = _alike(side(1), side(2), on, ("_s1", "_e1"), ("_s2", "_e2"), ratio, distance).filter("_h1 < _h2").select("_h1", "_h2")
+    again = named.groupBy("_key").agg(F.collect_set("_head").alias("_h")).filter(F.size("_h") > 1).select(F.array_min("_h").alias("_h1"), F.explode("_h").alias("_h2"))
+    labels = components(links.unionByName(again).distinct(), "_h1", "_h2", settle).toDF("_v", "_c")
+    out = named.select(F.col("_key").alias(key), "_head").distinct()
+    return out.join(labels, F.col("_head") == F.col("_v"), "left").groupBy(key).agg(F.min(F.coalesce("_c", "_head")).alias("c"))
+
+
 def matched(pairs: DataFrame, a: str, b: str, score: str, settle) -> DataFrame:
     """One-to-one pairs, as if the best pair were taken again and again: by score, then by the names ``a`` and ``b``.
 
@@ -215,9 +283,9 @@ def merge_callers(calls: DataFrame, on: Sequence[str], span: tuple[str, str], ke
     near = lambda x, y: fuzzy_join(side(x, 1), side(y, 2), on, ("_s1", "_e1"), ("_s2", "_e2"), ratio, distance, width)
     rank = F.array_position(F.array(*map(F.lit, priority)), F.col(caller))
     calls = calls.withColumn("_rank", F.when(rank > 0, rank).otherwise(len(priority) + 1))
+    calls = settle(calls)
     if intra:
-        pairs = near(calls, calls).filter(F.col("_k1") < F.col("_k2"))
-        of = components(pairs, "_k1", "_k2", settle).toDF("_m", "_r")
+        of = like_components(calls, on, span, key, settle, ratio, distance).toDF("_m", "_r")
     else:
         order = [r[0] for r in calls.select(caller, "_rank").distinct().orderBy("_rank", caller).collect()]  # callers are few
         heads, of = None, None

@@ -146,6 +146,50 @@ def test_regions(spark):
     assert R.region_accumulator(df.filter("false"), ["track"], {"o": 200}, 100, [F.col("chrom")]).count() == 0
 
 
+def _spans_for(n, seed=3):
+    """Intervals in crowds, with copies, nulls, empty ones and one that a key has twice."""
+    rnd = random.Random(seed)
+    rows = [("1" if i % 3 else "2", f"k{i:04}", float(s), float(s + rnd.choice([0, 1, 40, 90, 100, 105, 1000]) + rnd.randrange(12))) for i in range(n) for s in [rnd.randrange(900)]]
+    return rows + [(c, k + "c", s, e) for c, k, s, e in rows[: n // 3]] + [("1", "z", None, 5.0), (None, "y", 0.0, 100.0), ("1", "k0000", 5000.0, 5100.0)]
+
+
+@pytest.mark.parametrize("ratio, distance", [(0.95, None), (0.3, 0), (0.9, 20)])
+def test_like_intervals(spark, ratio, distance):
+    """Pairs and components of like intervals against all pairs."""
+    rows = _spans_for(150)
+
+    def like(a, b):
+        if None in (*a, *b) or a[0] != b[0]:
+            return False
+        shared = min(a[3], b[3]) - max(a[2], b[2])
+        return (shared > 0 and shared >= ratio * max(a[3] - a[2], b[3] - b[2])) or (distance is not None and abs(a[2] - b[2]) <= distance and abs(a[3] - b[3]) <= distance)
+
+    df = spark.createDataFrame(rows, "c string, k string, s double, e double")
+    side = lambda n: df.select("c", F.col("k").alias(f"k{n}"), F.col("s").alias(f"s{n}"), F.col("e").alias(f"e{n}"))
+    got = sorted((r.k1, r.k2) for r in I.fuzzy_join(side(1), side(2), ["c"], ("s1", "e1"), ("s2", "e2"), ratio, distance).collect())
+    pairs = sorted((a[1], b[1]) for a in rows for b in rows if like(a, b))
+    assert got == pairs
+    least = {r[1]: r[1] for r in rows}
+    while any(least[a] < least[b] and not least.update({b: least[a]}) for a, b in pairs):
+        pass
+    found = I.like_components(df, ["c"], ("s", "e"), "k", lambda x: settled(x), ratio, distance)
+    assert {r.k: r.c for r in found.collect()} == least
+
+
+def test_many_equal_calls(spark):
+    """20,000 calls of one span, two hundred million pairs, are a few rows of links."""
+    calls = spark.range(20_000).select(F.lit("1").alias("c"), F.format_string("k%06d", "id").alias("key"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("caller"), F.lit(10).alias("s"), F.lit(500).alias("e"))
+    sizes = []
+
+    def settle(x):
+        out = settled(x)
+        sizes.append(out.count())
+        return out
+
+    out = I.merge_callers(calls, ["c"], ("s", "e"), "key", "caller", ["a", "b"], settle, intra=True)
+    assert [tuple(r) for r in out.groupBy("cluster", "callers").count().collect()] == [("k000000", "a,b", 20_000)] and max(sizes) <= 20_000
+
+
 def test_first_source(spark):
     """Names of every length, in any case and place; ties by order; no limit to their number."""
     sources = [(i, k) for i, k in enumerate(["Picard_HsMetrics", "fastqc", "FASTQC/raw", "ab", None, "x"])]
