@@ -242,9 +242,9 @@ SELECT v, least(v, min(c)) AS c FROM r GROUP BY v
 """)
 def caller_components(spark, sf):
     """D13."""
-    name = lambda c: F.concat("event_type", F.col(c).cast("string"))
-    edges = _like(spark, sf).select(name("user_a").alias("a"), name("user_b").alias("b"))
-    return I.components(edges, "a", "b", lambda df: settled(df, "components"))
+    spans = _spans(spark, sf).withColumn("v", F.concat("event_type", F.col("user_id").cast("string")))
+    of = settled(I.like_components(spans, ["event_type"], ("start", "end"), "v", lambda df: settled(df, "components"), 0.995), "components")
+    return of.join(of.filter("v <> c").select("c").distinct(), "c", "left_semi").select("v", "c")
 
 
 @query("""
