@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import settled
+
 
 class DuplicateKeys(ValueError):
     """A side that must have unique keys has not."""
@@ -102,15 +104,20 @@ def first_source(requests: DataFrame, sources: DataFrame, tool: str, key: str, o
 
     A name may lie anywhere in a key, so names are joined by their first GRAM letters
     (all letters of a shorter one) with the runs of that many letters in the keys, and
-    the pairs that meet are compared whole.  An empty name lies in every key, a null one
-    in none.
+    the pairs that meet are compared whole.  Runs are made only of the lengths that names
+    have.  Names are written first, so that their size is known and few of them are sent
+    to the keys rather than all runs shuffled; keys are dealt over all tasks, as one file
+    may hold them.  An empty name lies in every key, a null one in none.
     """
     name = requests.select(F.lower(requests[tool]).alias("_name")).filter("_name is not null").distinct()
-    names = name.withColumn("_gram", F.left("_name", F.lit(GRAM)))
-    low = F.lower(F.col(key))
-    runs = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length(low) - n + 1, F.lit(1))), lambda i: F.substring(low, i, F.lit(n)))
-    grams = F.array_distinct(F.concat(F.array(F.lit("")), *[runs(n) for n in range(1, GRAM + 1)]))
-    found = sources.filter(low.isNotNull()).withColumn("_gram", F.explode(grams)).join(names, "_gram").drop("_gram").filter(low.contains(F.col("_name")))
+    names = settled(name.withColumn("_gram", F.left("_name", F.lit(GRAM))), "names")
+    lengths = [r[0] for r in names.select(F.length("_gram")).distinct().collect()]  # GRAM + 1 at most
+    low = F.col("_low")
+    runs = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length(low) - n + 1, F.lit(1))), lambda i: F.substring(low, i, F.lit(n))) if n else F.array(F.lit(""))
+    grams = F.array_distinct(F.concat(F.array().cast("array<string>"), *map(runs, lengths)))
+    parts = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = sources.filter(F.col(key).isNotNull()).repartition(parts).withColumn("_low", F.lower(F.col(key)))
+    found = keys.withColumn("_gram", F.explode(grams)).join(names, "_gram").filter(low.contains(F.col("_name"))).drop("_gram", "_low")
     first = found.groupBy("_name").agg(F.min(F.struct(order, *[c for c in sources.columns if c != order])).alias("_x"))
     best = first.select("_name", *[F.col(f"_x.{c}").alias(c) for c in sources.columns])
     return requests.join(best, F.lower(requests[tool]) == F.col("_name"), "left").drop("_name")

@@ -199,6 +199,19 @@ def test_first_source(spark):
     assert {r.tool: r.i for r in out.collect()} == want
 
 
+def test_first_source_runs(spark, capsys):
+    """Where all names are long, keys give runs of one length only, and few names are sent to the keys instead of a shuffle of all runs."""
+    keys = spark.range(1000).select(F.format_string("BUILDING-Customer#%09d", "id").alias("key"), F.col("id").alias("i"))
+    asked = spark.createDataFrame([("building",), ("000000042",)], "tool string")
+    out = J.first_source(asked, keys, "tool", "key", "i")
+    assert {r.tool: r.i for r in out.collect()} == {"building": 0, "000000042": 42}
+    out.explain()
+    plan = capsys.readouterr().out
+    final = plan.split("Initial Plan")[0]
+    assert "BroadcastHashJoin [_gram" in final and "SortMergeJoin [_gram" not in final and final.count("transform(") == 1
+    assert {r.tool: r.i for r in J.first_source(asked, keys.filter("false"), "tool", "key", "i").collect()} == {"building": None, "000000042": None}
+
+
 def test_mates(spark):
     df = spark.createDataFrame([("p", "1", "x", 1), ("p", "2", "PASS", 2), ("q", "1", "PASS", 3), ("r", "1", "x", 4), ("r", "2", "y", 5)], "p string, m string, f string, o int")
     out = {(r.p, r.m): r.promoted for r in J.promote_mates(df, "p", "m", lambda: F.col("f") == "PASS", order=["o"]).collect()}
