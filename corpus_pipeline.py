@@ -42,8 +42,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document."""
-    return bpe.encode(docs, keep=("lang", "source"), decoded=False)
+    """Token ids of every document and the text they decode to."""
+    return bpe.encode(docs, keep=("lang", "source"))
 
 
 STAGES = [

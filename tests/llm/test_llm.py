@@ -872,3 +872,13 @@ def test_pipeline(spark, sf_dir, library):
     final = {r.doc_id: list(r.ids) for r in stages["bpe_encoding"](spark, clean, sf_dir).collect()}
     assert final == {d: library.encode(t, add_special_tokens=False).ids for d, t in texts_of(clean).items()}
     assert {r.doc_id for r in P.run(spark, sf_dir).collect()} == set(final)
+
+
+def test_pipeline_decodes(spark, sf_dir, library):
+    """The last stage takes all steps of op8: encoding, and decoding of the document's own ids."""
+    import corpus_pipeline as P
+
+    rows = [(1, "Hello,  World <|x|> 42", "en", "s", 1), (2, None, "en", "s", 0), (3, "\u00c4pfel don't", "de", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for r in P.bpe_encoding(spark, docs, sf_dir).collect():
+        assert r.decoded == library.decode(list(r.ids), skip_special_tokens=False)
