@@ -250,22 +250,67 @@ def like_components(df: DataFrame, on: Sequence[str], span: tuple[str, str], key
     return out.join(labels, F.col("_head") == F.col("_v"), "left").groupBy(key).agg(F.min(F.coalesce("_c", "_head")).alias("c"))
 
 
-def matched(pairs: DataFrame, a: str, b: str, score: str, settle) -> DataFrame:
-    """One-to-one pairs, as if the best pair were taken again and again: by score, then by the names ``a`` and ``b``.
-
-    Every round takes the pairs that are the best of both their ends; the best of all is
-    always among them, so the rounds end.
+def _numbered(rows: DataFrame, on: Sequence[str], span: Sequence[str], key: str, name: str, settle) -> tuple[DataFrame, DataFrame]:
+    """The different spans with a number ``name`` and how many keys they have (``_n`` and it), and each span's keys, numbered from 1 in order."""
+    spans = settle(rows.select(*on, *span).distinct().withColumn(name, F.monotonically_increasing_id()))
+    same = reduce(lambda x, y: x & y, [rows[c].eqNullSafe(spans[c]) for c in [*on, *span]])
+    keys = rows.join(spans, same).select(name, F.col(key).alias("_key")).distinct()
+    keys = settle(O.running(O.ranged(keys, [name], ["_key"]), [name], ["_key"], F.lit(1).cast("long"), "_i").select(name, "_key", "_i"))
+    return spans.join(keys.groupBy(name).agg(F.count("*").alias(f"_n{name}")), name), keys
+
+
+def matched(left: DataFrame, right: DataFrame, on: Sequence[str], span: tuple[str, str], key: str, score: Column, near, settle) -> DataFrame:
+    """One-to-one pairs ``_k1``, ``_k2`` of like rows, as if the best pair were taken again and again: by score, then by the left and the right key.
+
+    Rows that share a span have the same scores, so spans are matched, and a span gives
+    its keys in order.  ``near`` finds like spans and ``score`` rates their ends ``_s1``,
+    ``_e1``, ``_s2``, ``_e2``.  In a round, two spans that are each other's only best pair
+    off as many keys as both have left; a span that is the only best of several spans of
+    equal score pairs off with their keys in common order; of spans with equal scores on
+    both sides those keys are paired that are each other's best.  The best of all is
+    always among these, so the rounds end.  A key names one row.
     """
-    order = F.struct((-F.col(score)).alias("s"), F.col(a).alias("a"), F.col(b).alias("b"))
-    live, taken = settle(pairs.select(a, b, score)), None
-    while True:
-        best = lambda end: live.groupBy(end).agg(F.min(order).alias("_o"))
-        both = best(a).select("_o").join(best(b).select("_o"), "_o")
-        top = settle(both.select(F.col("_o.a").alias(a), F.col("_o.b").alias(b)))
-        taken = top if taken is None else taken.unionByName(top)
-        if not top.limit(1).count():
-            return taken
-        live = settle(live.join(top.select(a), a, "left_anti").join(top.select(b), b, "left_anti"))
+    s, e = span
+    x, kx = _numbered(left, on, span, key, "_a", settle)
+    y, ky = _numbered(right, on, span, key, "_b", settle)
+    side = lambda df, n, c: df.select(*on, F.col(s).alias(f"_s{n}"), F.col(e).alias(f"_e{n}"), c, f"_n{c}")
+    zero = F.lit(0).cast("long")
+    live, taken = settle(near(side(x, 1, "_a"), side(y, 2, "_b")).select("_a", "_b", score.alias("_score"), F.col("_n_a").alias("_na"), F.col("_n_b").alias("_nb"), zero.alias("_oa"), zero.alias("_ob"))), []
+    record = ["_a", "_oa", "_b", "_ob", "_m"]
+    while live.limit(1).count():
+        wa, wb = Window.partitionBy("_a"), Window.partitionBy("_b")
+        rated = live.withColumns({"_sa": F.max("_score").over(wa), "_sb": F.max("_score").over(wb)})
+        rated = rated.withColumns({"_ta": F.sum((F.col("_score") == F.col("_sa")).cast("int")).over(wa), "_tb": F.sum((F.col("_score") == F.col("_sb")).cast("int")).over(wb)})
+        mutual = (F.col("_score") == F.col("_sa")) & (F.col("_score") == F.col("_sb"))
+        only = lambda t, w: F.sum((mutual & (F.col(t) == 1)).cast("int")).over(w)
+        top = settle(rated.withColumns({"_xa": only("_tb", wa), "_xb": only("_ta", wb)}).filter("_score = _sa or _score = _sb"))
+        kind = F.when(~mutual, "wait").when((F.col("_ta") == 1) & (F.col("_tb") == 1), "one").when(F.col("_xa") == F.col("_ta"), "a").when(F.col("_xb") == F.col("_tb"), "b").otherwise("tied")
+        top = top.withColumn("_kind", kind)
+        kinds = {r[0] for r in top.select("_kind").distinct().collect()}  # five at most
+        parts = [top.filter("_kind = 'one'").withColumn("_m", F.least("_na", "_nb")).select(*record)]
+        for c, d, kc, kd in (("a", "b", kx, ky), ("b", "a", ky, kx)):
+            if c in kinds:  # the middle span's keys against those of all its spans, in order
+                keys = kd.join(top.filter(F.col("_kind") == c), f"_{d}").filter(F.col("_i") > F.col(f"_o{d}"))
+                nth = keys.withColumn("_r", F.row_number().over(Window.partitionBy(f"_{c}").orderBy("_key"))).filter(F.col("_r") <= F.col(f"_n{c}"))
+                at = {f"_o{c}": F.col(f"_o{c}") + F.col("_r") - 1, f"_o{d}": F.col("_i") - 1, "_m": F.lit(1).cast("long")}
+                parts.append(nth.withColumns(at).select(*record))
+        if "tied" in kinds:
+            first = lambda k, c: k.select(f"_{c}", (F.col("_i") - 1).alias(f"_o{c}"), F.col("_key").alias(f"_k{c}"))
+            named = top.filter("_kind in ('tied', 'wait')").join(first(kx, "a"), ["_a", "_oa"]).join(first(ky, "b"), ["_b", "_ob"])
+            named = named.withColumns({"_fa": F.min(F.when(F.col("_score") == F.col("_sa"), F.col("_kb"))).over(wa), "_fb": F.min(F.when(F.col("_score") == F.col("_sb"), F.col("_ka"))).over(wb)})
+            parts.append(named.filter("_kind = 'tied' and _kb = _fa and _ka = _fb").withColumn("_m", F.lit(1).cast("long")).select(*record))
+        now = settle(reduce(DataFrame.unionByName, parts))
+        taken.append(now)
+        used = lambda c: now.groupBy(f"_{c}").agg(F.sum("_m").alias(f"_u{c}"))
+        after = live.join(used("a"), "_a", "left").join(used("b"), "_b", "left").fillna(0, ["_ua", "_ub"])
+        for c in "ab":
+            after = after.withColumns({f"_n{c}": F.col(f"_n{c}") - F.col(f"_u{c}"), f"_o{c}": F.col(f"_o{c}") + F.col(f"_u{c}")})
+        live = settle(after.filter("_na > 0 and _nb > 0").select(*live.columns))
+    if not taken:
+        return kx.select(F.col("_key").alias("_k1"), F.col("_key").alias("_k2")).limit(0)
+    each = reduce(DataFrame.unionByName, taken).withColumn("_t", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_m"))))
+    each = each.select("_a", "_b", (F.col("_oa") + F.col("_t")).alias("_i"), (F.col("_ob") + F.col("_t")).alias("_j"))
+    return each.join(kx.withColumnRenamed("_key", "_k1"), ["_a", "_i"]).join(ky.select("_b", F.col("_i").alias("_j"), F.col("_key").alias("_k2")), ["_b", "_j"]).select("_k1", "_k2")
 
 
 def merge_callers(calls: DataFrame, on: Sequence[str], span: tuple[str, str], key: str, caller: str, priority: Sequence[str], settle, ratio: float = 0.8, distance: float | None = None, width: float = 10_000, intra: bool = False) -> DataFrame:
@@ -279,8 +324,7 @@ def merge_callers(calls: DataFrame, on: Sequence[str], span: tuple[str, str], ke
     ``chosen``.
     """
     s, e = span
-    side = lambda df, n: df.select(*on, F.col(key).alias(f"_k{n}"), F.col(s).alias(f"_s{n}"), F.col(e).alias(f"_e{n}"))
-    near = lambda x, y: fuzzy_join(side(x, 1), side(y, 2), on, ("_s1", "_e1"), ("_s2", "_e2"), ratio, distance, width)
+    near = lambda x, y: _alike(x, y, on, ("_s1", "_e1"), ("_s2", "_e2"), ratio, distance)
     rank = F.array_position(F.array(*map(F.lit, priority)), F.col(caller))
     calls = calls.withColumn("_rank", F.when(rank > 0, rank).otherwise(len(priority) + 1))
     calls = settle(calls)
@@ -296,7 +340,7 @@ def merge_callers(calls: DataFrame, on: Sequence[str], span: tuple[str, str], ke
                 continue
             shared = F.least("_e1", "_e2") - F.greatest("_s1", "_s2")
             longest = F.greatest(F.col("_e1") - F.col("_s1"), F.col("_e2") - F.col("_s2"))
-            pairs = matched(near(heads, mine).withColumn("_score", F.coalesce(F.try_divide(shared, longest), F.lit(0.0))), "_k1", "_k2", "_score", settle)
+            pairs = settle(matched(heads, mine, on, span, key, F.coalesce(F.try_divide(shared, longest), F.lit(0.0)), near, settle))
             of = pairs if of is None else of.unionByName(pairs)
             heads = settle(heads.unionByName(mine.join(pairs.select(F.col("_k2").alias(key)), key, "left_anti").select(*heads.columns)))
         of = calls.select(F.col(key).alias("_m"), F.col(key).alias("_r")).limit(0) if of is None else of.select(F.col("_k2").alias("_m"), F.col("_k1").alias("_r"))

@@ -176,6 +176,47 @@ def test_like_intervals(spark, ratio, distance):
     assert {r.k: r.c for r in found.collect()} == least
 
 
+@pytest.mark.parametrize("wide, distance", [(4, 3), (40, None)])
+def test_callers_by_spans(spark, wide, distance):
+    """Calls of few spans with copies and many equal scores, matched as one pair after the other would be."""
+    rnd = random.Random(wide)
+    rows = [(f"{rnd.randrange(10**6):06}{c}", c, s, s + 100 + rnd.randrange(wide)) for c in "xyz" for _ in range(24) for s in [rnd.randrange(wide)]]
+    df = spark.createDataFrame([(k, c, "1", s, e) for k, c, s, e in rows], "key string, caller string, c string, s long, e long")
+    heads, of = [r for r in rows if r[1] == "x"], {}
+    for c in "yz":
+        mine = [r for r in rows if r[1] == c]
+        near = []
+        for h in heads:
+            for m in mine:
+                shared, longest = min(h[3], m[3]) - max(h[2], m[2]), max(h[3] - h[2], m[3] - m[2])
+                if shared >= 0.9 * longest or (distance is not None and abs(h[2] - m[2]) <= distance and abs(h[3] - m[3]) <= distance):
+                    near.append((-shared / longest, h[0], m[0]))
+        gone = set()
+        for _, h, m in sorted(near):
+            if not {h, m} & gone:
+                gone |= {h, m}
+                of[m] = h
+        heads = heads + [m for m in mine if m[0] not in gone]
+    groups = {}
+    for k, *_ in rows:
+        groups.setdefault(of.get(k, k), []).append(k)
+    want = {k: min(g) for g in groups.values() for k in g}
+    sizes = []
+
+    def settle(x):
+        out = settled(x)
+        sizes.append(out.count())
+        return out
+
+    out = I.merge_callers(df, ["c"], ("s", "e"), "key", "caller", ["x", "y"], settle, 0.9, distance)
+    assert {r.key: r.cluster for r in out.collect()} == want
+    many = df.filter("caller = 'x'").limit(1).select(F.explode(F.sequence(F.lit(0), F.lit(3999))).alias("i"), "c", "s", "e")
+    many = many.select(F.format_string("k%05d", "i").alias("key"), F.when(F.col("i") % 2 == 0, "x").otherwise("y").alias("caller"), "c", "s", "e")
+    sizes.clear()
+    assert I.merge_callers(many, ["c"], ("s", "e"), "key", "caller", ["x"], settle, 0.9, distance).select("cluster").distinct().count() == 2000
+    assert max(sizes) <= 4000
+
+
 def test_many_equal_calls(spark):
     """20,000 calls of one span, two hundred million pairs, are a few rows of links."""
     calls = spark.range(20_000).select(F.lit("1").alias("c"), F.format_string("k%06d", "id").alias("key"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("caller"), F.lit(10).alias("s"), F.lit(500).alias("e"))
