@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from ..sources.tables import settled
 
 WIDTH = 4096
-#: Bases in front of an indel that the first round of the alignment looks at; the few rows that go on use the whole window.
-REACH = 128
+#: Bases in front of an indel that the first rounds of the alignment look at; the few rows that go on use the whole window.
+REACH = (12, 128)
 
 
 def blocks(pieces: DataFrame, chrom: str = "chrom", start: str = "start", bases: str = "bases", width: int = WIDTH) -> DataFrame:
@@ -83,11 +83,11 @@ def left_align(df: DataFrame, reference: DataFrame, chrom: str = "chrom", pos: s
     still = rows.filter(~indel)
     done = still.select(*[F.col(c) for c in kept if c not in (pos, ref, alt)], F.when(F.col("_ok"), F.col("_p")).otherwise(F.col(pos)).alias(pos), F.when(F.col("_ok"), F.col("_r")).otherwise(F.col(ref)).alias(ref), F.when(F.col("_ok"), F.col("_a")).otherwise(F.col(alt)).alias(alt)).select(*kept)
     around = settled(with_neighbours(reference).select(F.col("chrom").alias("_c"), F.col("block").alias("_b"), F.concat("before", "bases", F.left("after", F.lit(1))).alias("_s"), F.length("before").alias("_skip")), "blocks")
-    moving, reach = rows.filter(indel), REACH
+    moving, reaches = rows.filter(indel), iter(REACH)
     while True:
-        moved = settled(_moved(moving, around, chrom, width, reach), "indels")
+        moved = settled(_moved(moving, around, chrom, width, next(reaches, 2 * width)), "indels")
         done = done.unionByName(_anchored(moved.filter("not _on"), kept, pos, ref, alt))
-        moving, reach = moved.filter("_on").select(*moving.columns), 2 * width
+        moving = moved.filter("_on").select(*moving.columns)
         if not moving.limit(1).count():
             return done
 
@@ -98,7 +98,7 @@ def _moved(rows: DataFrame, around: DataFrame, chrom: str, width: int, reach: in
     joined = rows.join(around, (F.col(chrom) == F.col("_c")) & (block == F.col("_b")), "left")
     offset = F.col("_p") - 1 - (F.col("_b") * width - F.col("_skip"))  # bases of the window in front
     has = F.col("_s").isNotNull() & (offset >= 0) & (offset <= F.length("_s"))
-    s = joined.withColumns({"_has": F.coalesce(has, F.lit(False)), "_left": F.when(has, F.right(F.left("_s", offset.cast("int")), F.lit(reach))).otherwise(""), "_ins": F.concat("_r", "_a"), "_behind": F.when(has, F.substring("_s", (offset + 1 + F.length("_r")).cast("int"), F.lit(1))).otherwise("")})
+    s = joined.withColumns({"_has": F.coalesce(has, F.lit(False)), "_left": F.when(has, F.substring("_s", (F.greatest(offset - reach, F.lit(0)) + 1).cast("int"), F.least(offset, F.lit(reach)).cast("int"))).otherwise(""), "_ins": F.concat("_r", "_a"), "_behind": F.when(has, F.substring("_s", (offset + 1 + F.length("_r")).cast("int"), F.lit(1))).otherwise("")})
     s = s.withColumn("_all", F.concat("_left", "_ins")).withColumn("_back", F.reverse("_all"))
     s = s.withColumn("_shift", _common(F.expr("substring(_back, length(_ins) + 1)"), F.col("_back"))).drop("_back")  # the text equals itself, moved by the insertion's length
     n, m, t = F.length("_all"), F.length("_ins"), F.col("_shift")

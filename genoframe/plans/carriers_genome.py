@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import sequences as Q
@@ -23,6 +23,13 @@ def _contigs(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("chrom"), F.lit(1).alias("start"), F.translate(letters, LETTERS, BASES).alias("bases"))
 
 
+def _places(contigs: DataFrame, last: Column, first: int, many: int, width: int, more: int) -> DataFrame:
+    """Numbers ``j`` up to ``last`` in pieces ``p`` of ``many`` (the first from ``first`` on), each with its ``piece`` of ``width + more`` bases only, so that a long contig isn't copied for each number."""
+    pieces = contigs.withColumn("_last", last).filter(F.col("_last") >= 1).select("chrom", "bases", "_last", F.explode(F.expr(f"sequence(0, cast(floor((_last - {first}) / {many}) AS int))")).alias("p"))
+    cut = pieces.select("chrom", "_last", "p", F.substring("bases", F.col("p") * width + 1, F.lit(width + more)).alias("piece"))
+    return cut.select("chrom", "p", "piece", F.explode(F.expr(f"sequence(p * {many} + {first}, least(p * {many} + {first + many - 1}, _last))")).alias("j"))
+
+
 _CONTIGS = f"SELECT doc_id::VARCHAR AS chrom, translate(regexp_replace(lower(coalesce(text, '')), '[^a-z]', '', 'g'), '{LETTERS}', '{BASES}') AS s FROM documents"
 
 
@@ -37,8 +44,7 @@ SELECT DISTINCT chrom, greatest(p - 1, 1)::BIGINT AS pos, CASE WHEN p = 1 THEN '
 def left_aligned(spark, sf):
     """Deletions and duplications in every document's sequence, left-aligned, each once."""
     contigs = settled(_contigs(spark, sf), "contigs")
-    j = contigs.select("chrom", "bases", F.explode(F.sequence(F.lit(1), F.floor(F.length("bases") / 90).cast("int") - 1)).alias("j")).filter((F.col("j") > 0) & (F.length("bases") >= 180))
-    near = j.select("chrom", "j", F.expr("substring(bases, j * 90, 9)").alias("b"))
+    near = _places(contigs, F.floor(F.length("bases") / 90).cast("int") - 1, 1, 45, 45 * 90, 9).select("chrom", "j", F.expr("substring(piece, (j - 45 * p) * 90, 9)").alias("b"))
     one, n = F.substring("b", 1, 1), F.expr("CASE j % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 4 END")
     two = F.concat(one, F.substring(F.col("b"), F.lit(2), n))
     dup = F.col("j") % 3 == 1
