@@ -68,9 +68,8 @@ SELECT chrom, phase, pos + same AS pos, substr(ref, same + 1) AS ref, substr(alt
 def phased_variants(spark, sf):
     """Variants of two or three phased parts in every document's sequence, with the bases between."""
     contigs = settled(_contigs(spark, sf), "contigs")
-    j = contigs.select("chrom", "bases", F.explode(F.sequence(F.lit(1), F.floor(F.length("bases") / 60).cast("int") - 1)).alias("j")).filter((F.col("j") > 0) & (F.length("bases") >= 120))
-    j = j.filter("NOT (j % 3 = 2 AND floor(j / 3) % 2 = 1)").withColumn("pos", F.expr("cast(60 * floor(j / 3) + (j % 3) * 4 + 1 AS long)"))
-    at = lambda a, n: F.substring("bases", (F.col("pos") + a).cast("int"), F.lit(n))
+    j = _places(contigs, F.floor(F.length("bases") / 60).cast("int") - 1, 0, 204, 68 * 60, 0).filter("j > 0 AND NOT (j % 3 = 2 AND floor(j / 3) % 2 = 1)").withColumn("pos", F.expr("cast(60 * floor(j / 3) + (j % 3) * 4 + 1 AS long)"))
+    at = lambda a, n: F.substring("piece", (F.col("pos") - F.col("p") * (68 * 60) + a).cast("int"), F.lit(n))
     other = lambda c: F.translate(c, "ACGT", "TGCA")
     first = F.col("j") % 3 == 0
     depth = F.create_map(F.lit("DP"), (F.col("j") % 40).cast("double"), F.lit("MQ"), F.when(F.col("j") % 4 != 0, 1.0))
