@@ -107,3 +107,16 @@ def test_phased_merge(spark):
     assert p.parts.vars == "1_3_GT_GA,1_7_G_C,1_9_A_T" and p.parts.tumor_ads == "5|2,6|3,6|4" and p.parts.filters == "PASS,PASS,PASS"
     assert whole["q"]["filter"] == ["MNV_CONFLICTING_FILTERS"] and whole["q"].qual == 1.5 and whole["n"]["filter"] == ["a", "in_normal"] and "o" not in whole
     assert {(x.phase, x.pos) for x in out if "MERGED" in x["filter"]} == {("p", 3), ("p", 7), ("p", 9), ("q", 3), ("q", 4), ("n", 12), ("n", 13)}
+
+
+def test_places_in_pieces(spark):
+    """Places of a long contig come with a short piece of it each, and with the bases that stand there."""
+    from pyspark.sql import functions as F
+
+    from genoframe.plans.carriers_genome import _places
+
+    text = "".join("ACGT"[(i * i + i // 7) % 4] for i in range(30_011))
+    df = spark.createDataFrame([("1", text), ("2", text[:100]), ("3", "")], "chrom string, bases string")
+    out = _places(df, F.floor(F.length("bases") / 90).cast("int") - 1, 1, 45, 45 * 90, 9).selectExpr("chrom", "j", "length(piece) AS n", "substring(piece, (j - 45 * p) * 90, 9) AS b").collect()
+    assert sorted((r.chrom, r.j, r.b) for r in out) == [("1", j, text[j * 90 - 1 : j * 90 + 8]) for j in range(1, 333)]
+    assert max(r.n for r in out) == 4059
