@@ -25,6 +25,8 @@ from . import ordered as O
 FAN = 8
 #: Intervals of one bin on the right side that are joined in one task, about; fuller bins are split.
 FULL_BIN = 20_000
+#: Bands of score in which spans are matched at most, and pairs that are compared in one, about: for each span and for all.
+BANDS, BAND_PAIRS, LEAST_PAIRS = 9, 64, 1_000_000
 #: Left intervals of one square of like ones that are joined in one task, about.
 FULL_SQUARE = 1024
 #: Rows of one interval that stand in one list while intervals are compared, about.
@@ -280,12 +282,35 @@ def _numbered(rows: DataFrame, on: Sequence[str], span: Sequence[str], key: str,
     return spans.join(keys.groupBy(name).agg(F.count("*").alias(f"_n{name}")), name), keys
 
 
-def matched(left: DataFrame, right: DataFrame, on: Sequence[str], span: tuple[str, str], key: str, score: Column, near, settle) -> DataFrame:
+def _crowd(x: DataFrame, y: DataFrame, on: Sequence[str], ratio: float, distance: float | None) -> list[float]:
+    """About how many pairs ``_alike`` compares: for the whole of it, then for each narrower ratio of ``_narrowed``, by how many intervals lie in the same square."""
+    length = (F.col("_e") - F.col("_s")).cast("double")
+    size = F.floor(F.log2(F.when(length > 0, length)))
+    widths = [F.pow(F.lit(2.0), size + 1) * ((1 - r) / r + 1e-9) for r in map(lambda k: _narrowed(ratio, k), range(BANDS))]
+    widths += [] if distance is None else [F.lit(float(distance) or 1.0)]
+    square = lambda w: F.xxhash64(*on, size, F.floor(F.col("_s") / w), F.floor(F.col("_e") / w))
+    squares = F.explode(F.array(*[F.when(w.isNotNull(), F.struct(F.lit(i).alias("i"), square(w).alias("at"))) for i, w in enumerate(widths)]))
+    ends = lambda df, n, a, b: df.select(*on, F.col(f"_s{n}").alias("_s"), F.col(f"_e{n}").alias("_e"), F.lit(a).alias("_x"), F.lit(b).alias("_y"))
+    places = ends(x, 1, 1, 0).unionByName(ends(y, 2, 0, 1)).select(squares.alias("q"), "_x", "_y").groupBy("q.i", "q.at").agg(F.sum("_x").alias("_x"), F.sum("_y").alias("_y"))
+    found = {r[0]: r[1] for r in places.groupBy("i").agg(F.sum(F.col("_x").cast("double") * F.col("_y")) * 9).collect()}  # a few numbers
+    pairs = [found.get(i, 0.0) for i in range(len(widths))]
+    return [pairs[0] + sum(pairs[BANDS:]), *pairs[1:BANDS]]
+
+
+def _narrowed(ratio: float, k: int) -> float:
+    return 1 - (1 - ratio) / 4**k
+
+
+def matched(left: DataFrame, right: DataFrame, on: Sequence[str], span: tuple[str, str], key: str, settle, ratio: float, distance: float | None) -> DataFrame:
     """One-to-one pairs ``_k1``, ``_k2`` of like rows, as if the best pair were taken again and again: by score, then by the left and the right key.
 
+    The score is the common part's share of the longer interval.  Pairs come in bands of
+    falling score, so wide that about ``BAND_PAIRS`` for each span are compared: no pair
+    of a lower band can be taken before those of a higher one, whose spans are used up by
+    then, so the table of pairs grows with the spans and not with their square.
+
     Rows that share a span have the same scores, so spans are matched, and a span gives
-    its keys in order.  ``near`` finds like spans and ``score`` rates their ends ``_s1``,
-    ``_e1``, ``_s2``, ``_e2``.  In a round, two spans that are each other's only best pair
+    its keys in order.  In a round, two spans that are each other's only best pair
     off as many keys as both have left; a span that is the only best of several spans of
     equal score pairs off with their keys in common order; of spans with equal scores on
     both sides those keys are paired that are each other's best.  The best of all is
@@ -294,20 +319,62 @@ def matched(left: DataFrame, right: DataFrame, on: Sequence[str], span: tuple[st
     s, e = span
     x, kx = _numbered(left, on, span, key, "_a", settle)
     y, ky = _numbered(right, on, span, key, "_b", settle)
-    side = lambda df, n, c: df.select(*on, F.col(s).alias(f"_s{n}"), F.col(e).alias(f"_e{n}"), c, f"_n{c}")
     zero = F.lit(0).cast("long")
-    live, taken = settle(near(side(x, 1, "_a"), side(y, 2, "_b")).select("_a", "_b", score.alias("_score"), F.col("_n_a").alias("_na"), F.col("_n_b").alias("_nb"), zero.alias("_oa"), zero.alias("_ob"))), []
+    side = lambda df, n, c: settle(df.filter(F.col(s).isNotNull() & F.col(e).isNotNull()).select(*on, F.col(s).alias(f"_s{n}"), F.col(e).alias(f"_e{n}"), f"_{c}", F.col(f"_n_{c}").alias(f"_n{c}"), zero.alias(f"_o{c}")))
+    x, y = side(x, 1, "a"), side(y, 2, "b")
+    shared = F.least("_e1", "_e2") - F.greatest("_s1", "_s2")
+    longest = F.greatest(F.col("_e1") - F.col("_s1"), F.col("_e2") - F.col("_s2"))
+    score = F.coalesce(F.try_divide(shared, longest), F.lit(0.0))
+    ends = ("_s1", "_e1"), ("_s2", "_e2")
+    taken, band = [], BANDS
+    while band:
+        nx, ny = x.count(), y.count()
+        most = BAND_PAIRS * (nx + ny) + LEAST_PAIRS
+        crowd = [0.0] if nx * ny <= most else _crowd(x, y, on, ratio, distance)
+        band = min([band - 1, *[k for k, n in enumerate(crowd) if n <= most]])
+        if band:
+            least = _narrowed(ratio, band)
+            pairs = _alike(x, y, on, *ends, least * (1 - 1e-9), None).withColumn("_score", score).filter(F.col("_score") >= least)
+        else:
+            pairs = _alike(x, y, on, *ends, ratio, distance).withColumn("_score", score)
+        now = _rounds(settle(pairs.select("_a", "_b", "_score", "_na", "_nb", "_oa", "_ob")), kx, ky, settle)
+        taken += now
+        if band and now:
+            left_over = lambda df, c: settle(_less(df, reduce(DataFrame.unionByName, now), c).filter(f"_n{c} > 0"))
+            before, x, y = (x, y), left_over(x, "a"), left_over(y, "b")
+            release(*before)
+    release(x, y)
+    if not taken:
+        return kx.select(F.col("_key").alias("_k1"), F.col("_key").alias("_k2")).limit(0)
+    each = reduce(DataFrame.unionByName, taken).withColumn("_t", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_m"))))
+    each = each.select("_a", "_b", (F.col("_oa") + F.col("_t")).alias("_i"), (F.col("_ob") + F.col("_t")).alias("_j"))
+    return each.join(kx.withColumnRenamed("_key", "_k1"), ["_a", "_i"]).join(ky.select("_b", F.col("_i").alias("_j"), F.col("_key").alias("_k2")), ["_b", "_j"]).select("_k1", "_k2")
+
+
+def _less(df: DataFrame, taken: DataFrame, c: str) -> DataFrame:
+    """``df`` with as many keys less, and as many passed, as ``taken`` has of each span ``c``."""
+    used = taken.groupBy(f"_{c}").agg(F.sum("_m").alias("_used"))
+    after = df.join(used, f"_{c}", "left").fillna(0, ["_used"])
+    return after.withColumns({f"_n{c}": F.col(f"_n{c}") - F.col("_used"), f"_o{c}": F.col(f"_o{c}") + F.col("_used")}).select(*df.columns)
+
+
+def _rounds(live: DataFrame, kx: DataFrame, ky: DataFrame, settle) -> list[DataFrame]:
+    """The rounds of ``matched`` over a settled table of scored pairs of spans."""
+    taken = []
     record = ["_a", "_oa", "_b", "_ob", "_m"]
-    while live.limit(1).count():
+    while True:
         wa, wb = Window.partitionBy("_a"), Window.partitionBy("_b")
         rated = live.withColumns({"_sa": F.max("_score").over(wa), "_sb": F.max("_score").over(wb)})
         rated = rated.withColumns({"_ta": F.sum((F.col("_score") == F.col("_sa")).cast("int")).over(wa), "_tb": F.sum((F.col("_score") == F.col("_sb")).cast("int")).over(wb)})
         mutual = (F.col("_score") == F.col("_sa")) & (F.col("_score") == F.col("_sb"))
         only = lambda t, w: F.sum((mutual & (F.col(t) == 1)).cast("int")).over(w)
-        top = settle(rated.withColumns({"_xa": only("_tb", wa), "_xb": only("_ta", wb)}).filter("_score = _sa or _score = _sb"))
+        best = settle(rated.withColumns({"_xa": only("_tb", wa), "_xb": only("_ta", wb)}).filter("_score = _sa or _score = _sb"))
         kind = F.when(~mutual, "wait").when((F.col("_ta") == 1) & (F.col("_tb") == 1), "one").when(F.col("_xa") == F.col("_ta"), "a").when(F.col("_xb") == F.col("_tb"), "b").otherwise("tied")
-        top = top.withColumn("_kind", kind)
+        top = best.withColumn("_kind", kind)
         kinds = {r[0] for r in top.select("_kind").distinct().collect()}  # five at most
+        if not kinds:
+            release(live, best)
+            return taken
         parts = [top.filter("_kind = 'one'").withColumn("_m", F.least("_na", "_nb")).select(*record)]
         for c, d, kc, kd in (("a", "b", kx, ky), ("b", "a", ky, kx)):
             if c in kinds:  # the middle span's keys against those of all its spans, in order
@@ -322,16 +389,8 @@ def matched(left: DataFrame, right: DataFrame, on: Sequence[str], span: tuple[st
             parts.append(named.filter("_kind = 'tied' and _kb = _fa and _ka = _fb").withColumn("_m", F.lit(1).cast("long")).select(*record))
         now = settle(reduce(DataFrame.unionByName, parts))
         taken.append(now)
-        used = lambda c: now.groupBy(f"_{c}").agg(F.sum("_m").alias(f"_u{c}"))
-        after = live.join(used("a"), "_a", "left").join(used("b"), "_b", "left").fillna(0, ["_ua", "_ub"])
-        for c in "ab":
-            after = after.withColumns({f"_n{c}": F.col(f"_n{c}") - F.col(f"_u{c}"), f"_o{c}": F.col(f"_o{c}") + F.col(f"_u{c}")})
-        live = settle(after.filter("_na > 0 and _nb > 0").select(*live.columns))
-    if not taken:
-        return kx.select(F.col("_key").alias("_k1"), F.col("_key").alias("_k2")).limit(0)
-    each = reduce(DataFrame.unionByName, taken).withColumn("_t", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_m"))))
-    each = each.select("_a", "_b", (F.col("_oa") + F.col("_t")).alias("_i"), (F.col("_ob") + F.col("_t")).alias("_j"))
-    return each.join(kx.withColumnRenamed("_key", "_k1"), ["_a", "_i"]).join(ky.select("_b", F.col("_i").alias("_j"), F.col("_key").alias("_k2")), ["_b", "_j"]).select("_k1", "_k2")
+        before, live = live, settle(_less(_less(live, now, "a"), now, "b").filter("_na > 0 and _nb > 0"))
+        release(before, best)
 
 
 def merge_callers(calls: DataFrame, on: Sequence[str], span: tuple[str, str], key: str, caller: str, priority: Sequence[str], settle, ratio: float = 0.8, distance: float | None = None, width: float = 10_000, intra: bool = False) -> DataFrame:
@@ -345,7 +404,6 @@ def merge_callers(calls: DataFrame, on: Sequence[str], span: tuple[str, str], ke
     ``chosen``.
     """
     s, e = span
-    near = lambda x, y: _alike(x, y, on, ("_s1", "_e1"), ("_s2", "_e2"), ratio, distance)
     rank = F.array_position(F.array(*map(F.lit, priority)), F.col(caller))
     calls = calls.withColumn("_rank", F.when(rank > 0, rank).otherwise(len(priority) + 1))
     calls = settle(calls)
@@ -359,9 +417,7 @@ def merge_callers(calls: DataFrame, on: Sequence[str], span: tuple[str, str], ke
             if heads is None:
                 heads = mine
                 continue
-            shared = F.least("_e1", "_e2") - F.greatest("_s1", "_s2")
-            longest = F.greatest(F.col("_e1") - F.col("_s1"), F.col("_e2") - F.col("_s2"))
-            pairs = settle(matched(heads, mine, on, span, key, F.coalesce(F.try_divide(shared, longest), F.lit(0.0)), near, settle))
+            pairs = settle(matched(heads, mine, on, span, key, settle, ratio, distance))
             of = pairs if of is None else of.unionByName(pairs)
             heads = settle(heads.unionByName(mine.join(pairs.select(F.col("_k2").alias(key)), key, "left_anti").select(*heads.columns)))
         of = calls.select(F.col(key).alias("_m"), F.col(key).alias("_r")).limit(0) if of is None else of.select(F.col("_k2").alias("_m"), F.col("_k1").alias("_r"))

@@ -217,6 +217,30 @@ def test_callers_by_spans(spark, wide, distance):
     assert max(sizes) <= 4000
 
 
+def test_many_different_calls(spark, monkeypatch):
+    """300 calls of different spans in one place, 22,500 like pairs: matched in bands of score, without a table of all pairs."""
+    rnd = random.Random(5)
+    rows = [(f"{i:05}", "xy"[i % 2], "1", 5 * rnd.randrange(10**5), 10**7 + rnd.randrange(10**6)) for i in range(300)]
+    near = lambda a, b: (min(a[4], b[4]) - max(a[3], b[3])) / max(a[4] - a[3], b[4] - b[3])
+    of, gone = {r[0]: r[0] for r in rows}, set()
+    for _, a, b in sorted((-near(a, b), a[0], b[0]) for a in rows[::2] for b in rows[1::2] if near(a, b) >= 0.8):
+        if not {a, b} & gone:
+            gone |= {a, b}
+            of[a] = of[b] = min(a, b)
+    monkeypatch.setattr(I, "BAND_PAIRS", 16)
+    monkeypatch.setattr(I, "LEAST_PAIRS", 0)
+    sizes = []
+
+    def settle(x):
+        out = settled(x)
+        sizes.append(out.count())
+        return out
+
+    df = spark.createDataFrame(rows, "key string, caller string, c string, s long, e long")
+    out = I.merge_callers(df, ["c"], ("s", "e"), "key", "caller", ["x", "y"], settle, 0.8, 10)
+    assert {r.key: r.cluster for r in out.collect()} == of and max(sizes) < 10_000
+
+
 def test_many_equal_calls(spark):
     """20,000 calls of one span, two hundred million pairs, are a few rows of links."""
     calls = spark.range(20_000).select(F.lit("1").alias("c"), F.format_string("k%06d", "id").alias("key"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("caller"), F.lit(10).alias("s"), F.lit(500).alias("e"))
