@@ -33,6 +33,11 @@ FULL_SQUARE = 1024
 LISTED = 256
 
 
+def _shuffled(df: DataFrame) -> DataFrame:
+    """Never broadcast: the files of a settled table, by which Spark would choose, are far smaller than its rows in the driver's memory, still more once they are exploded."""
+    return df.hint("merge")
+
+
 def _levelled(df: DataFrame, start: Column, last: Column, width: float) -> DataFrame:
     """``_level`` of each interval (0 for the shortest): the lowest one whose bins are as wide as the interval."""
     wide = F.greatest((last - start).cast("double") / width, F.lit(1.0))
@@ -178,11 +183,11 @@ def _alike(left: DataFrame, right: DataFrame, on: Sequence[str], l: tuple[str, s
         y = y.withColumn("_by", around).withColumns({"_x": square(r[0], width, F.col("_by.x")), "_y": square(r[1], width, F.col("_by.y"))}).drop("_by")
         at = [*on, *keys, "_x", "_y"]
         if not deal:
-            return x.join(y, at).drop(*keys, "_x", "_y")
+            return x.join(_shuffled(y), at).drop(*keys, "_x", "_y")
         full = x.groupBy(*at).count().filter(F.col("count") > FULL_SQUARE).select(*at, F.ceil(F.col("count") / FULL_SQUARE).cast("int").alias("_deal"))
-        x = x.join(full, at, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*l), F.col("_deal")).cast("int"), F.lit(0))).drop("_deal")
-        y = y.join(full, at, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_deal", F.lit(1)) - 1))).drop("_deal")
-        return x.join(y, [*at, "_salt"]).drop(*keys, "_x", "_y", "_salt")
+        x = x.join(_shuffled(full), at, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*l), F.col("_deal")).cast("int"), F.lit(0))).drop("_deal")
+        y = y.join(_shuffled(full), at, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_deal", F.lit(1)) - 1))).drop("_deal")
+        return x.join(_shuffled(y), [*at, "_salt"]).drop(*keys, "_x", "_y", "_salt")
 
     size = lambda n: F.floor(F.log2(n))
     x = left.filter(length(l) > 0).withColumn("_size", size(length(l)))
@@ -207,7 +212,7 @@ def fuzzy_join(left: DataFrame, right: DataFrame, on: Sequence[str], l: tuple[st
     def listed(df: DataFrame, span: tuple[str, str], name: str) -> DataFrame:
         row = F.struct(*[c for c in df.columns if c not in (*on, *span)], F.lit(0).alias("_0"))
         many = df.groupBy(*on, *span).agg(F.ceil(F.count("*") / LISTED).alias("_parts"))
-        parts = df.select(*on, *span, row.alias("_row")).join(many, [*on, *span]).withColumn("_part", F.pmod(F.xxhash64("_row"), "_parts"))
+        parts = df.select(*on, *span, row.alias("_row")).join(_shuffled(many), [*on, *span]).withColumn("_part", F.pmod(F.xxhash64("_row"), "_parts"))
         return parts.groupBy(*on, *span, "_part").agg(F.collect_list("_row").alias(name)).drop("_part")
 
     pairs = _alike(listed(left, l, "_rows_l"), listed(right, r, "_rows_r"), on, l, r, ratio, distance, deal=True)
@@ -229,10 +234,10 @@ def components(edges: DataFrame, a: str, b: str, settle) -> DataFrame:
     both = settle(once.union(once.select("w", "v")).distinct())
     labels, last = settle(both.groupBy("v").agg(F.least(F.col("v"), F.min("w")).alias("c"))), None
     while True:
-        near = both.join(labels.select(F.col("v").alias("w"), "c"), "w").groupBy("v").agg(F.min("c").alias("m"))
-        lower = labels.join(near, "v").select("v", F.least("c", "m").alias("d"), (F.col("m") < F.col("c")).alias("moved"))
+        near = both.join(_shuffled(labels.select(F.col("v").alias("w"), "c")), "w").groupBy("v").agg(F.min("c").alias("m"))
+        lower = labels.join(_shuffled(near), "v").select("v", F.least("c", "m").alias("d"), (F.col("m") < F.col("c")).alias("moved"))
         jump = labels.select(F.col("v").alias("d"), F.col("c").alias("e"))
-        after = settle(lower.join(jump, "d", "left").select("v", F.least("d", F.coalesce("e", "d")).alias("c"), "moved"))
+        after = settle(lower.join(_shuffled(jump), "d", "left").select("v", F.least("d", F.coalesce("e", "d")).alias("c"), "moved"))
         if last is not None:
             release(last)
         labels, last = after.select("v", "c"), after
@@ -263,23 +268,23 @@ def like_components(df: DataFrame, on: Sequence[str], span: tuple[str, str], key
     rows = settle(rows.withColumns({"_size": F.when(by_ratio >= by_distance, F.coalesce(size, F.lit(-5001))).otherwise(-5000), "_x": square(s), "_y": square(e)}))
     inside = rows.filter("_meets")
     heads = inside.groupBy(*on, *place).agg(F.min("_key").alias("_head"))
-    named = settle(inside.join(heads, [*on, *place]).unionByName(rows.filter("not _meets").withColumn("_head", F.col("_key"))).drop(*place))
+    named = settle(inside.join(_shuffled(heads), [*on, *place]).unionByName(rows.filter("not _meets").withColumn("_head", F.col("_key"))).drop(*place))
     points = settle(named.filter("_meets").select(*on, s, e, "_head").distinct())
     side = lambda n: points.select(*on, F.col(s).alias(f"_s{n}"), F.col(e).alias(f"_e{n}"), F.col("_head").alias(f"_h{n}"))
     links = _alike(side(1), side(2), on, ("_s1", "_e1"), ("_s2", "_e2"), ratio, distance).filter("_h1 < _h2").select("_h1", "_h2")
     again = named.groupBy("_key").agg(F.collect_set("_head").alias("_h")).filter(F.size("_h") > 1).select(F.array_min("_h").alias("_h1"), F.explode("_h").alias("_h2"))
     labels = components(links.unionByName(again).distinct(), "_h1", "_h2", settle).toDF("_v", "_c")
     out = named.select(F.col("_key").alias(key), "_head").distinct()
-    return out.join(labels, F.col("_head") == F.col("_v"), "left").groupBy(key).agg(F.min(F.coalesce("_c", "_head")).alias("c"))
+    return out.join(_shuffled(labels), F.col("_head") == F.col("_v"), "left").groupBy(key).agg(F.min(F.coalesce("_c", "_head")).alias("c"))
 
 
 def _numbered(rows: DataFrame, on: Sequence[str], span: Sequence[str], key: str, name: str, settle) -> tuple[DataFrame, DataFrame]:
     """The different spans with a number ``name`` and how many keys they have (``_n`` and it), and each span's keys, numbered from 1 in order."""
     spans = settle(rows.select(*on, *span).distinct().withColumn(name, F.monotonically_increasing_id()))
     same = reduce(lambda x, y: x & y, [rows[c].eqNullSafe(spans[c]) for c in [*on, *span]])
-    keys = rows.join(spans, same).select(name, F.col(key).alias("_key")).distinct()
+    keys = rows.join(_shuffled(spans), same).select(name, F.col(key).alias("_key")).distinct()
     keys = settle(O.running(O.ranged(keys, [name], ["_key"]), [name], ["_key"], F.lit(1).cast("long"), "_i").select(name, "_key", "_i"))
-    return spans.join(keys.groupBy(name).agg(F.count("*").alias(f"_n{name}")), name), keys
+    return spans.join(_shuffled(keys.groupBy(name).agg(F.count("*").alias(f"_n{name}"))), name), keys
 
 
 def _crowd(x: DataFrame, y: DataFrame, on: Sequence[str], ratio: float, distance: float | None) -> list[float]:
@@ -348,13 +353,13 @@ def matched(left: DataFrame, right: DataFrame, on: Sequence[str], span: tuple[st
         return kx.select(F.col("_key").alias("_k1"), F.col("_key").alias("_k2")).limit(0)
     each = reduce(DataFrame.unionByName, taken).withColumn("_t", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_m"))))
     each = each.select("_a", "_b", (F.col("_oa") + F.col("_t")).alias("_i"), (F.col("_ob") + F.col("_t")).alias("_j"))
-    return each.join(kx.withColumnRenamed("_key", "_k1"), ["_a", "_i"]).join(ky.select("_b", F.col("_i").alias("_j"), F.col("_key").alias("_k2")), ["_b", "_j"]).select("_k1", "_k2")
+    return each.join(_shuffled(kx.withColumnRenamed("_key", "_k1")), ["_a", "_i"]).join(_shuffled(ky.select("_b", F.col("_i").alias("_j"), F.col("_key").alias("_k2"))), ["_b", "_j"]).select("_k1", "_k2")
 
 
 def _less(df: DataFrame, taken: DataFrame, c: str) -> DataFrame:
     """``df`` with as many keys less, and as many passed, as ``taken`` has of each span ``c``."""
     used = taken.groupBy(f"_{c}").agg(F.sum("_m").alias("_used"))
-    after = df.join(used, f"_{c}", "left").fillna(0, ["_used"])
+    after = df.join(_shuffled(used), f"_{c}", "left").fillna(0, ["_used"])
     return after.withColumns({f"_n{c}": F.col(f"_n{c}") - F.col("_used"), f"_o{c}": F.col(f"_o{c}") + F.col("_used")}).select(*df.columns)
 
 
@@ -378,13 +383,13 @@ def _rounds(live: DataFrame, kx: DataFrame, ky: DataFrame, settle) -> list[DataF
         parts = [top.filter("_kind = 'one'").withColumn("_m", F.least("_na", "_nb")).select(*record)]
         for c, d, kc, kd in (("a", "b", kx, ky), ("b", "a", ky, kx)):
             if c in kinds:  # the middle span's keys against those of all its spans, in order
-                keys = kd.join(top.filter(F.col("_kind") == c), f"_{d}").filter(F.col("_i") > F.col(f"_o{d}"))
+                keys = kd.join(_shuffled(top.filter(F.col("_kind") == c)), f"_{d}").filter(F.col("_i") > F.col(f"_o{d}"))
                 nth = keys.withColumn("_r", F.row_number().over(Window.partitionBy(f"_{c}").orderBy("_key"))).filter(F.col("_r") <= F.col(f"_n{c}"))
                 at = {f"_o{c}": F.col(f"_o{c}") + F.col("_r") - 1, f"_o{d}": F.col("_i") - 1, "_m": F.lit(1).cast("long")}
                 parts.append(nth.withColumns(at).select(*record))
         if "tied" in kinds:
             first = lambda k, c: k.select(f"_{c}", (F.col("_i") - 1).alias(f"_o{c}"), F.col("_key").alias(f"_k{c}"))
-            named = top.filter("_kind in ('tied', 'wait')").join(first(kx, "a"), ["_a", "_oa"]).join(first(ky, "b"), ["_b", "_ob"])
+            named = top.filter("_kind in ('tied', 'wait')").join(_shuffled(first(kx, "a")), ["_a", "_oa"]).join(_shuffled(first(ky, "b")), ["_b", "_ob"])
             named = named.withColumns({"_fa": F.min(F.when(F.col("_score") == F.col("_sa"), F.col("_kb"))).over(wa), "_fb": F.min(F.when(F.col("_score") == F.col("_sb"), F.col("_ka"))).over(wb)})
             parts.append(named.filter("_kind = 'tied' and _kb = _fa and _ka = _fb").withColumn("_m", F.lit(1).cast("long")).select(*record))
         now = settle(reduce(DataFrame.unionByName, parts))
@@ -419,11 +424,11 @@ def merge_callers(calls: DataFrame, on: Sequence[str], span: tuple[str, str], ke
                 continue
             pairs = settle(matched(heads, mine, on, span, key, settle, ratio, distance))
             of = pairs if of is None else of.unionByName(pairs)
-            heads = settle(heads.unionByName(mine.join(pairs.select(F.col("_k2").alias(key)), key, "left_anti").select(*heads.columns)))
+            heads = settle(heads.unionByName(mine.join(_shuffled(pairs.select(F.col("_k2").alias(key))), key, "left_anti").select(*heads.columns)))
         of = calls.select(F.col(key).alias("_m"), F.col(key).alias("_r")).limit(0) if of is None else of.select(F.col("_k2").alias("_m"), F.col("_k1").alias("_r"))
-    joined = calls.join(of, F.col(key) == F.col("_m"), "left").withColumn("_r", F.coalesce("_r", key)).drop("_m")
+    joined = calls.join(_shuffled(of), F.col(key) == F.col("_m"), "left").withColumn("_r", F.coalesce("_r", key)).drop("_m")
     about = joined.groupBy("_r").agg(F.min(key).alias("cluster"), F.array_join(F.array_sort(F.collect_set(caller)), ",").alias("callers"), F.min_by(key, F.struct("_rank", key)).alias("_first"))
-    return joined.join(about, "_r").withColumn("chosen", F.col(key) == F.col("_first")).drop("_r", "_rank", "_first")
+    return joined.join(_shuffled(about), "_r").withColumn("chosen", F.col(key) == F.col("_first")).drop("_r", "_rank", "_first")
 
 
 def interval_union(df: DataFrame, on: Sequence[str], start: str, end: str, pad: float = 0) -> DataFrame:

@@ -217,6 +217,21 @@ def test_callers_by_spans(spark, wide, distance):
     assert max(sizes) <= 4000
 
 
+def test_linked_calls_without_broadcast(spark):
+    """Small tables, too, are joined by shuffles: by their files a table of a few MB may be millions of rows in the driver."""
+    rows = [("k1", "a", "1", 0, 1000), ("k2", "b", "1", 10, 1000), ("k3", "a", "1", 5000, 9000)]
+    plans = []
+
+    def settle(x):
+        plans.append(x._jdf.queryExecution().executedPlan().toString())
+        return settled(x)
+
+    out = I.merge_callers(spark.createDataFrame(rows, "key string, caller string, c string, s long, e long"), ["c"], ("s", "e"), "key", "caller", ["a", "b"], settle, 0.9, intra=True)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert {r.key: r.cluster for r in out.collect()} == {"k1": "k1", "k2": "k1", "k3": "k3"}
+    assert not any("Broadcast" in p for p in plans)
+
+
 def test_many_different_calls(spark, monkeypatch):
     """300 calls of different spans in one place, 22,500 like pairs: matched in bands of score, without a table of all pairs."""
     rnd = random.Random(5)
